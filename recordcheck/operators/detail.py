@@ -77,7 +77,14 @@ def friendly_description(campo: Column, motivo: Column, tipo: Column) -> Column:
 
 
 def _exploded(evaluated: DataFrame, carry: Sequence[str], obs_col: str) -> DataFrame:
-    return evaluated.select(*carry, F.explode(obs_col).alias("_o"))
+    """One row per observation; records without observations vanish.
+
+    Written as ``explode_outer`` + a filter on the generated column rather
+    than ``explode``: for an inner explode Spark infers ``size(array) > 0``
+    and pushes it below the projection that builds the array, which would
+    evaluate every rule twice (once in the pushed filter)."""
+    rows = evaluated.select(*carry, F.explode_outer(obs_col).alias("_o"))
+    return rows.filter(F.col("_o").isNotNull())
 
 
 def _ordered(df: DataFrame, order: str) -> DataFrame:

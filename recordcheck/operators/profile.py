@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from recordcheck import constants as K
 from recordcheck.functions import predicates as P
+from recordcheck.functions.sql import ident, lit
 from recordcheck.operators.aggregates import pct_half_up
 from recordcheck.schema import OBS_COL, category_of
 
@@ -35,48 +36,48 @@ def quality_band(pct: Column) -> Column:
 def _field_counts(evaluated: DataFrame, fields: Sequence[str], obs_col: str) -> DataFrame:
     """One row: n, and per field i the NULL, blank and inconsistent counts."""
     # Field indices with an observation that is not about emptiness.
-    flagged = F.array_distinct(F.transform(
-        F.filter(F.col(obs_col), lambda x: ~x["tipo"].isin(K.TIPO_NULL, K.TIPO_VACIO)),
-        lambda x: x["idx"]))
-    staged = evaluated.select(*[F.col(f) for f in fields], flagged.alias("_flagged"))
-    aggs = [F.count(F.lit(1)).alias("_n")]
+    flagged = (f"array_distinct(transform(filter({ident(obs_col)}, "
+               f"x -> x.tipo NOT IN ({lit(K.TIPO_NULL)}, {lit(K.TIPO_VACIO)})), x -> x.idx))")
+    staged = evaluated.select(*[F.col(ident(f)) for f in fields], F.expr(flagged).alias("_flagged"))
+    aggs = ["count(1) AS _n"]
     for i, f in enumerate(fields):
-        aggs.append(F.count_if(P.is_null(f)).alias(f"_null{i}"))
-        aggs.append(F.count_if(P.is_blank(f)).alias(f"_blank{i}"))
-        aggs.append(F.count_if(P.is_filled(f) & F.array_contains("_flagged", F.lit(i)))
-                    .alias(f"_inc{i}"))
-    return staged.agg(*aggs)
+        aggs.append(f"count_if({P.is_null(f)}) AS _null{i}")
+        aggs.append(f"count_if({P.is_blank(f)}) AS _blank{i}")
+        aggs.append(f"count_if({P.is_filled(f)} AND array_contains(_flagged, {i})) AS _inc{i}")
+    return staged.agg(*[F.expr(a) for a in aggs])
 
 
 def _examples(evaluated: DataFrame, fields: Sequence[str], code_col: str, per_state: int) -> DataFrame:
-    """(i, state, codes): the first ``per_state`` non-null codes, ascending,
-    of records whose field i is NULL (state N) or blank (state V)."""
-    cells = F.filter(F.array(*[
-        F.when(P.is_null(f), F.struct(F.lit(i).alias("i"), F.lit("N").alias("s")))
-         .when(P.is_blank(f), F.struct(F.lit(i).alias("i"), F.lit("V").alias("s")))
-        for i, f in enumerate(fields)]), lambda x: x.isNotNull())
-    exploded = (evaluated.filter(F.col(code_col).isNotNull())
-                .select(F.col(code_col).alias("_code"), F.explode(cells).alias("_c"))
+    """(i, CODIGOS_NULL_EJEMPLO, CODIGOS_VACIO_EJEMPLO): the first
+    ``per_state`` non-null codes, ascending, of records whose field i is NULL
+    or blank."""
+    cells = ", ".join(
+        f"CASE WHEN {P.is_null(f)} THEN named_struct('i', {i}, 's', 'N') "
+        f"WHEN {P.is_blank(f)} THEN named_struct('i', {i}, 's', 'V') END"
+        for i, f in enumerate(fields))
+    # explode_outer + filter: see operators.detail._exploded.
+    exploded = (evaluated.filter(F.col(ident(code_col)).isNotNull())
+                .select(F.col(ident(code_col)).alias("_code"),
+                        F.expr(f"explode_outer(filter(array({cells}), x -> x IS NOT NULL))").alias("_c"))
+                .filter(F.col("_c").isNotNull())
                 .select("_code", F.col("_c.i").alias("i"), F.col("_c.s").alias("s")))
     w = Window.partitionBy("i", "s").orderBy("_code")
     top = exploded.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= per_state)
-    grouped = top.groupBy("i").agg(
-        F.array_sort(F.collect_list(F.when(F.col("s") == "N", F.col("_code")))).alias("CODIGOS_NULL_EJEMPLO"),
-        F.array_sort(F.collect_list(F.when(F.col("s") == "V", F.col("_code")))).alias("CODIGOS_VACIO_EJEMPLO"),
+    return top.groupBy("i").agg(
+        F.expr("array_sort(collect_list(CASE WHEN s = 'N' THEN _code END))").alias("CODIGOS_NULL_EJEMPLO"),
+        F.expr("array_sort(collect_list(CASE WHEN s = 'V' THEN _code END))").alias("CODIGOS_VACIO_EJEMPLO"),
     )
-    return grouped
 
 
 def field_profile(evaluated: DataFrame, fields: Sequence[str] = K.FIELDS, code_col: str = "CODIGO",
                   examples: int = K.EXAMPLE_CODES, obs_col: str = OBS_COL) -> DataFrame:
     """PF1..PF7: ``resumen_por_campo``."""
     counts = _field_counts(evaluated, fields, obs_col)
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(f).alias("campo"), F.lit(category_of(f)).alias("CATEGORIA"),
-                 F.col(f"_null{i}").alias("CANT_NULL"), F.col(f"_blank{i}").alias("CANT_VACIO"),
-                 F.col(f"_inc{i}").alias("CANT_INCONSISTENTES"))
-        for i, f in enumerate(fields)]))
-    long = counts.select(F.col("_n"), rows.alias("_r")).select("_n", "_r.*")
+    structs = ", ".join(
+        f"named_struct('i', {i}, 'campo', {lit(f)}, 'CATEGORIA', {lit(category_of(f))}, "
+        f"'CANT_NULL', _null{i}, 'CANT_VACIO', _blank{i}, 'CANT_INCONSISTENTES', _inc{i})"
+        for i, f in enumerate(fields))
+    long = counts.select(F.col("_n"), F.expr(f"inline(array({structs}))"))
     n = F.col("_n")
     long = long.select(
         "i", "campo", "CATEGORIA", "CANT_NULL", "CANT_VACIO", "CANT_INCONSISTENTES",
@@ -84,15 +85,14 @@ def field_profile(evaluated: DataFrame, fields: Sequence[str] = K.FIELDS, code_c
         pct_half_up(F.col("CANT_NULL"), n).alias("PCT_NULL"),
         pct_half_up(F.col("CANT_INCONSISTENTES"), n).alias("PCT_INCONSISTENTE"),
     ).withColumn("CALIDAD_CAMPO", quality_band(F.col("PCT_COMPLETITUD")))
-    # At most 2 x len(fields) rows by construction: safe to broadcast.
+    # At most len(fields) rows by construction: safe to broadcast.
     ex = F.broadcast(_examples(evaluated, fields, code_col, examples))
     empty = F.array().cast("array<string>")
-    out = long.join(ex, "i", "left").select(
+    return long.join(ex, "i", "left").select(
         *PROFILE_COLUMNS[:-2],
         F.coalesce("CODIGOS_NULL_EJEMPLO", empty).alias("CODIGOS_NULL_EJEMPLO"),
         F.coalesce("CODIGOS_VACIO_EJEMPLO", empty).alias("CODIGOS_VACIO_EJEMPLO"),
     )
-    return out
 
 
 def worst_fields(profile: DataFrame, n: int = 10) -> DataFrame:

@@ -98,13 +98,15 @@ def dq_summary(spark, sf):
 
 
 def dq_detail(spark, sf):
-    """OUT2 + SO1: one row per observation, ordered by CODIGO, IDX_CAMPO."""
-    return _audit(spark, sf).detail(order="global")
+    """OUT2 + SO1: one row per observation, ordered by CODIGO, IDX_CAMPO.
+    The global sort samples its input first, so it reads the materialized
+    evaluation instead of running the rules twice."""
+    return _audit(spark, sf, materialize=True).detail(order="global")
 
 
 def dq_report(spark, sf):
     """OUT3 (REGLA, friendly DESCRIPCION) + SO1."""
-    return _audit(spark, sf).report(order="global")
+    return _audit(spark, sf, materialize=True).report(order="global")
 
 
 # Views (on the materialized evaluation) -----------------------------------------
