@@ -6,6 +6,13 @@ production runs) that table is written as parquet under the session's
 checkpoint folder and read back, so the summary, detail, report, views,
 totals and profile all read files instead of re-running 171 rules each, and
 a filter on a counter never drags the rule array into the filter.
+
+With ``materialize=False`` everything stays one lazy plan.  That suits a
+single projection or aggregation (the summary, totals), but never filter it
+on a counter: the optimizer pushes the filter below the projections and
+substitutes the whole rule array into the predicate once per counter it
+names (seven copies for a sum of the counters), which can exhaust the
+driver while planning.
 """
 
 from __future__ import annotations
