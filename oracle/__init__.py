@@ -66,5 +66,12 @@ def oracle_queries() -> dict[str, str]:
         "dq_excellent_fields": S.profile_sql("CALIDAD_CAMPO = 'EXCELENTE'"),
         "dq_one_field": S.profile_sql("campo = 'TELEFONO_REP_LEGAL'"),
         "dq_category_avg": S.category_avg_sql(),
+        "dq_numeric_text": S.numeric_text_sql(),
+        "dq_seq_repeat": S.seq_repeat_sql(),
+        "dq_dates": S.dates_sql(),
+        "dq_documents_text": S.text_table_sql("documents", "doc_id, lang, source"),
+        "dq_conversations_text": S.text_table_sql("conversations", "conv_id, turn, role"),
+        "dq_placeholder_by_lang": S.placeholder_by_lang_sql(),
+        "dq_csv_roundtrip": S.summary_sql(),
     })
     return out

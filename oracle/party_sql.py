@@ -377,3 +377,110 @@ def category_avg_sql() -> str:
     return (f"SELECT CATEGORIA, {avg('PCT_COMPLETITUD')} AS PCT_COMPLETITUD_PROMEDIO, "
             f"{avg('PCT_NULL')} AS PCT_NULL_PROMEDIO, {avg('PCT_INCONSISTENTE')} AS PCT_INCONSISTENTE_PROMEDIO "
             f"FROM ({inner}) GROUP BY CATEGORIA")
+
+
+# ---------------------------------------------------------------------------
+# Field-level parsers and validators
+# ---------------------------------------------------------------------------
+
+def upper_trim(c): return f"upper(trim({c}, ' '))"
+
+
+def to_double_simple(c):
+    return f"TRY_CAST(replace(regexp_replace({c}, '[^0-9.,\\-]', '', 'g'), ',', '.') AS DOUBLE)"
+
+
+def to_double_locale(c):
+    s = f"regexp_replace({c}, '[^0-9,.\\-]', '', 'g')"
+    cm, dt = f"instr({s}, ',')", f"instr({s}, '.')"
+    norm = (f"(CASE WHEN {cm} > 0 AND {dt} > 0 AND {dt} > {cm} THEN replace({s}, ',', '') "
+            f"WHEN {cm} > 0 AND {dt} > 0 AND {cm} > {dt} THEN replace(replace({s}, '.', ''), ',', '.') "
+            f"WHEN {cm} > 0 THEN replace({s}, ',', '.') ELSE {s} END)")
+    # every '-' after the first character goes
+    n1 = f"(left({norm}, 1) || replace(substr({norm}, 2), '-', ''))"
+    # every '.' but the last goes
+    last = f"(length({n1}) - instr(reverse({n1}), '.') + 1)"
+    n2 = (f"(CASE WHEN length({n1}) - length(replace({n1}, '.', '')) > 1 "
+          f"THEN replace(left({n1}, {last} - 1), '.', '') || substr({n1}, {last}) ELSE {n1} END)")
+    n3 = f"(CASE WHEN {n2} IN ('-', '.') THEN '0' ELSE {n2} END)"
+    return f"TRY_CAST({n3} AS DOUBLE)"
+
+
+def numeric_sequence(c, min_len=4):
+    d = digits(c)
+    asc = "(" + "|".join(K.ASCENDING_RUNS) + ")"
+    desc = "(" + "|".join(K.DESCENDING_RUNS) + ")"
+    return (f"({filled(c)} AND length({d}) >= {min_len} AND ({d} = repeat(left({d}, 1), length({d})) "
+            f"OR regexp_matches({d}, {q(asc)}) OR regexp_matches({d}, {q(desc)})))")
+
+
+def repeated_letters(c, min_rep=4):
+    s = upper_trim(c)
+    cmp = " AND ".join(f"substr({s}, i, 1) = substr({s}, i + {j}, 1)" for j in range(1, min_rep))
+    return (f"({filled(c)} AND len(list_filter(range(1, length({s}) - {min_rep - 2}), lambda i: "
+            f"{cmp} AND regexp_matches(substr({s}, i, 1), '[{K.LETTERS_CLASS}]'))) > 0)")
+
+
+def parsed_date(c):
+    return (f"(CASE WHEN regexp_full_match({c}, '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}') "
+            f"THEN CAST(try_strptime({c}, '%d/%m/%Y') AS DATE) END)")
+
+
+def is_bad_date(c, as_of=K.DEFAULT_AS_OF):
+    generic = ", ".join(q(g) for g in K.GENERIC_DATES)
+    d = parsed_date(c)
+    return (f"({empty(c)} OR coalesce({upper_trim(c)} IN ({generic}), false) OR {d} IS NULL "
+            f"OR {d} > DATE {q(as_of)})")
+
+
+DATE_FIELDS = ("FECHA_ULTIMA_TRANSACCION", "FECHA_NACIMIENTO_REP_LEGAL", "FECHA_INGRESO_TRABAJO_REP_LEGAL",
+               "FECHA_INGRESO_TRAB_REP_LEGAL", "FECHA_ALTA", "FECHA_ULTIMA_ACTUALIZACION")
+
+
+def field_checks_sql(exprs: dict[str, str]) -> str:
+    cols = ", ".join(f"{e} AS {name}" for name, e in exprs.items())
+    return with_party(f"SELECT k, {cols} FROM party", need_obs=False)
+
+
+def numeric_text_sql() -> str:
+    e = {"RAZON_SOCIAL_UPPER": upper_trim("RAZON_SOCIAL"), "NIT_DIGITOS": digits("NIT")}
+    for f, tag in (("NIVEL_INGRESOS_REP_LEGAL", "ING"), ("NIVEL_INGRESOS_REP_LEGAL_SUS", "SUS")):
+        e[f"{tag}_SIMPLE"] = to_double_simple(f)
+        e[f"{tag}_LOCALE"] = to_double_locale(f)
+        e[f"{tag}_NO_NEGATIVO"] = f"({filled(f)} AND {to_double_simple(f)} IS NOT NULL AND {to_double_simple(f)} >= 0.0)"
+        e[f"{tag}_POSITIVO"] = f"({filled(f)} AND {to_double_locale(f)} IS NOT NULL AND {to_double_locale(f)} > 0.0)"
+    e["CANT_GERENCIA_INT"] = legacy_int("IDENTIFICACION_CANT_INT_ALTA_GERENCIA")
+    e["CANT_GERENCIA_POSITIVA"] = is_pos_int("IDENTIFICACION_CANT_INT_ALTA_GERENCIA")
+    e["CANT_ACTUALIZACIONES_INT"] = legacy_int("CANTIDAD_ACTUALIZACIONES")
+    return field_checks_sql(e)
+
+
+def seq_repeat_sql() -> str:
+    e = {}
+    for f in ("NUMERO_REGISTRO", "NIT_REP_LEGAL", "TELEFONO", "TELEFONO_REP_LEGAL"):
+        e[f"V7_{f}"] = numeric_sequence(f)
+    for f in ("RAZON_SOCIAL",) + K.OPTIONAL[:6]:
+        e[f"V8_{f}"] = repeated_letters(f)
+        e[f"V9_{f}"] = f"({text_invalid(f)} OR {repeated_letters(f)})"
+    for f in ("NUMERO_REGISTRO", "NIT_REP_LEGAL"):
+        e[f"V10_{f}"] = numeric_sequence(f)
+    return field_checks_sql(e)
+
+
+def dates_sql() -> str:
+    e = {}
+    for f in DATE_FIELDS:
+        e[f"{f}_FECHA"] = parsed_date(f)
+        e[f"{f}_MALA"] = is_bad_date(f)
+    return field_checks_sql(e)
+
+
+def text_table_sql(table: str, keys: str) -> str:
+    return (f"SELECT {keys}, ({filled('text')} AND {placeholder('text')}) AS TIENE_PALABRA_INVALIDA, "
+            f"{email_invalid('text')} AS EMAIL_INVALIDO, {empty('text')} AS VACIO FROM {table}")
+
+
+def placeholder_by_lang_sql() -> str:
+    return (f"SELECT lang, count(*) AS DOCUMENTOS, "
+            f"count(*) FILTER (WHERE {filled('text')} AND {placeholder('text')}) AS CON_PALABRA_INVALIDA "
+            f"FROM documents GROUP BY lang")

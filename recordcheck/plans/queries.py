@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordcheck import constants as K
+from recordcheck.functions import predicates as P
+from recordcheck.functions import validators as V
 from recordcheck.operators import aggregates as AG
 from recordcheck.operators import profile as PF
 from recordcheck.operators import views as VW
@@ -22,6 +24,7 @@ from recordcheck.operators.summary import COUNTERS, TOTAL
 from recordcheck.plans.audit import Audit
 from recordcheck.plans.catalog_party import party_catalog
 from recordcheck.sources.fixtures import party
+from recordcheck.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEYS = ("k",)
@@ -199,6 +202,97 @@ def dq_category_avg(spark, sf):
     return PF.category_averages(_profile(spark, sf))
 
 
+# Field-level parsers and validators ----------------------------------------------
+
+DATE_FIELDS = ("FECHA_ULTIMA_TRANSACCION", "FECHA_NACIMIENTO_REP_LEGAL", "FECHA_INGRESO_TRABAJO_REP_LEGAL",
+               "FECHA_INGRESO_TRAB_REP_LEGAL", "FECHA_ALTA", "FECHA_ULTIMA_ACTUALIZACION")
+INCOME = ("NIVEL_INGRESOS_REP_LEGAL", "NIVEL_INGRESOS_REP_LEGAL_SUS")
+NUMERIC_OPTIONAL = ("NUMERO_REGISTRO", "NIT_REP_LEGAL")
+
+
+def _field_checks(spark, sf, exprs: dict[str, str]) -> DataFrame:
+    return _party(spark, sf).select("k", *[F.expr(e).alias(name) for name, e in exprs.items()])
+
+
+def dq_numeric_text(spark, sf):
+    """PB5..PB11 on every record: upper/trim, digits, the two double parsers,
+    the non-ANSI integer parse and the number tests."""
+    exprs = {"RAZON_SOCIAL_UPPER": P.upper_trim("RAZON_SOCIAL"), "NIT_DIGITOS": P.only_digits("NIT")}
+    for f, tag in zip(INCOME, ("ING", "SUS")):
+        exprs[f"{tag}_SIMPLE"] = P.to_double_simple(f)
+        exprs[f"{tag}_LOCALE"] = P.to_double_locale(f)
+        exprs[f"{tag}_NO_NEGATIVO"] = P.is_nonneg_number(f)
+        exprs[f"{tag}_POSITIVO"] = P.is_positive_number(f)
+    exprs["CANT_GERENCIA_INT"] = P.legacy_int("IDENTIFICACION_CANT_INT_ALTA_GERENCIA")
+    exprs["CANT_GERENCIA_POSITIVA"] = P.is_positive_int("IDENTIFICACION_CANT_INT_ALTA_GERENCIA")
+    exprs["CANT_ACTUALIZACIONES_INT"] = P.legacy_int("CANTIDAD_ACTUALIZACIONES")
+    return _field_checks(spark, sf, exprs)
+
+
+def dq_seq_repeat(spark, sf):
+    """V7..V10: digit runs / repeats and repeated letters on every record."""
+    exprs = {}
+    for f in NUMERIC_OPTIONAL + ("TELEFONO", "TELEFONO_REP_LEGAL"):
+        exprs[f"V7_{f}"] = V.numeric_sequence(f)
+    for f in ("RAZON_SOCIAL",) + K.OPTIONAL[:6]:
+        exprs[f"V8_{f}"] = V.repeated_letters(f)
+        exprs[f"V9_{f}"] = V.optional_text_inconsistent(f)
+    for f in NUMERIC_OPTIONAL:
+        exprs[f"V10_{f}"] = V.optional_number_inconsistent(f)
+    return _field_checks(spark, sf, exprs)
+
+
+def dq_dates(spark, sf):
+    """PB12 / PB13 on the six date fields (as of the run date)."""
+    exprs = {}
+    for f in DATE_FIELDS:
+        exprs[f"{f}_FECHA"] = P.parsed_date(f)
+        exprs[f"{f}_MALA"] = P.is_bad_date(f, K.DEFAULT_AS_OF)
+    return _field_checks(spark, sf, exprs)
+
+
+def dq_documents_text(spark, sf):
+    """V1 / V2 / PB3 on every whole document text (the large text table)."""
+    docs = read_table(spark, sf, "documents")
+    return docs.select("doc_id", "lang", "source",
+                       F.expr(V.has_placeholder("text")).alias("TIENE_PALABRA_INVALIDA"),
+                       F.expr(V.email_invalid("text")).alias("EMAIL_INVALIDO"),
+                       F.expr(P.is_empty("text")).alias("VACIO"))
+
+
+def dq_conversations_text(spark, sf):
+    """V1 / V2 / PB3 on every whole conversation turn."""
+    conv = read_table(spark, sf, "conversations")
+    return conv.select("conv_id", "turn", "role",
+                       F.expr(V.has_placeholder("text")).alias("TIENE_PALABRA_INVALIDA"),
+                       F.expr(V.email_invalid("text")).alias("EMAIL_INVALIDO"),
+                       F.expr(P.is_empty("text")).alias("VACIO"))
+
+
+def dq_placeholder_by_lang(spark, sf):
+    """V1 over all documents, counted per language (partial aggregation)."""
+    docs = read_table(spark, sf, "documents")
+    return docs.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("DOCUMENTOS"),
+        F.expr(f"count_if({V.has_placeholder('text')})").alias("CON_PALABRA_INVALIDA"))
+
+
+def dq_csv_roundtrip(spark, sf):
+    """SRC1 + SNK2 + SNK1: the party table written as ';' text with a header
+    under the shared checkpoint folder, read back with an explicit all-string
+    schema (header names checked), audited, and the summary returned."""
+    import uuid
+
+    from recordcheck.sources.delimited import read_delimited, write_delimited
+    from recordcheck.sources.storage import checkpoint_dir
+
+    path = f"{checkpoint_dir(spark)}/recordcheck-csv-{uuid.uuid4().hex}"
+    write_delimited(_party(spark, sf), path)
+    back = read_delimited(spark, path, fields=("k",) + K.FIELDS, ignore_corrupt_files=True)
+    back = back.withColumn("k", F.col("k").cast("long"))
+    return _bigint_counters(Audit(back, keys=KEYS, materialize=False).summary())
+
+
 def registry() -> dict[str, Query]:
     out: dict[str, Query] = {name: _families(*fams) for name, fams in GROUPS.items()}
     for fam in RULE_SLUGS:
@@ -210,6 +304,8 @@ def registry() -> dict[str, Query]:
                  "dq_report_conditional_type", "dq_report_depends", "dq_report_format", "dq_totals",
                  "dq_record_counts", "dq_field_counts", "dq_top_fields", "dq_field_type_counts",
                  "dq_field_profile", "dq_worst_fields", "dq_critical_fields", "dq_mandatory_below",
-                 "dq_null_above", "dq_excellent_fields", "dq_one_field", "dq_category_avg"):
+                 "dq_null_above", "dq_excellent_fields", "dq_one_field", "dq_category_avg",
+                 "dq_numeric_text", "dq_seq_repeat", "dq_dates", "dq_documents_text",
+                 "dq_conversations_text", "dq_placeholder_by_lang", "dq_csv_roundtrip"):
         out[name] = g[name]
     return out
