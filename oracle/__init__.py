@@ -73,5 +73,6 @@ def oracle_queries() -> dict[str, str]:
         "dq_conversations_text": S.text_table_sql("conversations", "conv_id, turn, role"),
         "dq_placeholder_by_lang": S.placeholder_by_lang_sql(),
         "dq_csv_roundtrip": S.summary_sql(),
+        "dq_extended_obs": S.extended_obs_sql(),
     })
     return out

@@ -484,3 +484,47 @@ def placeholder_by_lang_sql() -> str:
     return (f"SELECT lang, count(*) AS DOCUMENTOS, "
             f"count(*) FILTER (WHERE {filled('text')} AND {placeholder('text')}) AS CON_PALABRA_INVALIDA "
             f"FROM documents GROUP BY lang")
+
+
+# ---------------------------------------------------------------------------
+# Extended requirements (S families)
+# ---------------------------------------------------------------------------
+
+def ext_rules() -> list[tuple[str, str, str, str, str, str]]:
+    OC, CO, OP = "CAMP_OPC_CONDICIONAL", "CAMP_CONDICIONAL", "CAMP_OPCIONAL"
+    f8, f9, f10 = "IDENTIFICACION_CANT_INT_ALTA_GERENCIA", "CARGO_ALTA_GERENCIA", "NOMBRES_APELLIDOS_CARGO_GERENCIA"
+    num8 = to_double_locale(f8)
+    out = [("S1", f8, f"{f8}_NO_NUMERICA", CO, "ALTA",
+            f"({filled(f9)} AND {filled(f10)} AND NOT ({filled(f8)} AND {num8} IS NOT NULL AND {num8} > 0.0))"),
+           ("S2", "ESTADO_CIVIL_REP_LEGAL", "ESTADO_CIVIL_REP_LEGAL_REQUERIDO_POR_NOMBRE_CONYUGE", CO, "ALTA",
+            f"({filled('NOMBRE_CONYUGE_REP_LEGAL')} AND {empty('ESTADO_CIVIL_REP_LEGAL')})")]
+    for f in ("LUGAR_TRABAJO_REP_LEGAL", "CARGO_REP_LEGAL"):
+        out.append(("S3", f, f"{f}_TEXTO_INCONSISTENTE", CO, "MEDIA",
+                    f"({filled(f)} AND ({text_invalid(f)} OR {repeated_letters(f)}))"))
+    tx = "FECHA_ULTIMA_TRANSACCION"
+    out.append(("S4", tx, "FECHA_ULT_TRANS_FECHA_INVALIDA", OC, "MEDIA", f"({filled(tx)} AND {is_bad_date(tx)})"))
+    for f in ("TIPO_DOCUMENTO_IDENT_REP_LEGAL", "DOCUMENTO_IDENTIDAD_REP_LEGAL", "FECHA_INGRESO_TRABAJO_REP_LEGAL",
+              "MONEDA_NIVEL_INGRESOS_REP_LEGAL", "TIPO_RIESGO_REP_LEGAL"):
+        out.append(("S5", f, f"{f}_REQUERIDO_POR_CODIGO_REP_LEGAL", OC, "MEDIA",
+                    f"({filled('CODIGO_REP_LEGAL')} AND {empty(f)})"))
+    job = "FECHA_INGRESO_TRABAJO_REP_LEGAL"
+    out.append(("S6", job, f"{job}_FORMATO_FECHA_INVALIDO", OC, "MEDIA", f"({filled(job)} AND {parsed_date(job)} IS NULL)"))
+    for f in ("REFERENCIAS_PERS_REP_LEGAL", "REFERENCIAS_COM_REP_LEGAL", "REFERENCIAS_BANCARIAS_REP_LEGAL"):
+        out.append(("S7", f, f"{f}_SIN_NOMBRE_Y_TELEFONO", OC, "BAJA",
+                    f"({filled(f)} AND NOT (regexp_matches({f}, '[A-Za-zÁÉÍÓÚÜÑáéíóúüñ]{{2,}}') "
+                    f"AND regexp_matches({f}, '(^|[^0-9])[0-9]{{7,8}}([^0-9]|$)')))"))
+    out.append(("S8", "FECHA_ULTIMA_ACTUALIZACION", "FECHA_ULTIMA_ACTUALIZACION_MENOR_A_FECHA_ALTA", OC, "MEDIA",
+                f"({parsed_date('FECHA_ULTIMA_ACTUALIZACION')} < {parsed_date('FECHA_ALTA')})"))
+    deps = " OR ".join(filled(d) for d in K.REP_LEGAL_DEPENDENTS)
+    out.append(("S9", "CODIGO_REP_LEGAL", "CODIGO_REP_LEGAL_VACIO_CON_DEPENDIENTES", OC, "MEDIA",
+                f"({empty('CODIGO_REP_LEGAL')} AND ({deps}))"))
+    for f in ("NUMERO_REGISTRO", "NIT_REP_LEGAL"):
+        out.append(("S12", f, f"{f}_NUMERO_INCONSISTENTE", OP, "BAJA", numeric_sequence(f)))
+    return out
+
+
+def extended_obs_sql() -> str:
+    parts = [f"SELECT k, CAST({IDX[f]} AS INTEGER) AS IDX_CAMPO, {q(f)} AS CAMPO, {q(tipo)} AS TIPO_VERIFICACION, "
+             f"{q(sev)} AS SEVERIDAD, {q(motivo)} AS DESCRIPCION FROM party WHERE {cond}"
+             for _, f, motivo, tipo, sev, cond in ext_rules()]
+    return with_party("\nUNION ALL\n".join(parts), need_obs=False)

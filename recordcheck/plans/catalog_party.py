@@ -101,12 +101,14 @@ def _legal_representative() -> Iterable[Rule]:
                   cond, K.SEV_MEDIA, "R18")
 
 
-def _optional_conditional() -> Iterable[Rule]:
-    """R19..R27."""
+def _optional_conditional(mutual: str = "any") -> Iterable[Rule]:
+    """R19..R27.  ``mutual``: a transaction field is required when *any*
+    other one is filled (as built), or only when *all* others are (S13)."""
     t, m = K.TIPO_OPC_CONDICIONAL, K.SEV_MEDIA
-    yield R.required_if_any(TX1, (TX2, TX3), "FECHA_ULT_TRANS_REQUERIDA", t, m, "R19")
-    yield R.required_if_any(TX2, (TX1, TX3), "TIPO_CUENTA_ULT_TRANS_REQUERIDA", t, m, "R20")
-    yield R.required_if_any(TX3, (TX1, TX2), "CANAL_ULT_TRANS_REQUERIDO", t, m, "R21")
+    need = {"any": R.required_if_any, "all": R.required_if_all}[mutual]
+    yield need(TX1, (TX2, TX3), "FECHA_ULT_TRANS_REQUERIDA", t, m, "R19")
+    yield need(TX2, (TX1, TX3), "TIPO_CUENTA_ULT_TRANS_REQUERIDA", t, m, "R20")
+    yield need(TX3, (TX1, TX2), "CANAL_ULT_TRANS_REQUERIDO", t, m, "R21")
     yield R.check("CORREO_ELECTRONICO_REP_LEGAL", V.email_invalid, "EMAIL_FORMATO_INVALIDO", t, m, "R22")
     yield R.check("TELEFONO_REP_LEGAL", V.phone_invalid, "TELEFONO_INVALIDO", t, m, "R23")
     yield R.check("TELEFONO", V.phone_invalid, "TELEFONO_INVALIDO", t, m, "R24")
@@ -130,7 +132,7 @@ def _optional(present: Sequence[str]) -> Iterable[Rule]:
                           f"{f}_TEXTO_INVALIDO", K.TIPO_OPCIONAL, K.SEV_BAJA, "R28")
 
 
-def party_rules(columns: Sequence[str] | None = None) -> tuple[Rule, ...]:
+def party_rules(columns: Sequence[str] | None = None, mutual: str = "any") -> tuple[Rule, ...]:
     """The R1..R28 rule instances for an input with ``columns`` (default: all 54).
 
     R1/R2 cover every audited field present and R28 every optional field
@@ -138,12 +140,12 @@ def party_rules(columns: Sequence[str] | None = None) -> tuple[Rule, ...]:
     """
     present = [f for f in K.FIELDS if columns is None or f in columns]
     return (*_null_blank(present), *_mandatory(), *_management(), *_legal_representative(),
-            *_optional_conditional(), *_optional(present))
+            *_optional_conditional(mutual), *_optional(present))
 
 
 def party_catalog(columns: Sequence[str] | None = None, extended: bool = False,
-                  as_of: str = K.DEFAULT_AS_OF) -> Catalog:
-    rules = party_rules(columns)
+                  as_of: str = K.DEFAULT_AS_OF, mutual: str = "any") -> Catalog:
+    rules = party_rules(columns, mutual)
     families = FAMILIES
     if extended:
         from recordcheck.plans.catalog_extended import EXTENDED_FAMILIES, extended_rules

@@ -52,11 +52,12 @@ def _joined_arrays(df: DataFrame) -> DataFrame:
 
 # Observation rows of selected rule families ----------------------------------
 
-def observations(spark: SparkSession, sf_dir: str, families: Sequence[str]) -> DataFrame:
+def observations(spark: SparkSession, sf_dir: str, families: Sequence[str],
+                 extended: bool = False) -> DataFrame:
     """(k, IDX_CAMPO, CAMPO, TIPO_VERIFICACION, SEVERIDAD, DESCRIPCION) for
     every observation the given families raise."""
     src = _party(spark, sf_dir)
-    cat = party_catalog(src.columns).only(*families)
+    cat = party_catalog(src.columns, extended=extended).only(*families)
     ev = evaluate(src, cat.rules, cat.fields)
     return detail_rows(ev, KEYS, order="none").drop("CODIGO", "RAZON_SOCIAL", "NIT")
 
@@ -293,6 +294,13 @@ def dq_csv_roundtrip(spark, sf):
     return _bigint_counters(Audit(back, keys=KEYS, materialize=False).summary())
 
 
+def dq_extended_obs(spark, sf):
+    """S1..S9, S12: observations of the extended catalogue."""
+    from recordcheck.plans.catalog_extended import EXTENDED_FAMILIES
+
+    return observations(spark, sf, EXTENDED_FAMILIES, extended=True)
+
+
 def registry() -> dict[str, Query]:
     out: dict[str, Query] = {name: _families(*fams) for name, fams in GROUPS.items()}
     for fam in RULE_SLUGS:
@@ -306,6 +314,7 @@ def registry() -> dict[str, Query]:
                  "dq_field_profile", "dq_worst_fields", "dq_critical_fields", "dq_mandatory_below",
                  "dq_null_above", "dq_excellent_fields", "dq_one_field", "dq_category_avg",
                  "dq_numeric_text", "dq_seq_repeat", "dq_dates", "dq_documents_text",
-                 "dq_conversations_text", "dq_placeholder_by_lang", "dq_csv_roundtrip"):
+                 "dq_conversations_text", "dq_placeholder_by_lang", "dq_csv_roundtrip",
+                 "dq_extended_obs"):
         out[name] = g[name]
     return out
