@@ -84,6 +84,7 @@ def main() -> None:
     times["q4_views_totals"] = time.time() - t0
 
     rows = scored.count()
+    audit.release()
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({
         "metric": "audit_pipeline_seconds",

@@ -30,7 +30,8 @@ from recordcheck.operators.evaluate import DEFAULT_BLOCK, evaluate
 from recordcheck.operators.summary import executive_summary, with_summary
 from recordcheck.plans.catalog_party import Catalog, party_catalog
 from recordcheck.sources.delimited import write_delimited
-from recordcheck.sources.storage import run_path, scratch_table, write_parquet
+from recordcheck.sources.storage import (delete_path, run_path, scratch_path, scratch_table,
+                                         write_parquet)
 
 
 class Audit:
@@ -45,6 +46,7 @@ class Audit:
         self.block_size = block_size
         self.min_partitions = min_partitions
         self._scored: DataFrame | None = None
+        self._scratch: str | None = None
 
     # evaluation ----------------------------------------------------------------
 
@@ -68,9 +70,24 @@ class Audit:
         """Input columns + OBS_ARRAY + SM1..SM10, materialized when asked."""
         if self._scored is None:
             scored = with_summary(self.evaluated())
-            self._scored = scratch_table(self.spark, scored, "scored") if self.materialize else scored
+            if self.materialize:
+                self._scratch = scratch_path(self.spark, "scored")
+                scored = scratch_table(self.spark, scored, "scored", self._scratch)
+            self._scored = scored
         return self._scored
 
+    def release(self) -> None:
+        """Delete the materialized evaluation (outputs already written stay)."""
+        if self._scratch:
+            delete_path(self.spark, self._scratch)
+        self._scratch, self._scored = None, None
+
+    def __enter__(self) -> "Audit":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.release()
+
     # outputs -------------------------------------------------------------------
 
     def summary(self) -> DataFrame:

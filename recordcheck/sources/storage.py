@@ -42,12 +42,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return _LOCAL_SCRATCH[key]
 
 
-def scratch_table(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+def scratch_path(spark: SparkSession, label: str) -> str:
+    return f"{checkpoint_dir(spark)}/recordcheck-{label}-{uuid.uuid4().hex}"
+
+
+def scratch_table(spark: SparkSession, df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
     Cuts the lineage (later actions read files, not the plan that made them)
     and survives executor loss, unlike a cached or locally checkpointed frame.
     """
-    path = f"{checkpoint_dir(spark)}/recordcheck-{label}-{uuid.uuid4().hex}"
+    path = path or scratch_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` through the Hadoop FileSystem of the path
+    (local, HDFS or object store alike)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True))

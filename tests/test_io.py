@@ -45,3 +45,11 @@ def test_write_all_outputs(spark, party_small):
     assert names <= set(os.listdir(path))
     assert spark.read.parquet(f"{path}/resumen_ejecutivo").count() == 1500
     assert spark.read.parquet(f"{path}/resumen_por_campo").count() == 54
+
+
+def test_release_deletes_the_scratch_table(spark, party_small):
+    with Audit(party_small, keys=("k",)) as a:
+        a.summary().count()
+        scratch = a._scratch
+        assert scratch and os.path.exists(scratch.replace("file:", ""))
+    assert not os.path.exists(scratch.replace("file:", ""))
