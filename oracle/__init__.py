@@ -75,4 +75,8 @@ def oracle_queries() -> dict[str, str]:
         "dq_csv_roundtrip": S.summary_sql(),
         "dq_extended_obs": S.extended_obs_sql(),
     })
+    from recordcheck.plans.queries import FIELD_FUNCTIONS   # which fields each function covers
+
+    for name, (prefix, _, fields) in FIELD_FUNCTIONS.items():
+        out[name] = S.field_function_sql(prefix, fields)
     return out

@@ -528,3 +528,33 @@ def extended_obs_sql() -> str:
              f"{q(sev)} AS SEVERIDAD, {q(motivo)} AS DESCRIPCION FROM party WHERE {cond}"
              for _, f, motivo, tipo, sev, cond in ext_rules()]
     return with_party("\nUNION ALL\n".join(parts), need_obs=False)
+
+
+# ---------------------------------------------------------------------------
+# One query per predicate / validator
+# ---------------------------------------------------------------------------
+
+def nonneg_number(c):
+    v = to_double_simple(c)
+    return f"({filled(c)} AND {v} IS NOT NULL AND {v} >= 0.0)"
+
+
+def positive_number(c):
+    v = to_double_locale(c)
+    return f"({filled(c)} AND {v} IS NOT NULL AND {v} > 0.0)"
+
+
+SQL_FUNCTIONS = {
+    "PB1": is_null, "PB2": is_blank, "PB3": empty, "PB4": filled, "PB5": upper_trim, "PB6": digits,
+    "PB7": to_double_simple, "PB8": to_double_locale, "PB9": is_pos_int, "PB10": nonneg_number,
+    "PB11": positive_number, "PB12": parsed_date, "PB13": is_bad_date,
+    "V1": lambda c: f"({filled(c)} AND {placeholder(c)})", "V2": email_invalid, "V3": phone_invalid,
+    "V4": nit_invalid, "V5": address_invalid, "V6": text_invalid, "V7": numeric_sequence,
+    "V8": repeated_letters, "V9": lambda c: f"({text_invalid(c)} OR {repeated_letters(c)})",
+    "V10": numeric_sequence,
+}
+
+
+def field_function_sql(prefix: str, fields) -> str:
+    fn = SQL_FUNCTIONS[prefix]
+    return field_checks_sql({f"{prefix}_{f}": fn(f) for f in fields})

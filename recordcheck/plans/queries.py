@@ -294,6 +294,46 @@ def dq_csv_roundtrip(spark, sf):
     return _bigint_counters(Audit(back, keys=KEYS, materialize=False).summary())
 
 
+# One query per predicate / validator (PB1..PB13, V1..V10) -----------------------
+
+_ALL = K.FIELDS
+_REFS = ("REFERENCIAS_PERS_REP_LEGAL", "REFERENCIAS_COM_REP_LEGAL", "REFERENCIAS_BANCARIAS_REP_LEGAL")
+_NUMBERS = INCOME + ("IDENTIFICACION_CANT_INT_ALTA_GERENCIA", "CANTIDAD_ACTUALIZACIONES")
+_TEXT = ("RAZON_SOCIAL", "LUGAR_TRABAJO_REP_LEGAL", "CARGO_REP_LEGAL") + K.OPTIONAL
+# query name -> (column prefix, function over a field, fields it is applied to)
+FIELD_FUNCTIONS = {
+    "pb01_is_null": ("PB1", P.is_null, _ALL),
+    "pb02_is_blank": ("PB2", P.is_blank, _ALL),
+    "pb03_is_empty": ("PB3", P.is_empty, _ALL),
+    "pb04_is_filled": ("PB4", P.is_filled, _ALL),
+    "pb05_upper_trim": ("PB5", P.upper_trim, ("RAZON_SOCIAL", "DOMICILIO", "CARGO_REP_LEGAL")),
+    "pb06_only_digits": ("PB6", P.only_digits, ("NIT", "TELEFONO", "TELEFONO_REP_LEGAL") + _REFS),
+    "pb07_double_simple": ("PB7", P.to_double_simple, _NUMBERS),
+    "pb08_double_locale": ("PB8", P.to_double_locale, _NUMBERS),
+    "pb09_positive_int": ("PB9", P.is_positive_int, _NUMBERS),
+    "pb10_nonneg_number": ("PB10", P.is_nonneg_number, _NUMBERS),
+    "pb11_positive_number": ("PB11", P.is_positive_number, _NUMBERS),
+    "pb12_parsed_date": ("PB12", P.parsed_date, DATE_FIELDS),
+    "pb13_bad_date": ("PB13", P.is_bad_date, DATE_FIELDS),
+    "v01_placeholder": ("V1", V.has_placeholder, _ALL),
+    "v02_email": ("V2", V.email_invalid, ("CORREO_ELECTRONICO_REP_LEGAL",) + _REFS),
+    "v03_phone": ("V3", V.phone_invalid, ("TELEFONO", "TELEFONO_REP_LEGAL") + _REFS),
+    "v04_tax_id": ("V4", V.nit_invalid, ("NIT", "NIT_REP_LEGAL", "NRO_DOC_ID")),
+    "v05_address": ("V5", V.address_invalid,
+                    ("DOMICILIO", "DOMICILIO_PARTICULAR_REP_LEGAL", "DOMICILIO_COMERCIAL_REP_LEGAL")),
+    "v06_free_text": ("V6", V.text_invalid, _TEXT),
+    "v07_numeric_sequence": ("V7", V.numeric_sequence, NUMERIC_OPTIONAL + ("TELEFONO", "NRO_DOC_ID")),
+    "v08_repeated_letters": ("V8", V.repeated_letters, _TEXT),
+    "v09_optional_text": ("V9", V.optional_text_inconsistent, K.OPTIONAL),
+    "v10_optional_number": ("V10", V.optional_number_inconsistent, NUMERIC_OPTIONAL),
+}
+
+
+def _field_function(name: str) -> Query:
+    prefix, fn, fields = FIELD_FUNCTIONS[name]
+    return lambda spark, sf: _field_checks(spark, sf, {f"{prefix}_{f}": fn(f) for f in fields})
+
+
 def dq_extended_obs(spark, sf):
     """S1..S9, S12: observations of the extended catalogue."""
     from recordcheck.plans.catalog_extended import EXTENDED_FAMILIES
@@ -305,6 +345,8 @@ def registry() -> dict[str, Query]:
     out: dict[str, Query] = {name: _families(*fams) for name, fams in GROUPS.items()}
     for fam in RULE_SLUGS:
         out[rule_query_name(fam)] = _families(fam)
+    for name in FIELD_FUNCTIONS:
+        out[name] = _field_function(name)
     g = globals()
     for name in ("dq_summary", "dq_detail", "dq_report", "dq_view_critical", "dq_view_dependency",
                  "dq_view_inconsistent", "dq_view_clean", "dq_missing_mandatory", "dq_bad_nit",
