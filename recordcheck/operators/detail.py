@@ -38,6 +38,10 @@ DESCRIPTION_TABLE = (
 # NULL / VACIO observations are described as "<campo>_<lower tipo>".
 SUFFIXED_TYPES = (K.TIPO_NULL, K.TIPO_VACIO)
 
+# Stored per-record id of a materialized evaluation; used only as the last
+# sort key of ordered outputs and never returned.
+ROW_ID = "_rc_row_id"
+
 DETAIL_COLUMNS = ("CODIGO", "RAZON_SOCIAL", "NIT", "IDX_CAMPO", "CAMPO", "TIPO_VERIFICACION",
                   "SEVERIDAD", "DESCRIPCION")
 REPORT_COLUMNS = ("CODIGO", "IDX_CAMPO", "CAMPO", "TIPO_VERIFICACION", "REGLA", "DESCRIPCION")
@@ -88,11 +92,19 @@ def _exploded(evaluated: DataFrame, carry: Sequence[str], obs_col: str) -> DataF
 
 
 def _ordered(df: DataFrame, order: str) -> DataFrame:
+    """Order by CODIGO, IDX_CAMPO (ties are unspecified).  When the row id of
+    a materialized evaluation is present it is the last key: a code shared by
+    a third of all records then still spreads over many range partitions."""
+    keys = ["CODIGO", "IDX_CAMPO"] + ([ROW_ID] if ROW_ID in df.columns else [])
     if order == "global":
-        return df.orderBy("CODIGO", "IDX_CAMPO")
-    if order == "local":
-        return df.sortWithinPartitions("CODIGO", "IDX_CAMPO")
-    return df
+        df = df.orderBy(*keys)
+    elif order == "local":
+        df = df.sortWithinPartitions(*keys)
+    return df.drop(ROW_ID) if ROW_ID in df.columns else df
+
+
+def _carry(evaluated: DataFrame, cols: list[str]) -> list[str]:
+    return cols + ([ROW_ID] if ROW_ID in evaluated.columns else [])
 
 
 def detail(evaluated: DataFrame, keys: Sequence[str] = (), order: str = "global",
@@ -102,9 +114,9 @@ def detail(evaluated: DataFrame, keys: Sequence[str] = (), order: str = "global"
     ``order``: "global" (sorted by CODIGO, IDX_CAMPO as specified), "local"
     (sorted inside each partition, for files) or "none".
     """
-    rows = _exploded(evaluated, [*keys, "CODIGO", "RAZON_SOCIAL", "NIT"], obs_col)
+    rows = _exploded(evaluated, _carry(evaluated, [*keys, "CODIGO", "RAZON_SOCIAL", "NIT"]), obs_col)
     out = rows.select(
-        *keys, "CODIGO", "RAZON_SOCIAL", "NIT",
+        *_carry(evaluated, [*keys, "CODIGO", "RAZON_SOCIAL", "NIT"]),
         F.col("_o.idx").alias("IDX_CAMPO"),
         F.col("_o.campo").alias("CAMPO"),
         F.col("_o.tipo").alias("TIPO_VERIFICACION"),
@@ -117,10 +129,10 @@ def detail(evaluated: DataFrame, keys: Sequence[str] = (), order: str = "global"
 def audit_report(evaluated: DataFrame, keys: Sequence[str] = (), order: str = "global",
                  obs_col: str = OBS_COL) -> DataFrame:
     """OUT3 ``reporte_auditoria`` with REGLA and friendly DESCRIPCION."""
-    rows = _exploded(evaluated, [*keys, "CODIGO"], obs_col)
+    rows = _exploded(evaluated, _carry(evaluated, [*keys, "CODIGO"]), obs_col)
     o = F.col("_o")
     out = rows.select(
-        *keys, "CODIGO",
+        *_carry(evaluated, [*keys, "CODIGO"]),
         o["idx"].alias("IDX_CAMPO"),
         o["campo"].alias("CAMPO"),
         o["tipo"].alias("TIPO_VERIFICACION"),

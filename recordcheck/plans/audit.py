@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from recordcheck import constants as K
 from recordcheck.operators import aggregates as AG
@@ -27,6 +28,7 @@ from recordcheck.operators import detail as D
 from recordcheck.operators import profile as PF
 from recordcheck.operators import views as VW
 from recordcheck.operators.evaluate import DEFAULT_BLOCK, evaluate
+from recordcheck.operators.detail import ROW_ID
 from recordcheck.operators.summary import executive_summary, with_summary
 from recordcheck.plans.catalog_party import Catalog, party_catalog
 from recordcheck.sources.delimited import write_delimited
@@ -71,6 +73,10 @@ class Audit:
         if self._scored is None:
             scored = with_summary(self.evaluated())
             if self.materialize:
+                # A stored row id: the last sort key of ordered outputs, so the
+                # range partitioner can split a hot CODIGO across partitions.
+                # Assigned once at write time, then read back: deterministic.
+                scored = scored.withColumn(ROW_ID, F.monotonically_increasing_id())
                 self._scratch = scratch_path(self.spark, "scored")
                 scored = scratch_table(self.spark, scored, "scored", self._scratch)
             self._scored = scored
@@ -111,6 +117,12 @@ class Audit:
     def clean(self) -> DataFrame:
         return VW.clean_records(self.summary())
 
+    def heavy_records(self, threshold: int = K.HEAVY_RECORD_THRESHOLD, limit: int | None = None) -> DataFrame:
+        """SO4, ordered with the stored row id as the last key (skew-safe)."""
+        carry = [ROW_ID] if ROW_ID in self.scored.columns else []
+        rows = executive_summary(self.scored, self.keys + tuple(carry))
+        return VW.heavy_records(rows, threshold, limit, tiebreak=carry[0] if carry else None)
+
     def record_counts(self) -> DataFrame:
         return AG.record_counts(self.summary())
 

@@ -125,7 +125,11 @@ dq_view_inconsistent = _view(VW.inconsistent_records)
 dq_view_clean = _view(VW.clean_records)
 dq_missing_mandatory = _view(VW.missing_mandatory)
 dq_bad_nit = _view(VW.bad_tax_id)
-dq_heavy_records = _view(VW.heavy_records)
+
+
+def dq_heavy_records(spark, sf):
+    """SO4: records with more than 10 observations, most first."""
+    return _bigint_counters(_audit(spark, sf, materialize=True).heavy_records())
 
 
 def dq_record_lookup(spark, sf):

@@ -53,3 +53,23 @@ def test_field_counts_are_partially_aggregated(party_small):
 def test_fixture_reads_only_the_key_column(party_small):
     plan = physical(party_small)
     assert "ReadSchema: struct<o_orderkey:bigint>" in plan
+
+
+def test_sorted_detail_spreads_a_hot_code(spark, party_small):
+    from pyspark.sql import functions as F
+
+    # a third of all records share one code
+    hot = party_small.withColumn("CODIGO", F.when(F.col("k") % 3 == 0, F.lit("XXXX")).otherwise(F.col("CODIGO")))
+    det = Audit(hot, keys=("k",)).detail(order="global")
+    assert "_rc_row_id" not in det.columns
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")   # small test data: keep the range partitions apart
+    try:
+        sizes = [r["n"] for r in det.groupBy(F.spark_partition_id().alias("p"))
+                 .agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.unset(key)
+    assert len(sizes) > 1
+    assert max(sizes) < 0.5 * sum(sizes)      # the hot third is not in one partition
+    codes = [r["CODIGO"] for r in det.select("CODIGO").collect()]
+    assert codes == sorted(codes, key=lambda c: (c is not None, c))   # still globally ordered (NULLs first)
