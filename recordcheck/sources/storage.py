@@ -27,6 +27,17 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
+def read_audited_parquet(spark: SparkSession, path: str, fields=K.FIELDS, keys=()) -> DataFrame:
+    """The audited table stored as parquet: ``keys`` + ``fields``, every field
+    as a string (non-string columns are cast, as a delimited read would give
+    them).  Only these columns are read (pruned at the scan)."""
+    df = spark.read.parquet(path)
+    missing = [f for f in (*keys, *fields) if f not in df.columns]
+    if missing:
+        raise ValueError(f"audited table lacks columns: {missing}")
+    return df.select(*keys, *[df[f].cast("string").alias(f) for f in fields])
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The session's shared checkpoint folder; set one only when unset."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)

@@ -53,3 +53,13 @@ def test_release_deletes_the_scratch_table(spark, party_small):
         scratch = a._scratch
         assert scratch and os.path.exists(scratch.replace("file:", ""))
     assert not os.path.exists(scratch.replace("file:", ""))
+
+
+def test_parquet_source_round_trip(spark, party_small):
+    from recordcheck.sources.storage import read_audited_parquet, write_parquet
+
+    out = tempfile.mkdtemp(prefix="rc-pq-")
+    write_parquet(party_small, f"{out}/party")
+    back = read_audited_parquet(spark, f"{out}/party", keys=("k",))
+    assert back.columns == ["k", *K.FIELDS]
+    assert back.exceptAll(party_small).count() == 0
