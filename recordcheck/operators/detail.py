@@ -91,11 +91,12 @@ def _exploded(evaluated: DataFrame, carry: Sequence[str], obs_col: str) -> DataF
     return rows.filter(F.col("_o").isNotNull())
 
 
-def _ordered(df: DataFrame, order: str) -> DataFrame:
-    """Order by CODIGO, IDX_CAMPO (ties are unspecified).  When the row id of
-    a materialized evaluation is present it is the last key: a code shared by
-    a third of all records then still spreads over many range partitions."""
-    keys = ["CODIGO", "IDX_CAMPO"] + ([ROW_ID] if ROW_ID in df.columns else [])
+def _ordered(df: DataFrame, order: str, code: str = "CODIGO") -> DataFrame:
+    """Order by the record code, IDX_CAMPO (ties are unspecified).  When the
+    row id of a materialized evaluation is present it is the last key: a code
+    shared by a third of all records then still spreads over many range
+    partitions."""
+    keys = [code, "IDX_CAMPO"] + ([ROW_ID] if ROW_ID in df.columns else [])
     if order == "global":
         df = df.orderBy(*keys)
     elif order == "local":
@@ -108,35 +109,35 @@ def _carry(evaluated: DataFrame, cols: list[str]) -> list[str]:
 
 
 def detail(evaluated: DataFrame, keys: Sequence[str] = (), order: str = "global",
-           obs_col: str = OBS_COL) -> DataFrame:
+           obs_col: str = OBS_COL, record_id: Sequence[str] = ("CODIGO", "RAZON_SOCIAL", "NIT")) -> DataFrame:
     """OUT2 ``detalle_observaciones``: records without observations vanish.
 
     ``order``: "global" (sorted by CODIGO, IDX_CAMPO as specified), "local"
     (sorted inside each partition, for files) or "none".
     """
-    rows = _exploded(evaluated, _carry(evaluated, [*keys, "CODIGO", "RAZON_SOCIAL", "NIT"]), obs_col)
+    rows = _exploded(evaluated, _carry(evaluated, [*keys, *record_id]), obs_col)
     out = rows.select(
-        *_carry(evaluated, [*keys, "CODIGO", "RAZON_SOCIAL", "NIT"]),
+        *_carry(evaluated, [*keys, *record_id]),
         F.col("_o.idx").alias("IDX_CAMPO"),
         F.col("_o.campo").alias("CAMPO"),
         F.col("_o.tipo").alias("TIPO_VERIFICACION"),
         F.col("_o.severidad").alias("SEVERIDAD"),
         F.col("_o.motivo").alias("DESCRIPCION"),
     )
-    return _ordered(out, order)
+    return _ordered(out, order, record_id[0])
 
 
 def audit_report(evaluated: DataFrame, keys: Sequence[str] = (), order: str = "global",
-                 obs_col: str = OBS_COL) -> DataFrame:
+                 obs_col: str = OBS_COL, code: str = "CODIGO") -> DataFrame:
     """OUT3 ``reporte_auditoria`` with REGLA and friendly DESCRIPCION."""
-    rows = _exploded(evaluated, _carry(evaluated, [*keys, "CODIGO"]), obs_col)
+    rows = _exploded(evaluated, _carry(evaluated, [*keys, code]), obs_col)
     o = F.col("_o")
     out = rows.select(
-        *_carry(evaluated, [*keys, "CODIGO"]),
+        *_carry(evaluated, [*keys, code]),
         o["idx"].alias("IDX_CAMPO"),
         o["campo"].alias("CAMPO"),
         o["tipo"].alias("TIPO_VERIFICACION"),
         regla(o["tipo"]).alias("REGLA"),
         friendly_description(o["campo"], o["motivo"], o["tipo"]).alias("DESCRIPCION"),
     )
-    return _ordered(out, order)
+    return _ordered(out, order, code)

@@ -55,10 +55,11 @@ def with_summary(evaluated: DataFrame, obs_col: str = OBS_COL) -> DataFrame:
     return evaluated.select("*", *summary_columns(obs_col))
 
 
-def executive_summary(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def executive_summary(scored: DataFrame, keys: Sequence[str] = (),
+                      record_id: Sequence[str] = RECORD_ID) -> DataFrame:
     """OUT1 ``resumen_ejecutivo``: record id + counters + lists.
 
     ``scored`` must carry the summary columns (see ``with_summary``); ``keys``
     are extra pass-through columns put first.
     """
-    return scored.select(*keys, *RECORD_ID, *SUMMARY_COLUMNS)
+    return scored.select(*keys, *record_id, *SUMMARY_COLUMNS)

@@ -37,13 +37,13 @@ def missing_mandatory(summary: DataFrame) -> DataFrame:
 
 
 def heavy_records(summary: DataFrame, threshold: int = K.HEAVY_RECORD_THRESHOLD,
-                  limit: int | None = None, tiebreak: str | None = None) -> DataFrame:
+                  limit: int | None = None, tiebreak: str | None = None, code: str = "CODIGO") -> DataFrame:
     """SO4: records with more than ``threshold`` observations, most first.
 
     The count has few distinct values, so a global sort on it alone would put
     each value's records in one range partition; ``tiebreak`` (a unique
     column, dropped from the result) lets a hot value spread out."""
-    keys = [F.desc("CANT_TOTAL_OBS"), F.col("CODIGO")] + ([F.col(tiebreak)] if tiebreak else [])
+    keys = [F.desc("CANT_TOTAL_OBS"), F.col(code)] + ([F.col(tiebreak)] if tiebreak else [])
     out = summary.filter(F.col("CANT_TOTAL_OBS") > threshold).orderBy(*keys)
     out = out.limit(limit) if limit else out
     return out.drop(tiebreak) if tiebreak else out

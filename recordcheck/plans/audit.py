@@ -29,7 +29,7 @@ from recordcheck.operators import profile as PF
 from recordcheck.operators import views as VW
 from recordcheck.operators.evaluate import DEFAULT_BLOCK, evaluate
 from recordcheck.operators.detail import ROW_ID
-from recordcheck.operators.summary import executive_summary, with_summary
+from recordcheck.operators.summary import RECORD_ID, executive_summary, with_summary
 from recordcheck.plans.catalog_party import Catalog, party_catalog
 from recordcheck.sources.delimited import write_delimited
 from recordcheck.sources.storage import (delete_path, run_path, scratch_path, scratch_table,
@@ -39,7 +39,7 @@ from recordcheck.sources.storage import (delete_path, run_path, scratch_path, sc
 class Audit:
     def __init__(self, df: DataFrame, catalog: Catalog | None = None, keys: Sequence[str] = (),
                  materialize: bool = True, block_size: int = DEFAULT_BLOCK,
-                 min_partitions: int | None = None):
+                 min_partitions: int | None = None, record_id: Sequence[str] = RECORD_ID):
         self.spark = df.sparkSession
         self.source = df
         self.catalog = catalog or party_catalog(df.columns)
@@ -47,6 +47,8 @@ class Audit:
         self.materialize = materialize
         self.block_size = block_size
         self.min_partitions = min_partitions
+        # columns that identify a record in the outputs; the first is its code
+        self.record_id = tuple(record_id)
         self._scored: DataFrame | None = None
         self._scratch: str | None = None
 
@@ -97,13 +99,13 @@ class Audit:
     # outputs -------------------------------------------------------------------
 
     def summary(self) -> DataFrame:
-        return executive_summary(self.scored, self.keys)
+        return executive_summary(self.scored, self.keys, self.record_id)
 
     def detail(self, order: str = "global") -> DataFrame:
-        return D.detail(self.scored, self.keys, order)
+        return D.detail(self.scored, self.keys, order, record_id=self.record_id)
 
     def report(self, order: str = "global") -> DataFrame:
-        return D.audit_report(self.scored, self.keys, order)
+        return D.audit_report(self.scored, self.keys, order, code=self.record_id[0])
 
     def critical(self) -> DataFrame:
         return VW.critical_records(self.summary())
@@ -120,8 +122,9 @@ class Audit:
     def heavy_records(self, threshold: int = K.HEAVY_RECORD_THRESHOLD, limit: int | None = None) -> DataFrame:
         """SO4, ordered with the stored row id as the last key (skew-safe)."""
         carry = [ROW_ID] if ROW_ID in self.scored.columns else []
-        rows = executive_summary(self.scored, self.keys + tuple(carry))
-        return VW.heavy_records(rows, threshold, limit, tiebreak=carry[0] if carry else None)
+        rows = executive_summary(self.scored, self.keys + tuple(carry), self.record_id)
+        return VW.heavy_records(rows, threshold, limit, tiebreak=carry[0] if carry else None,
+                                code=self.record_id[0])
 
     def record_counts(self) -> DataFrame:
         return AG.record_counts(self.summary())
@@ -136,7 +139,7 @@ class Audit:
         return AG.field_type_counts(self.detail(order="none"))
 
     def profile(self) -> DataFrame:
-        return PF.field_profile(self.scored, self.catalog.fields)
+        return PF.field_profile(self.scored, self.catalog.fields, code_col=self.record_id[0])
 
     # sinks ---------------------------------------------------------------------
 

@@ -41,6 +41,15 @@ class Catalog:
     def __len__(self) -> int:
         return len(self.rules)
 
+    def describe(self, spark):
+        """The rules as a small DataFrame (one row per rule instance, in
+        evaluation order): metadata for review, not audit data."""
+        index = {f: i for i, f in enumerate(self.fields)}
+        rows = [(n, r.rule_id, index[r.field], r.field, r.motivo, r.tipo, r.severidad, r.sql())
+                for n, r in enumerate(self.rules)]
+        return spark.createDataFrame(rows, "orden int, regla string, idx int, campo string, motivo string, "
+                                           "tipo string, severidad string, condicion string")
+
 
 def _null_blank(present: Sequence[str]) -> Iterable[Rule]:
     for f in present:

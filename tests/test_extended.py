@@ -68,3 +68,28 @@ def test_empty_input(spark):
     assert all(p["PCT_COMPLETITUD"] is None and p["CALIDAD_CAMPO"] is None for p in prof)
     assert a.detail().count() == 0
     assert a.top_fields().count() == 0
+
+
+def test_generic_table_with_own_catalog(spark):
+    from recordcheck.functions import validators as V2
+    from recordcheck.operators import rules as R
+    from recordcheck.plans.catalog_party import Catalog
+
+    fields = ("ID", "EMAIL", "PHONE", "MANAGER")
+    rules = (
+        *(r for f in fields for r in (R.null_rule(f, "NULL", "ALTA"), R.blank_rule(f, "VACIO", "ALTA"))),
+        R.required("ID", "ID_FALTANTE", "CAMP_OBLIGADO", "ALTA", "X1"),
+        R.check("EMAIL", V2.email_invalid, "EMAIL_FORMATO_INVALIDO", "CAMP_OPC_CONDICIONAL", "MEDIA", "X2"),
+        R.required_if_any("PHONE", ("MANAGER",), "PHONE_REQUERIDO_POR_MANAGER", "CAMP_CONDICIONAL", "ALTA", "X3"),
+    )
+    df = spark.createDataFrame([("1", "ana.rojas@x.bo", "77712345", None), ("2", "bad", None, "JEFE"),
+                                (None, None, None, None)], "ID string, EMAIL string, PHONE string, MANAGER string")
+    a = Audit(df, catalog=Catalog("contacts", fields, rules, ("X1", "X2", "X3")), record_id=("ID",))
+    s = {r["ID"]: r for r in a.summary().collect()}
+    assert s["1"]["CANT_TOTAL_OBS"] == 1                     # MANAGER null
+    assert s["2"]["OBS_INCONSISTENCIAS"] == "EMAIL_FORMATO_INVALIDO"
+    assert s["2"]["OBS_CONDICIONALES"] == "PHONE_REQUERIDO_POR_MANAGER"
+    assert s[None]["CANT_NULL"] == 4 and s[None]["OBS_OBLIGADOS"] == "ID_FALTANTE"
+    assert a.detail().count() == sum(r["CANT_TOTAL_OBS"] for r in s.values())
+    assert a.profile().count() == 4
+    assert a.report().select("ID").distinct().count() == 3

@@ -129,3 +129,9 @@ def test_missing_optional_column_skips_r28(spark, clean_row):
     assert len(cat.rules) == 171 - 3
     ev = evaluate(df, cat.rules, cat.fields)
     assert ev.select(F.size("OBS_ARRAY")).collect()[0][0] == 0
+
+
+def test_describe_lists_every_rule(spark):
+    d = party_catalog().describe(spark)
+    assert d.count() == 171
+    assert d.filter("regla = 'R28'").count() == 10
