@@ -1 +1 @@
-"""Rule catalogues, the audit pipeline and the registered queries."""
+"""Rule catalogues, the audit run and the registered queries."""

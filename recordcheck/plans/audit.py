@@ -1,4 +1,4 @@
-"""The audit pipeline: evaluate once, derive every output from that.
+"""The audit run: evaluate once, derive every output from that.
 
 ``Audit(df)`` evaluates the catalogue over ``df`` in one projection and adds
 the per-record counters.  With ``materialize=True`` (the default for
