@@ -79,4 +79,26 @@ def oracle_queries() -> dict[str, str]:
 
     for name, (prefix, _, fields) in FIELD_FUNCTIONS.items():
         out[name] = S.field_function_sql(prefix, fields)
+    for name, cols in SUMMARY_PARTS.items():
+        out[name] = S.summary_sql().replace("SELECT * FROM summary", f"SELECT k, {', '.join(cols)} FROM summary")
+    out["dq_ratio"] = f"SELECT PCT_CON_OBS, PCT_LIMPIOS FROM ({S.record_counts_sql()})"
+    out["dq_documents_placeholder"] = (
+        f"SELECT doc_id, TIENE_PALABRA_INVALIDA FROM ({S.text_table_sql('documents', 'doc_id')})")
+    out["dq_documents_email"] = (
+        f"SELECT conv_id, turn, EMAIL_INVALIDO FROM ({S.text_table_sql('conversations', 'conv_id, turn')})")
     return out
+
+
+# Columns of each per-ID summary query (same split as the Spark side).
+SUMMARY_PARTS = {
+    "sm01_null_blank_counts": ("CANT_NULL", "CANT_VACIO"),
+    "sm02_mandatory_count": ("CANT_OBLIGADOS_FALTANTES",),
+    "sm03_conditional_count": ("CANT_CONDICIONALES_FALTANTES",),
+    "sm04_opc_conditional_count": ("CANT_OPC_CONDICIONALES_FALTANTES",),
+    "sm05_optional_count": ("CANT_INCONSISTENCIAS_DATOS",),
+    "sm06_total_count": ("CANT_TOTAL_OBS",),
+    "sm07_null_blank_list": ("OBS_CAMPOS_NULL_VACIO",),
+    "sm08_mandatory_list": ("OBS_OBLIGADOS",),
+    "sm09_conditional_list": ("OBS_CONDICIONALES",),
+    "sm10_inconsistency_list": ("OBS_INCONSISTENCIAS",),
+}

@@ -338,6 +338,41 @@ def _field_function(name: str) -> Query:
     return lambda spark, sf: _field_checks(spark, sf, {f"{prefix}_{f}": fn(f) for f in fields})
 
 
+# One query per summary column group (SM1..SM10) -----------------------------------
+
+SUMMARY_PARTS = {
+    "sm01_null_blank_counts": ("CANT_NULL", "CANT_VACIO"),
+    "sm02_mandatory_count": ("CANT_OBLIGADOS_FALTANTES",),
+    "sm03_conditional_count": ("CANT_CONDICIONALES_FALTANTES",),
+    "sm04_opc_conditional_count": ("CANT_OPC_CONDICIONALES_FALTANTES",),
+    "sm05_optional_count": ("CANT_INCONSISTENCIAS_DATOS",),
+    "sm06_total_count": ("CANT_TOTAL_OBS",),
+    "sm07_null_blank_list": ("OBS_CAMPOS_NULL_VACIO",),
+    "sm08_mandatory_list": ("OBS_OBLIGADOS",),
+    "sm09_conditional_list": ("OBS_CONDICIONALES",),
+    "sm10_inconsistency_list": ("OBS_INCONSISTENCIAS",),
+}
+
+
+def _summary_part(cols) -> Query:
+    return lambda spark, sf: dq_summary(spark, sf).select("k", *cols)
+
+
+def dq_ratio(spark, sf):
+    """AG2: share of records with and without observations (percent, 2 decimals)."""
+    return _audit(spark, sf).record_counts().select("PCT_CON_OBS", "PCT_LIMPIOS")
+
+
+def dq_documents_placeholder(spark, sf):
+    """V1 on every whole document text."""
+    return dq_documents_text(spark, sf).select("doc_id", "TIENE_PALABRA_INVALIDA")
+
+
+def dq_documents_email(spark, sf):
+    """V2 on every whole conversation turn."""
+    return dq_conversations_text(spark, sf).select("conv_id", "turn", "EMAIL_INVALIDO")
+
+
 def dq_extended_obs(spark, sf):
     """S1..S9, S12: observations of the extended catalogue."""
     from recordcheck.plans.catalog_extended import EXTENDED_FAMILIES
@@ -351,6 +386,8 @@ def registry() -> dict[str, Query]:
         out[rule_query_name(fam)] = _families(fam)
     for name in FIELD_FUNCTIONS:
         out[name] = _field_function(name)
+    for name, cols in SUMMARY_PARTS.items():
+        out[name] = _summary_part(cols)
     g = globals()
     for name in ("dq_summary", "dq_detail", "dq_report", "dq_view_critical", "dq_view_dependency",
                  "dq_view_inconsistent", "dq_view_clean", "dq_missing_mandatory", "dq_bad_nit",
@@ -361,6 +398,6 @@ def registry() -> dict[str, Query]:
                  "dq_null_above", "dq_excellent_fields", "dq_one_field", "dq_category_avg",
                  "dq_numeric_text", "dq_seq_repeat", "dq_dates", "dq_documents_text",
                  "dq_conversations_text", "dq_placeholder_by_lang", "dq_csv_roundtrip",
-                 "dq_extended_obs"):
+                 "dq_extended_obs", "dq_ratio", "dq_documents_placeholder", "dq_documents_email"):
         out[name] = g[name]
     return out
