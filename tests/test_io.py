@@ -63,3 +63,14 @@ def test_parquet_source_round_trip(spark, party_small):
     back = read_audited_parquet(spark, f"{out}/party", keys=("k",))
     assert back.columns == ["k", *K.FIELDS]
     assert back.exceptAll(party_small).count() == 0
+
+
+def test_command_line_audit(spark, party_small):
+    from recordcheck.__main__ import main
+
+    base = tempfile.mkdtemp(prefix="rc-cli-")
+    write_delimited(party_small.drop("k"), f"{base}/in")
+    out = main(["--input", f"{base}/in", "--output", f"{base}/out", "--run-id", "20251130"], spark=spark)
+    assert out.endswith("resultados_20251130")
+    assert spark.read.parquet(f"{out}/resumen_ejecutivo").count() == 1500
+    assert spark.read.parquet(f"{out}/resumen_por_campo").count() == 54
