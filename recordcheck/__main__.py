@@ -21,6 +21,8 @@ def main(argv=None, spark=None) -> str:
     ap.add_argument("--sep", default=";")
     ap.add_argument("--csv", action="store_true", help="also write ';' CSV copies of three outputs")
     ap.add_argument("--extended", action="store_true", help="add the extended requirement rules")
+    ap.add_argument("--unicode-case", action="store_true",
+                    help="placeholder words also match accented capitals (default: ASCII folding)")
     ap.add_argument("--ignore-corrupt-files", action="store_true")
     args = ap.parse_args(argv)
 
@@ -33,7 +35,8 @@ def main(argv=None, spark=None) -> str:
 
     spark = spark or SparkSession.builder.appName("recordcheck").getOrCreate()
     df = read_delimited(spark, args.input, sep=args.sep, ignore_corrupt_files=args.ignore_corrupt_files)
-    with Audit(df, catalog=party_catalog(df.columns, extended=args.extended)) as audit:
+    catalog = party_catalog(df.columns, extended=args.extended, unicode_case=args.unicode_case)
+    with Audit(df, catalog=catalog) as audit:
         out = audit.write(args.output, args.run_id or K.DEFAULT_RUN_ID, csv=args.csv)
         totals = audit.type_totals().collect()[0].asDict()
         counts = audit.record_counts().collect()[0].asDict()

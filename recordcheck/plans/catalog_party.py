@@ -57,12 +57,13 @@ def _null_blank(present: Sequence[str]) -> Iterable[Rule]:
         yield R.blank_rule(f, K.TIPO_VACIO, K.SEV_ALTA, "R2")
 
 
-def _mandatory() -> Iterable[Rule]:
+def _mandatory(pat: str) -> Iterable[Rule]:
     for f in K.MANDATORY:
         yield R.required(f, f"{f}_FALTANTE", K.TIPO_OBLIGADO, K.SEV_ALTA, "R3")
-        yield R.check(f, V.has_placeholder, f"{f}_PALABRA_INVALIDA", K.TIPO_OBLIGADO, K.SEV_ALTA, "R4")
+        yield R.check(f, lambda c: V.has_placeholder(c, pat), f"{f}_PALABRA_INVALIDA",
+                      K.TIPO_OBLIGADO, K.SEV_ALTA, "R4")
     yield R.check("NIT", V.nit_invalid, "NIT_FORMATO_INVALIDO", K.TIPO_OBLIGADO, K.SEV_ALTA, "R5")
-    yield R.check("RAZON_SOCIAL", lambda c: V.text_invalid(c, 3), "RAZON_SOCIAL_TEXTO_INVALIDO",
+    yield R.check("RAZON_SOCIAL", lambda c: V.text_invalid(c, 3, pattern=pat), "RAZON_SOCIAL_TEXTO_INVALIDO",
                   K.TIPO_OBLIGADO, K.SEV_ALTA, "R6")
 
 
@@ -95,7 +96,7 @@ def _management() -> Iterable[Rule]:
                             cond, alta, "R14")
 
 
-def _legal_representative() -> Iterable[Rule]:
+def _legal_representative(pat: str) -> Iterable[Rule]:
     """R15..R18."""
     cond = K.TIPO_CONDICIONAL
     for f in K.REP_LEGAL_DEPENDENTS:
@@ -105,8 +106,9 @@ def _legal_representative() -> Iterable[Rule]:
                    lambda r: f"({r.filled(status)} AND {P.rlike(r.col(status), K.MARRIED_PATTERN)} "
                              f"AND {r.empty(spouse)})",
                    "NOMBRE_CONYUGE_REQUERIDO_POR_ESTADO_CIVIL", cond, K.SEV_ALTA, "R16", (status, spouse))
-    yield R.check("DOMICILIO", V.address_invalid, "DOMICILIO_INVALIDO", cond, K.SEV_MEDIA, "R17")
-    yield R.check("DOMICILIO_PARTICULAR_REP_LEGAL", V.address_invalid, "DOMICILIO_PARTICULAR_INVALIDO",
+    address = lambda c: V.address_invalid(c, pattern=pat)
+    yield R.check("DOMICILIO", address, "DOMICILIO_INVALIDO", cond, K.SEV_MEDIA, "R17")
+    yield R.check("DOMICILIO_PARTICULAR_REP_LEGAL", address, "DOMICILIO_PARTICULAR_INVALIDO",
                   cond, K.SEV_MEDIA, "R18")
 
 
@@ -129,7 +131,7 @@ def _optional_conditional(mutual: str = "any") -> Iterable[Rule]:
                    "CANT_ACTUALIZACIONES_DEBE_SER_MAYOR_1", t, K.SEV_BAJA, "R27", (last, count))
 
 
-def _optional(present: Sequence[str]) -> Iterable[Rule]:
+def _optional(present: Sequence[str], pat: str) -> Iterable[Rule]:
     """Free-text check on optional fields that exist in the input.
 
     Specified as "V6 or V1"; V6 already contains the V1 placeholder test
@@ -137,24 +139,28 @@ def _optional(present: Sequence[str]) -> Iterable[Rule]:
     scans the text once instead of twice."""
     for f in K.OPTIONAL:
         if f in present:
-            yield R.check(f, lambda c: V.text_invalid(c, 3),
+            yield R.check(f, lambda c: V.text_invalid(c, 3, pattern=pat),
                           f"{f}_TEXTO_INVALIDO", K.TIPO_OPCIONAL, K.SEV_BAJA, "R28")
 
 
-def party_rules(columns: Sequence[str] | None = None, mutual: str = "any") -> tuple[Rule, ...]:
+def party_rules(columns: Sequence[str] | None = None, mutual: str = "any",
+                unicode_case: bool = False) -> tuple[Rule, ...]:
     """The R1..R28 rule instances for an input with ``columns`` (default: all 54).
 
     R1/R2 cover every audited field present and R28 every optional field
-    present; the other rules need their fields.
+    present; the other rules need their fields.  ``unicode_case`` makes the
+    placeholder words fold accented capitals too (default: ASCII only, as
+    specified).
     """
     present = [f for f in K.FIELDS if columns is None or f in columns]
-    return (*_null_blank(present), *_mandatory(), *_management(), *_legal_representative(),
-            *_optional_conditional(mutual), *_optional(present))
+    pat = V.placeholder_pattern(unicode_case=unicode_case)
+    return (*_null_blank(present), *_mandatory(pat), *_management(), *_legal_representative(pat),
+            *_optional_conditional(mutual), *_optional(present, pat))
 
 
 def party_catalog(columns: Sequence[str] | None = None, extended: bool = False,
-                  as_of: str = K.DEFAULT_AS_OF, mutual: str = "any") -> Catalog:
-    rules = party_rules(columns, mutual)
+                  as_of: str = K.DEFAULT_AS_OF, mutual: str = "any", unicode_case: bool = False) -> Catalog:
+    rules = party_rules(columns, mutual, unicode_case)
     families = FAMILIES
     if extended:
         from recordcheck.plans.catalog_extended import EXTENDED_FAMILIES, extended_rules

@@ -135,3 +135,15 @@ def test_describe_lists_every_rule(spark):
     d = party_catalog().describe(spark)
     assert d.count() == 171
     assert d.filter("regla = 'R28'").count() == 10
+
+
+def test_unicode_case_option_for_placeholders(spark, clean_row):
+    row = {**clean_row, "PAF_ALTA": "SIN INFORMACIÓN"}
+    df = spark.createDataFrame([tuple(row[f] for f in K.FIELDS)], ", ".join(f"{f} string" for f in K.FIELDS))
+    got = []
+    for unicode_case in (False, True):
+        cat = party_catalog(unicode_case=unicode_case)
+        obs = evaluate(df, cat.rules, cat.fields).select("OBS_ARRAY").first()[0]
+        got.append({o["motivo"] for o in obs})
+    assert "PAF_ALTA_PALABRA_INVALIDA" not in got[0]
+    assert "PAF_ALTA_PALABRA_INVALIDA" in got[1]
