@@ -112,3 +112,17 @@ def test_pb1_to_pb4(spark):
     assert run(spark, P.is_blank, vals) == [False, True, True, False, False]
     assert run(spark, P.is_empty, vals) == [True, True, True, False, False]
     assert run(spark, P.is_filled, vals) == [False, False, False, True, True]
+
+
+def test_results_do_not_depend_on_ansi_mode(spark):
+    vals = ["3.5", "abc", " 4 ", "1.234,56", "31/02/2024", "15/03/2025", None, "-", "99999999999"]
+    fns = [P.legacy_int, P.to_double_simple, P.to_double_locale, P.is_bad_date, P.parsed_date]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    got = {}
+    try:
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            got[ansi] = [run(spark, fn, vals) for fn in fns]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert got["true"] == got["false"]
