@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from recordcheck.llm import mixing
+from recordcheck.llm import mixing, quality
 
 QUERIES = {
+    "op3_quality_rules": quality.op3_quality_rules,
     "op5_mix_sources": mixing.op5_mix_sources,
 }
 
