@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from recordcheck.llm import language, mixing, packing, quality, secret_scan
+from recordcheck.llm import language, mixing, packing, quality, secret_scan, toxicity
 
 QUERIES = {
     "op1_language_id": language.op1_language_id,
     "op3_quality_rules": quality.op3_quality_rules,
     "op5_mix_sources": mixing.op5_mix_sources,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_secret_scan": secret_scan.op7_secret_scan,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
 }

@@ -46,6 +46,13 @@ class Hasher:
                 setattr(self, name, np.multiply.accumulate(p))
         return self._up[:n], self._down[:n]
 
+    def ranges_of(self, data: np.ndarray):
+        """Function (starts, ends) -> hashes of these stretches of ``data``."""
+        up, down = self._powers(len(data) + 1)
+        sums = np.zeros(len(data) + 1, dtype=_U)
+        np.cumsum(self.codes[data] * up[:-1], out=sums[1:])
+        return lambda starts, ends: mix((sums[ends] - sums[starts]) * down[starts])
+
     def _ranges(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Hash of values[start:end] for every pair."""
         if not len(starts):
