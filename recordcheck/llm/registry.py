@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from recordcheck.llm import ann, language, mixing, packing, quality, secret_scan, toxicity
+from recordcheck.llm import ann, language, mixing, ngram_join, packing, quality, secret_scan, toxicity
 
 QUERIES = {
     "op1_language_id": language.op1_language_id,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_secret_scan": secret_scan.op7_secret_scan,
     "op8_hash_prefix_forest": ann.op8_hash_prefix_forest,
+    "op9_ngram_jaccard": ngram_join.op9_ngram_jaccard,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
 
