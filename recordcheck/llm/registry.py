@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from recordcheck.llm import ann, language, mixing, ngram_join, packing, quality, secret_scan, toxicity
+from recordcheck.llm import ann, language, mixing, ngram_join, packing, quality, secret_scan, substring_dedup, toxicity
 
 QUERIES = {
     "op1_language_id": language.op1_language_id,
+    "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_quality_rules": quality.op3_quality_rules,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_toxicity": toxicity.op6_toxicity,
