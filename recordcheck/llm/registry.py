@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from recordcheck.llm import ann, language, mixing, ngram_join, packing, quality, secret_scan, substring_dedup, toxicity
+from recordcheck.llm import ann, language, mixing, ngram_join, packing, quality, secret_scan, substring_dedup, toxicity, warc
 
 QUERIES = {
     "op1_language_id": language.op1_language_id,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_quality_rules": quality.op3_quality_rules,
+    "op4_warc_revisits": warc.op4_warc_revisits,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_secret_scan": secret_scan.op7_secret_scan,
@@ -18,6 +19,7 @@ QUERIES = {
 
 ORACLES = {
     "op7_secret_scan": secret_scan.ORACLE,
+    "op4_warc_revisits": warc.ORACLE,
     "op5_mix_sources": mixing.ORACLE,
 }
 
