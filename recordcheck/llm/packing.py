@@ -43,8 +43,6 @@ END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
 ROUNDS = 600                  # configurations priced at most
 BUCKET_ROWS = 50_000          # pieces aimed at in one numbering bucket
-CACHE_CHARS = 8_000_000       # characters of words after which a task forgets the ids it remembers
-GROUP_CHARS = 500_000         # characters of texts encoded together
 
 
 # Tokens --------------------------------------------------------------------------
@@ -56,60 +54,38 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 class TokenIds:
-    """Ids of texts as little-endian uint32 bytes, by the public tokenizer.
+    """Ids of a text as little-endian uint32 bytes.
 
-    The byte-level pre-tokenizer starts a piece at every space that is followed
-    by a visible character, so a text may be cut before such spaces without
-    changing its ids.  Ids of cuts are remembered; cuts that do not begin with a
-    character known to be safe stay with the cut before them."""
-
-    SAFE = frozenset(map(chr, [*range(0x21, 0x7F), *range(0xC0, 0x250)]))
+    ``path`` names the public tokenizer (json).  Beside it lies the same
+    vocabulary as ranks (same name, .tiktoken), whose library gives the same ids
+    several times faster; texts that hold the end-of-text marker, which only the
+    json makes a special token, and texts it refuses go to the json tokenizer."""
 
     def __init__(self, path: str):
-        import os
+        import base64
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"     # one core per task
+        import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.room = CACHE_CHARS
-
-    def _learn(self, cuts: set[str]) -> None:
-        new = [c for c in cuts if c not in self.known]
-        self.room -= sum(map(len, new)) + len(new)
-        if self.room < 0:
-            self.known, self.room, new = {}, CACHE_CHARS, list(cuts)
-        for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[c] = np.array(e.ids, dtype="<u4").tobytes()
-
-    def _cuts(self, text: str) -> list[str]:
-        parts = text.split(" ")
-        out = [parts[0]]
-        for p in parts[1:]:
-            if p and p[0] in self.SAFE:
-                out.append(" " + p)
-            else:
-                out[-1] += " " + p
-        return out
-
-    def of(self, texts: list[str]) -> list[bytes]:
-        cuts = [self._cuts(t) for t in texts]
-        self._learn(set().union(*cuts))
-        known = self.known
-        return [b"".join([known[c] for c in x]) for x in cuts]
-
-
-def _encoded(texts: pa.Array, ids_of: TokenIds) -> Iterator[bytes]:
-    """Ids of every text (null: none), encoded in groups of bounded size."""
-    group, chars = [], 0
-    for text in texts:
-        group.append(text.as_py() or "")
-        chars += len(group[-1])
-        if chars >= GROUP_CHARS:
-            yield from ids_of.of(group)
-            group, chars = [], 0
-    yield from ids_of.of(group) if group else ()
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        with open(path.removesuffix(".json") + ".tiktoken", "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.fast = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def exact(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def __call__(self, text: str) -> bytes:
+        if any(s in text for s in self.special):
+            return self.exact(text)
+        try:
+            return np.array(self.fast.encode_ordinary(text), dtype="<u4").tobytes()
+        except BaseException as e:                         # noqa: B036  a panic of the Rust code is no Exception
+            if isinstance(e, (KeyboardInterrupt, SystemExit, GeneratorExit)):
+                raise
+            return self.exact(text)
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -132,8 +108,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             rows, number, start, length, crc = [], [], [], [], []
-            for i, ids in enumerate(_encoded(batch.column("text"), ids_of)):
-                ids += end
+            for i, text in enumerate(batch.column("text")):
+                ids = (ids_of(text.as_py()) if text.is_valid else b"") + end
                 for k, (s, n) in enumerate(cut(len(ids) // 4, capacity)):
                     rows.append(i)
                     number.append(k)
