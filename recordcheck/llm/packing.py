@@ -42,7 +42,7 @@ CAPACITY = 1024
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
 ROUNDS = 600                  # configurations priced at most
-BUCKET_ROWS = 50_000          # pieces aimed at in one numbering bucket
+BUCKET_ROWS = 200             # pieces of one length aimed at in one numbering bucket
 
 
 # Tokens --------------------------------------------------------------------------
@@ -262,10 +262,11 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END
     slots = spark.createDataFrame(slot_table(plan), "slot_length long, first long, per long, numbers long, "
                                                     "first_sequence long, slot_offset long")
     # Number the pieces of one length: bucket counts, bucket offsets, then
-    # numbers within a bucket.
-    total = max(1, sum(histogram.values()))
-    buckets = max(1, -(-total // BUCKET_ROWS))
-    placed = stored.withColumn("bucket", F.pmod("spread", F.lit(buckets)))
+    # numbers within a bucket.  A length gets buckets by its own count, so a
+    # length that a third of all pieces share is spread like any other.
+    buckets = spark.createDataFrame([(n, -(-c // BUCKET_ROWS)) for n, c in histogram.items()],
+                                    "length long, buckets long")     # at most ``capacity`` rows
+    placed = stored.join(F.broadcast(buckets), "length").withColumn("bucket", F.pmod("spread", F.col("buckets")))
     sizes = placed.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = W.partitionBy("length").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
