@@ -1,8 +1,8 @@
 """Parquet sinks, run-stamped output paths and the shared scratch area.
 
 Scratch tables (materialized evaluations) go under the folder the cluster
-names in ``spark.checkpoint.dir``; a session without one (tests, a laptop)
-gets a private temporary folder.
+names in ``spark.checkpoint.dir``; only a local session (tests, a laptop) may go
+without one and gets a private temporary folder.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from recordcheck import constants as K
 
-_LOCAL_SCRATCH: dict[int, str] = {}
+_LOCAL_SCRATCH: dict[str, str] = {}
 
 
 def run_path(root: str, run_id: str = K.DEFAULT_RUN_ID) -> str:
@@ -39,22 +39,28 @@ def read_audited_parquet(spark: SparkSession, path: str, fields=K.FIELDS, keys=(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder; set one only when unset."""
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if conf_dir:
-        return conf_dir.rstrip("/")
-    key = id(spark.sparkContext)
-    if key not in _LOCAL_SCRATCH:
-        local = tempfile.mkdtemp(prefix="recordcheck-ckpt-")
-        spark.sparkContext.setCheckpointDir(local)
-        _LOCAL_SCRATCH[key] = local
-    return _LOCAL_SCRATCH[key]
+    """The session's shared folder: ``spark.checkpoint.dir``, or what
+    ``sparkContext.setCheckpointDir`` named.  With neither, a local session gets
+    a private temporary folder; a cluster must name one, since its executors
+    do not share local folders."""
+    context = spark.sparkContext
+    named = (spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
+             or context.getCheckpointDir())
+    if named:
+        return named.rstrip("/")
+    if not (context.master or "").split("[")[0] == "local":
+        raise ValueError("scratch tables need a folder that all executors share: set spark.checkpoint.dir")
+    if context.applicationId not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[context.applicationId] = tempfile.mkdtemp(prefix="recordcheck-ckpt-")
+    return _LOCAL_SCRATCH[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{checkpoint_dir(spark)}/recordcheck-{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, deleted when the session's JVM ends."""
+    path = f"{checkpoint_dir(spark)}/recordcheck-{label}-{uuid.uuid4().hex}"
+    hpath, fs = _file_system(spark, path)
+    fs.deleteOnExit(hpath)
+    return path
 
 
 def scratch_table(spark: SparkSession, df: DataFrame, label: str, path: str | None = None) -> DataFrame:
@@ -65,13 +71,16 @@ def scratch_table(spark: SparkSession, df: DataFrame, label: str, path: str | No
     """
     path = path or scratch_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete ``path`` through the Hadoop FileSystem of the path
     (local, HDFS or object store alike)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    hpath, fs = _file_system(spark, path)
     return bool(fs.delete(hpath, True))
