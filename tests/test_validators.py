@@ -102,7 +102,7 @@ def test_pb9_legacy_int(spark):
 def test_pb13_bad_dates(spark):
     check(spark, P.is_bad_date, [
         ("15/03/2025", False), ("00/00/0000", True), ("31/12/9999", True), ("01/01/1800", True),
-        ("31/02/2024", True), ("10/01/2026", True), ("   ", True), (None, True), ("1/2/2024", True),
+        ("31/02/2024", True), ("10/01/2026", True), ("   ", True), (None, True), ("1/2/2024", False), ("2024-02-01", True),
     ])
 
 
@@ -126,3 +126,23 @@ def test_results_do_not_depend_on_ansi_mode(spark):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
     assert got["true"] == got["false"]
+
+
+def test_pb12_dates_as_the_audit_reads_them(spark):
+    import datetime as dt
+
+    cases = [("5/3/2024", dt.date(2024, 3, 5)), ("05/3/2024", dt.date(2024, 3, 5)), (" 15/03/2025", dt.date(2025, 3, 15)),
+             ("15/03/2025 ", dt.date(2025, 3, 15)), ("15/03/2025 10:00", dt.date(2025, 3, 15)), ("15/03/25", dt.date(25, 3, 15)),
+             ("15/ 3/2025", dt.date(2025, 3, 15)), ("015/003/2025", dt.date(2025, 3, 15)), ("15/03/2025abc", dt.date(2025, 3, 15)),
+             ("31/02/2024", None), ("00/00/0000", None), ("115/03/2025", None), ("15 /03/2025", None), ("x15/03/2025", None),
+             ("29/02/2023", None), ("29/02/2024", dt.date(2024, 2, 29)), ("", None), (None, None)]
+    check(spark, P.parsed_date, cases)
+    check(spark, lambda c: P.parsed_date(c, strict=True),
+          [(v, want if v in ("29/02/2024",) else None) for v, want in cases])
+
+
+def test_pb8_signs_and_marks(spark):
+    cases = [("-5", -5.0), (",-5", 0.5), (",-5.0", -5.0), ("5-", 5.0), ("--5", -5.0), ("1.234.567", 1234.567), ("1,2,3", 12.3),
+             (".", 0.0), ("..", 0.0), (",", 0.0), ("-", 0.0), ("--", 0.0), ("-.", None), (".-", 0.0), ("5.", 5.0), (".5", 0.5),
+             ("-.5", -0.5)]
+    check(spark, P.to_double_locale, cases)
