@@ -55,7 +55,7 @@ def main() -> None:
     times, build = {}, {}
 
     t0 = time.time()
-    audit = Audit(party(spark, sf_dir), keys=("k",), materialize=True, min_partitions=cpus)
+    audit = Audit(party(spark, sf_dir), keys=("k",), materialize=True, spread=cpus)
     build["q1_evaluate_summary"] = time.time() - t0
     scored = audit.scored                      # evaluation written once
     if os.environ.get("BENCH_WSCG_OUTPUTS", "false") == "true":

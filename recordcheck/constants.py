@@ -20,7 +20,6 @@ TIPO_OBLIGADO = "CAMP_OBLIGADO"
 TIPO_CONDICIONAL = "CAMP_CONDICIONAL"
 TIPO_OPC_CONDICIONAL = "CAMP_OPC_CONDICIONAL"
 TIPO_OPCIONAL = "CAMP_OPCIONAL"
-TIPO_INCONSISTENCIA = "INCONSISTENCIA_DATOS"  # declared, never emitted
 
 # Severities.
 SEV_ALTA = "ALTA"

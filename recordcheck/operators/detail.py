@@ -99,6 +99,8 @@ def _ordered(df: DataFrame, order: str, code: str = "CODIGO") -> DataFrame:
     keys = [code, "IDX_CAMPO"] + ([ROW_ID] if ROW_ID in df.columns else [])
     if order == "global":
         df = df.orderBy(*keys)
+    elif order == "range":
+        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     elif order == "local":
         df = df.sortWithinPartitions(*keys)
     return df.drop(ROW_ID) if ROW_ID in df.columns else df
@@ -112,8 +114,9 @@ def detail(evaluated: DataFrame, keys: Sequence[str] = (), order: str = "global"
            obs_col: str = OBS_COL, record_id: Sequence[str] = ("CODIGO", "RAZON_SOCIAL", "NIT")) -> DataFrame:
     """OUT2 ``detalle_observaciones``: records without observations vanish.
 
-    ``order``: "global" (sorted by CODIGO, IDX_CAMPO as specified), "local"
-    (sorted inside each partition, for files) or "none".
+    ``order``: "global" (sorted by CODIGO, IDX_CAMPO as specified), "range"
+    (range-partitioned and sorted inside each partition: files hold disjoint
+    ranges), "local" (sorted inside whatever partitions there are) or "none".
     """
     rows = _exploded(evaluated, _carry(evaluated, [*keys, *record_id]), obs_col)
     out = rows.select(

@@ -20,9 +20,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordcheck import constants as K
+from recordcheck.functions import predicates as P
 from recordcheck.functions.sql import ident, lit
 from recordcheck.operators.rules import FieldRefs, Rule
-from recordcheck.schema import OBS_COL
+from recordcheck.schema import OBS_COL, STATES_COL
 
 DEFAULT_BLOCK = 40
 OBS_SQL_TYPE = "ARRAY<STRUCT<idx: INT, campo: STRING, motivo: STRING, tipo: STRING, severidad: STRING>>"
@@ -82,3 +84,27 @@ def evaluate(df: DataFrame, rules: Sequence[Rule], fields: Sequence[str],
         raise ValueError(f"rules read columns absent from the input: {missing}")
     obs = observations_column(rules, field_index, None, block_size)
     return df.select(*[F.col(ident(c)) for c in df.columns], obs.alias(obs_col))
+
+
+NULL_STATE, BLANK_STATE, FLAGGED_STATE = 0, 1, 2
+
+
+def states_sql(fields: Sequence[str], obs_col: str = OBS_COL, block_size: int = DEFAULT_BLOCK) -> str:
+    """Expression text of the ``array<int>`` of field states of a record:
+    ``3 i + state`` for every field ``i`` that is NULL, blank, or filled with an
+    observation about its content.  NULL and blank do not depend on the rules."""
+    none = "CAST(array() AS ARRAY<INT>)"
+    cells = [f"CASE WHEN {P.is_null(f)} THEN array({3 * i + NULL_STATE}) "
+             f"WHEN {P.is_blank(f)} THEN array({3 * i + BLANK_STATE}) ELSE {none} END" for i, f in enumerate(fields)]
+    blocks = [f"flatten(array({', '.join(cells[i:i + block_size])}))" for i in range(0, len(cells), block_size)]
+    empty = f"concat({', '.join(blocks)})"
+    content = (f"transform(filter({ident(obs_col)}, x -> x.tipo NOT IN ({lit(K.TIPO_NULL)}, {lit(K.TIPO_VACIO)})), "
+               f"x -> 3 * x.idx + {FLAGGED_STATE})")
+    # A field with content observations that is itself empty is not "filled".
+    return (f"concat({empty}, array_except({content}, "
+            f"transform({empty}, x -> x - x % 3 + {FLAGGED_STATE})))")
+
+
+def with_states(evaluated: DataFrame, fields: Sequence[str], obs_col: str = OBS_COL) -> DataFrame:
+    """The evaluated table plus the states of its fields."""
+    return evaluated.withColumn(STATES_COL, F.expr(states_sql(fields, obs_col)))

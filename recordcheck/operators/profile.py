@@ -1,29 +1,32 @@
 """Per-field quality profile (PF1..PF10): one row per audited field.
 
-Counts come from a single global aggregation over the evaluated table (3
-sums per field, partial on the map side; the shuffle is one row per task),
-then the one-row result is unpivoted into one row per field.  Example codes
-use a row_number window limited to the first few per (field, state); Spark
-applies that limit before the shuffle, so a field that is NULL in a third of
-all rows still sends at most a few codes per task.
+Counts come from one pass over two columns of the evaluated table, the record
+code and the states of its fields: states are exploded and aggregated by (state,
+bucket of the code's digest) with fixed-width buffers, first within every task,
+so nothing is sorted, the shuffle carries at most ``3 fields x examples`` rows per
+task and a field that is NULL in a third of all rows costs nothing extra.  The
+smallest digest of a bucket names its example code; a pass over the code column
+alone looks up the few codes.  No audited column but the code is read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordcheck import constants as K
 from recordcheck.functions import predicates as P
 from recordcheck.functions.sql import ident, lit
 from recordcheck.operators.aggregates import pct_half_up
-from recordcheck.schema import OBS_COL, category_of
+from recordcheck.operators.evaluate import BLANK_STATE, FLAGGED_STATE, NULL_STATE
+from recordcheck.schema import STATES_COL, category_of
 
 PROFILE_COLUMNS = ("campo", "CATEGORIA", "CANT_NULL", "CANT_VACIO", "CANT_INCONSISTENTES",
                    "PCT_COMPLETITUD", "PCT_NULL", "PCT_INCONSISTENTE", "CALIDAD_CAMPO",
                    "CODIGOS_NULL_EJEMPLO", "CODIGOS_VACIO_EJEMPLO")
+_EVERY = -1                    # state of every record, for the number of records
 
 
 def quality_band(pct: Column) -> Column:
@@ -33,66 +36,62 @@ def quality_band(pct: Column) -> Column:
     return F.when(pct.isNull(), F.lit(None).cast("string")).otherwise(out.otherwise(F.lit(K.QUALITY_TOP)))
 
 
-def _field_counts(evaluated: DataFrame, fields: Sequence[str], obs_col: str) -> DataFrame:
-    """One row: n, and per field i the NULL, blank and inconsistent counts."""
-    # Field indices with an observation that is not about emptiness.
-    flagged = (f"array_distinct(transform(filter({ident(obs_col)}, "
-               f"x -> x.tipo NOT IN ({lit(K.TIPO_NULL)}, {lit(K.TIPO_VACIO)})), x -> x.idx))")
-    staged = evaluated.select(*[F.col(ident(f)) for f in fields], F.expr(flagged).alias("_flagged"))
-    aggs = ["count(1) AS _n"]
-    for i, f in enumerate(fields):
-        aggs.append(f"count_if({P.is_null(f)}) AS _null{i}")
-        aggs.append(f"count_if({P.is_blank(f)}) AS _blank{i}")
-        aggs.append(f"count_if({P.is_filled(f)} AND array_contains(_flagged, {i})) AS _inc{i}")
-    return staged.agg(*[F.expr(a) for a in aggs])
-
-
-def _examples(evaluated: DataFrame, fields: Sequence[str], code_col: str, per_state: int) -> DataFrame:
-    """(i, CODIGOS_NULL_EJEMPLO, CODIGOS_VACIO_EJEMPLO): the first
-    ``per_state`` non-null codes, ascending, of records whose field i is NULL
-    or blank."""
-    cells = ", ".join(
-        f"CASE WHEN {P.is_null(f)} THEN named_struct('i', {i}, 's', 'N') "
-        f"WHEN {P.is_blank(f)} THEN named_struct('i', {i}, 's', 'V') END"
-        for i, f in enumerate(fields))
-    # explode_outer + filter: see operators.detail._exploded.
-    exploded = (evaluated.filter(F.col(ident(code_col)).isNotNull())
-                .select(F.col(ident(code_col)).alias("_code"),
-                        F.expr(f"explode_outer(filter(array({cells}), x -> x IS NOT NULL))").alias("_c"))
-                .filter(F.col("_c").isNotNull())
-                .select("_code", F.col("_c.i").alias("i"), F.col("_c.s").alias("s")))
-    w = Window.partitionBy("i", "s").orderBy("_code")
-    top = exploded.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= per_state)
-    return top.groupBy("i").agg(
-        F.expr("array_sort(collect_list(CASE WHEN s = 'N' THEN _code END))").alias("CODIGOS_NULL_EJEMPLO"),
-        F.expr("array_sort(collect_list(CASE WHEN s = 'V' THEN _code END))").alias("CODIGOS_VACIO_EJEMPLO"),
-    )
-
-
-def field_profile(evaluated: DataFrame, fields: Sequence[str] = K.FIELDS, code_col: str = "CODIGO",
-                  examples: int = K.EXAMPLE_CODES, obs_col: str = OBS_COL) -> DataFrame:
-    """PF1..PF7: ``resumen_por_campo``."""
-    counts = _field_counts(evaluated, fields, obs_col)
+def code_digest(code: str) -> str:
+    """60-bit digest of a code."""
+    return f"CAST(conv(substr(md5({code}), 1, 15), 16, 10) AS BIGINT)"
+
+
+def _state_counts(scored: DataFrame, code_col: str, examples: int) -> DataFrame:
+    """(state, n, codes): records per state and example codes: of every bucket of
+    digests the filled code with the smallest, ascending (so they are distinct)."""
+    digest = F.expr(f"CASE WHEN {P.is_filled(code_col)} THEN {code_digest(ident(code_col))} END")
+    rows = scored.select(
+        digest.alias("_digest"),
+        # every record has one state at least: explode_outer drops none, and
+        # keeps Spark from testing the array's size below the rules.
+        F.explode_outer(F.concat(F.array(F.lit(_EVERY)), F.col(STATES_COL))).alias("state"))
+    shown = F.expr("CASE WHEN state >= 0 THEN _digest END")
+    counts = (rows.select("state", shown.alias("_digest")).groupBy("state", (F.col("_digest") % examples).alias("bucket"))
+              .agg(F.count(F.lit(1)).alias("n"), F.min("_digest").alias("_digest")))
+    # At most 2 len(fields) * examples digests: safe to broadcast.
+    wanted = F.broadcast(counts.filter("_digest IS NOT NULL AND state % 3 <> 2").select("_digest").distinct())
+    codes = (scored.select(F.col(ident(code_col)).alias("_code"), digest.alias("_digest"))
+             .join(wanted, "_digest").distinct())
+    return (counts.join(F.broadcast(codes), "_digest", "left").groupBy("state")
+            .agg(F.sum("n").alias("n"), F.array_sort(F.collect_list("_code")).alias("codes")))
+
+
+def field_profile(scored: DataFrame, fields: Sequence[str] = K.FIELDS, code_col: str = "CODIGO",
+                  examples: int = K.EXAMPLE_CODES) -> DataFrame:
+    """PF1..PF7: ``resumen_por_campo``.  ``scored`` carries the states of the
+    fields; up to ``examples`` codes are shown per field and state."""
+    # At most 3 len(fields) + 1 small rows: one struct of the whole profile.
+    found = _state_counts(scored, code_col, examples).agg(F.map_from_entries(F.collect_list(
+        F.struct("state", F.struct("n", "codes")))).alias("m"))
+
+    def at(i: int, state: int, part: str) -> str:
+        return f"m[{3 * i + state}].{part}"
+
+    def count(i: int, state: int) -> str:
+        return f"coalesce({at(i, state, 'n')}, 0L)"
+
+    none = "CAST(array() AS ARRAY<STRING>)"
     structs = ", ".join(
         f"named_struct('i', {i}, 'campo', {lit(f)}, 'CATEGORIA', {lit(category_of(f))}, "
-        f"'CANT_NULL', _null{i}, 'CANT_VACIO', _blank{i}, 'CANT_INCONSISTENTES', _inc{i})"
+        f"'CANT_NULL', {count(i, NULL_STATE)}, 'CANT_VACIO', {count(i, BLANK_STATE)}, "
+        f"'CANT_INCONSISTENTES', {count(i, FLAGGED_STATE)}, "
+        f"'CODIGOS_NULL_EJEMPLO', coalesce({at(i, NULL_STATE, 'codes')}, {none}), "
+        f"'CODIGOS_VACIO_EJEMPLO', coalesce({at(i, BLANK_STATE, 'codes')}, {none}))"
         for i, f in enumerate(fields))
-    long = counts.select(F.col("_n"), F.expr(f"inline(array({structs}))"))
+    long = found.select(F.expr(f"coalesce(m[{_EVERY}].n, 0L)").alias("_n"), F.expr(f"inline(array({structs}))"))
     n = F.col("_n")
-    long = long.select(
-        "i", "campo", "CATEGORIA", "CANT_NULL", "CANT_VACIO", "CANT_INCONSISTENTES",
+    return long.select(
+        "campo", "CATEGORIA", "CANT_NULL", "CANT_VACIO", "CANT_INCONSISTENTES",
         pct_half_up(n - F.col("CANT_NULL") - F.col("CANT_VACIO"), n).alias("PCT_COMPLETITUD"),
         pct_half_up(F.col("CANT_NULL"), n).alias("PCT_NULL"),
         pct_half_up(F.col("CANT_INCONSISTENTES"), n).alias("PCT_INCONSISTENTE"),
-    ).withColumn("CALIDAD_CAMPO", quality_band(F.col("PCT_COMPLETITUD")))
-    # At most len(fields) rows by construction: safe to broadcast.
-    ex = F.broadcast(_examples(evaluated, fields, code_col, examples))
-    empty = F.array().cast("array<string>")
-    return long.join(ex, "i", "left").select(
-        *PROFILE_COLUMNS[:-2],
-        F.coalesce("CODIGOS_NULL_EJEMPLO", empty).alias("CODIGOS_NULL_EJEMPLO"),
-        F.coalesce("CODIGOS_VACIO_EJEMPLO", empty).alias("CODIGOS_VACIO_EJEMPLO"),
-    )
+        "CODIGOS_NULL_EJEMPLO", "CODIGOS_VACIO_EJEMPLO",
+    ).withColumn("CALIDAD_CAMPO", quality_band(F.col("PCT_COMPLETITUD"))).select(*PROFILE_COLUMNS)
 
 
 def worst_fields(profile: DataFrame, n: int = 10) -> DataFrame:

@@ -27,10 +27,12 @@ from recordcheck.operators import aggregates as AG
 from recordcheck.operators import detail as D
 from recordcheck.operators import profile as PF
 from recordcheck.operators import views as VW
-from recordcheck.operators.evaluate import DEFAULT_BLOCK, evaluate
+from recordcheck.functions.sql import ident
+from recordcheck.operators.evaluate import DEFAULT_BLOCK, evaluate, with_states
 from recordcheck.operators.detail import ROW_ID
-from recordcheck.operators.summary import RECORD_ID, executive_summary, with_summary
+from recordcheck.operators.summary import RECORD_ID, SUMMARY_COLUMNS, executive_summary, with_summary
 from recordcheck.plans.catalog_party import Catalog, party_catalog
+from recordcheck.schema import OBS_COL, STATES_COL
 from recordcheck.sources.delimited import write_delimited
 from recordcheck.sources.storage import (delete_path, run_path, scratch_path, scratch_table,
                                          write_parquet)
@@ -39,14 +41,16 @@ from recordcheck.sources.storage import (delete_path, run_path, scratch_path, sc
 class Audit:
     def __init__(self, df: DataFrame, catalog: Catalog | None = None, keys: Sequence[str] = (),
                  materialize: bool = True, block_size: int = DEFAULT_BLOCK,
-                 min_partitions: int | None = None, record_id: Sequence[str] = RECORD_ID):
+                 spread: int | None = None, record_id: Sequence[str] = RECORD_ID):
         self.spark = df.sparkSession
         self.source = df
         self.catalog = catalog or party_catalog(df.columns)
         self.keys = tuple(keys)
         self.materialize = materialize
         self.block_size = block_size
-        self.min_partitions = min_partitions
+        # rule evaluation is CPU-bound: an input of few partitions (one small file)
+        # may be dealt round-robin to ``spread`` partitions first; off by default
+        self.spread = spread
         # columns that identify a record in the outputs; the first is its code
         self.record_id = tuple(record_id)
         self._scored: DataFrame | None = None
@@ -54,26 +58,20 @@ class Audit:
 
     # evaluation ----------------------------------------------------------------
 
-    def _spread_source(self) -> DataFrame:
-        """Rule evaluation is CPU-bound per row.  An input that arrives in
-        fewer partitions than the cluster has cores (one small file, one row
-        group) is spread round-robin first; a large input already has far more
-        partitions than that and is left alone (no shuffle)."""
-        want = self.min_partitions or self.spark.sparkContext.defaultParallelism
-        if self.source.rdd.getNumPartitions() < want:
-            return self.source.repartition(want)
-        return self.source
-
     def evaluated(self) -> DataFrame:
         """Input columns + OBS_ARRAY (lazy; not materialized)."""
-        return evaluate(self._spread_source(), self.catalog.rules, self.catalog.fields,
-                        block_size=self.block_size)
+        source = self.source.repartition(self.spread) if self.spread else self.source
+        return evaluate(source, self.catalog.rules, self.catalog.fields, block_size=self.block_size)
 
     @property
     def scored(self) -> DataFrame:
-        """Input columns + OBS_ARRAY + SM1..SM10, materialized when asked."""
+        """Keys, record id, OBS_ARRAY, field states and SM1..SM10, materialized
+        when asked.  The audited columns themselves are not stored again: every
+        output follows from the observations and the states."""
         if self._scored is None:
-            scored = with_summary(self.evaluated())
+            names = list(dict.fromkeys((*self.keys, *self.record_id)))
+            scored = with_summary(with_states(self.evaluated(), self.catalog.fields)).select(
+                *[ident(c) for c in names], OBS_COL, STATES_COL, *SUMMARY_COLUMNS)
             if self.materialize:
                 # A stored row id: the last sort key of ordered outputs, so the
                 # range partitioner can split a hot CODIGO across partitions.
@@ -138,21 +136,23 @@ class Audit:
     def field_type_counts(self) -> DataFrame:
         return AG.field_type_counts(self.detail(order="none"))
 
-    def profile(self) -> DataFrame:
-        return PF.field_profile(self.scored, self.catalog.fields, code_col=self.record_id[0])
+    def profile(self, examples: int = K.EXAMPLE_CODES) -> DataFrame:
+        """PF1..PF7 with up to ``examples`` example codes per field and state."""
+        return PF.field_profile(self.scored, self.catalog.fields, self.record_id[0], examples)
 
     # sinks ---------------------------------------------------------------------
 
     def write(self, root: str, run_id: str = K.DEFAULT_RUN_ID, csv: bool = False,
               csv_single_file: bool = False) -> str:
         """SNK1 (+ SNK2 when ``csv``): the six parquet outputs under
-        ``<root>/resultados_<run_id>``.  Files need no global order, so the
-        detail and report are sorted inside partitions only."""
+        ``<root>/resultados_<run_id>``.  Detail and report files hold disjoint,
+        sorted ranges of (code, field), so a reader of one code skips the others;
+        the CSV copies are made from the parquet files."""
         out = run_path(root, run_id)
         outputs = {
             "resumen_ejecutivo": self.summary(),
-            "detalle_observaciones": self.detail(order="local"),
-            "reporte_auditoria": self.report(order="local"),
+            "detalle_observaciones": self.detail(order="range"),
+            "reporte_auditoria": self.report(order="range"),
             "resumen_por_campo": self.profile(),
             "registros_criticos": self.critical(),
             "registros_con_dependencias": self.dependencies(),
@@ -161,5 +161,6 @@ class Audit:
             write_parquet(df, f"{out}/{name}")
         if csv:
             for name in ("reporte_auditoria", "resumen_por_campo", "resumen_ejecutivo"):
-                write_delimited(outputs[name], f"{out}/{name}_csv", single_file=csv_single_file)
+                written = self.spark.read.schema(outputs[name].schema).parquet(f"{out}/{name}")
+                write_delimited(written, f"{out}/{name}_csv", single_file=csv_single_file)
         return out

@@ -6,16 +6,11 @@ from pyspark.sql import types as T
 
 from recordcheck import constants as K
 
-# One observation: which field, why, which type and how severe.
-OBS_STRUCT = T.StructType([
-    T.StructField("idx", T.IntegerType(), False),
-    T.StructField("campo", T.StringType(), False),
-    T.StructField("motivo", T.StringType(), False),
-    T.StructField("tipo", T.StringType(), False),
-    T.StructField("severidad", T.StringType(), False),
-])
-OBS_ARRAY = T.ArrayType(OBS_STRUCT, containsNull=False)
+# array<struct<idx, campo, motivo, tipo, severidad>>: which field, why, which
+# type and how severe (declared as text in operators.evaluate).
 OBS_COL = "OBS_ARRAY"
+# array<int> of field states (see operators.evaluate.states_sql); never an output.
+STATES_COL = "_rc_states"
 
 FIELD_INDEX = {name: i for i, name in enumerate(K.FIELDS)}
 

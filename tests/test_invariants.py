@@ -47,8 +47,8 @@ def test_record_counts(spark, party_small):
 
 
 def test_partition_count_does_not_change_results(spark, party_small):
-    a = Audit(party_small.repartition(3), keys=("k",), min_partitions=3).summary()
-    b = Audit(party_small.repartition(7), keys=("k",), min_partitions=7).summary()
+    a = Audit(party_small.repartition(3), keys=("k",), spread=3).summary()
+    b = Audit(party_small.repartition(7), keys=("k",)).summary()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
@@ -59,11 +59,18 @@ def test_top_fields_is_bounded_and_sorted(spark, party_small):
     assert counts == sorted(counts, reverse=True)
 
 
-def test_profile_examples_are_first_codes(spark, party_small):
-    from recordcheck.functions import predicates as P
-
-    a = Audit(party_small, keys=("k",))
-    row = a.profile().filter(F.col("campo") == "TELEFONO").collect()[0]
-    want = [r[0] for r in party_small.filter(F.expr(P.is_null("TELEFONO")) & F.col("CODIGO").isNotNull())
-            .select("CODIGO").orderBy("CODIGO").limit(5).collect()]
-    assert row["CODIGOS_NULL_EJEMPLO"] == want
+def test_profile_examples_are_distinct_and_filled(spark, party_small):
+    hot = party_small.withColumn("CODIGO", F.when(F.col("k") % 3 == 0, F.lit("XXXX")).otherwise(F.col("CODIGO")))
+    a = Audit(hot, keys=("k",))
+    cells = {r["k"]: r.asDict() for r in hot.collect()}
+    for row in a.profile().collect():
+        for column, test in (("CODIGOS_NULL_EJEMPLO", lambda v: v is None),
+                             ("CODIGOS_VACIO_EJEMPLO", lambda v: v is not None and not v.strip(" "))):
+            codes = row[column]
+            assert len(codes) == len(set(codes)) <= 5
+            assert all(c.strip(" ") for c in codes)
+            having = {r["CODIGO"] for r in cells.values() if test(r[row["campo"]])}
+            assert set(codes) <= having
+            if len({c for c in having if c and c.strip(" ")}) >= 100:
+                assert len(codes) == 5
+    assert len(a.profile(examples=2).first()["CODIGOS_NULL_EJEMPLO"]) <= 2

@@ -1,6 +1,8 @@
 """Plan shape: the evaluation is one narrow projection and the derived
 outputs never re-evaluate the rules inside a pushed-down filter."""
 
+from pyspark.sql import functions as F
+
 from recordcheck.operators.detail import detail
 from recordcheck.operators.evaluate import evaluate
 from recordcheck.plans.audit import Audit
@@ -39,10 +41,55 @@ def test_views_read_the_materialized_table(party_small):
     assert "Relation" in plan and "parquet" in plan
 
 
-def test_profile_limits_example_codes_before_the_shuffle(party_small):
+def test_profile_reads_states_only(party_small):
     plan = physical(Audit(party_small, keys=("k",)).profile())
-    # the per-(field, state) top-k is applied map-side, not after a full shuffle
-    assert "WindowGroupLimit" in plan
+    read = [line for line in plan.splitlines() if "ReadSchema" in line]
+    assert read and all("CODIGO:" in r and "NIT" not in r and "TELEFONO" not in r and "OBS_ARRAY" not in r for r in read)
+    assert sum("_rc_states" in r for r in read) >= 1
+    assert "Window " not in plan and "SortAggregate" not in plan and " Sort [" not in plan
+    assert "partial_count" in plan
+
+
+def test_scored_table_stores_no_audited_column(party_small):
+    a = Audit(party_small, keys=("k",))
+    kept = {"k", "CODIGO", "RAZON_SOCIAL", "NIT"}
+    assert set(a.scored.columns) & set(party_small.columns) == kept
+    # written in one pass over the source
+    lazy = physical(Audit(party_small, keys=("k",), materialize=False).scored)
+    assert lazy.count("FileScan") == 1 and "Exchange" not in lazy
+
+
+def test_building_an_audit_starts_no_job(spark, party_small):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("audit-build", "build")
+    try:
+        a = Audit(party_small.repartition(3).groupBy("k").agg(F.first("NIT").alias("NIT")).join(party_small.drop("NIT"), "k"),
+                  keys=("k",), materialize=False)
+        a.summary(), a.critical(), a.profile(), a.report(order="none")
+        assert not tracker.getJobIdsForGroup("audit-build")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_views_of_registered_queries_do_not_repeat_the_rules(spark):
+    from recordcheck.plans.queries import registry
+    from tests.conftest import SMALL
+
+    plan = optimized(registry()["dq_view_critical"](spark, SMALL))
+    for line in plan.splitlines():
+        if line.strip().lstrip("+-: ").startswith("Filter"):
+            assert "flatten(" not in line, line
+
+
+def test_record_lookup_filters_the_source(spark):
+    from recordcheck.plans.queries import registry
+    from tests.conftest import SMALL
+
+    plan = optimized(registry()["dq_record_lookup"](spark, SMALL))
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "flatten(" in line)
+    below = "\n".join(lines[at + 1:])
+    assert "Filter" in below and "C7" in below       # the code is tested under the rules
 
 
 def test_field_counts_are_partially_aggregated(party_small):
@@ -56,8 +103,6 @@ def test_fixture_reads_only_the_key_column(party_small):
 
 
 def test_sorted_detail_spreads_a_hot_code(spark, party_small):
-    from pyspark.sql import functions as F
-
     # a third of all records share one code
     hot = party_small.withColumn("CODIGO", F.when(F.col("k") % 3 == 0, F.lit("XXXX")).otherwise(F.col("CODIGO")))
     det = Audit(hot, keys=("k",)).detail(order="global")
