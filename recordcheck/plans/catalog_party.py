@@ -144,36 +144,34 @@ def _optional(present: Sequence[str], pat: str) -> Iterable[Rule]:
 
 
 def party_rules(columns: Sequence[str] | None = None, mutual: str = "any",
-                unicode_case: bool = False) -> tuple[Rule, ...]:
+                unicode_case: bool = False, header: bool = False) -> tuple[Rule, ...]:
     """The R1..R28 rule instances for an input with ``columns`` (default: all 54).
 
-    R1/R2 cover every audited field present and R28 every optional field
-    present; the other rules need their fields.  ``unicode_case`` makes the
+    R1/R2 cover every audited field present (``header``: every column, in the
+    order of the header) and R28 every optional field present; the other rules
+    need their fields.  ``unicode_case`` makes the
     placeholder words fold accented capitals too (default: ASCII only, as
     specified).
     """
     present = [f for f in K.FIELDS if columns is None or f in columns]
     pat = V.placeholder_pattern(unicode_case=unicode_case)
-    return (*_null_blank(present), *_mandatory(pat), *_management(), *_legal_representative(pat),
+    return (*_null_blank(columns if header and columns else present), *_mandatory(pat), *_management(), *_legal_representative(pat),
             *_optional_conditional(mutual), *_optional(present, pat))
 
 
 def party_catalog(columns: Sequence[str] | None = None, extended: bool = False,
-                  as_of: str = K.DEFAULT_AS_OF, mutual: str = "any", unicode_case: bool = False) -> Catalog:
-    rules = party_rules(columns, mutual, unicode_case)
+                  as_of: str = K.DEFAULT_AS_OF, mutual: str = "any", unicode_case: bool = False,
+                  header: bool = False) -> Catalog:
+    """The catalogue for an input with ``columns``.  A field's index is its code in
+    the list of 54; with ``header`` the columns are those of the file: indices are
+    their positions, and columns beyond the 54 are audited for NULL and blank."""
+    rules = party_rules(columns, mutual, unicode_case, header)
     families = FAMILIES
     if extended:
         from recordcheck.plans.catalog_extended import EXTENDED_FAMILIES, extended_rules
         rules = rules + extended_rules(as_of)
         families = FAMILIES + EXTENDED_FAMILIES
-    return Catalog("party", K.FIELDS, rules, families)
+    return Catalog("party", tuple(columns) if header and columns else K.FIELDS, rules, families)
 
 
-# Convenience for callers that only need a Column, e.g. notebooks.
-def rule_condition(rule: Rule):
-    from recordcheck.functions.sql import column
-
-    return column(rule.sql())
-
-
-__all__ = ["Catalog", "party_catalog", "party_rules", "rule_condition", "FAMILIES"]
+__all__ = ["Catalog", "party_catalog", "party_rules", "FAMILIES"]

@@ -24,6 +24,7 @@ from recordcheck.operators.summary import COUNTERS, TOTAL
 from recordcheck.plans.audit import Audit
 from recordcheck.plans.catalog_party import party_catalog
 from recordcheck.sources.fixtures import party
+from recordcheck.sources.storage import scratch_path
 from recordcheck.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,10 +114,18 @@ def dq_report(spark, sf):
     return _audit(spark, sf, materialize=True).report(order="global")
 
 
-# Views (on the materialized evaluation) -----------------------------------------
+# Views -----------------------------------------------------------------------------
+
+def _fenced(df: DataFrame) -> DataFrame:
+    """The same rows through a one-row generator: a filter on top of it stays
+    there.  Below it Spark would substitute the whole rule array into the
+    condition once per counter named."""
+    row = F.array(F.struct(*[F.col(c) for c in df.columns]))
+    return df.select(F.explode_outer(row).alias("_r")).select("_r.*")
+
 
 def _view(fn) -> Query:
-    return lambda spark, sf: _bigint_counters(fn(_audit(spark, sf, materialize=True).summary()))
+    return lambda spark, sf: fn(_fenced(_bigint_counters(_audit(spark, sf).summary())))
 
 
 dq_view_critical = _view(VW.critical_records)
@@ -128,22 +137,29 @@ dq_bad_nit = _view(VW.bad_tax_id)
 
 
 def dq_heavy_records(spark, sf):
-    """SO4: records with more than 10 observations, most first."""
+    """SO4: records with more than 10 observations, most first.  The order
+    samples its input, so it reads the materialized evaluation."""
     return _bigint_counters(_audit(spark, sf, materialize=True).heavy_records())
 
 
+def _one_record(spark, sf) -> Audit:
+    """The audit of the records with one code: the code passes through
+    untouched, so the source is filtered before any rule runs."""
+    return Audit(_party(spark, sf).filter(F.col("CODIGO") == LOOKUP_CODE), keys=KEYS, materialize=False)
+
+
 def dq_record_lookup(spark, sf):
     """EX2: detail rows of one record code."""
-    return VW.record_lookup(_audit(spark, sf, materialize=True).detail(order="global"), LOOKUP_CODE)
+    return VW.record_lookup(_one_record(spark, sf).detail(order="local"), LOOKUP_CODE)
 
 
 def dq_report_lookup(spark, sf):
     """EX3: report rows of one record code."""
-    return VW.record_lookup(_audit(spark, sf, materialize=True).report(order="global"), LOOKUP_CODE)
+    return VW.record_lookup(_one_record(spark, sf).report(order="local"), LOOKUP_CODE)
 
 
 def _report_filter(fn, value) -> Query:
-    return lambda spark, sf: fn(_audit(spark, sf, materialize=True).report(order="none"), value)
+    return lambda spark, sf: fn(_audit(spark, sf).report(order="none"), value)
 
 
 dq_report_null_type = _report_filter(VW.by_type, K.TIPO_NULL)
@@ -182,7 +198,7 @@ def dq_field_type_counts(spark, sf):
 # Per-field profile ------------------------------------------------------------
 
 def _profile(spark, sf) -> DataFrame:
-    return _audit(spark, sf, materialize=True).profile()
+    return _audit(spark, sf).profile()
 
 
 def dq_field_profile(spark, sf):
@@ -256,48 +272,89 @@ def dq_dates(spark, sf):
     return _field_checks(spark, sf, exprs)
 
 
+def _text_checks(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """V6..V9 and the draft list over whole texts, and how many of their
+    pieces are placeholder words or too short for an address."""
+    return df.select(*keys, *[F.expr(e).alias(name) for name, e in {
+        "TEXTO_INVALIDO": V.text_invalid("text"), "TEXTO_INVALIDO_BORRADOR": V.text_invalid("text", runs=K.KEYBOARD_RUNS_DRAFT),
+        "SECUENCIA_NUMERICA": V.numeric_sequence("text"), "LETRAS_REPETIDAS": V.repeated_letters("text"),
+        "TIENE_PALABRA_INVALIDA": V.has_placeholder("text"), "VACIO": P.is_empty("text")}.items()])
+
+
 def dq_documents_text(spark, sf):
-    """V1 / V2 / PB3 on every whole document text (the large text table)."""
-    docs = read_table(spark, sf, "documents")
-    return docs.select("doc_id", "lang", "source",
-                       F.expr(V.has_placeholder("text")).alias("TIENE_PALABRA_INVALIDA"),
-                       F.expr(V.email_invalid("text")).alias("EMAIL_INVALIDO"),
-                       F.expr(P.is_empty("text")).alias("VACIO"))
+    """V1, V6, V6b, V7, V8, PB3 on every whole document text."""
+    return _text_checks(read_table(spark, sf, "documents"), ("doc_id", "lang", "source"))
 
 
 def dq_conversations_text(spark, sf):
-    """V1 / V2 / PB3 on every whole conversation turn."""
-    conv = read_table(spark, sf, "conversations")
-    return conv.select("conv_id", "turn", "role",
-                       F.expr(V.has_placeholder("text")).alias("TIENE_PALABRA_INVALIDA"),
-                       F.expr(V.email_invalid("text")).alias("EMAIL_INVALIDO"),
-                       F.expr(P.is_empty("text")).alias("VACIO"))
+    """V1, V6, V6b, V7, V8, PB3 on every whole conversation turn."""
+    return _text_checks(read_table(spark, sf, "conversations"), ("conv_id", "turn", "role"))
 
 
-def dq_placeholder_by_lang(spark, sf):
-    """V1 over all documents, counted per language (partial aggregation)."""
+def _pieces(spark, sf) -> DataFrame:
+    """(doc_id, lang, pieza): the blank-separated pieces of all documents."""
     docs = read_table(spark, sf, "documents")
-    return docs.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("DOCUMENTOS"),
-        F.expr(f"count_if({V.has_placeholder('text')})").alias("CON_PALABRA_INVALIDA"))
+    return docs.select("doc_id", "lang", F.explode(F.split("text", "[ \\n]+")).alias("pieza"))
 
 
-def dq_csv_roundtrip(spark, sf):
-    """SRC1 + SNK2 + SNK1: the party table written as ';' text with a header
-    under the shared checkpoint folder, read back with an explicit all-string
-    schema (header names checked), audited, and the summary returned."""
-    import uuid
+def dq_documents_email(spark, sf):
+    """V2 on every piece of a document text that holds an at sign."""
+    return _pieces(spark, sf).filter(F.col("pieza").contains("@")).select(
+        "doc_id", "pieza", F.expr(V.email_invalid("pieza")).alias("EMAIL_INVALIDO"))
+
+
+def dq_documents_phone(spark, sf):
+    """V3 and V5 on every piece of a document text that holds a digit."""
+    return _pieces(spark, sf).filter(F.col("pieza").rlike("[0-9]")).select(
+        "doc_id", "pieza", F.expr(V.phone_invalid("pieza")).alias("TELEFONO_INVALIDO"),
+        F.expr(V.address_invalid("pieza")).alias("DOMICILIO_INVALIDO"))
+
+
+def dq_placeholder_by_lang(spark, sf):
+    """V1 and V6 over the pieces of all documents, counted per language
+    (partial aggregation)."""
+    return _pieces(spark, sf).groupBy("lang").agg(
+        F.count(F.lit(1)).alias("PIEZAS"),
+        F.expr(f"count_if({V.has_placeholder('pieza')})").alias("CON_PALABRA_INVALIDA"),
+        F.expr(f"count_if({V.text_invalid('pieza')})").alias("CON_TEXTO_INVALIDO"))
+
 
+def dq_csv_roundtrip(spark, sf):
+    """SRC1 + SNK2: the party table written as ';' text with a header under the
+    shared folder, read back by its header as all strings, audited, and the
+    summary returned."""
     from recordcheck.sources.delimited import read_delimited, write_delimited
-    from recordcheck.sources.storage import checkpoint_dir
 
-    path = f"{checkpoint_dir(spark)}/recordcheck-csv-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "csv")
     write_delimited(_party(spark, sf), path)
-    back = read_delimited(spark, path, fields=("k",) + K.FIELDS, ignore_corrupt_files=True)
+    back = read_delimited(spark, path)
     back = back.withColumn("k", F.col("k").cast("long"))
     return _bigint_counters(Audit(back, keys=KEYS, materialize=False).summary())
 
 
+OUTPUTS = ("resumen_ejecutivo", "detalle_observaciones", "reporte_auditoria", "resumen_por_campo",
+           "registros_criticos", "registros_con_dependencias")
+
+
+def _written(name: str) -> Query:
+    """SNK1 + SNK3: all outputs written under a run-stamped path in the shared
+    folder, one of them read back."""
+    def query(spark, sf):
+        with _audit(spark, sf, materialize=True) as audit:
+            path = audit.write(scratch_path(spark, "outputs"), run_id="20251130")
+        return _joined_arrays(_bigint_counters(spark.read.parquet(f"{path}/{name}")))
+
+    return query
+
+
+def s13_tx_required_all(spark, sf):
+    """A transaction field is required only when both others are filled."""
+    src = _party(spark, sf)
+    cat = party_catalog(src.columns, mutual="all").only("R19", "R20", "R21")
+    ev = evaluate(src, cat.rules, cat.fields)
+    return detail_rows(ev, KEYS, order="none").drop("CODIGO", "RAZON_SOCIAL", "NIT")
+
+
 # One query per predicate / validator (PB1..PB13, V1..V10) -----------------------
 
 _ALL = K.FIELDS
@@ -326,6 +383,7 @@ FIELD_FUNCTIONS = {
     "v05_address": ("V5", V.address_invalid,
                     ("DOMICILIO", "DOMICILIO_PARTICULAR_REP_LEGAL", "DOMICILIO_COMERCIAL_REP_LEGAL")),
     "v06_free_text": ("V6", V.text_invalid, _TEXT),
+    "v06b_free_text_draft": ("V6B", lambda c: V.text_invalid(c, runs=K.KEYBOARD_RUNS_DRAFT), _TEXT),
     "v07_numeric_sequence": ("V7", V.numeric_sequence, NUMERIC_OPTIONAL + ("TELEFONO", "NRO_DOC_ID")),
     "v08_repeated_letters": ("V8", V.repeated_letters, _TEXT),
     "v09_optional_text": ("V9", V.optional_text_inconsistent, K.OPTIONAL),
@@ -363,16 +421,6 @@ def dq_ratio(spark, sf):
     return _audit(spark, sf).record_counts().select("PCT_CON_OBS", "PCT_LIMPIOS")
 
 
-def dq_documents_placeholder(spark, sf):
-    """V1 on every whole document text."""
-    return dq_documents_text(spark, sf).select("doc_id", "TIENE_PALABRA_INVALIDA")
-
-
-def dq_documents_email(spark, sf):
-    """V2 on every whole conversation turn."""
-    return dq_conversations_text(spark, sf).select("conv_id", "turn", "EMAIL_INVALIDO")
-
-
 def dq_extended_obs(spark, sf):
     """S1..S9, S12: observations of the extended catalogue."""
     from recordcheck.plans.catalog_extended import EXTENDED_FAMILIES
@@ -398,6 +446,9 @@ def registry() -> dict[str, Query]:
                  "dq_null_above", "dq_excellent_fields", "dq_one_field", "dq_category_avg",
                  "dq_numeric_text", "dq_seq_repeat", "dq_dates", "dq_documents_text",
                  "dq_conversations_text", "dq_placeholder_by_lang", "dq_csv_roundtrip",
-                 "dq_extended_obs", "dq_ratio", "dq_documents_placeholder", "dq_documents_email"):
+                 "dq_extended_obs", "dq_ratio", "dq_documents_email", "dq_documents_phone",
+                 "s13_tx_required_all"):
         out[name] = g[name]
+    for name in OUTPUTS:
+        out[f"snk1_{name}"] = _written(name)
     return out

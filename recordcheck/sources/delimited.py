@@ -2,8 +2,9 @@
 
 The audited table arrives as a ``;``-separated file with a header.  Every
 column is read as a nullable string with an explicit schema (no inference
-pass over the data), and ``enforceSchema=False`` makes Spark check the
-header's names against that schema instead of trusting positions.
+pass over the data): the names of the first file's header, or a fixed list.
+``enforceSchema=False`` makes Spark check every file's header against that
+schema instead of trusting positions.
 """
 
 from __future__ import annotations
@@ -14,19 +15,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordcheck import constants as K
 from recordcheck.schema import string_schema
 
 
-def read_delimited(spark: SparkSession, path: str, fields: Sequence[str] = K.FIELDS,
+def header_of(spark: SparkSession, path: str, sep: str = ";", encoding: str = "UTF-8") -> list[str]:
+    """Column names of a delimited file (reads one line)."""
+    return spark.read.option("header", True).option("sep", sep).option("encoding", encoding).csv(path).columns
+
+
+def read_delimited(spark: SparkSession, path: str, fields: Sequence[str] | None = None,
                    sep: str = ";", ignore_corrupt_files: bool = False,
                    encoding: str = "UTF-8") -> DataFrame:
-    """SRC1 (+ SRC2 when ``ignore_corrupt_files``): read the audited table.
+    """SRC1 (+ SRC2 when ``ignore_corrupt_files``: rows of unreadable files are
+    left out): read the audited table.  Columns are those of the header, in its
+    order; with ``fields`` (e.g. ``constants.FIELDS``) the header must be exactly
+    these.
 
     Missing values and ``""`` become NULL; whitespace-only text survives (it is
     the blank state).  Short lines are padded with NULL.
     """
-    reader = (spark.read.schema(string_schema(fields))
+    names = list(fields) if fields is not None else header_of(spark, path, sep, encoding)
+    reader = (spark.read.schema(string_schema(names))
               .option("header", True)
               .option("sep", sep)
               .option("enforceSchema", False)

@@ -7,8 +7,10 @@ it must be right for any data of this schema.
 
 Cell rule (test-input specification): for field index ``i`` the cell is
 *dirty* when ``k % 10 <> 0 AND (k + i) % p = 0`` with ``p = [3, 7, 11][i % 3]``;
-a dirty cell takes the state ``(k div 7) % 4``: 0 NULL, 1 three spaces,
-2 ``NO APLICA``, 3 the field's bad value.  Otherwise the good value.
+a dirty cell takes the state ``(k div 7 + i) % 4``: 0 NULL, 1 three spaces,
+2 ``NO APLICA``, 3 one of the field's bad values, in turn over ``k div 28``.
+Otherwise the good value.  The cells of one field (``MOSTLY_NULL``) are NULL
+wherever ``k % 10`` is 1 to 7.
 """
 
 from __future__ import annotations
@@ -76,6 +78,38 @@ PARTY_VALUES = (
     ("FECHA_ULTIMA_ACTUALIZACION", "'10/06/2025'", "01/01/1800"),
     ("CANTIDAD_ACTUALIZACIONES", "'3'", "1"),
 )
+# FIXED VALUES (test input): more bad values of some fields.
+MORE_BAD = {
+    "FECHA_ULTIMA_TRANSACCION": ("5/3/2024", " 15/03/2025", "15/03/2025 10:00", "05-03-2024", "31/02/2024"),
+    "FECHA_NACIMIENTO_REP_LEGAL": ("15/03/25", "1/ 2/1980", "30/02/1980", "20/13/1980"),
+    "FECHA_INGRESO_TRABAJO_REP_LEGAL": ("1/2/2015", "01/02/2015x", "2015-02-01"),
+    "FECHA_INGRESO_TRAB_REP_LEGAL": ("9/9/2019", "32/01/2020"),
+    "FECHA_ALTA": ("9/1/2020", "1/7/2025 08:30", "0/1/2020"),
+    "FECHA_ULTIMA_ACTUALIZACION": ("1/1/2019", " 9/1/2020 ", "31/04/2025"),
+    "RAZON_SOCIAL": ("AAAA SRL", "12345", "ABABAB", "BCDF", "REFVIAL SRL", "XX"),
+    "NIT": ("48205170159", "4820-517011", "102030100"),
+    "NRO_DOC_ID": ("1234567", "XXXXX"),
+    "EXT_DOC_ID": ("OOOORURO",),
+    "CLASIFICACION_TIPO_RIESGO": ("AAAALTO",),
+    "EXP_DOCUMENTO_IDENTIDAD_REP_LEGAL": ("PPPPOTOSI",),
+    "REFERENCIAS_PERS_REP_LEGAL": ("MMMMARIA 70512234",),
+    "REFERENCIAS_COM_REP_LEGAL": ("FFFFERRETERIA",),
+    "REFERENCIAS_BANCARIAS_REP_LEGAL": ("BBBBANCO 2205512",),
+    "NUMERO_REGISTRO": ("RRRREGISTRO", "12345", "1111", "98x76", "5791"),
+    "NIT_REP_LEGAL": ("NNNNIT", "123456789", "777777", "135791"),
+    "TELEFONO": ("123", "12345678", "70-512-234"),
+    "TELEFONO_REP_LEGAL": ("66666666", "9876543"),
+    "DOMICILIO": ("12345678", "CALLE S/N", "CASA"),
+    "DOMICILIO_COMERCIAL_REP_LEGAL": ("12", "CCCCALLE SUCRE"),
+    "CORREO_ELECTRONICO_REP_LEGAL": ("12345@acme.bo", "aaaa.rojas@acme.bo", "ana rojas@acme.bo"),
+    "NIVEL_INGRESOS_REP_LEGAL": ("350", "1.234,56", "1,234.56", "12,5", "1.234.567", ",", "-,5", "Bs 100-"),
+    "NIVEL_INGRESOS_REP_LEGAL_SUS": ("900.5", "-1.5", "1.796,05", "-", ".", "--3", "2,500,000.75"),
+    "IDENTIFICACION_CANT_INT_ALTA_GERENCIA": ("3.5", "-2", "dos", " 4 "),
+    "CANTIDAD_ACTUALIZACIONES": ("0", "2.9", "x", "-1"),
+    "LUGAR_TRABAJO_REP_LEGAL": ("TTTT SA", "ASDFGH"),
+    "CARGO_REP_LEGAL": ("JEFEEEE", "BCDF"),
+}
+MOSTLY_NULL = "OPERACION_ASOCIADA_ALTA"
 PERIODS = (3, 7, 11)
 BLANK = "   "
 PLACEHOLDER = "NO APLICA"
@@ -86,13 +120,16 @@ assert tuple(f for f, _, _ in PARTY_VALUES) == K.FIELDS
 
 def party_cell_sql(i: int, good: str, bad: str) -> str:
     """Expression text of field ``i`` over the key column ``k``."""
-    p = PERIODS[i % 3]
+    name, p = PARTY_VALUES[i][0], PERIODS[i % 3]
     dirty = f"(k % 10 <> 0 AND (k + {i}) % {p} = 0)"
-    state = "((k div 7) % 4)"
-    return (f"CASE WHEN {dirty} AND {state} = 0 THEN CAST(NULL AS STRING) "
+    state = f"((k div 7 + {i}) % 4)"
+    bads = (bad, *MORE_BAD.get(name, ()))
+    turn = f"element_at(array({', '.join(map(lit, bads))}), CAST((k div 28) % {len(bads)} + 1 AS INT))"
+    missing = f"(k % 10 BETWEEN 1 AND 7) OR ({dirty} AND {state} = 0)" if name == MOSTLY_NULL else f"{dirty} AND {state} = 0"
+    return (f"CASE WHEN {missing} THEN CAST(NULL AS STRING) "
             f"WHEN {dirty} AND {state} = 1 THEN {lit(BLANK)} "
             f"WHEN {dirty} AND {state} = 2 THEN {lit(PLACEHOLDER)} "
-            f"WHEN {dirty} THEN {lit(bad)} ELSE {good} END")
+            f"WHEN {dirty} THEN {turn} ELSE {good} END")
 
 
 def party_from_keys(keys: DataFrame, key_col: str, keep_key: str | None = "k") -> DataFrame:
