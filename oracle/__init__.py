@@ -4,6 +4,7 @@ same column names)."""
 from __future__ import annotations
 
 from oracle import party_sql as S
+from oracle.spec import FIELD_QUERIES
 
 GROUPS = {
     "dq_null_blank_obs": ("R1", "R2"),
@@ -75,17 +76,19 @@ def oracle_queries() -> dict[str, str]:
         "dq_csv_roundtrip": S.summary_sql(),
         "dq_extended_obs": S.extended_obs_sql(),
     })
-    from recordcheck.plans.queries import FIELD_FUNCTIONS   # which fields each function covers
-
-    for name, (prefix, _, fields) in FIELD_FUNCTIONS.items():
+    for name, (prefix, fields) in FIELD_QUERIES.items():
         out[name] = S.field_function_sql(prefix, fields)
     for name, cols in SUMMARY_PARTS.items():
         out[name] = S.summary_sql().replace("SELECT * FROM summary", f"SELECT k, {', '.join(cols)} FROM summary")
     out["dq_ratio"] = f"SELECT PCT_CON_OBS, PCT_LIMPIOS FROM ({S.record_counts_sql()})"
-    out["dq_documents_placeholder"] = (
-        f"SELECT doc_id, TIENE_PALABRA_INVALIDA FROM ({S.text_table_sql('documents', 'doc_id')})")
-    out["dq_documents_email"] = (
-        f"SELECT conv_id, turn, EMAIL_INVALIDO FROM ({S.text_table_sql('conversations', 'conv_id, turn')})")
+    out["dq_documents_email"] = S.pieces_email_sql()
+    out["dq_documents_phone"] = S.pieces_phone_sql()
+    out["s13_tx_required_all"] = S.tx_required_all_sql()
+    for output, query in {"resumen_ejecutivo": "dq_summary", "detalle_observaciones": "dq_detail",
+                          "reporte_auditoria": "dq_report", "resumen_por_campo": "dq_field_profile",
+                          "registros_criticos": "dq_view_critical",
+                          "registros_con_dependencias": "dq_view_dependency"}.items():
+        out[f"snk1_{output}"] = out[query]
     return out
 
 

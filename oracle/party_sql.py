@@ -2,9 +2,9 @@
 
 Written against the specification, not generated from the Spark rule
 catalogue: its own SQL predicates, one ``UNION ALL`` branch per rule instance
-and ``string_agg ... ORDER BY`` for the lists.  Shared with the Spark side are
-only fixed data: field names and category lists, the placeholder word list
-and the ``party`` test-input values.
+and ``string_agg ... ORDER BY`` for the lists.  Its field, word and run lists are
+its own (``oracle.spec``); shared with the Spark side are only the ``party``
+test-input values.
 
 DuckDB's regex engine (RE2) has no back-references or look-around, and its
 ``(?i)`` folds Unicode while Java's folds ASCII only, so those checks are
@@ -13,8 +13,8 @@ spelled out here (positional comparisons, explicit character classes).
 
 from __future__ import annotations
 
-from recordcheck import constants as K
-from recordcheck.sources.fixtures import BLANK, PARTY_VALUES, PERIODS, PLACEHOLDER
+from oracle import spec as K
+from recordcheck.sources.fixtures import BLANK, MORE_BAD, MOSTLY_NULL, PARTY_VALUES, PERIODS, PLACEHOLDER
 
 FIELDS = list(K.FIELDS)
 IDX = {f: i for i, f in enumerate(FIELDS)}
@@ -54,12 +54,15 @@ def party_select(source: str = "orders") -> str:
     for i, (name, good, bad) in enumerate(PARTY_VALUES):
         p = PERIODS[i % 3]
         dirty = f"(k % 10 <> 0 AND (k + {i}) % {p} = 0)"
-        st = "((k // 7) % 4)"
+        st = f"((k // 7 + {i}) % 4)"
+        bads = [bad, *MORE_BAD.get(name, ())]
+        turn = f"[{', '.join(map(q, bads))}][(k // 28) % {len(bads)} + 1]"
+        null = f"{dirty} AND {st} = 0" + (" OR k % 10 BETWEEN 1 AND 7" if name == MOSTLY_NULL else "")
         cols.append(
-            f"CASE WHEN {dirty} AND {st} = 0 THEN NULL "
+            f"CASE WHEN {null} THEN NULL "
             f"WHEN {dirty} AND {st} = 1 THEN {q(BLANK)} "
             f"WHEN {dirty} AND {st} = 2 THEN {q(PLACEHOLDER)} "
-            f"WHEN {dirty} THEN {q(bad)} ELSE {good} END AS {name}")
+            f"WHEN {dirty} THEN {turn} ELSE {good} END AS {name}")
     return (f"SELECT {', '.join(cols)} FROM (SELECT CAST({key} AS BIGINT) AS k FROM {source})")
 
 
@@ -121,13 +124,18 @@ def unit_repeat(s):
     return "(" + " OR ".join(parts) + ")"
 
 
-def text_invalid(c, min_len=3, runs=K.KEYBOARD_RUNS):
-    s = f"upper(trim({c}, ' '))"
+def full_upper(c):
+    """Upper case with the two-letter form of the sharp s, as Java gives it."""
+    return f"upper(replace(trim({c}, ' '), 'ß', 'ss'))"
+
+
+def text_invalid(c, min_len=3, runs=K.KEYBOARD_RUNS, four=None):
+    s = full_upper(c)
     letters = f"regexp_replace({s}, '[^{K.LETTERS_CLASS}]', '', 'g')"
     kb = " OR ".join(f"contains({s}, {q(r)})" for r in runs)
     return (f"({filled(c)} AND (length(trim({c}, ' ')) < {min_len} "
             f"OR length(regexp_replace({c}, '[0-9]', '', 'g')) = 0 "
-            f"OR {run4(s)} OR {unit_repeat(s)} OR {kb} "
+            f"OR {four or run4(s)} OR {unit_repeat(s)} OR {kb} "
             f"OR (length({letters}) >= 3 AND NOT regexp_matches({letters}, '[{K.VOWELS_CLASS}]')) "
             f"OR {placeholder(c)}))")
 
@@ -353,7 +361,8 @@ def profile_sql(where: str | None = None, select: str = "*") -> str:
     rows = []
     for i, f in enumerate(FIELDS):
         ex = lambda cond: (f"(SELECT coalesce(string_agg(CODIGO, ', ' ORDER BY CODIGO), '') FROM "
-                           f"(SELECT CODIGO FROM party WHERE {cond} AND CODIGO IS NOT NULL ORDER BY CODIGO LIMIT {K.EXAMPLE_CODES}))")
+                           f"(SELECT arg_min(CODIGO, d) AS CODIGO FROM (SELECT CODIGO, ('0x' || substr(md5(CODIGO), 1, 15))::BIGINT AS d "
+                           f"FROM party WHERE {cond} AND trim(CODIGO, ' ') <> '') GROUP BY d % {K.EXAMPLE_CODES}))")
         rows.append(
             f"SELECT {q(f)} AS campo, {q(category(f))} AS CATEGORIA, count(*) AS n, "
             f"count(*) FILTER (WHERE {is_null(f)}) AS CANT_NULL, "
@@ -415,15 +424,22 @@ def numeric_sequence(c, min_len=4):
 
 
 def repeated_letters(c, min_rep=4):
-    s = upper_trim(c)
+    s = full_upper(c)
     cmp = " AND ".join(f"substr({s}, i, 1) = substr({s}, i + {j}, 1)" for j in range(1, min_rep))
     return (f"({filled(c)} AND len(list_filter(range(1, length({s}) - {min_rep - 2}), lambda i: "
             f"{cmp} AND regexp_matches(substr({s}, i, 1), '[{K.LETTERS_CLASS}]'))) > 0)")
 
 
 def parsed_date(c):
-    return (f"(CASE WHEN regexp_full_match({c}, '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}') "
-            f"THEN CAST(try_strptime({c}, '%d/%m/%Y') AS DATE) END)")
+    """Day, month, year by splitting at the slashes: blanks before a number and
+    anything after the year's digits do not count."""
+    part = [f"string_split({c}, '/')[{i}]" for i in (1, 2, 3)]
+    day, month = (f"ltrim({p}, {q(' ')} || chr(9))" for p in part[:2])
+    year = f"regexp_extract(ltrim({part[2]}, {q(' ')} || chr(9)), '^[0-9]+')"
+    ok = " AND ".join(f"regexp_full_match({n}, '[0-9]+')" for n in (day, month, year))
+    y, m, d = (f"TRY_CAST({n} AS INTEGER)" for n in (year, month, day))
+    return (f"(CASE WHEN {ok} AND {y} BETWEEN 1 AND 9999 AND {m} BETWEEN 1 AND 12 AND {d} BETWEEN 1 AND 31 "
+            f"THEN TRY_CAST(printf('%04d-%02d-%02d', {y}, {m}, {d}) AS DATE) END)")
 
 
 def is_bad_date(c, as_of=K.DEFAULT_AS_OF):
@@ -476,14 +492,50 @@ def dates_sql() -> str:
 
 
 def text_table_sql(table: str, keys: str) -> str:
-    return (f"SELECT {keys}, ({filled('text')} AND {placeholder('text')}) AS TIENE_PALABRA_INVALIDA, "
-            f"{email_invalid('text')} AS EMAIL_INVALIDO, {empty('text')} AS VACIO FROM {table}")
+    """Runs of four characters of long texts are found over their characters as
+    rows, not by positions in the text."""
+    same = "ch = lead(ch, 1) OVER w AND ch = lead(ch, 2) OVER w AND ch = lead(ch, 3) OVER w"
+    return (f"WITH t AS MATERIALIZED (SELECT *, row_number() OVER () AS rid FROM {table}), "
+            f"c AS (SELECT rid, unnest(string_split({full_upper('text')}, '')) AS ch, "
+            f"unnest(range(length({full_upper('text')}))) AS pos FROM t), "
+            f"s AS (SELECT rid, ch, {same} AS same FROM c WINDOW w AS (PARTITION BY rid ORDER BY pos)), "
+            f"r AS (SELECT rid, bool_or(same AND NOT regexp_matches(ch, {q(LT)})) AS run4, "
+            f"bool_or(same AND regexp_matches(ch, '[{K.LETTERS_CLASS}]')) AS rep4 FROM s GROUP BY rid) "
+            f"SELECT {keys}, {text_invalid('text', four='coalesce(run4, false)')} AS TEXTO_INVALIDO, "
+            f"{text_invalid('text', runs=K.KEYBOARD_RUNS_DRAFT, four='coalesce(run4, false)')} AS TEXTO_INVALIDO_BORRADOR, "
+            f"{numeric_sequence('text')} AS SECUENCIA_NUMERICA, ({filled('text')} AND coalesce(rep4, false)) AS LETRAS_REPETIDAS, "
+            f"({filled('text')} AND {placeholder('text')}) AS TIENE_PALABRA_INVALIDA, {empty('text')} AS VACIO "
+            f"FROM t LEFT JOIN r USING (rid)")
+
+
+PIECES = "(SELECT doc_id, lang, unnest(regexp_split_to_array(text, '[ \\n]+')) AS pieza FROM documents)"
+
+
+def pieces_email_sql() -> str:
+    return f"SELECT doc_id, pieza, {email_invalid('pieza')} AS EMAIL_INVALIDO FROM {PIECES} WHERE contains(pieza, '@')"
+
+
+def pieces_phone_sql() -> str:
+    return (f"SELECT doc_id, pieza, {phone_invalid('pieza')} AS TELEFONO_INVALIDO, "
+            f"{address_invalid('pieza')} AS DOMICILIO_INVALIDO FROM {PIECES} WHERE regexp_matches(pieza, '[0-9]')")
 
 
 def placeholder_by_lang_sql() -> str:
-    return (f"SELECT lang, count(*) AS DOCUMENTOS, "
-            f"count(*) FILTER (WHERE {filled('text')} AND {placeholder('text')}) AS CON_PALABRA_INVALIDA "
-            f"FROM documents GROUP BY lang")
+    return (f"SELECT lang, count(*) AS PIEZAS, "
+            f"count(*) FILTER (WHERE {filled('pieza')} AND {placeholder('pieza')}) AS CON_PALABRA_INVALIDA, "
+            f"count(*) FILTER (WHERE {text_invalid('pieza')}) AS CON_TEXTO_INVALIDO FROM {PIECES} GROUP BY lang")
+
+
+def tx_required_all_sql() -> str:
+    """Each of the three transaction fields, required when the other two are filled."""
+    t = ("FECHA_ULTIMA_TRANSACCION", "TIPO_CUENTA_ULTIMA_TRANSACCION", "CANAL_ATENCION_ULT_TRANS")
+    why = ("FECHA_ULT_TRANS_REQUERIDA", "TIPO_CUENTA_ULT_TRANS_REQUERIDA", "CANAL_ULT_TRANS_REQUERIDO")
+    parts = []
+    for f, motivo in zip(t, why):
+        others = " AND ".join(filled(o) for o in t if o != f)
+        parts.append(f"SELECT k, CAST({IDX[f]} AS INTEGER) AS IDX_CAMPO, '{f}' AS CAMPO, 'CAMP_OPC_CONDICIONAL' AS TIPO_VERIFICACION, "
+                     f"'MEDIA' AS SEVERIDAD, '{motivo}' AS DESCRIPCION FROM party WHERE {others} AND {empty(f)}")
+    return with_party("\nUNION ALL\n".join(parts), need_obs=False)
 
 
 # ---------------------------------------------------------------------------
@@ -551,7 +603,7 @@ SQL_FUNCTIONS = {
     "V1": lambda c: f"({filled(c)} AND {placeholder(c)})", "V2": email_invalid, "V3": phone_invalid,
     "V4": nit_invalid, "V5": address_invalid, "V6": text_invalid, "V7": numeric_sequence,
     "V8": repeated_letters, "V9": lambda c: f"({text_invalid(c)} OR {repeated_letters(c)})",
-    "V10": numeric_sequence,
+    "V10": numeric_sequence, "V6B": lambda c: text_invalid(c, runs=K.KEYBOARD_RUNS_DRAFT),
 }
 
 
