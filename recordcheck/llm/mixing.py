@@ -18,8 +18,7 @@ Defined cases: a null text has size 0 and weight ``MIN_WEIGHT``; size 0 takes
 0 words; a null source is a source of its own, ordered last; a null doc_id is
 drawn from the text alone; rows equal in doc_id and text have one key and are
 taken together or not at all (apart from whole epochs); an empty table gives an
-empty result; extra columns pass through ``mix`` untouched (the names in
-``OWN`` are reserved and replaced).
+empty result; extra columns pass through ``mix`` untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from recordcheck.llm.columns import aside
 from recordcheck.sources.storage import scratch_table
 from recordcheck.sources.tables import read_table
 
@@ -38,7 +38,6 @@ SEED = "mix-1"
 MIN_WEIGHT = 0.1               # quality weight of the worst text
 GRID = 64                      # cells per factor e of the key
 PART_ROWS = 20_000             # rows aimed at in one part of a crossing cell
-OWN = ("size", "source_size", "target", "taken")
 
 _WORD = r"[^\\x20\\x09-\\x0D]+"
 _SYMBOLS = "#*$%&|<>!@"
@@ -163,13 +162,12 @@ def _with_plan(rows: DataFrame, by_source: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """The mixed corpus: every input row as often as it is taken (0, 1 or 2
     times), with the input's columns."""
-    columns = docs.columns
-    _, by_source = plan(docs, seed)
-    keyed = docs.select(*columns, sample_key(quality_weight(), seed=seed).alias("_mix_key"))
+    inner, _, restore = aside(docs, "doc_id", "source", "text")
+    _, by_source = plan(inner, seed)
+    keyed = inner.withColumn("_mix_key", sample_key(quality_weight(), seed=seed)).drop("doc_id", "text")
     often = _with_plan(keyed, by_source).withColumn("_mix_copies", copies(F.col("_mix_key")))
-    return (often.filter(F.col("_mix_copies") > 0)
-            .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int"))))
-            .select(*columns))
+    return restore(often.filter(F.col("_mix_copies") > 0)
+                   .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int")))))
 
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

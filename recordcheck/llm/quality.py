@@ -18,7 +18,7 @@ under it that of the whole table; with fewer rows in all, only the base rules
 decide.  Defined cases: a null text is an empty text (no words, base rules fail
 it); null lang or source are values of their own; null and repeated ids are
 judged row by row; an empty table gives an empty result; extra columns pass
-through ``quality_filter`` and a clashing name is replaced by the operator's.
+through ``quality_filter`` untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordcheck.llm import words as WD
+from recordcheck.llm.columns import aside
 from recordcheck.sources.storage import scratch_table
 from recordcheck.sources.tables import read_table
 
@@ -260,9 +261,9 @@ def quality_filter(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass the base rules and are no outliers.  The
     text is read twice (statistics, then the filter), never shuffled unless the
     table of estimates is too large to broadcast."""
-    stats = scratch_table(docs.sparkSession, _narrow(docs, []), "quality-stats")
-    estimates = estimate(stats)
-    return judged(with_stats(docs), estimates).filter("kept").select(*docs.columns)
+    inner, _, restore = aside(docs, "lang", "source", "text")
+    stats = scratch_table(docs.sparkSession, _narrow(inner, []), "quality-stats")
+    return restore(judged(with_stats(inner), estimate(stats)).filter("kept"))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

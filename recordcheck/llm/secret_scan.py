@@ -15,7 +15,8 @@ very many parts costs its length.  Only DataFrame functions are used; whole
 texts are read once and never shuffled, only match lengths are.
 
 Defined cases: null text has no spans; null and repeated doc_ids are kept row by
-row; an empty table gives an empty result; ``redact`` keeps extra columns.
+row; an empty table gives an empty result; ``redact`` keeps extra columns, whatever
+their names.
 Offsets are code points, the end is exclusive.
 """
 
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from recordcheck.llm.columns import aside
 from recordcheck.sources.storage import scratch_table
 from recordcheck.sources.tables import read_table
 
@@ -131,8 +133,8 @@ def _joined(found: Column) -> Column:
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every reported span of ``text`` replaced by ``mark`` (spans
     that overlap become one) and n_chars, if there, counted again."""
-    columns = docs.columns
-    marked = spans(docs, columns)
+    inner, carried, restore = aside(docs, "text")
+    marked = spans(inner, [*carried, "text"])
     merged = F.expr("""aggregate(found, cast(array() as array<struct<a:bigint,b:bigint>>), (acc, x) ->
         CASE WHEN size(acc) > 0 AND x.start <= element_at(acc, -1).b
              THEN concat(slice(acc, 1, size(acc) - 1), array(named_struct('a', element_at(acc, -1).a,
@@ -142,10 +144,12 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         substring(text, CAST(if(i = 0, 0, cuts[i - 1].b) + 1 AS INT), CAST(c.a - if(i = 0, 0, cuts[i - 1].b) AS INT)),
         '{mark}')), ''), substring(text, CAST(element_at(cuts, -1).b + 1 AS INT)))""")
     out = marked.withColumn("cuts", merged).withColumn("_clean", F.when(F.size("found") > 0, kept).otherwise(F.col("text")))
-    if "n_chars" in columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.size("found") > 0, F.length("_clean")).otherwise(F.col("n_chars")).cast(kind))
-    return out.select(*[F.col("_clean").alias(c) if c == "text" else F.col(c) for c in columns])
+    place = dict(zip(docs.columns, carried))
+    out = out.withColumn(place["text"], F.col("_clean"))
+    if "n_chars" in place:
+        counted = F.when(F.size("found") > 0, F.length("_clean")).otherwise(F.col(place["n_chars"]))
+        out = out.withColumn(place["n_chars"], counted.cast(docs.schema["n_chars"].dataType))
+    return restore(out)
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
