@@ -46,8 +46,10 @@ LABEL_NOISE = 0.02            # first guess of the share of wrong labels
 VOTES_LIMIT = 4.0             # log odds that the votes together may add
 EM_ROUNDS = 15
 BITS = 18                     # hashed features of the classifier
-EPOCHS = 30
-L2 = 1e-5
+FEATURE_TEXTS = 8             # sample texts a classifier feature occurs in (fewer in small samples)
+FEATURE_ODDS = 1.5            # least log odds between the classes of a classifier feature
+EPOCHS = 20
+L2 = 1e-2
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -156,13 +158,22 @@ class LabelModel:
 # Classifier ------------------------------------------------------------------------
 
 class LinearClassifier:
-    """Logistic regression on binary hashed features (AdaGrad)."""
+    """Logistic regression on binary hashed features (AdaGrad).  Only features
+    that set the classes apart in enough texts get a weight."""
 
     def __init__(self):
         self.weights = np.zeros(1 << BITS)
         self.bias = 0.0
 
     def fit(self, rows: list[np.ndarray], targets: np.ndarray, importance: np.ndarray, seed: int = 3) -> None:
+        toxic, clean = np.zeros(1 << BITS), np.zeros(1 << BITS)
+        for x, t in zip(rows, targets):
+            toxic[x] += t
+            clean[x] += 1 - t
+        odds = np.log((toxic + 0.5) / (targets.sum() + 1)) - np.log((clean + 0.5) / ((1 - targets).sum() + 1))
+        texts = np.clip(targets.sum() / 20, 3, FEATURE_TEXTS)
+        used = (toxic + clean >= texts) & (np.abs(odds) >= FEATURE_ODDS)
+        rows = [x[used[x]] for x in rows]
         rng = np.random.default_rng(seed)
         grad2, bias2 = np.full(1 << BITS, 1e-2), 1e-2
         order = np.arange(len(rows))
