@@ -44,7 +44,7 @@ def main() -> None:
         "critical view (filter on stored counters, pushed to the parquet scan)": audit.critical(),
         "type totals (partial aggregation, one row per task)": audit.type_totals(),
         "top-10 fields (partial count per field, TakeOrderedAndProject)": audit.top_fields(),
-        "field profile (one global aggregation + map-side WindowGroupLimit + bounded broadcast)": audit.profile(),
+        "field profile (states and code only; partial aggregation, lookup of the few example codes)": audit.profile(),
     }
     print("# Physical plans of the headline outputs\n")
     print(f"Generated by `tools/explain_plans.py` on `{sf_dir}`; expression lists cut at 220 characters.\n")
