@@ -46,6 +46,14 @@ DESCENDING_RUNS = ("9876", "8765", "7654", "6543", "5432", "4321", "3210", "2109
 
 # E-mail shape (validator V2).
 EMAIL_SHAPE = r"^[A-Za-z0-9._%+\-]{3,}@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}$"
+# Same character 4 times in a row in an e-mail; user part of digits (V2).
+EMAIL_REPEAT = r"(?i)(.)\1{3,}"
+EMAIL_DIGIT_USER = r"^[0-9]+@"
+# A phone number of one digit only (V3).
+ONE_DIGIT_PHONE = r"^([0-9])\1+$"
+# Same character 4 times in a row; a unit of 1 to 3 repeated as the whole value (V6).
+TEXT_REPEAT = r"(.)\1{3,}"
+UNIT_REPEAT = r"^([A-Z0-9]{1,3})\1{2,}$"
 # Tax-id ending: one of 01..04 followed by a digit 1..9 (validator V4).
 NIT_ENDING = r"(01|02|03|04)[1-9]$"
 # Letters used by the free-text checks (upper case, Spanish accents).

@@ -43,8 +43,8 @@ def email_invalid(c: str) -> str:
     """V2: not an e-mail shape, or 4 equal characters in a row (ASCII case
     folded), or a user part made only of digits."""
     v = x(c)
-    bad = (f"(NOT {rlike(v, K.EMAIL_SHAPE)} OR {rlike(v, r'(?i)(.)\1{3,}')} "
-           f"OR {rlike(v, r'^[0-9]+@')})")
+    bad = (f"(NOT {rlike(v, K.EMAIL_SHAPE)} OR {rlike(v, K.EMAIL_REPEAT)} "
+           f"OR {rlike(v, K.EMAIL_DIGIT_USER)})")
     return f"(CASE WHEN {is_empty(c)} THEN false ELSE {bad} END)"
 
 
@@ -52,7 +52,7 @@ def phone_invalid(c: str) -> str:
     """V3: digit count outside 7..8, or every digit the same."""
     d = only_digits(c)
     return (f"(CASE WHEN {is_empty(c)} THEN false ELSE length({d}) < 7 OR length({d}) > 8 "
-            f"OR {rlike(d, r'^([0-9])\1+$')} END)")
+            f"OR {rlike(d, K.ONE_DIGIT_PHONE)} END)")
 
 
 def nit_invalid(c: str) -> str:
@@ -86,8 +86,8 @@ def text_invalid(c: str, min_len: int = 3, runs=K.KEYBOARD_RUNS, pattern: str =
     parts = [
         f"length(trim({v})) < {min_len}",
         f"length({regexp_replace(v, '[0-9]', '')}) = 0",
-        rlike(s, r"(.)\1{3,}"),
-        rlike(s, r"^([A-Z0-9]{1,3})\1{2,}$"),
+        rlike(s, K.TEXT_REPEAT),
+        rlike(s, K.UNIT_REPEAT),
         keyboard_run(c, runs),
         f"(length({letters}) >= 3 AND NOT {rlike(letters, f'[{K.VOWELS_CLASS}]')})",
         rlike(v, pattern),
