@@ -40,7 +40,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 H_SHARE = 0.75                # rows kept by a concentration step
 MIN_GROUP = 100               # rows a group needs for an estimate of its own
-MAX_STEPS = 6
+MAX_STEPS = 4
 CUTOFF = 12.0                 # Mahalanobis distance (median scaled to that of a normal vector)
 UNIT = 1024                   # fixed-point steps of a statistic
 
@@ -167,8 +167,14 @@ def _moment_models(frames):
 
 
 def _squared_distance() -> Column:
-    z = [f"(vector[{i}] / {UNIT}D - center[{i}])" for i in range(DIM)]
-    return F.expr(" + ".join(f"precision[{k}] * {z[i]} * {z[j]}" for k, (i, j) in enumerate(_PAIRS)))
+    """Sum of precision[k] z_i z_j over the pairs i <= j, as array functions: one
+    short expression instead of a long generated one."""
+    return F.expr(f"""aggregate(zip_with(precision, zip_with(transform({_array(0)}, i -> vector[i] / {UNIT}D - center[i]),
+        transform({_array(1)}, j -> vector[j] / {UNIT}D - center[j]), (a, b) -> a * b), (p, q) -> p * q), 0D, (x, y) -> x + y)""")
+
+
+def _array(place: int) -> str:
+    return "array(" + ", ".join(str(pair[place]) for pair in _PAIRS) + ")"
 
 
 def _bucket() -> Column:
@@ -223,7 +229,8 @@ def estimate(stats: DataFrame) -> DataFrame:
     models = scratch_table(spark, spread.mapInPandas(_start_models, _MODEL_SCHEMA), "quality-model")
     for _ in range(MAX_STEPS):
         at = fit.join(models, "model").select("model", "vector", _bucket().alias("bucket"))
-        limit = at.groupBy("model").agg(F.percentile("bucket", F.lit(H_SHARE)).alias("limit"))
+        limit = scratch_table(spark, at.groupBy("model").agg(
+            F.percentile("bucket", F.lit(H_SHARE)).alias("limit")), "quality-limit")     # its size is known
         x = [F.col("vector")[i] for i in range(DIM)]
         sums = (at.join(limit, "model").filter(F.col("bucket") <= F.col("limit")).groupBy("model")
                 .agg(F.count(F.lit(1)).alias("n"), F.array(*[F.sum(c) for c in x]).alias("sums"),
