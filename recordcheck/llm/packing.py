@@ -8,9 +8,9 @@ lengths, which has at most ``capacity`` entries however large the corpus is:
 * a *configuration* is a multiset of lengths that fits one sequence; the linear
   program covers every length's count with as few configurations as possible;
 * it is solved by multiplicative weights: every length carries a weight (its
-  dual price), each round an unbounded knapsack by dynamic programming prices
-  the best configuration, which is used until the scarcest of its lengths is
-  covered by a step, and the weights of covered lengths fall;
+  dual price), an unbounded knapsack by dynamic programming prices the best
+  configuration of the lengths still open, and after each pass the weights are
+  multiplied towards what the lengths came to cost;
 * the solution is rounded down to whole sequences and what is left of the
   histogram is packed best fit, longest first, again length by length.
 
@@ -41,7 +41,11 @@ from recordcheck.sources.tables import read_table
 CAPACITY = 1024
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
-ROUNDS = 600                  # configurations priced at most
+EPOCHS = 6                    # price updates at most
+GAP = 0.0005                  # distance from the volume bound at which prices are good enough
+ROUNDS = 600                  # configurations priced at most in an epoch
+STEP = 0.25                   # share of a length's count covered at once
+RATE = 0.7                    # strength of a price update
 BUCKET_ROWS = 200             # pieces of one length aimed at in one numbering bucket
 
 
@@ -153,43 +157,33 @@ def _price(lengths: np.ndarray, weights: np.ndarray, counts: np.ndarray, capacit
     return {k: min(n, int(counts[k])) for k, n in config.items()}
 
 
-def configurations(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS
-                   ) -> list[tuple[dict[int, int], int]]:
-    """[(configuration, times)] that holds every length of the histogram as
-    often as it occurs: the rounded solution of the linear program, then best
-    fit for the rest."""
-    plan: list[tuple[dict[int, int], int]] = []
-    left = {int(n): int(c) for n, c in histogram.items() if c > 0}
-    if left.get(capacity):
-        plan.append(({capacity: 1}, left.pop(capacity)))
-    if not left:
-        return plan
-    lengths = np.array(sorted(left), dtype=np.int64)
-    counts = np.array([left[int(n)] for n in lengths], dtype=np.float64)
-    # Multiplicative weights for covering: x grows along the priced
-    # configuration; a length's weight falls with the share of it covered.
+def _cover(lengths: np.ndarray, counts: np.ndarray, prices: np.ndarray, capacity: int, rounds: int) -> dict[tuple, float]:
+    """Fractional uses of configurations that cover the counts at given prices:
+    the best-priced configuration of what is still open is used until the
+    scarcest of its lengths is covered by one more ``STEP``."""
     covered = np.zeros(len(lengths))
     uses: dict[tuple, float] = {}
-    step = 0.06
     for _ in range(rounds):
         open_ = covered < 1.0
         if not open_.any():
             break
-        # Prices start in proportion to the length (the dual of a full sequence).
-        weights = (lengths / capacity) * np.exp(-np.minimum(covered, 50.0) * 2.0)
-        weights[~open_] = 0.0
-        config = _price(lengths, weights, np.maximum(counts, 1), capacity)
+        config = _price(lengths, np.where(open_, prices, 0.0), np.maximum(counts, 1), capacity)
         if not config:
             break
         k = np.array(list(config), dtype=np.int64)
         a = np.array(list(config.values()), dtype=np.float64)
-        amount = float(np.min(np.minimum(step, 1.0 - covered[k]) * counts[k] / a))
-        amount = max(amount, 1e-9)
+        amount = max(float(np.min(np.minimum(STEP, 1.0 - covered[k]) * counts[k] / a)), 1e-9)
         covered[k] += amount * a / counts[k]
         covered[k] = np.where(covered[k] > 1 - 1e-9, 1.0, covered[k])
         key = tuple(sorted(config.items()))
         uses[key] = uses.get(key, 0.0) + amount
-    rest = counts.astype(np.int64)
+    return uses
+
+
+def _rounded(lengths: np.ndarray, counts: np.ndarray, uses: dict[tuple, float], capacity: int
+             ) -> list[tuple[dict[int, int], int]]:
+    """Whole uses (rounded down), and best fit for the rest of the histogram."""
+    plan, rest = [], counts.astype(np.int64)
     for key, amount in sorted(uses.items(), key=lambda u: -u[1]):
         k = np.array([i for i, _ in key])
         a = np.array([n for _, n in key])
@@ -197,39 +191,74 @@ def configurations(histogram: dict[int, int], capacity: int = CAPACITY, rounds:
         if times > 0:
             rest[k] -= times * a
             plan.append(({int(lengths[i]): int(n) for i, n in key}, times))
-    plan += best_fit({int(n): int(c) for n, c in zip(lengths, rest) if c}, capacity)
-    return plan
+    return plan + best_fit({int(n): int(c) for n, c in zip(lengths, rest) if c}, capacity)
+
+
+def configurations(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS
+                   ) -> list[tuple[dict[int, int], int]]:
+    """[(configuration, times)] that holds every length of the histogram as
+    often as it occurs.  Prices start in proportion to the length; after each
+    epoch a length's price is multiplied towards the share of a sequence it came
+    to cost, so lengths that end up in poorly filled sequences are placed
+    earlier.  The best rounded solution of the epochs is kept."""
+    full: list[tuple[dict[int, int], int]] = []
+    left = {int(n): int(c) for n, c in histogram.items() if c > 0}
+    if left.get(capacity):
+        full.append(({capacity: 1}, left.pop(capacity)))
+    if not left:
+        return full
+    lengths = np.array(sorted(left), dtype=np.int64)
+    counts = np.array([left[int(n)] for n in lengths], dtype=np.float64)
+    at = {int(n): i for i, n in enumerate(lengths)}
+    bound = -(-int((lengths * counts).sum()) // capacity)
+    best = best_fit(left, capacity)                     # no whole use of any configuration
+    prices = lengths / capacity
+    for _ in range(EPOCHS):
+        plan = _rounded(lengths, counts, _cover(lengths, counts, prices, capacity, rounds), capacity)
+        if sum(n for _, n in plan) <= sum(n for _, n in best):
+            best = plan
+        if sum(n for _, n in best) <= bound * (1 + GAP):
+            break
+        cost = np.zeros(len(lengths))
+        for config, times in plan:
+            worth = sum(prices[at[n]] * c for n, c in config.items())
+            for n, c in config.items():
+                cost[at[n]] += times * c * prices[at[n]] / worth
+        prices = prices * np.exp(RATE * np.log(np.maximum(cost / counts, 1e-9) / prices))
+    return full + best
 
 
 def best_fit(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
     """Best fit, longest first, on a histogram: open sequences with equal
     contents are one group; a length fills the groups with least room first."""
-    groups: dict[tuple, int] = {}                       # contents -> sequences
+    by_room: list[dict[tuple, int]] = [{} for _ in range(capacity + 1)]      # room -> contents -> sequences
 
-    def room(contents: tuple) -> int:
-        return capacity - sum(n * c for n, c in contents)
+    def put(room: int, contents: tuple, sequences: int) -> None:
+        if sequences:
+            by_room[room][contents] = by_room[room].get(contents, 0) + sequences
 
     for length in sorted(histogram, reverse=True):
         need = histogram[length]
-        for contents in sorted((g for g in groups if room(g) >= length), key=room):
+        for room in range(length, capacity):
             if not need:
                 break
-            have, each = groups[contents], room(contents) // length
-            full = min(have, need // each)
-            for used, per in ((full, each), (1 if full < have and need - full * each > 0 else 0, need - full * each)):
-                if used:
-                    groups[contents] -= used
-                    new = contents + ((length, per),)
-                    groups[new] = groups.get(new, 0) + used
-                    need -= used * per
-            if not groups[contents]:
-                del groups[contents]
+            each = room // length
+            for contents in list(by_room[room]):
+                if not need:
+                    break
+                have = by_room[room].pop(contents)
+                full = min(have, need // each)
+                part = need - full * each if full < have else 0             # under ``each``: one sequence more
+                put(room - each * length, contents + ((length, each),), full)
+                if part:
+                    put(room - part * length, contents + ((length, part),), 1)
+                put(room, contents, have - full - (1 if part else 0))
+                need -= full * each + part
         each = capacity // length
-        for used, per in ((need // each, each), (1, need % each)):
-            if used and per:
-                new = ((length, per),)
-                groups[new] = groups.get(new, 0) + used
-    return [(dict(g), n) for g, n in groups.items()]
+        put(capacity - each * length, ((length, each),), need // each)
+        if need % each:
+            put(capacity - need % each * length, ((length, need % each),), 1)
+    return [(dict(g), n) for groups in by_room for g, n in groups.items()]
 
 
 def slot_table(plan: list[tuple[dict[int, int], int]]) -> list[tuple[int, int, int, int, int, int]]:
