@@ -12,13 +12,18 @@ under different orders, intersected, before any pair is verified:
    per batch of documents and range of hashes; a shingle common within a batch
    is sent once for the batch, so no key grows with its frequency.
 2. *Copies.*  Equal sets are one class.  Classes that share the smallest shingle
-   of a random order are linked to one leader each if the pair verifies;
-   components found so far are then closed groups: only pairs between different
-   components still matter.  A few such rounds fold large groups of near copies
-   into single components with a number of comparisons linear in their size.
-3. *Hash order again*, counting only shingles shared with another component.
+   of a random order are compared with one leader each and linked if the pair
+   verifies; the components found are then closed groups: only pairs between
+   different components still matter.  A few orders fold large groups of near
+   copies into single components with comparisons linear in their size.
+3. *Whole sets*, counting only shingles shared with another component: a partner
+   outside must share ``t n`` of them.
 4. *Two rare-first orders* (document frequency, ties by two different hashes)
-   give candidate pairs between components; their intersection is verified.
+   give candidate pairs between components.  A parity bitmap per set, whose
+   distance never exceeds the difference of the sets, drops pairs that cannot
+   reach the threshold while they are joined, so a large family of texts that
+   share much but not enough makes few rows; the intersection is verified.  A
+   pass over some of the shingles closes most groups before the complete one.
 
 Every pair that links two different components passes all filters, so the
 components are exact; pairs inside a component are not enumerated.
@@ -49,7 +54,11 @@ WORDS = 5
 THRESHOLD = 75                # percent
 BATCH_TOKENS = 500_000        # shingles of one packed batch
 DOCS_PER_PART = 20_000        # documents whose prefixes fill one range of hashes
-LEADER_ROUNDS = 4
+PARITY_BITS = 2048            # bits of the bitmap that bounds the difference of two sets
+ORDERS = 4                    # random orders that give leaders
+FIRST_PASS = 8                # one in so many shingles is looked at before the complete pass
+LEADER_ROWS = 128             # rows compared with a leader in one group
+BROADCAST_ROWS = 100_000      # keys sent to every task instead of shuffling sets
 
 _HASHER = WD.Hasher(5)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -100,70 +109,88 @@ def shared_needed(n: int) -> int:
 
 # Packed blocks --------------------------------------------------------------------
 
-def _blocks(tokens: list[np.ndarray], owners: list[int], units: list[int], parts: int
-            ) -> tuple[list[tuple[int, bytes, bytes, bytes]], dict[int, int]]:
-    """Blocks (part, tokens, owners, units) of a batch and the shingles of each
-    owner already known to be shared.  A shingle that two units of the batch
-    hold is sent once, with owner 0."""
+# A block holds the shingles of one range of hashes from one batch: 48-bit
+# shingles (a collision counts a shingle as shared, which only keeps more
+# candidates), and runs of (owner, unit, length).
+_BLOCK = "part int, tokens binary, owners binary, units binary, lengths binary, owner long, shared long, doc string"
+_NAMES = [c.split()[0] for c in _BLOCK.split(", ")]
+
+
+def _blocks(tokens: list[np.ndarray], owners: list[int], units: list[int], parts: int) -> tuple[list[tuple], dict[int, int]]:
+    """Blocks (part, tokens, owners, units, lengths) of a batch and the shingles
+    of each owner already known to be shared.  A shingle that two units of the
+    batch hold is sent once, with owner and unit 0."""
     sizes = [len(t) for t in tokens]
-    token = np.concatenate(tokens) if tokens else np.zeros(0, dtype=np.uint64)
+    token = np.concatenate(tokens) >> np.uint64(16) if tokens else np.zeros(0, dtype=np.uint64)
     owner = np.repeat(np.array(owners, dtype=np.int64), sizes)
     unit = np.repeat(np.array(units, dtype=np.int64), sizes)
     order = np.lexsort((unit, token))
     token, owner, unit = token[order], owner[order], unit[order]
-    starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))[:len(token)]
-    lasts = np.concatenate((starts[1:], [len(token)])) - 1
-    several = unit[starts] != unit[lasts] if len(token) else np.zeros(0, dtype=bool)
+    starts, lasts = _runs(token)
+    several = unit[starts] != unit[lasts]
     known = np.repeat(several, lasts - starts + 1)
     who, times = np.unique(owner[known], return_counts=True)
-    local = dict(zip(who.tolist(), times.tolist()))
+    none = np.zeros(int(several.sum()), dtype=np.int64)
     token = np.concatenate((token[~known], token[starts][several]))
-    owner = np.concatenate((owner[~known], np.zeros(int(several.sum()), dtype=np.int64)))
-    unit = np.concatenate((unit[~known], np.zeros(int(several.sum()), dtype=np.int64)))
-    part = ((token >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    owner = np.concatenate((owner[~known], none))
+    unit = np.concatenate((unit[~known], none))
+    part = ((token >> np.uint64(16)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
     order = np.lexsort((owner, part))
     token, owner, unit, part = token[order], owner[order], unit[order], part[order]
-    cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True]))) if len(part) else np.zeros(1, int)
-    return [(int(part[a]), token[a:b].tobytes(), owner[a:b].tobytes(), unit[a:b].tobytes())
-            for a, b in zip(cuts[:-1], cuts[1:])], local
-
-
-_BLOCK = "part int, tokens binary, owners binary, units binary, owner long, shared long, doc string"
-
-
-def _block_batch(blocks, local, docs: list[str]) -> pa.RecordBatch:
+    out = []
+    for a, last in zip(*_runs(part)):
+        b = last + 1
+        at, ends = _runs(owner[a:b])
+        out.append((int(part[a]), token[a:b].view(np.uint8).reshape(-1, 8)[:, :6].tobytes(), owner[a:b][at].tobytes(),
+                    unit[a:b][at].tobytes(), (ends - at + 1).astype(np.uint32).tobytes()))
+    return out, dict(zip(who.tolist(), times.tolist()))
+
+
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last places of runs of equal values."""
+    if not len(values):
+        none = np.zeros(0, dtype=np.int64)
+        return none, none
+    cuts = np.flatnonzero(values[1:] != values[:-1])
+    return np.concatenate(([0], cuts + 1)), np.concatenate((cuts, [len(values) - 1]))
+
+
+def _block_batch(blocks: list[tuple], local: dict[int, int], docs: list[str]) -> pa.RecordBatch:
+    """Blocks, then known counts, then document rows (these two with negative
+    parts, spread out: they only pass)."""
     n, m, d = len(blocks), len(local), len(docs)
-    none = [None] * (m + d)
-    columns = [[b[0] for b in blocks] + [-1 - (o % 100_003) for o in local] + [-1 - (i % 100_003) for i in range(d)],
-               *([b[i] for b in blocks] + none for i in (1, 2, 3)),
+    columns = [[b[0] for b in blocks] + [-1 - o % 100_003 for o in local] + [-1 - i for i in range(d)],
+               *([b[i] for b in blocks] + [None] * (m + d) for i in (1, 2, 3, 4)),
                [None] * n + list(local) + [None] * d, [None] * n + list(local.values()) + [None] * d,
                [None] * (n + m) + docs]
-    types = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.string()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
-                                      names=[c.split()[0] for c in _BLOCK.split(", ")])
+    types = [pa.int32(), *[pa.binary()] * 4, pa.int64(), pa.int64(), pa.string()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=_NAMES)
+
+
+def _count_part(held: list[tuple[bytes, bytes, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Per owner, how many of its shingles of a part two units hold."""
+    packed = np.frombuffer(b"".join(h[0] for h in held), dtype=np.uint8).reshape(-1, 6)
+    token = np.zeros((len(packed), 8), dtype=np.uint8)
+    token[:, :6] = packed
+    token = token.view(np.uint64).ravel()
+    owners, units, lengths = (np.frombuffer(b"".join(h[i] for h in held), dtype=t)
+                              for i, t in ((1, np.int64), (2, np.int64), (3, np.uint32)))
+    owner, unit = np.repeat(owners, lengths), np.repeat(units, lengths)
+    order = np.lexsort((unit, token))
+    token, owner, unit = token[order], owner[order], unit[order]
+    starts, lasts = _runs(token)
+    # unit 0 comes first: it stands for two units of some batch
+    several = (unit[starts] != unit[lasts]) | (unit[starts] == 0)
+    known = np.repeat(several, lasts - starts + 1) & (owner != 0)
+    # one owner may come from several batches (copies): count a shingle once
+    pair = np.unique(np.stack([token[known].astype(np.int64), owner[known]], axis=1), axis=0)
+    return np.unique(pair[:, 1], return_counts=True)
 
 
 def _count_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by part: per owner, how many of its shingles two units hold.
-    Other rows pass."""
-    def finish(held: list[tuple[bytes, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        token, owner, unit = (np.frombuffer(b"".join(h[i] for h in held), dtype=t)
-                              for i, t in ((0, np.uint64), (1, np.int64), (2, np.int64)))
-        order = np.lexsort((unit, token))
-        token, owner, unit = token[order], owner[order], unit[order]
-        starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
-        lasts = np.concatenate((starts[1:], [len(token)])) - 1
-        several = (unit[starts] != unit[lasts]) | (owner[starts] == 0) | (owner[lasts] == 0)
-        # units are sorted within a token, so owner 0 (unit 0) need not be first
-        zero = np.zeros(len(token), dtype=bool)
-        zero[owner == 0] = True
-        several |= np.logical_or.reduceat(zero, starts)
-        known = np.repeat(several, lasts - starts + 1) & ~zero
-        # one owner may come from several batches (copies): count a shingle once
-        pair = np.unique(np.stack([token[known].astype(np.int64), owner[known]], axis=1), axis=0)
-        return np.unique(pair[:, 1], return_counts=True)
-
-    def out(who, times) -> pa.RecordBatch:
+    """Rows sorted by part -> (owner, shared) counts; other rows pass."""
+    def out(held) -> pa.RecordBatch:
+        who, times = _count_part(held)
         return pa.RecordBatch.from_arrays([pa.array(who, pa.int64()), pa.array(times, pa.int64()),
                                            pa.nulls(len(who), pa.string())], names=["owner", "shared", "doc"])
 
@@ -174,15 +201,15 @@ def _count_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if passing.num_rows:
             yield pa.RecordBatch.from_arrays([passing.column(c) for c in ("owner", "shared", "doc")],
                                              names=["owner", "shared", "doc"])
-        blobs = [batch.column(c) for c in ("tokens", "owners", "units")]
+        blobs = [batch.column(c) for c in _NAMES[1:5]]
         for i in np.flatnonzero(parts >= 0):
             if parts[i] != part:
                 if held:
-                    yield out(*finish(held))
+                    yield out(held)
                 part, held = parts[i], []
             held.append(tuple(b[int(i)].as_py() for b in blobs))
     if held:
-        yield out(*finish(held))
+        yield out(held)
 
 
 def _shared_counts(packed: DataFrame) -> DataFrame:
@@ -192,7 +219,12 @@ def _shared_counts(packed: DataFrame) -> DataFrame:
 
 
 def _parts(spark: SparkSession, n_docs: int) -> int:
-    return max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), n_docs // DOCS_PER_PART)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_docs // DOCS_PER_PART)
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """``df``, marked for broadcast if it has at most BROADCAST_ROWS rows."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
 # Stage 1: all documents -------------------------------------------------------------
@@ -205,7 +237,8 @@ def _prepare(parts: int):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 t = shingles(text.as_buffer().to_pybytes()) if text.is_valid else np.zeros(0, dtype=np.uint64)
                 key = set_key(t)
-                docs.append(f"{'' if doc_id is None else doc_id}|{len(t)}|{key}")
+                least = ",".join(str(int(_leader_hash(t, r).min())) for r in range(ORDERS)) if len(t) else ""
+                docs.append(f"{'' if doc_id is None else doc_id}|{len(t)}|{key}|{least}")
                 if len(t) and doc_id is not None and key not in seen:
                     seen.add(key)
                     tokens.append(t[:prefix_length(len(t))])
@@ -220,37 +253,77 @@ def _prepare(parts: int):
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, text) whose text has that key -> its shingles and order minima."""
+    """(key, text, groups) whose text has that key -> its shingles."""
     for batch in batches:
-        rows = []
-        for key, text in zip(batch.column("key").to_pylist(), batch.column("text")):
-            t = shingles(text.as_buffer().to_pybytes())
-            if set_key(t) == key:
-                rows.append((key, len(t), t.tobytes(), [int(_leader_hash(t, r).min()) for r in range(LEADER_ROUNDS)]))
+        found = [shingles(text.as_buffer().to_pybytes()) for text in batch.column("text")]
+        right = pa.array([set_key(t) == k for t, k in zip(found, batch.column("key").to_pylist())], pa.bool_())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
-             pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.list_(pa.int64()))],
-            names=["key", "n", "tokens", "minima"])
+            [batch.column("key").filter(right), pa.array([len(t) for t in found], pa.int64()).filter(right),
+             pa.array([t.tobytes() for t in found], pa.binary()).filter(right), batch.column("groups").filter(right)],
+            names=["key", "n", "tokens", "groups"])
 
 
 def _leader_hash(tokens: np.ndarray, r: int) -> np.ndarray:
     return WD.mix(tokens ^ np.uint64(0x5851F42D4C957F2D * (r + 1) % 2 ** 64)).view(np.int64)
 
 
+def _similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted sets are at the threshold."""
+    if len(a) > len(b):
+        a, b = b, a
+    if 100 * len(a) < THRESHOLD * len(b):
+        return False
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    common = int((b[at] == a).sum())
+    return 100 * common >= THRESHOLD * (len(a) + len(b) - common)
+
+
+def _tokens(blob) -> np.ndarray:
+    return np.frombuffer(blob.as_buffer(), dtype=np.uint64)
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keep = []
-        for x, y in zip(batch.column("tokens_a"), batch.column("tokens_b")):
-            a, b = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-            if len(a) > len(b):
-                a, b = b, a
-            at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-            common = int((b[at] == a).sum())
-            keep.append(100 * common >= THRESHOLD * (len(a) + len(b) - common))
-        mask = pa.array(keep, pa.bool_())
+        mask = pa.array([_similar(_tokens(x), _tokens(y)) for x, y in zip(batch.column("tokens_a"), batch.column("tokens_b"))],
+                        pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
 
 
+def _with_leader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by group, the leader first: links of the others to it."""
+    group, leader, head = None, None, None
+    for batch in batches:
+        a, b = [], []
+        for now, key, blob in zip(zip(*(batch.column(c).to_pylist() for c in ("round", "hash", "salt"))),
+                                  batch.column("key").to_pylist(), batch.column("tokens")):
+            if now != group:
+                group, leader, head = now, np.array(_tokens(blob)), key
+            elif key != head and _similar(leader, _tokens(blob)):
+                a.append(key)
+                b.append(head)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string())], names=["a", "b"])
+
+
+def _leader_groups(alive: DataFrame) -> DataFrame:
+    """key -> groups: for every order in which others share its smallest shingle,
+    (round, hash, salts, lead).  The leader of a group is its smallest key; a
+    large group is cut by salt and the leader goes to every cut."""
+    rows = alive.select("key", F.posexplode("minima").alias("round", "hash"))
+    groups = rows.groupBy("round", "hash").agg(F.count(F.lit(1)).alias("rows"), F.min("key").alias("leader")).filter("rows > 1")
+    cuts = F.ceil(F.col("rows") / LEADER_ROWS).cast("int")
+    lead = F.col("key") == F.col("leader")
+    salts = F.when(lead, F.sequence(F.lit(0), cuts - 1)).otherwise(F.array(F.pmod(F.hash("key"), cuts)))
+    return rows.join(groups, ["round", "hash"]).groupBy("key").agg(
+        F.collect_list(F.struct("round", "hash", salts.alias("salts"), lead.alias("lead"))).alias("groups"))
+
+
+def _star_links(sets: DataFrame) -> DataFrame:
+    rows = (sets.select("key", "tokens", F.explode("groups").alias("g"))
+            .select("key", "tokens", "g.round", "g.hash", "g.lead", F.explode("g.salts").alias("salt")))
+    return (rows.repartition("round", "hash", "salt").sortWithinPartitions("round", "hash", "salt", F.desc("lead"), "key")
+            .mapInArrow(_with_leader, "a string, b string"))
+
+
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of keys whose sets are at the threshold."""
     near = ((100 * F.col("n_a") >= THRESHOLD * F.col("n_b")) & (100 * F.col("n_b") >= THRESHOLD * F.col("n_a")))
@@ -280,7 +353,7 @@ def _open_blocks(parts: int):
         for batch in batches:
             for key, comp, blob in zip(*(batch.column(c).to_pylist() for c in ("key", "comp", "tokens"))):
                 t = np.frombuffer(blob, dtype=np.uint64)
-                tokens.append(t[:prefix_length(len(t))])
+                tokens.append(t)
                 owners.append(owner_of(key))
                 units.append(owner_of(comp))
                 size += len(tokens[-1])
@@ -292,36 +365,71 @@ def _open_blocks(parts: int):
     return run
 
 
+def parity_bits(tokens: np.ndarray) -> np.ndarray:
+    """Bitmap of PARITY_BITS bits: every shingle flips one.  Two bitmaps differ in
+    at most as many bits as the sets differ in shingles."""
+    bit = (WD.mix(tokens ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(PARITY_BITS)).astype(np.int64)
+    odd = np.bincount(bit, minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for key, comp, n, blob in zip(*(batch.column(c).to_pylist() for c in ("key", "comp", "n", "tokens"))):
+        for key, blob in zip(*(batch.column(c).to_pylist() for c in ("key", "tokens"))):
             t = np.frombuffer(blob, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([key] * len(t), pa.string()), pa.array([comp] * len(t), pa.string()),
-                 pa.array([n] * len(t), pa.int64()), pa.array(t)], names=["key", "comp", "n", "token"])
+            yield pa.RecordBatch.from_arrays([pa.array([key] * len(t), pa.string()), pa.array(t)], names=["key", "token"])
 
 
-def _rare_first_pairs(open_sets: DataFrame) -> DataFrame:
-    """Candidate pairs between components: they share a prefix shingle under
-    both rare-first orders."""
-    from pyspark.sql import Window as W
+def _with_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        bits = [parity_bits(_tokens(t)).tolist() for t in batch.column("tokens")]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "n")),
+                                          pa.array(bits, pa.list_(pa.int64()))], names=["key", "n", "bits"])
+
 
+def _prefix_table(open_sets: DataFrame) -> DataFrame:
+    """key, n, bitmap and prefixes under two rare-first orders of the open sets."""
     spark = open_sets.sparkSession
-    rows = scratch_table(spark, open_sets.mapInArrow(_token_rows, "key string, comp string, n long, token long"), "ngram-open")
-    seen = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    ranked = rows.join(seen, "token")
-    need = F.col("n") - F.ceil(F.col("n") * THRESHOLD / 100) + 1
-    pairs = []
-    for tie in (F.col("token"), F.xxhash64("token")):
-        place = F.row_number().over(W.partitionBy("key").orderBy("df", tie))
-        prefix = ranked.withColumn("place", place).filter((F.col("place") <= need) & (F.col("df") > 1))
-        a, b = (prefix.select("token", F.col("key").alias(x), F.col("comp").alias(f"c_{x}"), F.col("n").alias(f"n_{x}"))
-                for x in ("a", "b"))
-        pairs.append(a.join(b, "token").filter(
-            (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b"))
-            & (100 * F.col("n_a") >= THRESHOLD * F.col("n_b")) & (100 * F.col("n_b") >= THRESHOLD * F.col("n_a")))
-            .select("a", "b").distinct())
-    return pairs[0].join(pairs[1], ["a", "b"])
+    rows = scratch_table(spark, open_sets.mapInArrow(_token_rows, "key string, token long"), "ngram-open")
+    ranked = rows.join(rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "token")
+    def length(least: float):
+        return F.size("all") - F.ceil(F.size("all") * F.lit(least)).cast("int") + 1
+
+    def prefix(n, *order: str):
+        """The first n shingles in an order; those of one document only pair with none."""
+        first = F.slice(F.array_sort(F.transform("all", lambda x: F.struct(
+            x["df"], *(F.xxhash64(x["token"]).alias("tie") for _ in order), x["token"]))), F.lit(1), n)
+        return F.transform(F.filter(first, lambda x: x["df"] > 1), lambda x: x["token"])
+
+    # Of a pair the larger set needs its prefix for overlap t n, the smaller one
+    # only that for 2 t n / (1 + t), which is its least overlap with a larger set.
+    t = THRESHOLD / 100
+    small = 2 * t / (1 + t) - 1e-9
+    prefixes = ranked.groupBy("key").agg(F.collect_list(F.struct("df", "token")).alias("all")).select(
+        "key", prefix(length(t)).alias("one"), prefix(length(small)).alias("short"), prefix(length(t), "tie").alias("two"))
+    sketch = open_sets.mapInArrow(_with_bits, "key string, n long, bits array<long>")
+    return scratch_table(spark, sketch.join(prefixes, "key"), "ngram-prefixes")
+
+
+def _rare_first_pairs(table: DataFrame, labels: DataFrame, every: int) -> DataFrame:
+    """Candidate pairs (a, b) between components: they share a prefix shingle
+    (one in ``every`` of them is looked at) under two rare-first orders, and their
+    bitmaps allow the threshold."""
+    table = table.join(_small(table.select("key").join(labels, "key")), "key")
+
+    def side(which: str) -> DataFrame:
+        return table.select(F.explode(which).alias("token"), "key", F.xxhash64("comp").alias("comp"), "n", "bits").filter(
+            F.pmod("token", F.lit(every)) == 0)
+
+    differ = " + ".join(f"bit_count(x.bits[{i}] ^ y.bits[{i}])" for i in range(PARITY_BITS // 64))
+    # |A| + |B| bounds the difference of sets at the threshold t by (1 - t) / (1 + t).
+    allowed = f"{100 + THRESHOLD} * ({differ}) <= {100 - THRESHOLD} * (x.n + y.n)"
+    sizes = f"100 * y.n >= {THRESHOLD} * x.n AND (x.n > y.n OR (x.n = y.n AND x.key > y.key))"
+    pairs = (side("one").alias("x").join(side("short").alias("y"), F.expr(
+        f"x.token = y.token AND x.comp <> y.comp AND {sizes} AND {allowed}"))
+        .select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct())
+    a, b = (table.select(F.col("key").alias(k), F.col("two").alias(f"two_{k}")) for k in ("a", "b"))
+    return pairs.join(a, "a").join(b, "b").filter(F.arrays_overlap("two_a", "two_b")).select("a", "b")
 
 
 def join_components(docs: DataFrame) -> DataFrame:
@@ -333,34 +441,41 @@ def join_components(docs: DataFrame) -> DataFrame:
     first = scratch_table(spark, _shared_counts(docs.mapInArrow(_prepare(parts), _BLOCK)), "ngram-first")
     fields = F.split("doc", r"\|")
     rows = first.filter(F.col("doc").isNotNull()).select(
-        F.when(fields[0] != "", fields[0]).cast(kind).alias("doc_id"), fields[1].cast("long").alias("n"), fields[2].alias("key"))
+        F.when(fields[0] != "", fields[0]).cast(kind).alias("doc_id"), fields[1].cast("long").alias("n"),
+        fields[2].alias("key"), F.split(fields[3], ",").cast("array<long>").alias("minima"))
     classes = scratch_table(spark, rows.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("key").agg(
-        F.min("doc_id").alias("least"), F.first("n").alias("n")), "ngram-classes")
+        F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("minima").alias("minima")), "ngram-classes")
     counts = first.filter(F.col("owner").isNotNull()).groupBy("owner").agg(F.sum("shared").alias("shared"))
 
+    bits = F.conv(F.substring("key", 1, 15), 16, 10).cast("long")
+    owner = F.when(bits == 0, F.lit(1)).otherwise(bits)
     enough = F.greatest(F.lit(1), F.greatest(F.lit(1), F.floor(F.col("n") / 10)) - 1)
-    owner = F.conv(F.substring("key", 1, 15), 16, 10).cast("long")
-    alive = (classes.withColumn("owner", F.when(owner == 0, F.lit(1)).otherwise(owner)).join(counts, "owner")
-             .filter(F.col("shared") >= enough).select("key", "least"))
-    wanted = docs.join(alive, docs["doc_id"] == alive["least"]).select("key", "text")
-    sets = scratch_table(spark, wanted.mapInArrow(
-        _sets, "key string, n long, tokens binary, minima array<long>"), "ngram-sets")
-
-    labels = scratch_table(spark, sets.select("key", F.col("key").alias("comp")).distinct(), "ngram-labels")
-    for r in range(LEADER_ROUNDS):
-        mine = sets.select("key", F.col("minima")[r].alias("least_hash")).join(labels, "key")
-        leader = mine.groupBy("least_hash").agg(F.min("key").alias("b"), F.min_by("comp", "key").alias("b_comp"))
-        star = (mine.join(leader, "least_hash").filter("comp <> b_comp and key <> b")
-                .select(F.col("key").alias("a"), "b").distinct())
-        labels = _merge(labels, verify(star, sets))
-
-    packed = sets.join(labels, "key").mapInArrow(_open_blocks(parts), _BLOCK)
+    alive = scratch_table(spark, classes.withColumn("owner", owner).join(counts, "owner")
+                          .filter(F.col("shared") >= enough).select("key", "least", "n", "minima", "owner"), "ngram-alive")
+    wanted = alive.select("key", "least").join(_leader_groups(alive), "key", "left")
+    wanted = scratch_table(spark, wanted, "ngram-wanted")
+    texts = docs.join(_small(wanted), F.col("doc_id") == F.col("least")).select("key", "text", "groups")
+    sets = scratch_table(spark, texts.mapInArrow(
+        _sets, "key string, n long, tokens binary, "
+        "groups array<struct<round:int,hash:bigint,salts:array<int>,lead:boolean>>"), "ngram-sets")
+
+    labels = scratch_table(spark, alive.select("key", F.col("key").alias("comp")), "ngram-labels")
+    labels = _merge(labels, _star_links(sets))
+
+    moved = _small(labels.filter("key <> comp"))
+    packed = sets.join(moved, "key", "left").select("key", F.coalesce("comp", "key").alias("comp"), "tokens").mapInArrow(
+        _open_blocks(parts), _BLOCK)
     again = _shared_counts(packed).groupBy("owner").agg(F.sum("shared").alias("shared"))
-    keyed = sets.join(labels, "key")
-    keyed = keyed.withColumn("owner", F.when(owner == 0, F.lit(1)).otherwise(owner))
-    open_sets = keyed.join(again, "owner").filter(F.col("shared") >= enough).select("key", "comp", "n", "tokens")
-    open_sets = scratch_table(spark, open_sets.dropDuplicates(["key"]), "ngram-open-sets")
-    labels = _merge(labels, verify(_rare_first_pairs(open_sets), open_sets))
+    needed = F.ceil(F.col("n") * THRESHOLD / 100)
+    open_keys = scratch_table(spark, alive.join(again, "owner").filter(F.col("shared") >= needed).select("key")
+                              .join(labels, "key"), "ngram-open-keys")
+    open_sets = scratch_table(spark, sets.join(_small(open_keys), "key").select("key", "comp", "n", "tokens")
+                              .dropDuplicates(["key"]), "ngram-open-sets")
+    # A few of the shingles first: pairs they link are closed groups afterwards,
+    # so the complete pass meets fewer pairs between components.
+    table = _prefix_table(open_sets)
+    for every in (FIRST_PASS, 1):
+        labels = _merge(labels, verify(_rare_first_pairs(table, labels, every), open_sets))
 
     groups = classes.join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     least = groups.groupBy("comp").agg(F.min("least").alias("component_id"))
