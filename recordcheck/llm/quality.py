@@ -4,7 +4,9 @@ Every text gives exact base counts and a vector of transformed statistics.
 For each (lang, source) the centre and scatter of the vectors are estimated
 by the minimum-covariance-determinant method: concentration steps that keep,
 each time, the ``H_SHARE`` of the rows with the smallest Mahalanobis distance
-and re-estimate from them, until the determinants no longer fall.  The start
+and re-estimate from them, until the group's determinant changes by less than
+``TOLERANCE``; a group that is done takes no part in the steps of the others.
+Groups still moving after ``MAX_STEPS`` are reported by a warning.  The start
 is the coordinate-wise median and median absolute deviation, so reruns agree;
 statistics are fixed-point integers and moments are sums of longs, so the
 result does not depend on the order of rows either.  A document whose
@@ -23,6 +25,7 @@ through ``quality_filter`` untouched, whatever their names.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +43,8 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 H_SHARE = 0.75                # rows kept by a concentration step
 MIN_GROUP = 100               # rows a group needs for an estimate of its own
-MAX_STEPS = 4
+TOLERANCE = 1e-3              # change of a log determinant that ends a group's steps
+MAX_STEPS = 100               # far above what groups need (a warning names those that reach it)
 CUTOFF = 12.0                 # Mahalanobis distance (median scaled to that of a normal vector)
 UNIT = 1024                   # fixed-point steps of a statistic
 
@@ -151,7 +155,8 @@ def _start_models(frames):
 
 
 def _moment_models(frames):
-    """Exact sums of x and x x' -> mean and covariance model."""
+    """Exact sums of x and x x' -> mean and covariance model, and whether its
+    determinant still moves."""
     import pandas as pd
 
     for frame in frames:
@@ -162,8 +167,9 @@ def _moment_models(frames):
             cov = np.zeros((DIM, DIM))
             for (i, j), s in zip(_PAIRS, r.products):
                 cov[i, j] = cov[j, i] = float(s) / n - mean[i] * mean[j]
-            rows.append((r.model, *_model_row(n, mean / UNIT, cov / UNIT ** 2), int(r.n)))
-        yield pd.DataFrame(rows, columns=["model", "center", "precision", "logdet", "n"])
+            row = _model_row(n, mean / UNIT, cov / UNIT ** 2)
+            rows.append((r.model, *row, int(r.n), bool(abs(row[2] - r.was) >= TOLERANCE)))
+        yield pd.DataFrame(rows, columns=["model", "center", "precision", "logdet", "n", "moving"])
 
 
 def _squared_distance() -> Column:
@@ -216,6 +222,7 @@ def estimate(stats: DataFrame) -> DataFrame:
     fit = (rows.join(assigned.withColumnsRenamed({"lang": "a_lang", "source": "a_source"}),
                      F.col("lang").eqNullSafe(F.col("a_lang")) & F.col("source").eqNullSafe(F.col("a_source")))
            .select(F.explode("fits").alias("model"), "vector"))
+    fit = scratch_table(spark, fit, "quality-fit")          # every step reads it: small plans
 
     def medians(of: list[Column]) -> Column:
         return F.array(*[F.percentile(c, F.lit(0.5)) for c in of])
@@ -226,21 +233,27 @@ def estimate(stats: DataFrame) -> DataFrame:
               .agg(F.first("median").alias("median"), F.count(F.lit(1)).alias("n"),
                    medians([F.abs(F.col("vector")[i] - F.round(F.col("median")[i]).cast("long"))
                             for i in range(DIM)]).alias("mad")))
-    models = scratch_table(spark, spread.mapInPandas(_start_models, _MODEL_SCHEMA), "quality-model")
+    models = scratch_table(spark, spread.mapInPandas(_start_models, _MODEL_SCHEMA)
+                           .withColumn("moving", F.lit(True)), "quality-model")
+    moving = 1
     for _ in range(MAX_STEPS):
-        at = fit.join(models, "model").select("model", "vector", _bucket().alias("bucket"))
+        was = models.filter("moving").drop("moving")
+        at = fit.join(was, "model").select("model", "vector", "logdet", _bucket().alias("bucket"))
         limit = scratch_table(spark, at.groupBy("model").agg(
             F.percentile("bucket", F.lit(H_SHARE)).alias("limit")), "quality-limit")     # its size is known
         x = [F.col("vector")[i] for i in range(DIM)]
         sums = (at.join(limit, "model").filter(F.col("bucket") <= F.col("limit")).groupBy("model")
-                .agg(F.count(F.lit(1)).alias("n"), F.array(*[F.sum(c) for c in x]).alias("sums"),
+                .agg(F.count(F.lit(1)).alias("n"), F.first("logdet").alias("was"),
+                     F.array(*[F.sum(c) for c in x]).alias("sums"),
                      F.array(*[F.sum(x[i] * x[j]) for i, j in _PAIRS]).alias("products")))
-        better = scratch_table(spark, sums.mapInPandas(_moment_models, _MODEL_SCHEMA), "quality-model")
-        change = (better.join(models.select("model", F.col("logdet").alias("was")), "model")
-                  .agg(F.max(F.abs(F.col("logdet") - F.col("was")))).first()[0])
-        models = better
-        if change is None or change < 1e-3:
+        better = sums.mapInPandas(_moment_models, f"{_MODEL_SCHEMA}, moving boolean")
+        models = scratch_table(spark, models.filter("NOT moving").unionByName(better), "quality-model")
+        moving = models.filter("moving").count()
+        if not moving:
             break
+    if moving:
+        warnings.warn(f"{moving} quality models still moved after {MAX_STEPS} concentration steps", stacklevel=2)
+    models = models.drop("moving")
     middle_distance = (fit.join(models, "model").select("model", _bucket().alias("bucket"))
                        .groupBy("model").agg(F.percentile("bucket", F.lit(0.5)).alias("m"))
                        .select("model", (F.lit(_CHI2_MEDIAN) / F.greatest(F.expm1(F.col("m") / _LOG_STEPS),

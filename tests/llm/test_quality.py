@@ -2,6 +2,7 @@
 
 import random
 import re
+import warnings
 
 import numpy as np
 
@@ -87,3 +88,41 @@ def test_odd_rows(spark, odd_docs):
     assert len(rows) == len(odd_docs)
     assert all(r["kept"] == (r["n_words"] >= 50 and 100 * r["n_repeat_words"] <= 50 * r["n_words"]) for r in rows)
     assert Q.quality_filter(df.limit(0)).count() == 0
+
+
+def test_every_group_steps_until_it_is_stable(spark):
+    """A group that needs 9 steps beside one that needs 3 (four were made once)."""
+    groups = {}
+    for name, seed, share in (("slow", 0, 0.4), ("quick", 2, 0.0)):
+        r = np.random.default_rng(seed)
+        v = (np.where(r.random((300, 1)) < share, r.normal(3, 1, (300, Q.DIM)), r.normal(0, 1, (300, Q.DIM))) if share
+             else r.normal(0, 1, (300, Q.DIM)))
+        groups[name] = np.round(v * Q.UNIT)
+    stats = spark.createDataFrame(
+        [(name, i, "x", False, [int(k) for k in row]) for name, x in groups.items() for i, row in enumerate(x)],
+        "lang string, i int, source string, base_failed boolean, vector array<long>")
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        estimates = Q.estimate(stats)
+    got = {}
+    for r in Q.judged(stats, estimates).collect():
+        got.setdefault(r["lang"], {})[r["i"]] = r["distance"]
+    for name, x in groups.items():
+        assert np.allclose([got[name][i] for i in range(300)], stable_distances(x), rtol=1e-6), name
+
+
+def stable_distances(x):
+    """Distances after concentration steps without a bound, in plain numpy."""
+    floor = np.diag(np.array(list(Q.VECTOR.values())) ** 2)
+    c = np.percentile(x, 50, axis=0)
+    mad = np.percentile(np.abs(x - np.round(c)), 50, axis=0)
+    c, cov, logdet = c / Q.UNIT, np.diag((1.4826 * mad / Q.UNIT) ** 2) + floor, np.inf
+    while True:
+        z = x / Q.UNIT - c
+        square = np.einsum("ij,jk,ik->i", z, np.linalg.inv(cov), z)
+        bucket = np.round(Q._LOG_STEPS * np.log1p(square))
+        if abs(np.linalg.slogdet(cov)[1] - logdet) < 1e-3:
+            return np.sqrt(square * Q._CHI2_MEDIAN / np.expm1(np.percentile(bucket, 50) / Q._LOG_STEPS))
+        logdet = np.linalg.slogdet(cov)[1]
+        keep = x[bucket <= np.percentile(bucket, 100 * Q.H_SHARE)]
+        c, cov = keep.mean(0) / Q.UNIT, np.cov(keep.T, bias=True) / Q.UNIT ** 2 + floor
