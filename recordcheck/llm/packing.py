@@ -9,10 +9,11 @@ lengths, which has at most ``capacity`` entries however large the corpus is:
   program covers every length's count with as few configurations as possible;
 * it is solved by multiplicative weights: every length carries a weight (its
   dual price), an unbounded knapsack by dynamic programming prices the best
-  configuration of the lengths still open, and after each pass the weights are
-  multiplied towards what the lengths came to cost;
-* the solution is rounded down to whole sequences and what is left of the
-  histogram is packed best fit, longest first, again length by length.
+  configurations around the lengths still open until every length is covered,
+  and after each pass the weights are multiplied towards what the lengths came
+  to cost;
+* configurations are used whole times, so nothing has to be rounded; the last
+  uses are packed best fit instead, longest first, where that is shorter.
 
 The plan (configurations, how often each is used, lengths) is a small table.
 Pieces of one length are then numbered 0, 1, 2, ... in a distributed way
@@ -43,9 +44,9 @@ END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
 EPOCHS = 6                    # price updates at most
 GAP = 0.0005                  # distance from the volume bound at which prices are good enough
-ROUNDS = 600                  # configurations priced at most in an epoch
-STEP = 0.25                   # share of a length's count covered at once
-RATE = 0.7                    # strength of a price update
+START = 1.2                   # starting price of a length: its share of a sequence to this power
+TAILS = (0.01, 0.02, 0.05, 0.1)    # last shares of the tokens that are also tried best fit
+RATE = 0.1                    # strength of a price update
 BUCKET_ROWS = 200             # pieces of one length aimed at in one numbering bucket
 
 
@@ -132,100 +133,114 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
 
 # The linear program ----------------------------------------------------------------
 
-def _price(lengths: np.ndarray, weights: np.ndarray, counts: np.ndarray, capacity: int) -> dict[int, int]:
-    """The configuration of largest weight (knapsack by dynamic programming;
-    a length is used at most as often as it occurs)."""
+def _choices(lengths: list[int], prices: dict[int, float], capacity: int) -> list[int]:
+    """The length to take first from every room, for the configuration of
+    largest price (unbounded knapsack by dynamic programming); 0: leave one free."""
+    worth = np.full(capacity + 1, -np.inf)
+    worth[lengths] = [prices[n] for n in lengths]
     best = np.zeros(capacity + 1)
-    choice = np.full(capacity + 1, -1, dtype=np.int64)
-    for c in range(int(lengths[0]), capacity + 1):
-        fit = np.searchsorted(lengths, c, side="right")
-        values = best[c - lengths[:fit]] + weights[:fit]
+    choice = [0] * (capacity + 1)
+    for c in range(lengths[0], capacity + 1):
+        values = worth[1:c + 1] + best[c - 1::-1]
         k = int(values.argmax())
-        if values[k] > best[c - 1]:
-            best[c], choice[c] = values[k], k
-        else:
-            best[c], choice[c] = best[c - 1], -2
-    config: dict[int, int] = {}
-    c = capacity
-    while c > 0 and choice[c] != -1:
-        if choice[c] == -2:
-            c -= 1
-            continue
-        k = int(choice[c])
-        config[k] = config.get(k, 0) + 1
-        c -= int(lengths[k])
-    return {k: min(n, int(counts[k])) for k, n in config.items()}
-
-
-def _cover(lengths: np.ndarray, counts: np.ndarray, prices: np.ndarray, capacity: int, rounds: int) -> dict[tuple, float]:
-    """Fractional uses of configurations that cover the counts at given prices:
-    the best-priced configuration of what is still open is used until the
-    scarcest of its lengths is covered by one more ``STEP``."""
-    covered = np.zeros(len(lengths))
-    uses: dict[tuple, float] = {}
-    for _ in range(rounds):
-        open_ = covered < 1.0
-        if not open_.any():
-            break
-        config = _price(lengths, np.where(open_, prices, 0.0), np.maximum(counts, 1), capacity)
-        if not config:
-            break
-        k = np.array(list(config), dtype=np.int64)
-        a = np.array(list(config.values()), dtype=np.float64)
-        amount = max(float(np.min(np.minimum(STEP, 1.0 - covered[k]) * counts[k] / a)), 1e-9)
-        covered[k] += amount * a / counts[k]
-        covered[k] = np.where(covered[k] > 1 - 1e-9, 1.0, covered[k])
-        key = tuple(sorted(config.items()))
-        uses[key] = uses.get(key, 0.0) + amount
+        best[c] = best[c - 1]
+        if values[k] > best[c]:
+            best[c], choice[c] = values[k], k + 1
+    return choice
+
+
+def _cover(counts: dict[int, int], prices: dict[int, float], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Whole uses of configurations that cover all counts at given prices.  One
+    knapsack over the open lengths prices a best configuration around each of
+    them; it is used until one of its lengths is covered.  Configurations that need more of a length than is left wait for the
+    next knapsack; the first of each is always used, so all lengths get covered."""
+    rest = dict(counts)
+    uses = []
+    while rest:
+        choice = _choices(sorted(rest), prices, capacity)
+        for i, seed in enumerate(sorted(rest, reverse=True)):
+            config, room, whole = {seed: 1}, capacity - seed, seed in rest
+            while whole and room > 0:
+                n = choice[room]
+                if n and config.get(n, 0) >= rest.get(n, 0):
+                    whole = False
+                elif n:
+                    config[n] = config.get(n, 0) + 1
+                room -= n or 1
+            if not whole and i:
+                continue
+            if not whole:                                   # too few are left: fill up with what there is
+                room = capacity - sum(n * k for n, k in config.items())
+                for n in sorted(rest, reverse=True):
+                    k = min(room // n, rest[n] - config.get(n, 0))
+                    if k > 0:
+                        config[n] = config.get(n, 0) + k
+                        room -= k * n
+            times = min(rest[n] // k for n, k in config.items())
+            uses.append((config, times))
+            for n, k in config.items():
+                rest[n] -= k * times
+                if not rest[n]:
+                    del rest[n]
     return uses
 
 
-def _rounded(lengths: np.ndarray, counts: np.ndarray, uses: dict[tuple, float], capacity: int
-             ) -> list[tuple[dict[int, int], int]]:
-    """Whole uses (rounded down), and best fit for the rest of the histogram."""
-    plan, rest = [], counts.astype(np.int64)
-    for key, amount in sorted(uses.items(), key=lambda u: -u[1]):
-        k = np.array([i for i, _ in key])
-        a = np.array([n for _, n in key])
-        times = int(min(np.floor(amount + 1e-6), (rest[k] // a).min()))
-        if times > 0:
-            rest[k] -= times * a
-            plan.append(({int(lengths[i]): int(n) for i, n in key}, times))
-    return plan + best_fit({int(n): int(c) for n, c in zip(lengths, rest) if c}, capacity)
-
-
-def configurations(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS
-                   ) -> list[tuple[dict[int, int], int]]:
+def _with_tail(uses: list[tuple[dict[int, int], int]], capacity: int) -> tuple[list[tuple[dict[int, int], int]], float]:
+    """The uses, their last ones packed best fit where that is shorter (the last
+    lengths open match badly), and the share of the tokens in priced uses."""
+    tokens = [times * sum(n * k for n, k in config.items()) for config, times in uses]
+    total, upto = sum(tokens), np.cumsum(tokens)
+    best, share = uses, 1.0
+    for part in TAILS:
+        cut_at = int(np.searchsorted(upto, (1 - part) * total))
+        rest: dict[int, int] = {}
+        for config, times in uses[cut_at:]:
+            for n, k in config.items():
+                rest[n] = rest.get(n, 0) + k * times
+        plan = uses[:cut_at] + best_fit(rest, capacity)
+        if sum(t for _, t in plan) < sum(t for _, t in best):
+            best, share = plan, float(sum(tokens[:cut_at]) / total)
+    return best, share
+
+
+def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = EPOCHS
+          ) -> tuple[list[tuple[dict[int, int], int]], float]:
     """[(configuration, times)] that holds every length of the histogram as
-    often as it occurs.  Prices start in proportion to the length; after each
+    often as it occurs, and the share of the tokens (full pieces apart) in uses
+    of priced configurations.  Prices start a little steeper than the length; after each
     epoch a length's price is multiplied towards the share of a sequence it came
     to cost, so lengths that end up in poorly filled sequences are placed
-    earlier.  The best rounded solution of the epochs is kept."""
+    earlier.  Prices are updated at least once; the shortest plan is kept."""
     full: list[tuple[dict[int, int], int]] = []
     left = {int(n): int(c) for n, c in histogram.items() if c > 0}
     if left.get(capacity):
         full.append(({capacity: 1}, left.pop(capacity)))
     if not left:
-        return full
-    lengths = np.array(sorted(left), dtype=np.int64)
-    counts = np.array([left[int(n)] for n in lengths], dtype=np.float64)
-    at = {int(n): i for i, n in enumerate(lengths)}
-    bound = -(-int((lengths * counts).sum()) // capacity)
-    best = best_fit(left, capacity)                     # no whole use of any configuration
-    prices = lengths / capacity
-    for _ in range(EPOCHS):
-        plan = _rounded(lengths, counts, _cover(lengths, counts, prices, capacity, rounds), capacity)
-        if sum(n for _, n in plan) <= sum(n for _, n in best):
-            best = plan
-        if sum(n for _, n in best) <= bound * (1 + GAP):
+        return full, 0.0
+    bound = -(-sum(n * c for n, c in left.items()) // capacity)
+    best, share = best_fit(left, capacity), 0.0         # no use of any priced configuration
+    prices = {n: (n / capacity) ** START for n in left}
+    for epoch in range(max(2, min(rounds, EPOCHS))):
+        uses = _cover(left, prices, capacity)
+        plan, of_plan = _with_tail(uses, capacity)
+        was = sum(n for _, n in best)
+        if (sum(n for _, n in plan), -of_plan) <= (was, -share):
+            best, share = plan, of_plan
+        if epoch and sum(n for _, n in best) <= bound * (1 + GAP):
             break
-        cost = np.zeros(len(lengths))
-        for config, times in plan:
-            worth = sum(prices[at[n]] * c for n, c in config.items())
+        cost = dict.fromkeys(left, 0.0)
+        for config, times in uses:
+            worth = sum(prices[n] * c for n, c in config.items())
             for n, c in config.items():
-                cost[at[n]] += times * c * prices[at[n]] / worth
-        prices = prices * np.exp(RATE * np.log(np.maximum(cost / counts, 1e-9) / prices))
-    return full + best
+                cost[n] += times * c * prices[n] / worth
+        prices = {n: p * (max(cost[n] / left[n], 1e-9) / p) ** RATE for n, p in prices.items()}
+    return full + best, share
+
+
+def configurations(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = EPOCHS
+                   ) -> list[tuple[dict[int, int], int]]:
+    """The plan of ``solve``; ``rounds`` bounds the price updates."""
+    return solve(histogram, capacity, rounds)[0]
 
 
 def best_fit(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:

@@ -83,3 +83,16 @@ def test_query_is_near_the_bound(spark):
     rows = P.op10_best_fit_packing(spark, MEDIUM).collect()
     total = sum(r["length"] for r in rows)
     assert len({r["sequence_id"] for r in rows}) <= total / P.CAPACITY * 1.01
+
+
+def test_priced_configurations_place_a_full_histogram():
+    """About 1,000 lengths, as of documents: the linear program, not best fit, packs them."""
+    rng = np.random.default_rng(3)
+    drawn = np.concatenate([rng.integers(1, 1024, 6000), rng.normal(360, 110, 14_000).astype(int)])
+    values, counts = np.unique(drawn[(drawn > 0) & (drawn < 1024)], return_counts=True)
+    hist = dict(zip(values.tolist(), counts.tolist()))
+    assert len(hist) > 1000
+    used = sum(n for _, n in P.configurations(hist))
+    assert used < sum(n for _, n in P.best_fit(hist))
+    plan, share = P.solve(hist)
+    assert share >= 0.9 and sum(n for _, n in plan) == used
