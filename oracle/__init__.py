@@ -72,6 +72,7 @@ def oracle_queries() -> dict[str, str]:
         "dq_dates": S.dates_sql(),
         "dq_documents_text": S.text_table_sql("documents", "doc_id, lang, source"),
         "dq_conversations_text": S.text_table_sql("conversations", "conv_id, turn, role"),
+        "dq_documents_placeholder": S.documents_placeholder_sql(),
         "dq_placeholder_by_lang": S.placeholder_by_lang_sql(),
         "dq_csv_roundtrip": S.summary_sql(),
         "dq_extended_obs": S.extended_obs_sql(),

@@ -526,6 +526,10 @@ def placeholder_by_lang_sql() -> str:
             f"count(*) FILTER (WHERE {text_invalid('pieza')}) AS CON_TEXTO_INVALIDO FROM {PIECES} GROUP BY lang")
 
 
+def documents_placeholder_sql() -> str:
+    return f"SELECT doc_id, pieza, {filled('pieza')} AND {placeholder('pieza')} AS TIENE_PALABRA_INVALIDA FROM {PIECES}"
+
+
 def tx_required_all_sql() -> str:
     """Each of the three transaction fields, required when the other two are filled."""
     t = ("FECHA_ULTIMA_TRANSACCION", "TIPO_CUENTA_ULTIMA_TRANSACCION", "CANAL_ATENCION_ULT_TRANS")

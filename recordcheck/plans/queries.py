@@ -297,6 +297,11 @@ def _pieces(spark, sf) -> DataFrame:
     return docs.select("doc_id", "lang", F.explode(F.split("text", "[ \\n]+")).alias("pieza"))
 
 
+def dq_documents_placeholder(spark, sf):
+    """V1 on every piece of a document text."""
+    return _pieces(spark, sf).select("doc_id", "pieza", F.expr(V.has_placeholder("pieza")).alias("TIENE_PALABRA_INVALIDA"))
+
+
 def dq_documents_email(spark, sf):
     """V2 on every piece of a document text that holds an at sign."""
     return _pieces(spark, sf).filter(F.col("pieza").contains("@")).select(
@@ -446,7 +451,7 @@ def registry() -> dict[str, Query]:
                  "dq_null_above", "dq_excellent_fields", "dq_one_field", "dq_category_avg",
                  "dq_numeric_text", "dq_seq_repeat", "dq_dates", "dq_documents_text",
                  "dq_conversations_text", "dq_placeholder_by_lang", "dq_csv_roundtrip",
-                 "dq_extended_obs", "dq_ratio", "dq_documents_email", "dq_documents_phone",
+                 "dq_extended_obs", "dq_ratio", "dq_documents_placeholder", "dq_documents_email", "dq_documents_phone",
                  "s13_tx_required_all"):
         out[name] = g[name]
     for name in OUTPUTS:
