@@ -42,6 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,7 +54,8 @@ from recordcheck.sources.tables import read_table
 WINDOW = 100                  # bytes of a string that is removed
 ANCHOR = 32                   # bytes of the first digit
 SIDE = WINDOW - ANCHOR        # most bytes of a window on one side of its anchor
-BLOCK = 1 << 20               # bytes looked at at once
+BLOCK = 1 << 18               # bytes looked at at once (a place in them has 20 bits)
+PORTION = 4 << 20             # bytes of the texts a task holds at once, or one text
 GROUP = 50_000                # surroundings of an anchor that one task sorts
 OPEN = 400_000                # occurrences of an anchor that are held before they are judged
 SAMPLE = 4_000                # documents that show which anchors are frequent
@@ -62,6 +64,7 @@ SALTS = 64
 
 _PIECE, _AROUND, _OTHER = WD.Hasher(31), WD.Hasher(37), WD.Hasher(41)
 _U = np.uint64
+_PLACE = _U((1 << 20) - 1)
 _WHOLE, _CHECK, _FREQUENT = 0, 1, 2
 
 
@@ -84,7 +87,14 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     sums, down = _sums(data, _PIECE)
     n = len(data) - ANCHOR + 1
     pieces = WD.mix((sums[ANCHOR:] - sums[:n]) * down[:n])
-    chosen = WD.minimizer_of_each(pieces, SIDE + 1)
+    # Per window the smallest hash (its upper 44 bits, then the first place).
+    chosen = (pieces & ~_PLACE) | np.arange(n, dtype=_U)
+    size = 1
+    while size <= SIDE:
+        step = min(size, SIDE + 1 - size)
+        chosen = np.minimum(chosen[:-step], chosen[step:])
+        size += step
+    chosen = (chosen & _PLACE).astype(np.int64)
     whole = np.ones(len(chosen), dtype=bool)
     for end in ends[:-1].tolist():
         whole[max(0, end - WINDOW + 1):end] = False
@@ -136,9 +146,29 @@ def _places(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """anchor, surroundings and doc_id, each once per document and block."""
+def _portions(batches: Iterator[pa.RecordBatch], size) -> Iterator[pa.RecordBatch]:
+    """The same rows, ``PORTION`` bytes at a time; ``size``: bytes of the rows of a batch."""
     for batch in batches:
+        ends = np.cumsum(size(batch))
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + PORTION, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
+def _text_bytes(batch: pa.RecordBatch) -> np.ndarray:
+    return pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+
+
+def _packed_bytes(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("size").to_numpy(zero_copy_only=False)
+
+
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """anchor, surroundings and doc_id, each once per document and portion."""
+    for batch in _portions(batches, _text_bytes):
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
         text_no, _, _, _, anchor, around = _places([_raw(t) for t in batch.column("text")])
         doc = ids[text_no].astype(np.int64)
@@ -340,7 +370,7 @@ def _merged(cuts: list[tuple[int, int]]) -> list[int]:
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The outcome of every text whose windows are all decided, and text, cuts
     and surroundings to check of the others."""
-    for batch in batches:
+    for batch in _portions(batches, _packed_bytes):
         texts = [pa.decompress(z, n, codec="zstd", asbytes=True) if n else b"" for z, n in
                  zip(batch.column("packed").to_pylist(), batch.column("size").to_pylist())]
         whole, check = (batch.column(c) for c in ("whole", "check"))
@@ -472,7 +502,7 @@ def _checked(found: DataFrame) -> DataFrame:
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _portions(batches, _packed_bytes):
         out = []
         for z, n, cuts, spans in zip(*[batch.column(c).to_pylist() for c in ("packed", "size", "cuts", "spans")]):
             flat = [*(cuts or []), *(spans or [])]
@@ -484,7 +514,7 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _portions(batches, _text_bytes):
         texts = [_raw(t) for t in batch.column("text")]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([pa.compress(t, codec="zstd", asbytes=True) if t else b"" for t in texts], pa.binary()),

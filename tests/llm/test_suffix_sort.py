@@ -65,7 +65,7 @@ def test_against_brute_force(spark, odd_docs):
 
 def test_frequent_anchors_crowded_groups_and_small_blocks(spark, monkeypatch):
     """Every path on: salts, parts of a group, windows of crowded anchors, blocks."""
-    for name, value in (("SHARE", 0.0), ("SALTS", 3), ("GROUP", 6), ("BLOCK", 700), ("OPEN", 40)):
+    for name, value in (("SHARE", 0.0), ("SALTS", 3), ("GROUP", 6), ("BLOCK", 700), ("PORTION", 2000), ("OPEN", 40)):
         monkeypatch.setattr(S, name, value)
     monkeypatch.setattr(S, "_frequent", lambda docs: spark.createDataFrame(
         docs.mapInArrow(S._occurrences, "anchor long, around long, doc_id long").groupBy("anchor").count().filter("count > 8")
