@@ -55,8 +55,8 @@ WINDOW = 100                  # bytes of a string that is removed
 ANCHOR = 32                   # bytes of the first digit
 SIDE = WINDOW - ANCHOR        # most bytes of a window on one side of its anchor
 BLOCK = 1 << 18               # bytes looked at at once (a place in them has 20 bits)
-PORTION = 4 << 20             # bytes of the texts a task holds at once, or one text
-GROUP = 50_000                # surroundings of an anchor that one task sorts
+PORTION = 2 << 20             # bytes of the texts a task holds at once, or one text
+GROUP = 4_000                 # surroundings of an anchor that one task sorts
 OPEN = 400_000                # occurrences of an anchor that are held before they are judged
 SAMPLE = 4_000                # documents that show which anchors are frequent
 SHARE = 0.01                  # of these documents: from here on an anchor is salted
