@@ -90,6 +90,10 @@ def oracle_queries() -> dict[str, str]:
                           "registros_criticos": "dq_view_critical",
                           "registros_con_dependencias": "dq_view_dependency"}.items():
         out[f"snk1_{output}"] = out[query]
+    out["dq_summary_fold"] = out["dq_summary"]
+    out["snk1_lookup_detail"], out["snk1_lookup_report"] = out["dq_record_lookup"], out["dq_report_lookup"]
+    out["pf_merged_runs"] = out["dq_field_profile"]
+    out["src2_quarantine"], out["src2_accepted"] = S.quarantine_sql(), S.accepted_sql()
     return out
 
 

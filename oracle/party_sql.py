@@ -14,7 +14,7 @@ spelled out here (positional comparisons, explicit character classes).
 from __future__ import annotations
 
 from oracle import spec as K
-from recordcheck.sources.fixtures import BLANK, MORE_BAD, MOSTLY_NULL, PARTY_VALUES, PERIODS, PLACEHOLDER
+from recordcheck.sources.fixtures import BLANK, MORE_BAD, MOSTLY_NULL, NULL_TOGETHER, PARTY_VALUES, PERIODS, PLACEHOLDER
 
 FIELDS = list(K.FIELDS)
 IDX = {f: i for i, f in enumerate(FIELDS)}
@@ -58,6 +58,7 @@ def party_select(source: str = "orders") -> str:
         bads = [bad, *MORE_BAD.get(name, ())]
         turn = f"[{', '.join(map(q, bads))}][(k // 28) % {len(bads)} + 1]"
         null = f"{dirty} AND {st} = 0" + (" OR k % 10 BETWEEN 1 AND 7" if name == MOSTLY_NULL else "")
+        null += " OR k % 40 = 13" if name in NULL_TOGETHER else ""
         cols.append(
             f"CASE WHEN {null} THEN NULL "
             f"WHEN {dirty} AND {st} = 1 THEN {q(BLANK)} "
@@ -361,8 +362,8 @@ def profile_sql(where: str | None = None, select: str = "*") -> str:
     rows = []
     for i, f in enumerate(FIELDS):
         ex = lambda cond: (f"(SELECT coalesce(string_agg(CODIGO, ', ' ORDER BY CODIGO), '') FROM "
-                           f"(SELECT arg_min(CODIGO, d) AS CODIGO FROM (SELECT CODIGO, ('0x' || substr(md5(CODIGO), 1, 15))::BIGINT AS d "
-                           f"FROM party WHERE {cond} AND trim(CODIGO, ' ') <> '') GROUP BY d % {K.EXAMPLE_CODES}))")
+                           f"(SELECT DISTINCT CODIGO FROM party WHERE {cond} AND trim(CODIGO, ' ') <> '' "
+                           f"ORDER BY CODIGO LIMIT {K.EXAMPLE_CODES}))")
         rows.append(
             f"SELECT {q(f)} AS campo, {q(category(f))} AS CATEGORIA, count(*) AS n, "
             f"count(*) FILTER (WHERE {is_null(f)}) AS CANT_NULL, "
@@ -530,6 +531,21 @@ def documents_placeholder_sql() -> str:
     return f"SELECT doc_id, pieza, {filled('pieza')} AND {placeholder('pieza')} AS TIENE_PALABRA_INVALIDA FROM {PIECES}"
 
 
+# Lines of the written table by what is done to them.
+SHORT, LONG, BYTES = "k % 17 = 3", "k % 17 = 5", "k % 17 = 7"
+
+
+def quarantine_sql() -> str:
+    """Damaged lines: cut after 40 of the 55 fields, two fields more, a byte that is not UTF-8."""
+    return with_party(f"""SELECT k, CASE WHEN {SHORT} THEN 'LINEA_CORTA' WHEN {LONG} THEN 'LINEA_LARGA' ELSE 'NO_DECODIFICABLE' END AS MOTIVO,
+  CAST(CASE WHEN {SHORT} THEN 40 WHEN {LONG} THEN 57 ELSE 55 END AS BIGINT) AS CAMPOS
+FROM party WHERE {SHORT} OR {LONG} OR {BYTES}""", need_obs=False)
+
+
+def accepted_sql() -> str:
+    return summary_sql(f"NOT ({SHORT} OR {LONG} OR {BYTES})")
+
+
 def tx_required_all_sql() -> str:
     """Each of the three transaction fields, required when the other two are filled."""
     t = ("FECHA_ULTIMA_TRANSACCION", "TIPO_CUENTA_ULTIMA_TRANSACCION", "CANAL_ATENCION_ULT_TRANS")

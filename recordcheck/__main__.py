@@ -25,6 +25,9 @@ def main(argv=None, spark=None) -> str:
     ap.add_argument("--unicode-case", action="store_true",
                     help="placeholder words also match accented capitals (default: ASCII folding)")
     ap.add_argument("--ignore-corrupt-files", action="store_true")
+    ap.add_argument("--quarantine", action="store_true",
+                    help="lines with too few or too many fields or undecodable bytes are not audited but written "
+                         "to lineas_rechazadas")
     ap.add_argument("--fixed-fields", action="store_true",
                     help="the header must be the 54 fields in order; field indices are their codes")
     args = ap.parse_args(argv)
@@ -34,18 +37,21 @@ def main(argv=None, spark=None) -> str:
     from recordcheck import constants as K
     from recordcheck.plans.audit import Audit
     from recordcheck.plans.catalog_party import party_catalog
-    from recordcheck.sources.delimited import read_delimited
+    from recordcheck.sources.delimited import read_delimited, read_quarantined
 
     # The projection of all rules never fits one fused method (64 KB limit):
     # skip compiling it twice in vain (see README, "Codegen settings").
     spark = spark or (SparkSession.builder.appName("recordcheck")
                       .config("spark.sql.codegen.wholeStage", "false").getOrCreate())
-    df = read_delimited(spark, args.input, fields=K.FIELDS if args.fixed_fields else None, sep=args.sep,
-                        ignore_corrupt_files=args.ignore_corrupt_files)
+    fields, extra = K.FIELDS if args.fixed_fields else None, {}
+    if args.quarantine:
+        df, extra["lineas_rechazadas"] = read_quarantined(spark, args.input, fields=fields, sep=args.sep)
+    else:
+        df = read_delimited(spark, args.input, fields=fields, sep=args.sep, ignore_corrupt_files=args.ignore_corrupt_files)
     catalog = party_catalog(df.columns, extended=args.extended, unicode_case=args.unicode_case,
                             header=not args.fixed_fields)
     with Audit(df, catalog=catalog) as audit:
-        out = audit.write(args.output, args.run_id or K.DEFAULT_RUN_ID, csv=args.csv)
+        out = audit.write(args.output, args.run_id or K.DEFAULT_RUN_ID, csv=args.csv, extra=extra)
         totals = audit.type_totals().collect()[0].asDict()
         counts = audit.record_counts().collect()[0].asDict()
     print(json.dumps({"output": out, **counts, **totals}))

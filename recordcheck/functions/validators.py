@@ -28,7 +28,9 @@ def placeholder_pattern(words=K.PLACEHOLDER_WORDS, unicode_case: bool = False) -
     """
     flags = "(?iu)" if unicode_case else "(?i)"
     alternatives = "|".join(re.escape(w).replace("\\ ", " ") for w in words)
-    return f"{flags}(?<!{_WORD})(?:{alternatives})(?!{_WORD})"
+    # Only places with some word's first letter are looked at any closer.
+    first = "".join(dict.fromkeys(re.escape(w[0]) for w in words))
+    return f"{flags}(?=[{first}])(?<!{_WORD})(?:{alternatives})(?!{_WORD})"
 
 
 PLACEHOLDER_RE = placeholder_pattern()

@@ -1,8 +1,7 @@
 """Global totals and per-field counts (AG1..AG5, SO2).
 
 Every aggregate here is partial on the map side, so the shuffle carries one
-row per task (totals) or one row per field per task (field counts) whatever
-the input size or skew.
+row per task whatever the input size or skew.
 """
 
 from __future__ import annotations
@@ -11,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordcheck import constants as K
+from recordcheck.functions.sql import lit
+from recordcheck.operators.masks import Layout, rule_totals
 from recordcheck.operators.summary import COUNTERS, TOTAL
 
 TOTAL_NAMES = (
@@ -55,17 +56,27 @@ def type_totals(summary: DataFrame) -> DataFrame:
     return summary.agg(*[F.sum(F.col(c).cast("long")).alias(name) for c, name in TOTAL_NAMES])
 
 
-def field_counts(detail: DataFrame) -> DataFrame:
+def rule_counts(masked: DataFrame, layout: Layout) -> DataFrame:
+    """(CAMPO, TIPO_VERIFICACION, count) of every rule that fired at all."""
+    rules = layout.rules
+    if not rules:
+        return masked.sparkSession.createDataFrame([], "CAMPO string, TIPO_VERIFICACION string, count long")
+    campo, tipo = (f"element_at(array({', '.join(map(lit, names))}), rule + 1)" for names in
+                   ([r.field for r in rules], [r.tipo for r in rules]))
+    return rule_totals(masked, layout).select(F.expr(campo).alias("CAMPO"), F.expr(tipo).alias("TIPO_VERIFICACION"), "count")
+
+
+def field_counts(counts: DataFrame) -> DataFrame:
     """AG4: observations per field."""
-    return detail.groupBy("CAMPO").agg(F.count(F.lit(1)).alias("count"))
+    return counts.groupBy("CAMPO").agg(F.sum("count").alias("count"))
 
 
-def top_fields(detail: DataFrame, k: int = K.TOP_FIELDS_K) -> DataFrame:
+def top_fields(counts: DataFrame, k: int = K.TOP_FIELDS_K) -> DataFrame:
     """SO2: the ``k`` fields with most observations (ties by name)."""
-    return field_counts(detail).orderBy(F.desc("count"), "CAMPO").limit(k)
+    return field_counts(counts).orderBy(F.desc("count"), "CAMPO").limit(k)
 
 
-def field_type_counts(detail: DataFrame) -> DataFrame:
+def field_type_counts(counts: DataFrame) -> DataFrame:
     """AG5: observations per field and observation type, most first."""
-    return (detail.groupBy("CAMPO", "TIPO_VERIFICACION").agg(F.count(F.lit(1)).alias("count"))
+    return (counts.groupBy("CAMPO", "TIPO_VERIFICACION").agg(F.sum("count").alias("count"))
             .orderBy(F.desc("count"), "CAMPO", "TIPO_VERIFICACION"))

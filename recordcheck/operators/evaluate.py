@@ -1,16 +1,16 @@
-"""Rules -> one observation array, in a single projection.
-
-Each rule becomes ``CASE WHEN condition THEN array(<literal observation>)
-ELSE <empty array> END`` and ``flatten`` joins the one-or-zero element
-arrays, so a rule that is false *or* NULL adds nothing and array order is rule
-order.  (``array_compact`` / ``filter`` would do the same but are higher-order
-functions without code generation: their whole subtree would be interpreted.)
-
-The expression is built as Spark SQL text and becomes a Column in one call, so
-planning a 171-rule audit costs one Python-to-JVM round trip instead of tens
-of thousands.  It is one narrow ``Project`` over the input: no shuffle, no
-UDF, no chain of ``withColumn`` (a chain nests one projection per rule, and a
-filter on top makes the optimizer substitute the array into itself).
+"""Rules -> masks -> one observation array.
+
+The rules come to bits (``operators.masks``); an observation is a constant, picked
+by its bit: ``CASE WHEN bit THEN array(<literal observation>) ELSE <empty array>
+END`` per rule, joined by ``flatten`` in rule order.  A rule that is false *or*
+NULL sets no bit and adds nothing.  (``array_compact`` / ``filter`` would do the same
+but are higher-order functions without code generation.)
+
+Expressions are built as Spark SQL text and become Columns in one call, so
+planning a 171-rule audit costs few Python-to-JVM round trips instead of tens of
+thousands.  It is a few narrow projections over the input: no shuffle, no UDF, no
+chain of ``withColumn`` (a chain nests one projection per rule, and a filter on
+top makes the optimizer substitute the array into itself).
 """
 
 from __future__ import annotations
@@ -20,13 +20,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordcheck import constants as K
-from recordcheck.functions import predicates as P
 from recordcheck.functions.sql import ident, lit
-from recordcheck.operators.rules import FieldRefs, Rule
-from recordcheck.schema import OBS_COL, STATES_COL
+from recordcheck.operators.masks import Layout, with_masks
+from recordcheck.operators.rules import Rule
+from recordcheck.schema import OBS_COL
 
-DEFAULT_BLOCK = 40
+DEFAULT_BLOCK = 9              # rules that are tested together first
 OBS_SQL_TYPE = "ARRAY<STRUCT<idx: INT, campo: STRING, motivo: STRING, tipo: STRING, severidad: STRING>>"
 EMPTY_OBS = f"CAST(array() AS {OBS_SQL_TYPE})"
 
@@ -37,38 +36,29 @@ def observation_sql(rule: Rule, idx: int) -> str:
             f"'severidad', {lit(rule.severidad)}))")
 
 
-def _element(rules: Sequence[Rule], field_index: dict[str, int], refs: FieldRefs) -> str:
-    """One CASE for a run of rules; a run longer than one must be mutually
-    exclusive (same ``Rule.group``), so first-match equals all-matches."""
-    whens = " ".join(f"WHEN {r.sql(refs)} THEN {observation_sql(r, field_index[r.field])}" for r in rules)
-    return f"CASE {whens} ELSE {EMPTY_OBS} END"
-
-
-def _runs(rules: Sequence[Rule]) -> list[list[Rule]]:
-    runs: list[list[Rule]] = []
-    for r in rules:
-        if runs and r.group is not None and runs[-1][-1].group == r.group:
-            runs[-1].append(r)
-        else:
-            runs.append([r])
-    return runs
+def observations_sql(layout: Layout, field_index: dict[str, int], block_size: int = DEFAULT_BLOCK) -> str:
+    """Expression text of the ``array<struct>`` of fired observations over the masks."""
+    rules = range(len(layout.rules))
+    elements = [f"CASE WHEN {layout.bit(n).test} THEN {observation_sql(layout.rules[n], field_index[layout.rules[n].field])} "
+                f"ELSE {EMPTY_OBS} END" for n in rules]
+    if not elements:
+        return EMPTY_OBS
+    # Most rules are silent on most records: a block without a bit set is skipped.
+    blocks = [f"CASE WHEN {layout.any_of(rules[i:i + block_size])} THEN flatten(array({', '.join(elements[i:i + block_size])})) "
+              f"ELSE {EMPTY_OBS} END" for i in rules[::block_size]]
+    return f"flatten(array({', '.join(blocks)}))"
 
 
-def observations_sql(rules: Sequence[Rule], field_index: dict[str, int],
-                     refs: FieldRefs | None = None, block_size: int = DEFAULT_BLOCK) -> str:
-    """Expression text of the ``array<struct>`` of fired observations."""
-    refs = refs or FieldRefs()
-    if not rules:
-        return EMPTY_OBS
-    elements = [_element(run, field_index, refs) for run in _runs(rules)]
-    blocks = [f"flatten(array({', '.join(elements[i:i + block_size])}))"
-              for i in range(0, len(elements), block_size)]
-    return blocks[0] if len(blocks) == 1 else f"concat({', '.join(blocks)})"
+def layout_of(df: DataFrame, rules: Sequence[Rule], fields: Sequence[str]) -> Layout:
+    """The bits of the rules and of the audited fields that ``df`` has."""
+    missing = sorted({f for r in rules for f in r.uses + (r.field,)} - set(df.columns))
+    if missing:
+        raise ValueError(f"rules read columns absent from the input: {missing}")
+    return Layout(rules, [f for f in fields if f in df.columns])
 
 
-def observations_column(rules: Sequence[Rule], field_index: dict[str, int],
-                        refs: FieldRefs | None = None, block_size: int = DEFAULT_BLOCK) -> Column:
-    return F.expr(observations_sql(rules, field_index, refs, block_size))
+def observations_column(layout: Layout, fields: Sequence[str], block_size: int = DEFAULT_BLOCK) -> Column:
+    return F.expr(observations_sql(layout, {f: i for i, f in enumerate(fields)}, block_size))
 
 
 def evaluate(df: DataFrame, rules: Sequence[Rule], fields: Sequence[str],
@@ -78,33 +68,6 @@ def evaluate(df: DataFrame, rules: Sequence[Rule], fields: Sequence[str],
     ``fields`` fixes each field's index (its code).  Columns of ``df`` that no
     rule reads (keys, extra data) pass through unchanged.
     """
-    field_index = {f: i for i, f in enumerate(fields)}
-    missing = sorted({f for r in rules for f in r.uses + (r.field,)} - set(df.columns))
-    if missing:
-        raise ValueError(f"rules read columns absent from the input: {missing}")
-    obs = observations_column(rules, field_index, None, block_size)
-    return df.select(*[F.col(ident(c)) for c in df.columns], obs.alias(obs_col))
-
-
-NULL_STATE, BLANK_STATE, FLAGGED_STATE = 0, 1, 2
-
-
-def states_sql(fields: Sequence[str], obs_col: str = OBS_COL, block_size: int = DEFAULT_BLOCK) -> str:
-    """Expression text of the ``array<int>`` of field states of a record:
-    ``3 i + state`` for every field ``i`` that is NULL, blank, or filled with an
-    observation about its content.  NULL and blank do not depend on the rules."""
-    none = "CAST(array() AS ARRAY<INT>)"
-    cells = [f"CASE WHEN {P.is_null(f)} THEN array({3 * i + NULL_STATE}) "
-             f"WHEN {P.is_blank(f)} THEN array({3 * i + BLANK_STATE}) ELSE {none} END" for i, f in enumerate(fields)]
-    blocks = [f"flatten(array({', '.join(cells[i:i + block_size])}))" for i in range(0, len(cells), block_size)]
-    empty = f"concat({', '.join(blocks)})"
-    content = (f"transform(filter({ident(obs_col)}, x -> x.tipo NOT IN ({lit(K.TIPO_NULL)}, {lit(K.TIPO_VACIO)})), "
-               f"x -> 3 * x.idx + {FLAGGED_STATE})")
-    # A field with content observations that is itself empty is not "filled".
-    return (f"concat({empty}, array_except({content}, "
-            f"transform({empty}, x -> x - x % 3 + {FLAGGED_STATE})))")
-
-
-def with_states(evaluated: DataFrame, fields: Sequence[str], obs_col: str = OBS_COL) -> DataFrame:
-    """The evaluated table plus the states of its fields."""
-    return evaluated.withColumn(STATES_COL, F.expr(states_sql(fields, obs_col)))
+    layout = layout_of(df, rules, fields)
+    return with_masks(df, layout).select(
+        *[F.col(ident(c)) for c in df.columns], observations_column(layout, fields, block_size).alias(obs_col))

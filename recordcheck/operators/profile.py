@@ -1,32 +1,43 @@
 """Per-field quality profile (PF1..PF10): one row per audited field.
 
-Counts come from one pass over two columns of the evaluated table, the record
-code and the states of its fields: states are exploded and aggregated by (state,
-bucket of the code's digest) with fixed-width buffers, first within every task,
-so nothing is sorted, the shuffle carries at most ``3 fields x examples`` rows per
-task and a field that is NULL in a third of all rows costs nothing extra.  The
-smallest digest of a bucket names its example code; a pass over the code column
-alone looks up the few codes.  No audited column but the code is read.
+The profile of a set of records is a *state* that can be stored and added up: per
+field and state (NULL, blank, filled but flagged) the number of records and the
+first few codes.
+
+* Every task adds up its records' mask bits and folds their codes into one
+  sorted list of at most ``examples`` per field and state (PF7): one pass over five
+  numbers and the code.
+* These small states are folded over ``FOLDS`` groups, and those into one.
+  Nothing is sorted or collected beyond that size, and a code that a third of
+  all records share is one entry of each list.
+
+States of several runs, days or parts of a table are merged by the same fold
+(``merge_states``) without reading a record.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordcheck import constants as K
 from recordcheck.functions import predicates as P
-from recordcheck.functions.sql import ident, lit
+from recordcheck.functions.sql import ident
 from recordcheck.operators.aggregates import pct_half_up
-from recordcheck.operators.evaluate import BLANK_STATE, FLAGGED_STATE, NULL_STATE
-from recordcheck.schema import STATES_COL, category_of
+from recordcheck.operators.masks import Layout, bit_counts
+from recordcheck.schema import category_of
 
 PROFILE_COLUMNS = ("campo", "CATEGORIA", "CANT_NULL", "CANT_VACIO", "CANT_INCONSISTENTES",
                    "PCT_COMPLETITUD", "PCT_NULL", "PCT_INCONSISTENTE", "CALIDAD_CAMPO",
                    "CODIGOS_NULL_EJEMPLO", "CODIGOS_VACIO_EJEMPLO")
-_EVERY = -1                    # state of every record, for the number of records
+# States of a field; ALL counts the records (field "").
+NULL_STATE, BLANK_STATE, FLAGGED_STATE, ALL = "NULL", "VACIO", "INCONSISTENTE", "TODOS"
+STATE_SCHEMA = "campo string, estado string, n bigint, codigos array<string>"
+FOLDS = 32
 
 
 def quality_band(pct: Column) -> Column:
@@ -36,54 +47,130 @@ def quality_band(pct: Column) -> Column:
     return F.when(pct.isNull(), F.lit(None).cast("string")).otherwise(out.otherwise(F.lit(K.QUALITY_TOP)))
 
 
-def code_digest(code: str) -> str:
-    """60-bit digest of a code."""
-    return f"CAST(conv(substr(md5({code}), 1, 15), 16, 10) AS BIGINT)"
-
-
-def _state_counts(scored: DataFrame, code_col: str, examples: int) -> DataFrame:
-    """(state, n, codes): records per state and example codes: of every bucket of
-    digests the filled code with the smallest, ascending (so they are distinct)."""
-    digest = F.expr(f"CASE WHEN {P.is_filled(code_col)} THEN {code_digest(ident(code_col))} END")
-    rows = scored.select(
-        digest.alias("_digest"),
-        # every record has one state at least: explode_outer drops none, and
-        # keeps Spark from testing the array's size below the rules.
-        F.explode_outer(F.concat(F.array(F.lit(_EVERY)), F.col(STATES_COL))).alias("state"))
-    shown = F.expr("CASE WHEN state >= 0 THEN _digest END")
-    counts = (rows.select("state", shown.alias("_digest")).groupBy("state", (F.col("_digest") % examples).alias("bucket"))
-              .agg(F.count(F.lit(1)).alias("n"), F.min("_digest").alias("_digest")))
-    # At most 2 len(fields) * examples digests: safe to broadcast.
-    wanted = F.broadcast(counts.filter("_digest IS NOT NULL AND state % 3 <> 2").select("_digest").distinct())
-    codes = (scored.select(F.col(ident(code_col)).alias("_code"), digest.alias("_digest"))
-             .join(wanted, "_digest").distinct())
-    return (counts.join(F.broadcast(codes), "_digest", "left").groupBy("state")
-            .agg(F.sum("n").alias("n"), F.array_sort(F.collect_list("_code")).alias("codes")))
-
-
-def field_profile(scored: DataFrame, fields: Sequence[str] = K.FIELDS, code_col: str = "CODIGO",
-                  examples: int = K.EXAMPLE_CODES) -> DataFrame:
-    """PF1..PF7: ``resumen_por_campo``.  ``scored`` carries the states of the
-    fields; up to ``examples`` codes are shown per field and state."""
+# States ---------------------------------------------------------------------------
+
+def _emit(counts: dict[int, int], best: dict[int, list[str]]) -> pa.RecordBatch:
+    keys = sorted(counts)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(keys, pa.int32()), pa.array([counts[k] for k in keys], pa.int64()),
+         pa.array([best.get(k, []) for k in keys], pa.list_(pa.string()))], names=["state", "n", "codes"])
+
+
+def _of_records(k: int, words: Sequence[str], states: Sequence[tuple[int, int, int]], flagged: Sequence[tuple[int, int, int, dict[int, int]]]):
+    """The state of a task's records.  ``states``: (state, word, bit);  ``flagged``:
+    (state, words and bit that must be off, masks of which one must hit)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[int, int] = {0: 0, **{s: 0 for s, _, _ in states}, **{s: 0 for s, *_ in flagged}}
+        best: dict[int, list[str]] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values = [batch.column(w).to_numpy() for w in words]
+            totals = bit_counts(values)
+            counts[0] += batch.num_rows
+            for state, word, bit in states:
+                counts[state] += int(totals[word][bit])
+            for state, off, bit, masks in flagged:
+                hit = np.zeros(batch.num_rows, dtype=bool)
+                for word, mask in masks.items():
+                    hit |= (values[word] & mask) != 0
+                empty = (values[off[0]] | values[off[1]]) >> bit & 1
+                counts[state] += int((hit & (empty == 0)).sum())
+            column = batch.column("code")
+            valid = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False))
+            if not len(valid):
+                continue
+            encoded = column.take(pa.array(valid)).dictionary_encode()
+            codes = encoded.dictionary.to_pylist()
+            order = sorted(range(len(codes)), key=codes.__getitem__)      # code points order like UTF-8 bytes
+            rank = np.empty(len(codes), dtype=np.int64)
+            rank[order] = np.arange(len(codes))
+            of_row = rank[encoded.indices.to_numpy()]
+            by = np.argsort(of_row, kind="stable")
+            starts = np.flatnonzero(np.concatenate(([True], of_row[by][1:] != of_row[by][:-1])))
+            once = {}
+            for state, word, bit in states:
+                if word not in once:                                       # one word per distinct code
+                    once[word] = np.bitwise_or.reduceat(values[word][valid][by], starts)
+                hits = np.flatnonzero((once[word] >> bit) & 1)[:k].tolist()
+                if hits:
+                    best[state] = sorted({*best.get(state, ()), *(codes[order[i]] for i in hits)})[:k]
+        yield _emit(counts, best)
+    return run
+
+
+def _of_states(k: int):
+    """States folded into one."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[int, int] = {}
+        best: dict[int, list[str]] = {}
+        for batch in batches:
+            for state, n, codes in zip(*[batch.column(c).to_pylist() for c in ("state", "n", "codes")]):
+                counts[state] = counts.get(state, 0) + n
+                if codes:
+                    best[state] = sorted({*best.get(state, ()), *codes})[:k]
+        yield _emit(counts, best)
+    return run
+
+
+def profile_states(masked: DataFrame, layout: Layout, fields: Sequence[str], code_col: str = "CODIGO",
+                   examples: int = K.EXAMPLE_CODES) -> DataFrame:
+    """The mergeable state of a profile: campo, estado, n, codigos (the first
+    ``examples`` distinct filled codes, ascending)."""
+    words = layout.columns
+    content: dict[str, dict[int, int]] = {}
+    for n, r in enumerate(layout.rules):
+        if r.tipo not in (K.TIPO_NULL, K.TIPO_VACIO):
+            bit, masks = layout.bit(n), content.setdefault(r.field, {})
+            masks[words.index(bit.word)] = masks.get(words.index(bit.word), 0) | bit.mask
+    names, states, flagged = [(0, "", ALL)], [], []
+    for f in fields:
+        null, blank = layout.null_bit(f), layout.blank_bit(f)
+        for state, bit in ((NULL_STATE, null), (BLANK_STATE, blank)):
+            states.append((len(names), words.index(bit.word), bit.number))
+            names.append((len(names), f, state))
+        if f in content:
+            # A field with content observations that is itself empty is not "filled".
+            flagged.append((len(names), (words.index(null.word), words.index(blank.word)), null.number, content[f]))
+            names.append((len(names), f, FLAGGED_STATE))
+    schema = "state int, n long, codes array<string>"
+    code = F.expr(f"CASE WHEN {P.is_filled(code_col)} THEN {ident(code_col)} END").alias("code")
+    partial = masked.select(code, *words).mapInArrow(_of_records(examples, words, states, flagged), schema)
+    merged = (partial.withColumn("fold", F.pmod(F.spark_partition_id(), F.lit(FOLDS))).repartition("state", "fold")
+              .select("state", "n", "codes").mapInArrow(_of_states(examples), schema))
+    known = masked.sparkSession.createDataFrame(names, "state int, campo string, estado string")
+    # At most FOLDS small rows per state are left.
+    return merge_states(merged.join(F.broadcast(known), "state").select("campo", "estado", "n", F.col("codes").alias("codigos")), examples)
+
+
+def merge_states(states: DataFrame, examples: int = K.EXAMPLE_CODES) -> DataFrame:
+    """States of several sets of records (the union of their tables) as one.  A run
+    brings one row of at most ``examples`` codes per field and state."""
+    codes = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("codigos")))), 1, examples)
+    return states.groupBy("campo", "estado").agg(F.sum("n").alias("n"), codes.alias("codigos"))
+
+
+def profile_of_states(states: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """PF1..PF7 from a state."""
     # At most 3 len(fields) + 1 small rows: one struct of the whole profile.
-    found = _state_counts(scored, code_col, examples).agg(F.map_from_entries(F.collect_list(
-        F.struct("state", F.struct("n", "codes")))).alias("m"))
-
-    def at(i: int, state: int, part: str) -> str:
-        return f"m[{3 * i + state}].{part}"
-
-    def count(i: int, state: int) -> str:
-        return f"coalesce({at(i, state, 'n')}, 0L)"
-
-    none = "CAST(array() AS ARRAY<STRING>)"
-    structs = ", ".join(
-        f"named_struct('i', {i}, 'campo', {lit(f)}, 'CATEGORIA', {lit(category_of(f))}, "
-        f"'CANT_NULL', {count(i, NULL_STATE)}, 'CANT_VACIO', {count(i, BLANK_STATE)}, "
-        f"'CANT_INCONSISTENTES', {count(i, FLAGGED_STATE)}, "
-        f"'CODIGOS_NULL_EJEMPLO', coalesce({at(i, NULL_STATE, 'codes')}, {none}), "
-        f"'CODIGOS_VACIO_EJEMPLO', coalesce({at(i, BLANK_STATE, 'codes')}, {none}))"
-        for i, f in enumerate(fields))
-    long = found.select(F.expr(f"coalesce(m[{_EVERY}].n, 0L)").alias("_n"), F.expr(f"inline(array({structs}))"))
+    found = states.agg(F.map_from_entries(F.collect_list(
+        F.struct(F.concat_ws("/", "estado", "campo"), F.struct("n", "codigos")))).alias("m"))
+
+    named = F.array(*[F.struct(F.lit(f).alias("campo"), F.lit(category_of(f)).alias("CATEGORIA")) for f in fields])
+    long = found.select("m", F.inline(named))
+
+    def at(state: str, part: str) -> Column:
+        return F.element_at("m", F.concat(F.lit(f"{state}/"), F.col("campo")))[part]
+
+    def count(state: str) -> Column:
+        return F.coalesce(at(state, "n"), F.lit(0).cast("long"))
+
+    none = F.expr("CAST(array() AS ARRAY<STRING>)")
+    long = long.select(
+        "campo", "CATEGORIA", F.coalesce(F.element_at("m", F.lit(f"{ALL}/"))["n"], F.lit(0).cast("long")).alias("_n"),
+        count(NULL_STATE).alias("CANT_NULL"), count(BLANK_STATE).alias("CANT_VACIO"), count(FLAGGED_STATE).alias("CANT_INCONSISTENTES"),
+        F.coalesce(at(NULL_STATE, "codigos"), none).alias("CODIGOS_NULL_EJEMPLO"),
+        F.coalesce(at(BLANK_STATE, "codigos"), none).alias("CODIGOS_VACIO_EJEMPLO"))
     n = F.col("_n")
     return long.select(
         "campo", "CATEGORIA", "CANT_NULL", "CANT_VACIO", "CANT_INCONSISTENTES",
@@ -94,6 +181,15 @@ def field_profile(scored: DataFrame, fields: Sequence[str] = K.FIELDS, code_col:
     ).withColumn("CALIDAD_CAMPO", quality_band(F.col("PCT_COMPLETITUD"))).select(*PROFILE_COLUMNS)
 
 
+def field_profile(masked: DataFrame, layout: Layout, fields: Sequence[str] = K.FIELDS, code_col: str = "CODIGO",
+                  examples: int = K.EXAMPLE_CODES) -> DataFrame:
+    """PF1..PF7: ``resumen_por_campo`` of a table with masks; the first ``examples``
+    codes are shown per field and state."""
+    return profile_of_states(profile_states(masked, layout, fields, code_col, examples), fields)
+
+
+# Views ------------------------------------------------------------------------------
+
 def worst_fields(profile: DataFrame, n: int = 10) -> DataFrame:
     """PF8: lowest completeness first (ties by name)."""
     return profile.orderBy(F.asc_nulls_last("PCT_COMPLETITUD"), "campo").limit(n)

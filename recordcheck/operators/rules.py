@@ -42,9 +42,9 @@ class Rule:
     severidad: str        # severity label
     condition: Condition  # FieldRefs -> boolean expression text
     uses: tuple[str, ...] = ()  # every field the condition reads
-    # Adjacent rules with the same group are mutually exclusive (at most one
-    # can fire), so the evaluator may test them in one CASE.
-    group: str | None = None
+    # "null" or "blank": the rule is that state of its field and nothing else, so
+    # the field's bit is the rule's bit.
+    state: str | None = None
 
     def sql(self, refs: FieldRefs | None = None) -> str:
         return self.condition(refs or FieldRefs())
@@ -54,12 +54,12 @@ class Rule:
 
 def null_rule(field: str, tipo: str, severidad: str, rule_id: str = "R1") -> Rule:
     return Rule(rule_id, field, f"{field}_NULL", tipo, severidad,
-                lambda r, f=field: P.is_null(f), (field,), f"null-blank:{field}")
+                lambda r, f=field: P.is_null(f), (field,), "null")
 
 
 def blank_rule(field: str, tipo: str, severidad: str, rule_id: str = "R2") -> Rule:
     return Rule(rule_id, field, f"{field}_VACIO", tipo, severidad,
-                lambda r, f=field: P.is_blank(f), (field,), f"null-blank:{field}")
+                lambda r, f=field: P.is_blank(f), (field,), "blank")
 
 
 def required(field: str, motivo: str, tipo: str, severidad: str, rule_id: str) -> Rule:

@@ -1,5 +1,8 @@
-"""Per-record counters and lists derived from the observation array (SM1..SM10)
-and the executive summary (OUT1).  Higher-order array functions only."""
+"""Per-record counters and lists (SM1..SM10) and the executive summary (OUT1).
+
+From masks, counters are bit counts and lists bit tests.  From an observation
+array (``with_summary``), one fold over its elements gives all of them.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordcheck import constants as K
+from recordcheck.functions.sql import ident, lit
+from recordcheck.operators.masks import Layout
 from recordcheck.schema import OBS_COL
 
 COUNTERS = (
@@ -25,34 +30,39 @@ SUMMARY_COLUMNS = tuple(n for n, _ in COUNTERS) + (TOTAL,) + LISTS
 RECORD_ID = ("CODIGO", "RAZON_SOCIAL", "NIT")
 
 
-def _of_types(obs: Column, tipos: Sequence[str]) -> Column:
-    if len(tipos) == 1:
-        return F.filter(obs, lambda x: x["tipo"] == tipos[0])
-    return F.filter(obs, lambda x: x["tipo"].isin(list(tipos)))
+# The observation types of every list, and what an observation adds to it.
+LIST_TYPES = ((K.TIPO_NULL, K.TIPO_VACIO), (K.TIPO_OBLIGADO,), (K.TIPO_CONDICIONAL,), (K.TIPO_OPC_CONDICIONAL, K.TIPO_OPCIONAL))
+SEP = ", "
+
 
+def mask_summary(layout: Layout) -> list[Column]:
+    """SM1..SM10 as Columns over the masks."""
+    rules = list(enumerate(layout.rules))
+    texts = {n: f"{r.field}_{r.tipo.lower()}" if r.tipo in LIST_TYPES[0] else r.motivo for n, r in rules}
+    cols = [F.expr(layout.count([n for n, r in rules if r.tipo in tipos])).alias(name) for name, tipos in COUNTERS]
+    cols.append(F.expr(layout.count([n for n, _ in rules])).alias(TOTAL))
+    cols += [F.expr(layout.joined({n: texts[n] for n, r in rules if r.tipo in tipos}, SEP)).alias(name)
+             for name, tipos in zip(LISTS, LIST_TYPES)]
+    return cols
 
-def _joined(items: Column) -> Column:
-    return F.concat_ws(", ", items)
 
+def _folded(obs_col: str) -> Column:
+    """A struct of SM1..SM10: one ``aggregate`` over the observations."""
+    def types(tipos: Sequence[str]) -> str:
+        return f"x.tipo IN ({', '.join(lit(t) for t in tipos)})"
 
-def summary_columns(obs_col: str = OBS_COL) -> list[Column]:
-    """SM1..SM10 as Columns over the observation array."""
-    obs = F.col(obs_col)
-    cols = [F.size(_of_types(obs, tipos)).alias(name) for name, tipos in COUNTERS]
-    cols.append(F.size(obs).alias(TOTAL))
-    null_blank = _of_types(obs, (K.TIPO_NULL, K.TIPO_VACIO))
-    cols.append(_joined(F.transform(
-        null_blank, lambda x: F.concat(x["campo"], F.lit("_"), F.lower(x["tipo"])))).alias(LISTS[0]))
-    cols.append(_joined(F.transform(_of_types(obs, (K.TIPO_OBLIGADO,)), lambda x: x["motivo"])).alias(LISTS[1]))
-    cols.append(_joined(F.transform(_of_types(obs, (K.TIPO_CONDICIONAL,)), lambda x: x["motivo"])).alias(LISTS[2]))
-    cols.append(_joined(F.transform(_of_types(obs, (K.TIPO_OPC_CONDICIONAL, K.TIPO_OPCIONAL)),
-                                    lambda x: x["motivo"])).alias(LISTS[3]))
-    return cols
+    zero = ", ".join([f"'{name}', 0" for name, _ in COUNTERS] + [f"'{TOTAL}', 0"] + [f"'{name}', ''" for name in LISTS])
+    steps = [f"'{name}', s.{name} + if({types(tipos)}, 1, 0)" for name, tipos in COUNTERS] + [f"'{TOTAL}', s.{TOTAL} + 1"]
+    for name, tipos in zip(LISTS, LIST_TYPES):
+        text = "concat(x.campo, '_', lower(x.tipo))" if tipos == LIST_TYPES[0] else "x.motivo"
+        steps.append(f"'{name}', if({types(tipos)}, concat(s.{name}, if(s.{name} = '', '', {lit(SEP)}), {text}), s.{name})")
+    return F.expr(f"aggregate({ident(obs_col)}, named_struct({zero}), (s, x) -> named_struct({', '.join(steps)}))")
 
 
 def with_summary(evaluated: DataFrame, obs_col: str = OBS_COL) -> DataFrame:
-    """The evaluated table plus SM1..SM10."""
-    return evaluated.select("*", *summary_columns(obs_col))
+    """A table with observations plus SM1..SM10, by one pass over the array."""
+    folded = evaluated.select("*", _folded(obs_col).alias("_rc_summary"))
+    return folded.select(*[F.col(ident(c)) for c in evaluated.columns], *[F.col(f"_rc_summary.{c}").alias(c) for c in SUMMARY_COLUMNS])
 
 
 def executive_summary(scored: DataFrame, keys: Sequence[str] = (),

@@ -15,16 +15,17 @@ from pyspark.sql import functions as F
 from recordcheck import constants as K
 from recordcheck.functions import predicates as P
 from recordcheck.functions import validators as V
-from recordcheck.operators import aggregates as AG
 from recordcheck.operators import profile as PF
 from recordcheck.operators import views as VW
 from recordcheck.operators.detail import detail as detail_rows
 from recordcheck.operators.evaluate import evaluate
-from recordcheck.operators.summary import COUNTERS, TOTAL
-from recordcheck.plans.audit import Audit
+from recordcheck.operators.summary import COUNTERS, RECORD_ID, TOTAL, executive_summary, with_summary
+from recordcheck.plans.audit import Audit, merged_profile
 from recordcheck.plans.catalog_party import party_catalog
+from recordcheck.schema import OBS_COL
+from recordcheck.sources.delimited import read_quarantined
 from recordcheck.sources.fixtures import party
-from recordcheck.sources.storage import scratch_path
+from recordcheck.sources.storage import lookup, scratch_path
 from recordcheck.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -182,7 +183,7 @@ def dq_record_counts(spark, sf):
 
 def dq_field_counts(spark, sf):
     """AG4: observations per field."""
-    return AG.field_counts(_audit(spark, sf).detail(order="none"))
+    return _audit(spark, sf).field_counts()
 
 
 def dq_top_fields(spark, sf):
@@ -352,6 +353,60 @@ def _written(name: str) -> Query:
     return query
 
 
+def dq_summary_fold(spark, sf):
+    """SM1..SM10 from the observation array, by one fold over it."""
+    src = _party(spark, sf)
+    cat = party_catalog(src.columns)
+    ev = evaluate(src, cat.rules, cat.fields).select(*KEYS, *RECORD_ID, OBS_COL)
+    return _bigint_counters(executive_summary(with_summary(ev), KEYS))
+
+
+def _looked_up(output: str) -> Query:
+    """EX2 / EX3 over SNK1: one record code in a written, range-sorted output."""
+    def query(spark, sf):
+        with _audit(spark, sf, materialize=True) as audit:
+            path = audit.write(scratch_path(spark, "outputs"), run_id="20251130")
+        return lookup(spark, f"{path}/{output}", LOOKUP_CODE)
+
+    return query
+
+
+def pf_merged_runs(spark, sf):
+    """PF1..PF7 of two runs, each over half of the records, merged from their
+    stored states."""
+    root, runs = scratch_path(spark, "runs"), []
+    for half in (0, 1):
+        with Audit(_party(spark, sf).filter(F.col("k") % 2 == half), keys=KEYS) as audit:
+            runs.append(audit.write(root, run_id=f"mitad{half}"))
+    return _joined_arrays(merged_profile(spark, runs))
+
+
+def _damaged_file(spark, sf) -> str:
+    """The party table as ';' text in the shared folder, some lines damaged: cut
+    short, with fields too many, or with a byte that is no UTF-8."""
+    src = _party(spark, sf)
+    k, cells = F.col("k"), [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in src.columns]
+    byte = F.expr("cast(unhex('E9') as string)")
+    broken = [F.concat(c, byte) if n == "RAZON_SOCIAL" else c for n, c in zip(src.columns, cells)]
+    line = (F.when(k % 17 == 3, F.concat_ws(";", *cells[:40])).when(k % 17 == 5, F.concat_ws(";", *cells, F.lit("x"), F.lit("y")))
+            .when(k % 17 == 7, F.concat_ws(";", *broken)).otherwise(F.concat_ws(";", *cells)))
+    path = scratch_path(spark, "damaged")
+    src.select(line.alias("value")).write.text(path)
+    return path
+
+
+def src2_quarantine(spark, sf):
+    """SRC2: the damaged lines of a written file, with what is wrong with them."""
+    _, rejected = read_quarantined(spark, _damaged_file(spark, sf), fields=(*KEYS, *K.FIELDS), header=False)
+    return rejected.select(F.substring_index("LINEA", ";", 1).cast("long").alias("k"), "MOTIVO", "CAMPOS")
+
+
+def src2_accepted(spark, sf):
+    """SRC1 + SRC2: the audit's summary of the lines of that file that are whole."""
+    rows, _ = read_quarantined(spark, _damaged_file(spark, sf), fields=(*KEYS, *K.FIELDS), header=False)
+    return _bigint_counters(Audit(rows.withColumn("k", F.col("k").cast("long")), keys=KEYS, materialize=False).summary())
+
+
 def s13_tx_required_all(spark, sf):
     """A transaction field is required only when both others are filled."""
     src = _party(spark, sf)
@@ -452,8 +507,10 @@ def registry() -> dict[str, Query]:
                  "dq_numeric_text", "dq_seq_repeat", "dq_dates", "dq_documents_text",
                  "dq_conversations_text", "dq_placeholder_by_lang", "dq_csv_roundtrip",
                  "dq_extended_obs", "dq_ratio", "dq_documents_placeholder", "dq_documents_email", "dq_documents_phone",
-                 "s13_tx_required_all"):
+                 "s13_tx_required_all", "dq_summary_fold", "pf_merged_runs", "src2_quarantine", "src2_accepted"):
         out[name] = g[name]
     for name in OUTPUTS:
         out[f"snk1_{name}"] = _written(name)
+    out["snk1_lookup_detail"] = _looked_up("detalle_observaciones")
+    out["snk1_lookup_report"] = _looked_up("reporte_auditoria")
     return out

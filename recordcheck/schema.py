@@ -9,8 +9,6 @@ from recordcheck import constants as K
 # array<struct<idx, campo, motivo, tipo, severidad>>: which field, why, which
 # type and how severe (declared as text in operators.evaluate).
 OBS_COL = "OBS_ARRAY"
-# array<int> of field states (see operators.evaluate.states_sql); never an output.
-STATES_COL = "_rc_states"
 
 FIELD_INDEX = {name: i for i, name in enumerate(K.FIELDS)}
 

@@ -9,8 +9,10 @@ schema instead of trusting positions.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import zlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,6 +50,77 @@ def read_delimited(spark: SparkSession, path: str, fields: Sequence[str] | None
     return reader.csv(path)
 
 
+CORRUPT = "_rc_corrupt"
+REJECTED_COLUMNS = ("ARCHIVO", "MOTIVO", "CAMPOS", "LINEA")
+LINE_SHORT, LINE_LONG, LINE_BROKEN, LINE_BYTES, FILE_DAMAGED = (
+    "LINEA_CORTA", "LINEA_LARGA", "LINEA_ILEGIBLE", "NO_DECODIFICABLE", "ARCHIVO_DANADO")
+
+
+def read_quarantined(spark: SparkSession, path: str, fields: Sequence[str] | None = None, sep: str = ";",
+                     header: bool = True, encoding: str = "UTF-8") -> tuple[DataFrame, DataFrame]:
+    """SRC1 / SRC2 without loss: (rows, rejected).  ``rows`` are the lines with
+    exactly the fields of the table, as ``read_delimited`` gives them; every other
+    line is a row of ``rejected`` (file, reason, number of fields, text):
+    fewer or more fields than the header, not parseable, or bytes that are no text
+    in ``encoding`` (they show as U+FFFD, as does a real one).
+
+    Both are lazy; columns are not pruned below the parser, since a pruned parse
+    would no longer see that a line is short or long."""
+    names = list(fields) if fields is not None else header_of(spark, path, sep, encoding)
+    schema = string_schema(names).add(T.StructField(CORRUPT, T.StringType(), True))
+    lines = (spark.read.schema(schema)
+             .option("header", header).option("sep", sep).option("enforceSchema", not header).option("encoding", encoding)
+             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+             .csv(path))
+    text = F.coalesce(F.col(CORRUPT), F.concat_ws(sep, *[F.coalesce(lines[f"`{n}`"], F.lit("")) for n in names]))
+    undecoded = text.contains("\ufffd")
+    lines = lines.select("*", F.col("_metadata.file_path").alias("_rc_file"), text.alias("_rc_line"), undecoded.alias("_rc_bytes"))
+    good = lines.filter(F.col(CORRUPT).isNull() & ~F.col("_rc_bytes")).select(*[F.col(f"`{n}`") for n in names])
+    # Separators outside of quoted parts.
+    bare = F.regexp_replace("_rc_line", r'"(?:[^"\\]|\\.|"")*"', "")
+    count = (F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit("")))) / len(sep) + 1
+    n, bad = F.col("CAMPOS"), F.col(CORRUPT).isNotNull()
+    reason = (F.when(bad & (n < len(names)), LINE_SHORT).when(bad & (n > len(names)), LINE_LONG)
+              .when(F.col("_rc_bytes"), LINE_BYTES).otherwise(LINE_BROKEN))
+    rejected = (lines.filter(bad | F.col("_rc_bytes")).withColumn("CAMPOS", count.cast("long"))
+                .select(F.col("_rc_file").alias("ARCHIVO"), reason.alias("MOTIVO"), "CAMPOS", F.col("_rc_line").alias("LINEA")))
+    return good, rejected
+
+
+def _gzip_state(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Unpack every file to its end, a piece at a time, keeping nothing."""
+    for batch in batches:
+        damaged, readable = [], []
+        for cell in batch.column("content"):
+            data, at, size, ok = memoryview(cell.as_buffer()), 0, 0, True
+            try:
+                while at < len(data):
+                    member = zlib.decompressobj(wbits=31)
+                    while not member.eof:
+                        if at >= len(data):
+                            raise EOFError
+                        piece = data[at:at + (1 << 20)]
+                        size += len(member.decompress(piece))
+                        at += len(piece) - len(member.unused_data)
+            except (zlib.error, EOFError):
+                ok = False
+            damaged.append(not ok)
+            readable.append(size)
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(damaged), pa.array(readable, pa.int64())],
+                                         names=["ARCHIVO", "DANADO", "BYTES_LEGIBLES"])
+
+
+def damaged_files(spark: SparkSession, path: str, glob: str = "*.gz") -> DataFrame:
+    """SRC2: the gzip files under ``path`` that do not unpack to their end, with the
+    bytes that can be read: (ARCHIVO, MOTIVO, BYTES_LEGIBLES).  One task checks one
+    file (gzip cannot be split when it is read either); files of 2 GB and more are
+    refused by the reader."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
+    found = files.mapInArrow(_gzip_state, "ARCHIVO string, DANADO boolean, BYTES_LEGIBLES long")
+    return found.filter("DANADO").select("ARCHIVO", F.lit(FILE_DAMAGED).alias("MOTIVO"), "BYTES_LEGIBLES")
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = ";", single_file: bool = False,
                     mode: str = "overwrite") -> None:
     """SNK2: header + separator.  ``single_file`` funnels all rows through one

@@ -10,7 +10,8 @@ Cell rule (test-input specification): for field index ``i`` the cell is
 a dirty cell takes the state ``(k div 7 + i) % 4``: 0 NULL, 1 three spaces,
 2 ``NO APLICA``, 3 one of the field's bad values, in turn over ``k div 28``.
 Otherwise the good value.  The cells of one field (``MOSTLY_NULL``) are NULL
-wherever ``k % 10`` is 1 to 7.
+wherever ``k % 10`` is 1 to 7, those of three (``NULL_TOGETHER``) wherever ``k % 40``
+is 13.
 """
 
 from __future__ import annotations
@@ -110,6 +111,7 @@ MORE_BAD = {
     "CARGO_REP_LEGAL": ("JEFEEEE", "BCDF"),
 }
 MOSTLY_NULL = "OPERACION_ASOCIADA_ALTA"
+NULL_TOGETHER = ("REFERENCIAS_PERS_REP_LEGAL", "REFERENCIAS_COM_REP_LEGAL", "REFERENCIAS_BANCARIAS_REP_LEGAL")
 PERIODS = (3, 7, 11)
 BLANK = "   "
 PLACEHOLDER = "NO APLICA"
@@ -126,6 +128,7 @@ def party_cell_sql(i: int, good: str, bad: str) -> str:
     bads = (bad, *MORE_BAD.get(name, ()))
     turn = f"element_at(array({', '.join(map(lit, bads))}), CAST((k div 28) % {len(bads)} + 1 AS INT))"
     missing = f"(k % 10 BETWEEN 1 AND 7) OR ({dirty} AND {state} = 0)" if name == MOSTLY_NULL else f"{dirty} AND {state} = 0"
+    missing += " OR k % 40 = 13" if name in NULL_TOGETHER else ""
     return (f"CASE WHEN {missing} THEN CAST(NULL AS STRING) "
             f"WHEN {dirty} AND {state} = 1 THEN {lit(BLANK)} "
             f"WHEN {dirty} AND {state} = 2 THEN {lit(PLACEHOLDER)} "

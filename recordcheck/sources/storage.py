@@ -1,5 +1,9 @@
 """Parquet sinks, run-stamped output paths and the shared scratch area.
 
+A run's outputs are staged beside their place and moved there when all are
+written (``publish``), so a run that fails leaves the former outputs.
+
+
 Scratch tables (materialized evaluations) go under the folder the cluster
 names in ``spark.checkpoint.dir``; only a local session (tests, a laptop) may go
 without one and gets a private temporary folder.
@@ -11,6 +15,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recordcheck import constants as K
 
@@ -22,9 +27,74 @@ def run_path(root: str, run_id: str = K.DEFAULT_RUN_ID) -> str:
     return f"{root.rstrip('/')}/resultados_{run_id}"
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """SNK1."""
-    df.write.mode(mode).parquet(path)
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", **options) -> None:
+    """SNK1; ``options``: options of the Parquet writer."""
+    df.write.mode(mode).options(**options).parquet(path)
+
+
+def lookup_options(code: str = "CODIGO", row_group_bytes: int | None = None) -> dict[str, str]:
+    """Writer options for tables that are searched by one code: a Bloom filter per
+    row group, sized by the codes that are there, so a reader skips row groups
+    without the code whatever the order of the rows."""
+    out = {f"parquet.bloom.filter.enabled#{code}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+    if row_group_bytes:
+        out["parquet.block.size"] = str(row_group_bytes)
+    return out
+
+
+def lookup(spark: SparkSession, path: str, value: str, code: str = "CODIGO") -> DataFrame:
+    """EX2 / EX3 over a written output: the rows of one code.  The comparison is
+    pushed to the scan, which reads only row groups that can hold the code."""
+    return spark.read.parquet(path).filter(F.col(code) == value)
+
+
+COMPLETE = "_COMPLETE"         # marker of a folder of outputs that was written to its end
+
+
+def staging_path(out: str) -> str:
+    """A new folder beside ``out``; its name starts with ``_``, so readers of the
+    root skip it."""
+    root, _, name = out.rstrip("/").rpartition("/")
+    return f"{root}/_staging-{name}-{uuid.uuid4().hex}"
+
+
+def _former(out: str) -> str:
+    root, _, name = out.rstrip("/").rpartition("/")
+    return f"{root}/_former-{name}"
+
+
+def publish(spark: SparkSession, staged: str, out: str) -> None:
+    """``staged``, written to its end, becomes ``out`` in place of what was there:
+    marker, former folder aside, staged folder in its place, former folder gone.
+    Until the renames nothing of the former outputs is touched; if the second
+    rename fails the first is taken back (and by ``recover`` if the driver dies
+    between them)."""
+    target, fs = _file_system(spark, out)
+    source, _ = _file_system(spark, staged)
+    former, _ = _file_system(spark, _former(out))
+    fs.create(_file_system(spark, f"{staged}/{COMPLETE}")[0]).close()
+    recover(spark, out)
+    replaced = fs.exists(target)
+    if replaced and not fs.rename(target, former):
+        raise OSError(f"cannot move {out} aside")
+    if not fs.rename(source, target):
+        if replaced:
+            fs.rename(former, target)
+        raise OSError(f"cannot move {staged} to {out}")
+    if replaced:
+        fs.delete(former, True)
+
+
+def recover(spark: SparkSession, out: str) -> None:
+    """What an interrupted ``publish`` of ``out`` left: the former outputs go back if
+    no new ones are in place, else they go."""
+    target, fs = _file_system(spark, out)
+    former, _ = _file_system(spark, _former(out))
+    if fs.exists(former):
+        if fs.exists(target):
+            fs.delete(former, True)
+        else:
+            fs.rename(former, target)
 
 
 def read_audited_parquet(spark: SparkSession, path: str, fields=K.FIELDS, keys=()) -> DataFrame:

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from recordcheck import constants as K
-from recordcheck.operators.evaluate import evaluate
-from recordcheck.operators.summary import executive_summary, with_summary
+from recordcheck.operators.evaluate import layout_of
+from recordcheck.operators.masks import with_masks
+from recordcheck.operators.summary import RECORD_ID, SUMMARY_COLUMNS, mask_summary
 from recordcheck.plans.catalog_party import Catalog, party_catalog
 from recordcheck.schema import string_schema
 
@@ -30,7 +31,8 @@ def audit_stream(spark: SparkSession, source_dir: str, fields: Sequence[str] = K
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.csv(source_dir)
     cat = catalog or party_catalog(src.columns)
-    return executive_summary(with_summary(evaluate(src, cat.rules, cat.fields)), keys)
+    layout = layout_of(src, cat.rules, cat.fields)
+    return with_masks(src, layout).select(*keys, *RECORD_ID, *mask_summary(layout)).select(*keys, *RECORD_ID, *SUMMARY_COLUMNS)
 
 
 def start_audit_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
