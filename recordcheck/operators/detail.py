@@ -3,12 +3,16 @@ report (OUT3, with REGLA and a friendly DESCRIPCION)."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordcheck import constants as K
+from recordcheck.functions.sql import lit
+from recordcheck.operators.masks import Layout
+from recordcheck.operators.rules import Rule
 from recordcheck.schema import OBS_COL
 
 # FIXED VALUES: report wording.  Per observation type, the first entry whose
@@ -80,6 +84,61 @@ def friendly_description(campo: Column, motivo: Column, tipo: Column) -> Column:
     return out.otherwise(motivo)
 
 
+def describe(rule: Rule) -> str:
+    """DESCRIPCION of a rule's observations (``friendly_description`` of constants)."""
+    if rule.tipo in SUFFIXED_TYPES:
+        return f"{rule.field}_{rule.tipo.lower()}"
+    for tipo, cases, fallback in DESCRIPTION_TABLE:
+        if tipo == rule.tipo:
+            action = next((a for needle, a in cases if needle in rule.motivo), fallback)
+            if action is None:
+                return rule.motivo
+            return action[1] if action[0] == "text" else re.sub(action[1], action[2], rule.motivo)
+    return rule.motivo
+
+
+def _fired(masked: DataFrame, layout: Layout, carry: Sequence[str]) -> DataFrame:
+    """One row per rule that fired on a record; ``_n`` is its number."""
+    rows = masked.select(*carry, F.explode_outer(F.expr(layout.fired())).alias("_n"))
+    return rows.filter(F.col("_n").isNotNull())
+
+
+def _of_rule(layout: Layout, values: Sequence, kind: str = "STRING") -> Column:
+    """A constant of the rule ``_n``."""
+    listed = ", ".join(str(int(v)) if kind == "INT" else lit(v) for v in values)
+    return F.expr(f"element_at(array({listed}), _n + 1)") if layout.rules else F.lit(None).cast(kind)
+
+
+def mask_detail(masked: DataFrame, layout: Layout, fields: Sequence[str], keys: Sequence[str] = (), order: str = "global",
+                record_id: Sequence[str] = ("CODIGO", "RAZON_SOCIAL", "NIT")) -> DataFrame:
+    """OUT2 from masks: everything an observation says is a constant of its rule."""
+    index = {f: i for i, f in enumerate(fields)}
+    rules, carry = layout.rules, _carry(masked, [*keys, *record_id])
+    out = _fired(masked, layout, carry).select(
+        *carry,
+        _of_rule(layout, [index[r.field] for r in rules], "INT").alias("IDX_CAMPO"),
+        _of_rule(layout, [r.field for r in rules]).alias("CAMPO"),
+        _of_rule(layout, [r.tipo for r in rules]).alias("TIPO_VERIFICACION"),
+        _of_rule(layout, [r.severidad for r in rules]).alias("SEVERIDAD"),
+        _of_rule(layout, [r.motivo for r in rules]).alias("DESCRIPCION"))
+    return _ordered(out, order, record_id[0])
+
+
+def mask_report(masked: DataFrame, layout: Layout, fields: Sequence[str], keys: Sequence[str] = (), order: str = "global",
+                code: str = "CODIGO") -> DataFrame:
+    """OUT3 from masks."""
+    index, categories = {f: i for i, f in enumerate(fields)}, dict(K.REGLA_BY_TIPO)
+    rules, carry = layout.rules, _carry(masked, [*keys, code])
+    out = _fired(masked, layout, carry).select(
+        *carry,
+        _of_rule(layout, [index[r.field] for r in rules], "INT").alias("IDX_CAMPO"),
+        _of_rule(layout, [r.field for r in rules]).alias("CAMPO"),
+        _of_rule(layout, [r.tipo for r in rules]).alias("TIPO_VERIFICACION"),
+        _of_rule(layout, [categories.get(r.tipo, K.REGLA_OTHER) for r in rules]).alias("REGLA"),
+        _of_rule(layout, [describe(r) for r in rules]).alias("DESCRIPCION"))
+    return _ordered(out, order, code)
+
+
 def _exploded(evaluated: DataFrame, carry: Sequence[str], obs_col: str) -> DataFrame:
     """One row per observation; records without observations vanish.
 

@@ -20,7 +20,7 @@ stored masks can be read again with the same catalogue.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -174,11 +174,26 @@ class Layout:
             masks[self._bits[n].word] = masks.get(self._bits[n].word, 0) | self._bits[n].mask
         return "(" + " OR ".join(f"({w} & {m}L) <> 0L" for w, m in masks.items()) + ")" if masks else "false"
 
+    def _looked_up(self, chosen: Sequence[int], entry: Callable[[list[int]], str]) -> list[str]:
+        """Four rules at a time, their bits are the place in a constant table of
+        16 entries (one per subset of them), so expressions stay small."""
+        parts = []
+        for a in range(0, len(chosen), 4):
+            some = [self._bits[n] for n in chosen[a:a + 4]]
+            place = " | ".join(f"shiftleft(CAST(shiftright({b.word}, {b.number}) & 1L AS INT), {i})" for i, b in enumerate(some))
+            table = [entry([n for i, n in enumerate(chosen[a:a + 4]) if x >> i & 1]) for x in range(1 << len(some))]
+            parts.append(f"element_at(array({', '.join(table)}), ({place}) + 1)")
+        return parts
+
+    def fired(self) -> str:
+        """``array<int>``: the numbers of the rules that fired, in rule order."""
+        parts = self._looked_up(range(len(self.rules)), lambda ns: f"array({', '.join(map(str, ns))})" if ns else "CAST(array() AS ARRAY<INT>)")
+        return f"flatten(array({', '.join(parts)}))" if parts else "CAST(array() AS ARRAY<INT>)"
+
     def joined(self, texts: dict[int, str], sep: str = ", ") -> str:
         """The texts of the rules that fired, in rule order."""
-        if not texts:
-            return "''"
-        return f"concat_ws({lit(sep)}, {', '.join(f'if({self._bits[n].test}, {lit(t)}, NULL)' for n, t in sorted(texts.items()))})"
+        parts = self._looked_up(sorted(texts), lambda ns: lit(sep.join(texts[n] for n in ns)) if ns else "CAST(NULL AS STRING)")
+        return f"concat_ws({lit(sep)}, {', '.join(parts)})" if parts else "''"
 
 
 def with_masks(df: DataFrame, layout: Layout) -> DataFrame:

@@ -37,7 +37,7 @@ PROFILE_COLUMNS = ("campo", "CATEGORIA", "CANT_NULL", "CANT_VACIO", "CANT_INCONS
 # States of a field; ALL counts the records (field "").
 NULL_STATE, BLANK_STATE, FLAGGED_STATE, ALL = "NULL", "VACIO", "INCONSISTENTE", "TODOS"
 STATE_SCHEMA = "campo string, estado string, n bigint, codigos array<string>"
-FOLDS = 32
+FOLDS = 1_000
 
 
 def quality_band(pct: Column) -> Column:
@@ -99,20 +99,6 @@ def _of_records(k: int, words: Sequence[str], states: Sequence[tuple[int, int, i
     return run
 
 
-def _of_states(k: int):
-    """States folded into one."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, int] = {}
-        best: dict[int, list[str]] = {}
-        for batch in batches:
-            for state, n, codes in zip(*[batch.column(c).to_pylist() for c in ("state", "n", "codes")]):
-                counts[state] = counts.get(state, 0) + n
-                if codes:
-                    best[state] = sorted({*best.get(state, ()), *codes})[:k]
-        yield _emit(counts, best)
-    return run
-
-
 def profile_states(masked: DataFrame, layout: Layout, fields: Sequence[str], code_col: str = "CODIGO",
                    examples: int = K.EXAMPLE_CODES) -> DataFrame:
     """The mergeable state of a profile: campo, estado, n, codigos (the first
@@ -133,21 +119,25 @@ def profile_states(masked: DataFrame, layout: Layout, fields: Sequence[str], cod
             # A field with content observations that is itself empty is not "filled".
             flagged.append((len(names), (words.index(null.word), words.index(blank.word)), null.number, content[f]))
             names.append((len(names), f, FLAGGED_STATE))
-    schema = "state int, n long, codes array<string>"
     code = F.expr(f"CASE WHEN {P.is_filled(code_col)} THEN {ident(code_col)} END").alias("code")
-    partial = masked.select(code, *words).mapInArrow(_of_records(examples, words, states, flagged), schema)
-    merged = (partial.withColumn("fold", F.pmod(F.spark_partition_id(), F.lit(FOLDS))).repartition("state", "fold")
-              .select("state", "n", "codes").mapInArrow(_of_states(examples), schema))
+    partial = (masked.select(code, *words).mapInArrow(_of_records(examples, words, states, flagged),
+                                                      "state int, n long, codigos array<string>")
+               .withColumn("fold", F.pmod(F.spark_partition_id(), F.lit(FOLDS))))
+    # The states of every FOLDS-th task, then one per fold.
+    folded = partial.groupBy("state", "fold").agg(F.sum("n").alias("n"), _first(examples).alias("codigos"))
     known = masked.sparkSession.createDataFrame(names, "state int, campo string, estado string")
-    # At most FOLDS small rows per state are left.
-    return merge_states(merged.join(F.broadcast(known), "state").select("campo", "estado", "n", F.col("codes").alias("codigos")), examples)
+    return merge_states(folded.join(F.broadcast(known), "state"), examples)
+
+
+def _first(k: int) -> Column:
+    """The first ``k`` of several short lists of codes."""
+    return F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("codigos")))), 1, k)
 
 
 def merge_states(states: DataFrame, examples: int = K.EXAMPLE_CODES) -> DataFrame:
     """States of several sets of records (the union of their tables) as one.  A run
     brings one row of at most ``examples`` codes per field and state."""
-    codes = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("codigos")))), 1, examples)
-    return states.groupBy("campo", "estado").agg(F.sum("n").alias("n"), codes.alias("codigos"))
+    return states.groupBy("campo", "estado").agg(F.sum("n").alias("n"), _first(examples).alias("codigos"))
 
 
 def profile_of_states(states: DataFrame, fields: Sequence[str]) -> DataFrame:

@@ -117,10 +117,10 @@ class Audit:
         return executive_summary(self.scored, self.keys, self.record_id)
 
     def detail(self, order: str = "global") -> DataFrame:
-        return D.detail(self.scored, self.keys, order, record_id=self.record_id)
+        return D.mask_detail(self.masked, self.layout, self.catalog.fields, self.keys, order, self.record_id)
 
     def report(self, order: str = "global") -> DataFrame:
-        return D.audit_report(self.scored, self.keys, order, code=self.record_id[0])
+        return D.mask_report(self.masked, self.layout, self.catalog.fields, self.keys, order, self.record_id[0])
 
     def critical(self) -> DataFrame:
         return VW.critical_records(self.summary())
@@ -136,7 +136,7 @@ class Audit:
 
     def heavy_records(self, threshold: int = K.HEAVY_RECORD_THRESHOLD, limit: int | None = None) -> DataFrame:
         """SO4, ordered with the stored row id as the last key (skew-safe)."""
-        carry = [ROW_ID] if ROW_ID in self.scored.columns else []
+        carry = [ROW_ID] if ROW_ID in self.masked.columns else []
         rows = executive_summary(self.scored, self.keys + tuple(carry), self.record_id)
         return VW.heavy_records(rows, threshold, limit, tiebreak=carry[0] if carry else None,
                                 code=self.record_id[0])

@@ -101,3 +101,15 @@ def test_names_of_masks_are_refused(party_small):
 def test_stored_masks_are_small(party_small):
     audit = Audit(party_small, keys=("k",))
     assert set(audit.masked.columns) == {"k", "CODIGO", "RAZON_SOCIAL", "NIT", "_rc_n0", "_rc_b0", "_rc_f0", "_rc_row_id"}
+
+
+def test_detail_and_report_of_masks_equal_those_of_observations(party_small):
+    from recordcheck.operators.detail import audit_report, detail
+
+    cat = party_catalog(extended=True)
+    ev = evaluate(party_small, cat.rules, cat.fields)
+    audit = Audit(party_small, catalog=cat, keys=("k",), materialize=False)
+    for got, want in ((audit.detail(order="none"), detail(ev, ("k",), order="none")),
+                      (audit.report(order="none"), audit_report(ev, ("k",), order="none"))):
+        assert got.columns == want.columns and got.count() == want.count()
+        assert got.exceptAll(want).count() == 0
