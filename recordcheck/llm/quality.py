@@ -5,27 +5,32 @@ For each (lang, source) the centre and scatter of the vectors are estimated
 by the minimum-covariance-determinant method: concentration steps that keep,
 each time, the ``H_SHARE`` of the rows with the smallest Mahalanobis distance
 and re-estimate from them, until the group's determinant changes by less than
-``TOLERANCE``; a group that is done takes no part in the steps of the others.
-Groups still moving after ``MAX_STEPS`` are reported by a warning.  The start
+``TOLERANCE``; a group that is done takes no part in the steps of the others.  A
+group still moving after ``MAX_STEPS`` is an error.  The start
 is the coordinate-wise median and median absolute deviation, so reruns agree;
 statistics are fixed-point integers and moments are sums of longs, so the
 result does not depend on the order of rows either.  A document whose
 distance is beyond ``CUTOFF`` is rejected.
 
-All rows take part in every estimate; each step is two partial aggregations
-of a narrow table with one result row per group, whatever the group's size.
+All rows take part in every estimate.  A step is one job: every task scores its
+rows against the models and adds up counts and moments per (model, step of the
+distance); these are summed per step, and per model the steps are added up
+to the one that holds the ``H_SHARE``.  Steps far from the last limit are lumped
+(and the step is repeated without lumps should the limit fall among them), so a
+task sends a few hundred short rows per model however many rows it has.  Models
+go to tasks ``MODELS`` at a time, which bounds what a task or the driver holds.
 
 Groups under ``MIN_GROUP`` rows use the estimate of their language, languages
 under it that of the whole table; with fewer rows in all, only the base rules
 decide.  Defined cases: a null text is an empty text (no words, base rules fail
 it); null lang or source are values of their own; null and repeated ids are
-judged row by row; an empty table gives an empty result; extra columns pass
-through ``quality_filter`` untouched, whatever their names.
+judged row by row; a very long text is one text held in a task; an empty table
+gives an empty result; extra columns pass through ``quality_filter`` untouched,
+whatever their names.
 """
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +49,9 @@ MAX_REPEAT_PERCENT = 50
 H_SHARE = 0.75                # rows kept by a concentration step
 MIN_GROUP = 100               # rows a group needs for an estimate of its own
 TOLERANCE = 1e-3              # change of a log determinant that ends a group's steps
-MAX_STEPS = 100               # far above what groups need (a warning names those that reach it)
+MAX_STEPS = 100               # far above what groups need (an error names those that reach it)
+MODELS = 10_000               # models that are estimated at once
+NEAR = 64                     # distance steps around the last limit that are told apart
 CUTOFF = 12.0                 # Mahalanobis distance (median scaled to that of a normal vector)
 UNIT = 1024                   # fixed-point steps of a statistic
 
@@ -129,47 +136,170 @@ def base_failed() -> Column:
 _PAIRS = [(i, j) for i in range(DIM) for j in range(i, DIM)]
 _FLOOR = np.array(list(VECTOR.values()))
 _CHI2_MEDIAN = DIM * (1 - 2 / (9 * DIM)) ** 3
-_MODEL_SCHEMA = "model string, center array<double>, precision array<double>, logdet double, n long"
 _LOG_STEPS = 256              # histogram steps of a squared distance, per factor e
+_FAR = 1 << 30                # beyond every step
+_I, _J = (np.array(x) for x in zip(*_PAIRS))
 
 
-def _model_row(n: float, center: np.ndarray, cov: np.ndarray) -> tuple[list, list, float]:
-    """(centre, precision terms of x_i x_j for i <= j, log determinant)."""
-    cov = cov + np.diag(_FLOOR ** 2)
-    inverse = np.linalg.inv(cov)
-    terms = [float(inverse[i, j] * (1 if i == j else 2)) for i, j in _PAIRS]
-    return [float(c) for c in center], terms, float(np.linalg.slogdet(cov)[1])
+class _Models:
+    """Models of a chunk: names, centres, precision matrices, log determinants."""
 
+    def __init__(self, names: list[str], center: np.ndarray, cov: np.ndarray):
+        self.names = names
+        self.center = center
+        full = cov + np.diag(_FLOOR ** 2)
+        self.precision = np.linalg.inv(full)
+        self.logdet = np.linalg.slogdet(full)[1]
 
-def _start_models(frames):
-    """Median and squared deviation per coordinate -> diagonal model."""
-    import pandas as pd
+    def put(self, at: np.ndarray, other: "_Models") -> None:
+        for column in ("center", "precision", "logdet"):
+            getattr(self, column)[at] = getattr(other, column)
 
-    for frame in frames:
-        rows = []
-        for r in frame.itertuples(index=False):
-            center = np.array(r.median, dtype=float) / UNIT
-            spread = 1.4826 * np.array(r.mad, dtype=float) / UNIT
-            rows.append((r.model, *_model_row(r.n, center, np.diag(spread ** 2)), int(r.n)))
-        yield pd.DataFrame(rows, columns=["model", "center", "precision", "logdet", "n"])
+    def terms(self, m: int) -> list[float]:
+        """Precision terms of x_i x_j for i <= j."""
+        return [float(self.precision[m, i, j] * (1 if i == j else 2)) for i, j in _PAIRS]
 
 
-def _moment_models(frames):
-    """Exact sums of x and x x' -> mean and covariance model, and whether its
-    determinant still moves."""
-    import pandas as pd
+def _model_numbers(batch: pa.RecordBatch, number: dict[str, int]) -> np.ndarray:
+    encoded = batch.column("model").dictionary_encode()
+    known = np.array([number.get(x, -1) for x in encoded.dictionary.to_pylist()], dtype=np.int64)
+    return known[encoded.indices.to_numpy()]
 
-    for frame in frames:
-        rows = []
-        for r in frame.itertuples(index=False):
-            n = float(r.n)
-            mean = np.array(r.sums, dtype=float) / n
-            cov = np.zeros((DIM, DIM))
-            for (i, j), s in zip(_PAIRS, r.products):
-                cov[i, j] = cov[j, i] = float(s) / n - mean[i] * mean[j]
-            row = _model_row(n, mean / UNIT, cov / UNIT ** 2)
-            rows.append((r.model, *row, int(r.n), bool(abs(row[2] - r.was) >= TOLERANCE)))
-        yield pd.DataFrame(rows, columns=["model", "center", "precision", "logdet", "n", "moving"])
+
+def _vectors(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("vector").flatten().to_numpy().reshape(-1, DIM)
+
+
+def _steps_of(x: np.ndarray, center: np.ndarray, precision: np.ndarray) -> np.ndarray:
+    z = x / UNIT - center
+    return np.round(_LOG_STEPS * np.log1p(np.maximum(np.einsum("ni,nij,nj->n", z, precision, z), 0.0))).astype(np.int64)
+
+
+_PART = "model int, step int, n long, moments array<long>"
+
+
+def _rows(keys: np.ndarray, table: np.ndarray) -> pa.RecordBatch:
+    """Rows (model, step, n, moments) of keys model << 32 | step."""
+    return pa.RecordBatch.from_arrays(
+        [pa.array((keys >> 32).astype(np.int32)), pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(table[:, 0]),
+         pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * (table.shape[1] - 1)),
+                                  pa.array(table[:, 1:].ravel()))], names=["model", "step", "n", "moments"])
+
+
+def _added(held: dict[int, np.ndarray], keys: np.ndarray, table: np.ndarray) -> None:
+    order = np.argsort(keys, kind="stable")
+    starts = np.flatnonzero(np.concatenate(([True], keys[order][1:] != keys[order][:-1])))
+    for key, row in zip(keys[order][starts].tolist(), np.add.reduceat(table[order], starts, axis=0)):
+        held[key] = held[key] + row if key in held else row
+
+
+def _partial(models: _Models, low: np.ndarray, high: np.ndarray, moments: bool):
+    """Counts (and moments) of a task's rows per model and step; steps under
+    ``low`` are lumped with it, rows beyond ``high`` only counted."""
+    number = {n: i for i, n in enumerate(models.names)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            of = _model_numbers(batch, number)
+            rows = np.flatnonzero(of >= 0)
+            if not len(rows):
+                continue
+            of, x = of[rows], _vectors(batch)[rows]
+            step = np.clip(_steps_of(x, models.center[of], models.precision[of]), low[of], None)
+            beyond = step > high[of]
+            step[beyond] = _FAR
+            table = np.ones((len(x), 1), dtype=np.int64)
+            if moments:
+                inside = np.where(beyond[:, None], 0, x)
+                table = np.hstack([table, inside, inside[:, _I] * inside[:, _J]])
+            _added(held, of << 32 | step, table)
+        if held:
+            keys = np.array(sorted(held), dtype=np.int64)
+            yield _rows(keys, np.stack([held[k] for k in keys.tolist()]))
+    return run
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[int, np.ndarray] = {}
+    for batch in batches:
+        if batch.num_rows:
+            keys = batch.column("model").to_numpy().astype(np.int64) << 32 | batch.column("step").to_numpy().astype(np.int64)
+            n = batch.column("n").to_numpy()
+            _added(held, keys, np.hstack([n[:, None], batch.column("moments").flatten().to_numpy().reshape(len(n), -1)]))
+    if held:
+        keys = np.array(sorted(held), dtype=np.int64)
+        yield _rows(keys, np.stack([held[k] for k in keys.tolist()]))
+
+
+_LIMITS = "model int, total long, low int, limit int, upper int, n long, moments array<long>"
+
+
+def _limits(share: float):
+    """Per model (rows in a row): the steps of the rows around the ``share`` of
+    all, and count and moments up to the lower one."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
+        if not tables:
+            return
+        t = pa.concat_tables(tables)
+        model, step, n = (t.column(c).to_numpy().astype(np.int64) for c in ("model", "step", "n"))
+        moments = t.column("moments").combine_chunks().flatten().to_numpy().reshape(len(n), -1)
+        out = []
+        for m in np.unique(model).tolist():
+            at = np.flatnonzero(model == m)
+            at = at[np.argsort(step[at])]
+            counts = np.cumsum(n[at])
+            place = (counts[-1] - 1) * share
+            lower, upper = (int(np.searchsorted(counts, k, side="right")) for k in (int(np.floor(place)), int(np.ceil(place))))
+            inside = at[:lower + 1]
+            out.append((m, int(counts[-1]), int(step[at][0]), int(step[at][lower]), int(step[at][upper]), int(n[inside].sum()),
+                        moments[inside].sum(axis=0).tolist()))
+        columns = list(zip(*out))
+        kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[x.split()[0] for x in _LIMITS.split(", ")])
+    return run
+
+
+def _pass(fit: DataFrame, models: _Models, low: np.ndarray, high: np.ndarray, share: float, moments: bool) -> list:
+    """One job over all rows: a row per model (see ``_limits``)."""
+    parts = fit.select("model", "vector").mapInArrow(_partial(models, low, high, moments), _PART)
+    # A step of a model is one row per task, then one; a model at most some
+    # thousand steps.
+    return (parts.repartition("model", "step").mapInArrow(_summed, _PART).repartition("model")
+            .mapInArrow(_limits(share), _LIMITS).collect())
+
+
+def _concentrated(fit: DataFrame, models: _Models) -> None:
+    """Concentration steps until every determinant is stable."""
+    count = len(models.names)
+    moving = np.ones(count, dtype=bool)
+    low, high = np.zeros(count, dtype=np.int64), np.full(count, _FAR - 1)
+    for _ in range(MAX_STEPS):
+        at = np.flatnonzero(moving)
+        some = _Models.__new__(_Models)
+        some.names = [models.names[i] for i in at]
+        some.center, some.precision, some.logdet = models.center[at], models.precision[at], models.logdet[at]
+        found = _pass(fit, some, low[at], high[at], H_SHARE, True)
+        again = [r["model"] for r in found if r["limit"] == _FAR or (r["limit"] == r["low"] == low[at[r["model"]]] > 0)]
+        if again:                                                  # the limit is among lumped steps
+            low[at[again]], high[at[again]] = 0, _FAR - 1
+            found = _pass(fit, some, low[at], high[at], H_SHARE, True)
+        which = np.array([at[r["model"]] for r in found], dtype=np.int64)
+        n = np.array([r["n"] for r in found], dtype=float)[:, None]
+        sums = np.array([r["moments"] for r in found], dtype=float)
+        mean = sums[:, :DIM] / n
+        cov = np.zeros((len(found), DIM, DIM))
+        cov[:, _I, _J] = cov[:, _J, _I] = sums[:, DIM:] / n - mean[:, _I] * mean[:, _J]
+        better = _Models([], mean / UNIT, cov / UNIT ** 2)
+        moving = np.zeros(count, dtype=bool)
+        moving[which] = np.abs(better.logdet - models.logdet[which]) >= TOLERANCE
+        models.put(which, better)
+        limit = np.array([r["limit"] for r in found], dtype=np.int64)
+        low[which], high[which] = np.maximum(limit - NEAR, 0), limit + NEAR
+        if not moving.any():
+            return
+    raise RuntimeError(f"quality models still move after {MAX_STEPS} steps: {[models.names[i] for i in np.flatnonzero(moving)][:5]}")
 
 
 def _squared_distance() -> Column:
@@ -183,14 +313,6 @@ def _array(place: int) -> str:
     return "array(" + ", ".join(str(pair[place]) for pair in _PAIRS) + ")"
 
 
-def _bucket() -> Column:
-    return F.round(F.lit(_LOG_STEPS) * F.log1p(F.greatest(_squared_distance(), F.lit(0.0)))).cast("long")
-
-
-def _same_group(a: DataFrame, b: DataFrame) -> Column:
-    return a["lang"].eqNullSafe(b["lang"]) & a["source"].eqNullSafe(b["source"])
-
-
 def _assignments(rows: DataFrame) -> DataFrame:
     """(lang, source) -> model that judges it, models its rows are used for."""
     groups = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
@@ -223,44 +345,47 @@ def estimate(stats: DataFrame) -> DataFrame:
                      F.col("lang").eqNullSafe(F.col("a_lang")) & F.col("source").eqNullSafe(F.col("a_source")))
            .select(F.explode("fits").alias("model"), "vector"))
     fit = scratch_table(spark, fit, "quality-fit")          # every step reads it: small plans
+    names = fit.select("model").distinct()
+    chunks = max(1, -(-names.count() // MODELS))
+    chunk = F.pmod(F.xxhash64("model"), F.lit(chunks))
+    done = None
+    for c in range(chunks):
+        part = fit if chunks == 1 else fit.filter(chunk == c)
+        models = _start(part)
+        if not models.names:
+            continue
+        _concentrated(part, models)
+        full = np.zeros(len(models.names), dtype=np.int64), np.full(len(models.names), _FAR - 1)
+        half = {r["model"]: (r["limit"] + r["upper"]) / 2 for r in _pass(part, models, *full, 0.5, False)}
+        rows = [(name, [float(x) for x in models.center[m]], models.terms(m), _CHI2_MEDIAN / max(float(np.expm1(half[m] / _LOG_STEPS)), 1e-9))
+                for m, name in enumerate(models.names)]
+        local = spark.createDataFrame(rows, _ESTIMATE)
+        done = local if done is None else done.unionByName(local)
+    done = spark.createDataFrame([], _ESTIMATE) if done is None else done
+    out = (assigned.join(done, F.col("judge") == F.col("model"), "left")
+           .select(F.col("lang").alias("m_lang"), F.col("source").alias("m_source"), "center", "precision", "scale"))
+    return scratch_table(spark, out, "quality-estimate")
+
+
+_ESTIMATE = "model string, center array<double>, precision array<double>, scale double"
+
 
+def _start(fit: DataFrame) -> _Models:
+    """Median and squared median deviation per coordinate -> diagonal models."""
     def medians(of: list[Column]) -> Column:
         return F.array(*[F.percentile(c, F.lit(0.5)) for c in of])
 
-    middle = fit.groupBy("model").agg(medians([F.col("vector")[i] for i in range(DIM)]).alias("median"))
-    middle = scratch_table(spark, middle, "quality-median")
-    spread = (fit.join(middle, "model").groupBy("model")
-              .agg(F.first("median").alias("median"), F.count(F.lit(1)).alias("n"),
-                   medians([F.abs(F.col("vector")[i] - F.round(F.col("median")[i]).cast("long"))
-                            for i in range(DIM)]).alias("mad")))
-    models = scratch_table(spark, spread.mapInPandas(_start_models, _MODEL_SCHEMA)
-                           .withColumn("moving", F.lit(True)), "quality-model")
-    moving = 1
-    for _ in range(MAX_STEPS):
-        was = models.filter("moving").drop("moving")
-        at = fit.join(was, "model").select("model", "vector", "logdet", _bucket().alias("bucket"))
-        limit = scratch_table(spark, at.groupBy("model").agg(
-            F.percentile("bucket", F.lit(H_SHARE)).alias("limit")), "quality-limit")     # its size is known
-        x = [F.col("vector")[i] for i in range(DIM)]
-        sums = (at.join(limit, "model").filter(F.col("bucket") <= F.col("limit")).groupBy("model")
-                .agg(F.count(F.lit(1)).alias("n"), F.first("logdet").alias("was"),
-                     F.array(*[F.sum(c) for c in x]).alias("sums"),
-                     F.array(*[F.sum(x[i] * x[j]) for i, j in _PAIRS]).alias("products")))
-        better = sums.mapInPandas(_moment_models, f"{_MODEL_SCHEMA}, moving boolean")
-        models = scratch_table(spark, models.filter("NOT moving").unionByName(better), "quality-model")
-        moving = models.filter("moving").count()
-        if not moving:
-            break
-    if moving:
-        warnings.warn(f"{moving} quality models still moved after {MAX_STEPS} concentration steps", stacklevel=2)
-    models = models.drop("moving")
-    middle_distance = (fit.join(models, "model").select("model", _bucket().alias("bucket"))
-                       .groupBy("model").agg(F.percentile("bucket", F.lit(0.5)).alias("m"))
-                       .select("model", (F.lit(_CHI2_MEDIAN) / F.greatest(F.expm1(F.col("m") / _LOG_STEPS),
-                                                                         F.lit(1e-9))).alias("scale")))
-    out = (assigned.join(models.join(middle_distance, "model"), F.col("judge") == F.col("model"), "left")
-           .select(F.col("lang").alias("m_lang"), F.col("source").alias("m_source"), "center", "precision", "scale"))
-    return scratch_table(spark, out, "quality-estimate")
+    middle = fit.groupBy("model").agg(medians([F.col("vector")[i] for i in range(DIM)]).alias("median")).collect()
+    if not middle:
+        return _Models([], np.zeros((0, DIM)), np.zeros((0, DIM, DIM)))
+    local = fit.sparkSession.createDataFrame([(r["model"], [int(np.round(x)) for x in r["median"]]) for r in middle],
+                                             "model string, centre array<long>")
+    spread = {r["model"]: r["mad"] for r in fit.join(F.broadcast(local), "model").groupBy("model").agg(
+        medians([F.abs(F.col("vector")[i] - F.col("centre")[i]) for i in range(DIM)]).alias("mad")).collect()}
+    names = sorted(spread)
+    center = {r["model"]: r["median"] for r in middle}
+    mad = 1.4826 * np.array([spread[n] for n in names]) / UNIT
+    return _Models(names, np.array([center[n] for n in names]) / UNIT, mad[:, :, None] ** 2 * np.eye(DIM))
 
 
 def judged(stats: DataFrame, estimates: DataFrame) -> DataFrame:
@@ -279,11 +404,12 @@ def _narrow(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 def quality_filter(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass the base rules and are no outliers.  The
-    text is read twice (statistics, then the filter), never shuffled unless the
-    table of estimates is too large to broadcast."""
-    inner, _, restore = aside(docs, "lang", "source", "text")
-    stats = scratch_table(docs.sparkSession, _narrow(inner, []), "quality-stats")
-    return restore(judged(with_stats(inner), estimate(stats)).filter("kept"))
+    statistics are made once and stored with their rows; texts are never
+    shuffled unless the table of estimates is too large to broadcast."""
+    inner, carried, restore = aside(docs, "lang", "source", "text")
+    stats = scratch_table(docs.sparkSession, with_stats(inner).drop("text").select(
+        *carried, "lang", "source", *COUNTS, "vector", "base_failed"), "quality-stats")
+    return restore(judged(stats, estimate(stats)).filter("kept"))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

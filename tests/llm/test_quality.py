@@ -2,9 +2,9 @@
 
 import random
 import re
-import warnings
 
 import numpy as np
+import pytest
 
 from recordcheck.llm import quality as Q
 from tests.llm.conftest import docs_frame
@@ -90,8 +90,12 @@ def test_odd_rows(spark, odd_docs):
     assert Q.quality_filter(df.limit(0)).count() == 0
 
 
-def test_every_group_steps_until_it_is_stable(spark):
-    """A group that needs 9 steps beside one that needs 3 (four were made once)."""
+@pytest.mark.parametrize("near,models", [(64, 10_000), (0, 1), (3, 10_000)])
+def test_every_group_steps_until_it_is_stable(spark, monkeypatch, near, models):
+    """A group that needs 9 steps beside one that needs 3 (four were made once);
+    also when the limit falls among lumped steps and models go one at a time."""
+    monkeypatch.setattr(Q, "NEAR", near)
+    monkeypatch.setattr(Q, "MODELS", models)
     groups = {}
     for name, seed, share in (("slow", 0, 0.4), ("quick", 2, 0.0)):
         r = np.random.default_rng(seed)
@@ -101,9 +105,7 @@ def test_every_group_steps_until_it_is_stable(spark):
     stats = spark.createDataFrame(
         [(name, i, "x", False, [int(k) for k in row]) for name, x in groups.items() for i, row in enumerate(x)],
         "lang string, i int, source string, base_failed boolean, vector array<long>")
-    with warnings.catch_warnings():
-        warnings.simplefilter("error", UserWarning)
-        estimates = Q.estimate(stats)
+    estimates = Q.estimate(stats)
     got = {}
     for r in Q.judged(stats, estimates).collect():
         got.setdefault(r["lang"], {})[r["i"]] = r["distance"]
@@ -111,6 +113,16 @@ def test_every_group_steps_until_it_is_stable(spark):
         assert np.allclose([got[name][i] for i in range(300)], stable_distances(x), rtol=1e-6), name
 
 
+def test_unstable_groups_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(Q, "MAX_STEPS", 1)
+    r = np.random.default_rng(0)
+    x = np.round(np.where(r.random((300, 1)) < 0.4, r.normal(3, 1, (300, Q.DIM)), r.normal(0, 1, (300, Q.DIM))) * Q.UNIT)
+    stats = spark.createDataFrame([("en", "x", False, [int(k) for k in row]) for row in x],
+                                  "lang string, source string, base_failed boolean, vector array<long>")
+    with pytest.raises(RuntimeError, match="still move"):
+        Q.estimate(stats)
+
+
 def stable_distances(x):
     """Distances after concentration steps without a bound, in plain numpy."""
     floor = np.diag(np.array(list(Q.VECTOR.values())) ** 2)
