@@ -4,9 +4,11 @@ Every text gives exact base counts and a vector of transformed statistics.
 For each (lang, source) the centre and scatter of the vectors are estimated
 by the minimum-covariance-determinant method: concentration steps that keep,
 each time, the ``H_SHARE`` of the rows with the smallest Mahalanobis distance
-and re-estimate from them, until the group's determinant changes by less than
-``TOLERANCE``; a group that is done takes no part in the steps of the others.  A
-group still moving after ``MAX_STEPS`` is an error.  The start
+and re-estimate from them, until the group's determinant no longer falls by
+``TOLERANCE``; a group that is done takes no part in the steps of the others.
+(With the same number of rows kept, a step cannot raise the determinant; rows
+of one distance step are kept together, so near the end it may.  Then the former,
+lower one stays.)  A group still falling after ``MAX_STEPS`` is an error.  The start
 is the coordinate-wise median and median absolute deviation, so reruns agree;
 statistics are fixed-point integers and moments are sums of longs, so the
 result does not depend on the order of rows either.  A document whose
@@ -151,6 +153,13 @@ class _Models:
         self.precision = np.linalg.inv(full)
         self.logdet = np.linalg.slogdet(full)[1]
 
+    def only(self, at: np.ndarray) -> "_Models":
+        """The chosen ones (numbers or flags)."""
+        out = _Models.__new__(_Models)
+        out.names = np.array(self.names, dtype=object)[at].tolist() if self.names else []
+        out.center, out.precision, out.logdet = self.center[at], self.precision[at], self.logdet[at]
+        return out
+
     def put(self, at: np.ndarray, other: "_Models") -> None:
         for column in ("center", "precision", "logdet"):
             getattr(self, column)[at] = getattr(other, column)
@@ -275,11 +284,9 @@ def _concentrated(fit: DataFrame, models: _Models) -> None:
     count = len(models.names)
     moving = np.ones(count, dtype=bool)
     low, high = np.zeros(count, dtype=np.int64), np.full(count, _FAR - 1)
-    for _ in range(MAX_STEPS):
+    for k in range(MAX_STEPS):
         at = np.flatnonzero(moving)
-        some = _Models.__new__(_Models)
-        some.names = [models.names[i] for i in at]
-        some.center, some.precision, some.logdet = models.center[at], models.precision[at], models.logdet[at]
+        some = models.only(at)
         found = _pass(fit, some, low[at], high[at], H_SHARE, True)
         again = [r["model"] for r in found if r["limit"] == _FAR or (r["limit"] == r["low"] == low[at[r["model"]]] > 0)]
         if again:                                                  # the limit is among lumped steps
@@ -292,9 +299,12 @@ def _concentrated(fit: DataFrame, models: _Models) -> None:
         cov = np.zeros((len(found), DIM, DIM))
         cov[:, _I, _J] = cov[:, _J, _I] = sums[:, DIM:] / n - mean[:, _I] * mean[:, _J]
         better = _Models([], mean / UNIT, cov / UNIT ** 2)
+        fall = models.logdet[which] - better.logdet
+        # The start is no estimate from kept rows: its determinant tells nothing.
         moving = np.zeros(count, dtype=bool)
-        moving[which] = np.abs(better.logdet - models.logdet[which]) >= TOLERANCE
-        models.put(which, better)
+        moving[which] = (fall >= TOLERANCE) | (k == 0)
+        taken = (fall > -TOLERANCE) | (k == 0)
+        models.put(which[taken], better.only(taken))
         limit = np.array([r["limit"] for r in found], dtype=np.int64)
         low[which], high[which] = np.maximum(limit - NEAR, 0), limit + NEAR
         if not moving.any():

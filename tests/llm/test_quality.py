@@ -113,6 +113,25 @@ def test_every_group_steps_until_it_is_stable(spark, monkeypatch, near, models):
         assert np.allclose([got[name][i] for i in range(300)], stable_distances(x), rtol=1e-6), name
 
 
+def test_steps_end_on_the_table(spark):
+    """Every group of a real table ends, none with a higher determinant than a step before."""
+    from tests.conftest import MEDIUM
+
+    falls = []
+    put = Q._Models.put
+
+    def watched(self, at, other):
+        falls.append((self.logdet[at] - other.logdet).min() if len(at) else 0.0)
+        put(self, at, other)
+
+    Q._Models.put = watched
+    try:
+        assert Q.op3_quality_rules(spark, MEDIUM).filter("kept").count() > 500
+    finally:
+        Q._Models.put = put
+    assert len(falls) > 2 and min(falls[1:]) > -Q.TOLERANCE
+
+
 def test_unstable_groups_are_an_error(spark, monkeypatch):
     monkeypatch.setattr(Q, "MAX_STEPS", 1)
     r = np.random.default_rng(0)
