@@ -32,7 +32,8 @@ Defined cases: null or wordless text has no shingles and links with nothing;
 fewer than 5 words are one shingle of the whole sequence; rows with a null
 doc_id get their n_shingles, link nothing and have a null component_id; rows
 with a repeated doc_id are judged by their own text; an empty table gives an
-empty result; extra columns pass through ``keep_one``.
+empty result; extra columns pass through ``keep_one``.  A set is held whole in a
+task, also that of a very long text.
 """
 
 from __future__ import annotations
@@ -43,9 +44,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordcheck.llm import words as WD
+from recordcheck.llm.columns import aside
 from recordcheck.llm.graph import components
 from recordcheck.sources.storage import scratch_table
 from recordcheck.sources.tables import read_table
@@ -238,7 +242,8 @@ def _prepare(parts: int):
                 t = shingles(text.as_buffer().to_pybytes()) if text.is_valid else np.zeros(0, dtype=np.uint64)
                 key = set_key(t)
                 least = ",".join(str(int(_leader_hash(t, r).min())) for r in range(ORDERS)) if len(t) else ""
-                docs.append(f"{'' if doc_id is None else doc_id}|{len(t)}|{key}|{least}")
+                # the id comes last, as it is; "-" stands for none
+                docs.append(f"{len(t)}|{key}|{least}|{'-' if doc_id is None else f'+{doc_id}'}")
                 if len(t) and doc_id is not None and key not in seen:
                     seen.add(key)
                     tokens.append(t[:prefix_length(len(t))])
@@ -434,15 +439,22 @@ def _rare_first_pairs(table: DataFrame, labels: DataFrame, every: int) -> DataFr
 
 def join_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs (doc_id, text)."""
+    return _members(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def _members(docs: DataFrame) -> DataFrame:
+    """doc_id, n, key (of the set), comp (null without shingles or id),
+    component_id of every row of docs."""
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType
     docs = docs.select("doc_id", "text")
     parts = _parts(spark, docs.count())
     first = scratch_table(spark, _shared_counts(docs.mapInArrow(_prepare(parts), _BLOCK)), "ngram-first")
-    fields = F.split("doc", r"\|")
+    fields = F.split("doc", r"\|", 4)
+    minima = F.when(fields[2] != "", F.split(fields[2], ",").cast("array<long>"))
     rows = first.filter(F.col("doc").isNotNull()).select(
-        F.when(fields[0] != "", fields[0]).cast(kind).alias("doc_id"), fields[1].cast("long").alias("n"),
-        fields[2].alias("key"), F.split(fields[3], ",").cast("array<long>").alias("minima"))
+        F.when(fields[3] != "-", F.substring(fields[3], 2, 2 ** 31 - 1)).cast(kind).alias("doc_id"),
+        fields[0].cast("long").alias("n"), fields[1].alias("key"), minima.alias("minima"))
     classes = scratch_table(spark, rows.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("key").agg(
         F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("minima").alias("minima")), "ngram-classes")
     counts = first.filter(F.col("owner").isNotNull()).groupBy("owner").agg(F.sum("shared").alias("shared"))
@@ -479,20 +491,42 @@ def join_components(docs: DataFrame) -> DataFrame:
 
     groups = classes.join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     least = groups.groupBy("comp").agg(F.min("least").alias("component_id"))
-    of_key = groups.join(least, "comp").select(F.col("key").alias("c_key"), "component_id")
+    of_key = groups.join(least, "comp").select(F.col("key").alias("c_key"), "comp", "component_id")
     member = (F.col("key") == F.col("c_key")) & F.col("doc_id").isNotNull()
     return (rows.join(of_key, member, "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+            .select("doc_id", "n", "key", "comp", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+
+
+def _own_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = [set_key(shingles(t.as_buffer().to_pybytes()) if t.is_valid else np.zeros(0, dtype=np.uint64)) for t in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.string())], names=[*batch.schema.names, "key"])
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component (rows
-    with a null doc_id all stay; of rows with one doc_id, one stays)."""
-    heads = (join_components(docs).filter(F.col("doc_id") == F.col("component_id"))
-             .select(F.col("doc_id").alias("_head")).distinct())
-    kept = docs.join(heads, F.col("doc_id") == F.col("_head"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
+    """Of every component the rows of ``docs`` with its smallest doc_id; of several
+    such rows the one with the smallest set key and text.  Rows that link with
+    nothing stay even if other rows have their doc_id (equal ones once); rows
+    with a null doc_id all stay."""
+    spark = docs.sparkSession
+    inner, carried, restore = aside(docs, "doc_id", "text")
+    members = scratch_table(spark, _members(inner).filter(F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").alias("m_id"), "key", F.coalesce("comp", "key").alias("comp"), (F.col("doc_id") == F.col("component_id")).alias("head")),
+        "ngram-members")
+    ids = members.groupBy("m_id").agg(F.count(F.lit(1)).alias("times"), F.max("head").alias("head")).filter("head")
+    once = ids.filter("times = 1").select("m_id")
+    kept = inner.join(once, F.col("doc_id") == F.col("m_id"), "left_semi").select(*carried)
+    # Rows that share their doc_id are told apart by their own sets.
+    several = ids.filter("times > 1").select("m_id")
+    heads = (members.filter("head").join(several, "m_id", "left_semi").groupBy("m_id", "comp").agg(F.min("key").alias("h_key"))
+             .select(F.col("m_id").alias("h_id"), "h_key"))
+    fields = [f for f in inner.schema.fields]
+    rows = inner.join(several, F.col("doc_id") == F.col("m_id"), "left_semi").mapInArrow(
+        _own_keys, T.StructType([*fields, T.StructField("key", T.StringType())]))
+    rows = rows.join(heads, (F.col("doc_id") == F.col("h_id")) & (F.col("key") == F.col("h_key")))
+    order = W.partitionBy("doc_id", "key").orderBy("text")
+    again = rows.withColumn("_place", F.row_number().over(order)).filter("_place = 1").select(*carried)
+    return restore(kept.unionByName(again).unionByName(inner.filter(F.col("doc_id").isNull()).select(*carried)))
 
 
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

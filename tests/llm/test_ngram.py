@@ -75,10 +75,23 @@ def test_one_of_each_group_stays(spark, odd_docs):
     out = J.keep_one(df)
     assert out.columns == df.columns
     ids = sorted(str(r["doc_id"]) for r in out.collect())
-    assert ids == ["1", "2", "3", "4", "6", "7", "8", "None", "None"]
+    # both texts of id 6 stay (its repeated row once)
+    assert ids == ["1", "2", "3", "4", "6", "6", "7", "8", "None", "None"]
     assert J.keep_one(df.limit(0)).count() == 0
 
 
+def test_rows_with_one_id_are_told_apart(spark):
+    """Text ids with any characters; rows of one id and different texts."""
+    words = " ".join(f"w{i}" for i in range(60))
+    near, other, third = words + " end", " ".join(f"x{i}" for i in range(40)), " ".join(f"y{i}" for i in range(40))
+    rows = [("a|b", words), ("c", near), ("c", other), ("c", other), ("c", third), ("", third + " z"), ("|", "short"), (None, words), ("-", "one two")]
+    df = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
+    got = sorted((str(r["doc_id"]), r["component_id"] or "") for r in J.join_components(df).collect())
+    assert got == sorted([("a|b", "a|b"), ("c", "a|b"), ("c", "c"), ("c", "c"), ("c", ""), ("", ""), ("|", "|"), ("None", ""), ("-", "-")])
+    kept = sorted((str(r["doc_id"]), r["text"]) for r in J.keep_one(df).collect())
+    assert kept == sorted([("a|b", words), ("c", other), ("", third + " z"), ("|", "short"), ("None", words), ("-", "one two")])
+
+
 def test_prefix_bounds():
     """Two sets at the threshold share what each must find in its prefix."""
     rng = random.Random(0)

@@ -48,9 +48,10 @@ def test_run_gives_the_last_stage(spark):
 
 def test_queries_are_registered():
     names = set(E.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in registry.queries()}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in registry.queries()}
     assert set(registry.queries()) | {"pipeline"} <= names
-    assert set(registry.oracle_sql()) == {"op4_warc_revisits", "op5_mix_sources", "op7_secret_scan"}
+    assert set(registry.oracle_sql()) == {"op4_warc_revisits", "op5_mix_sources", "op7_secret_scan", "op12_hard_negatives",
+                                          "op13_conversation_trie"}
 
 
 def test_oracles_match(spark):
