@@ -311,10 +311,14 @@ def _with_leader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _leader_groups(alive: DataFrame) -> DataFrame:
     """key -> groups: for every order in which others share its smallest shingle,
-    (round, hash, salts, lead).  The leader of a group is its smallest key; a
-    large group is cut by salt and the leader goes to every cut."""
-    rows = alive.select("key", F.posexplode("minima").alias("round", "hash"))
-    groups = rows.groupBy("round", "hash").agg(F.count(F.lit(1)).alias("rows"), F.min("key").alias("leader")).filter("rows > 1")
+    (round, hash, salts, lead).  The leader of a group is the set that shares the
+    largest part of its prefix (of copies with changes of their own, the one they
+    were made from), then the smallest key; a large group is cut by salt and the
+    leader goes to every cut."""
+    n = F.col("n")
+    prefix = n - F.ceil(n * F.lit(THRESHOLD / 100)) + F.greatest(F.lit(1), F.floor(n / 10))
+    rows = alive.select("key", (-F.col("in_prefix") / prefix).alias("alone"), F.posexplode("minima").alias("round", "hash"))
+    groups = rows.groupBy("round", "hash").agg(F.count(F.lit(1)).alias("rows"), F.min(F.struct("alone", "key"))["key"].alias("leader")).filter("rows > 1")
     cuts = F.ceil(F.col("rows") / LEADER_ROWS).cast("int")
     lead = F.col("key") == F.col("leader")
     salts = F.when(lead, F.sequence(F.lit(0), cuts - 1)).otherwise(F.array(F.pmod(F.hash("key"), cuts)))
@@ -463,7 +467,7 @@ def _members(docs: DataFrame) -> DataFrame:
     owner = F.when(bits == 0, F.lit(1)).otherwise(bits)
     enough = F.greatest(F.lit(1), F.greatest(F.lit(1), F.floor(F.col("n") / 10)) - 1)
     alive = scratch_table(spark, classes.withColumn("owner", owner).join(counts, "owner")
-                          .filter(F.col("shared") >= enough).select("key", "least", "n", "minima", "owner"), "ngram-alive")
+                          .filter(F.col("shared") >= enough).select("key", "least", "n", "minima", "owner", F.col("shared").alias("in_prefix")), "ngram-alive")
     wanted = alive.select("key", "least").join(_leader_groups(alive), "key", "left")
     wanted = scratch_table(spark, wanted, "ngram-wanted")
     texts = docs.join(_small(wanted), F.col("doc_id") == F.col("least")).select("key", "text", "groups")
