@@ -66,7 +66,8 @@ def seconds(date: Column) -> Column:
 
 def headers(http: Column) -> Column:
     """array<struct<name, value>>, names in lower case, in order."""
-    lines = F.filter(F.slice(F.split(F.coalesce(http, F.lit("")), "\r?\n"), 2, 1_000_000), lambda x: x.rlike("^[^:\\s]+:"))
+    every = F.split(F.coalesce(http, F.lit("")), "\r?\n")
+    lines = F.filter(F.slice(every, F.lit(2), F.size(every)), lambda x: x.rlike("^[^:\\s]+:"))
     return F.transform(lines, lambda x: F.struct(
         F.lower(F.regexp_extract(x, "^([^:]+):", 1)).alias("name"), F.trim(F.regexp_extract(x, "^[^:]+:(.*)$", 1)).alias("value")))
 
@@ -155,35 +156,42 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
 
 # Input of the query: archive records with the pages' URLs and bodies ----------------
 
-# Every page was fetched once with status 200; every third was asked for again
-# later (one in twenty-one: earlier) and answered 304, one in fifteen of them
-# with another ETag, one in four without an ETag.  (Portable SQL, used on both
-# sides of the comparison.)
+# Every page was fetched three times with status 200, days apart, and changed with
+# the last fetch; pages of one in four share one URL.  Every page was asked for
+# again between, after or (one in twenty-one) before these and answered 304 (one
+# in thirteen: 200), one in fifteen with another ETag, one in four without an ETag.
+# (Portable SQL, used on both sides of the comparison.)
 _DAY0 = "DATE '2024-01-01'"
+FETCHES = 3
 
 
-def _stand_in(day: str, concat_date: str) -> str:
-    at = "(page_id * 7919 % 31000000)"
-    again = f"({at} + CASE WHEN page_id % 21 = 0 THEN -60 ELSE 3600 + page_id % 5 * 86400 END)"
+def _stand_in(concat_date: str) -> str:
+    first = "(page_id * 7919 % 31000000)"
+    again = f"({first} + CASE WHEN page_id % 21 = 0 THEN -60 ELSE 3600 + page_id % 9 * 86400 END)"
+    address = "CASE WHEN page_id % 4 = 1 THEN concat('http://hot.example.com/?p=1&a=', page_id % 2) ELSE url END"
 
     def date(x: str) -> str:
         return concat_date.replace("{x}", x)
 
-    return f"""
-  SELECT concat('r', page_id) AS record_id, 'response' AS warc_type, url AS target_uri, {date(at)} AS warc_date,
-         concat('HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nContent-Length: ', length(html), '\r\nETag: "', md5(html),
+    def fetch(j: int) -> str:
+        body = "html" if j < FETCHES - 1 else "concat(html, '<!-- new -->')"
+        return f"""
+  SELECT concat('r', page_id, '-{j}') AS record_id, 'response' AS warc_type, {address} AS target_uri, {date(f"({first} + {j * 3} * 86400)")} AS warc_date,
+         concat('HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nContent-Length: ', length({body}), '\r\nETag: "', md5({body}),
                 '"\r\nLast-Modified: Mon, 0', page_id % 9 + 1, ' Jan 2023 00:00:00 GMT\r\nCache-Control: max-age=60\r\n\r\n') AS http,
-         html AS payload
-  FROM pages
+         {body} AS payload
+  FROM pages"""
+
+    return " UNION ALL".join(fetch(j) for j in range(FETCHES)) + f"""
   UNION ALL
-  SELECT concat('v', page_id) AS record_id, 'revisit' AS warc_type, concat(url, '#again') AS target_uri, {date(again)} AS warc_date,
-         concat('HTTP/1.1 304 Not Modified\r\n',
+  SELECT concat('v', page_id) AS record_id, 'revisit' AS warc_type, concat({address}, '#again') AS target_uri, {date(again)} AS warc_date,
+         concat(CASE WHEN page_id % 13 = 0 THEN 'HTTP/1.1 200 OK\r\n' ELSE 'HTTP/1.1 304 Not Modified\r\n' END,
                 CASE WHEN page_id % 4 = 0 THEN '' WHEN page_id % 15 = 0 THEN 'ETag: "other"\r\n'
                      ELSE concat('etag: W/"', md5(html), '"\r\n') END,
                 'Last-Modified: Mon, 0', page_id % 9 + 1, ' Jan 2023 00:00:00 GMT\r\nContent-Length: 0\r\nCache-Control: max-age=',
                 page_id % 100, '\r\nX-Cache: HIT\r\n\r\n') AS http,
          CAST(NULL AS {{text}}) AS payload
-  FROM pages WHERE page_id % 3 = 0"""
+  FROM pages"""
 
 
 _SPARK_DATE = (f"concat(CAST(date_add({_DAY0}, CAST(floor({{x}} / 86400) AS INT)) AS STRING), 'T', "
@@ -195,9 +203,8 @@ _DUCK_DATE = f"strftime({_DAY0}::TIMESTAMP + to_seconds({{x}}), '%Y-%m-%dT%H:%M:
 def archive_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records in the schema of ``resolve_revisits`` with the URLs and bodies of
     ``pages``; one row per fetch."""
-    read_table(spark, sf_dir, "pages").createOrReplaceTempView("recordcheck_pages")
-    sql = _stand_in("", _SPARK_DATE).replace("FROM pages", "FROM recordcheck_pages").replace("{text}", "STRING")
-    return spark.sql(sql)
+    sql = _stand_in(_SPARK_DATE).replace("FROM pages", "FROM {pages}").replace("{text}", "STRING")
+    return spark.sql(sql, pages=read_table(spark, sf_dir, "pages"))
 
 
 def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,7 +218,7 @@ def _oracle() -> str:
     kept = ", ".join(f"'{h}'" for h in KEPT_FROM_STORED)
     host = "lower(regexp_replace(regexp_extract(target_uri, re, 2), '^.*@', ''))"
     scheme = "lower(regexp_extract(target_uri, re, 1))"
-    sql = _stand_in("", _DUCK_DATE).replace("{text}", "VARCHAR").replace("'HTTP", "E'HTTP").replace("' Jan", "E' Jan")
+    sql = _stand_in(_DUCK_DATE).replace("{text}", "VARCHAR").replace("'HTTP", "E'HTTP").replace("' Jan", "E' Jan")
     sql = sql.replace("'\r\n", "E'\r\n").replace("'\"\r\n", "E'\"\r\n").replace("\"other\"", '"other"').replace("\r", "\\r").replace("\n'", "\\n'")
     return f"""
 WITH records AS ({sql}),
@@ -239,7 +246,7 @@ j AS (
          [x FOR x IN v.h IF x.name NOT IN ({kept})] AS may
   FROM v LEFT JOIN c s ON s.record_id = v.s_id),
 t AS (
-  SELECT *, CASE WHEN s_id IS NULL THEN 'no_earlier'
+  SELECT *, CASE WHEN NOT regexp_matches(http, '^HTTP/[0-9.]+ 304') THEN 'not_304' WHEN s_id IS NULL THEN 'no_earlier'
     WHEN coalesce(CASE WHEN new_tag IS NOT NULL THEN new_tag = old_tag WHEN new_mod IS NOT NULL THEN new_mod = old_mod
          ELSE old_tag IS NULL AND old_mod IS NULL END, false) THEN 'resolved' ELSE 'mismatch' END AS status FROM j)
 SELECT record_id, url AS canonical_url, warc_date, status,

@@ -70,6 +70,21 @@ def test_as_of_against_a_loop(spark, monkeypatch):
         assert got[v]["refers_to"] == (max(earlier)[1] if earlier else None)
 
 
+def test_query_really_chooses(spark):
+    """Revisits with several earlier responses, one URL with a large share, every outcome."""
+    from tests.conftest import SMALL
+
+    records = A.archive_records(spark, SMALL).withColumn("url", A.canonical_url(F.col("target_uri")))
+    earlier = (records.filter("warc_type = 'revisit'").alias("v").join(records.filter("warc_type = 'response'").alias("r"),
+               F.expr("v.url = r.url AND r.warc_date < v.warc_date")).groupBy("v.record_id").count())
+    assert earlier.filter("count > 1").count() > 50
+    assert records.groupBy("url").count().agg(F.max("count")).first()[0] > records.count() / 10
+    got = {r["status"]: r["count"] for r in A.op4_warc_revisits(spark, SMALL).groupBy("status").count().collect()}
+    assert set(got) == {"resolved", "no_earlier", "mismatch", "not_304"} and min(got.values()) > 2
+    n = spark.read.parquet(f"{SMALL}/pages.parquet").count()
+    assert sum(got.values()) == n and records.count() == 4 * n
+
+
 @pytest.mark.parametrize("url,want", [
     ("HTTPS://Ex.com:443", "https://ex.com/"), ("http://ex.com:8080/A?", "http://ex.com:8080/A"), ("ftp://x/y#z", "ftp://x/y"),
     ("http://ex.com/?b&a&b", "http://ex.com/?a&b&b"), ("nonsense", None), (None, None), ("", None)])
