@@ -8,15 +8,18 @@ by a convolution is one table per (filter, offset), a trained network is
 applied by adding rows of tables indexed by bytes.
 
 It is trained in numpy (Adam on cross-entropy) on windows of a bounded sample
-of labelled rows: the ``PER_LANGUAGE`` rows with the smallest digest of id and
-text per language, ``WINDOWS_PER_TEXT`` windows each.  Prediction covers every
+of labelled rows: of every language the ``PER_LANGUAGE`` rows with the smallest
+digest of id and text, ``WINDOWS_PER_TEXT`` windows each.  Prediction covers every
 window of every whole text in batches; a document's score is the softmax of
 its mean window log-probabilities, weighted by letters in the window.
 
 Defined cases: null text or text without a letter gives ``und`` with score 0;
 text with letters but no labelled row anywhere gives ``und`` with score 0 too;
 null lang rows are never learned from; null or repeated ids are predicted row
-by row; extra columns pass through ``predict`` (clashing names are replaced).
+by row; equal texts get equal predictions; ties between languages go to the
+first by name; a very long text is read ``STRETCH`` bytes at a time; an empty table
+gives an empty result; extra columns pass through ``predict`` (clashing names are
+replaced).
 """
 
 from __future__ import annotations
@@ -36,7 +39,6 @@ WIDTHS = (2, 3, 4)
 FILTERS = 8                   # per width
 EMBED = 8
 PER_LANGUAGE = 300            # labelled texts learned from, per language
-MAX_LANGUAGES = 50            # languages learned: the most frequent ones
 WINDOWS_PER_TEXT = 8
 EPOCHS = 12
 BATCH = 128
@@ -44,6 +46,7 @@ RATE = 0.01
 FOLD, HELD_OUT = 4, 2         # crc32(doc_id as text) mod FOLD = HELD_OUT is held out
 UNKNOWN = "und"
 CHUNK = 256                   # windows scored at once
+STRETCH = CHUNK * WINDOW      # bytes of a text that are turned into windows at once
 
 # Byte classes: upper and lower case ASCII letters together, digits and other
 # control or punctuation bytes together, bytes of multi-byte characters apart.
@@ -150,10 +153,9 @@ class ByteConvNet:
 
     def score_text(self, raw: bytes) -> tuple[int, float]:
         """(language index, probability) of a whole text."""
-        x = windows_of(raw)
         total, weight = np.zeros(len(self.languages)), 0.0
-        for at in range(0, len(x), CHUNK):
-            part = x[at:at + CHUNK]
+        for at in range(0, max(1, len(raw)), STRETCH):
+            part = windows_of(raw[at:at + STRETCH])
             letters = (part >= 2).sum(axis=1).astype(np.float64)
             total += letters @ self.log_probabilities(part)
             weight += letters.sum()
@@ -169,18 +171,16 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def training_rows(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """(lang, digest, text) of about twice ``per_language`` texts of each of the
-    ``MAX_LANGUAGES`` most frequent languages, from rows that are not held out:
-    those whose digest of id and text lies below a bound set by the counts."""
+    """(lang, digest, text) of about twice ``per_language`` texts of every
+    language, from rows that are not held out: those whose digest of id and text
+    lies below a bound set by the counts."""
     rows = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         "lang", F.xxhash64(F.col("doc_id"), F.col("text")).alias("digest"), "text")
-    counts = (rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect())
-    if not counts:
-        return rows.limit(0)
-    share = F.create_map(*[c for r in counts for c in (F.lit(r.lang), F.lit(min(1.0, 2.0 * per_language / r.n)))])
+    counts = rows.groupBy(F.col("lang").alias("c_lang")).agg(F.count(F.lit(1)).alias("n"))
     unit = (F.col("digest") / F.lit(float(2 ** 64))) + F.lit(0.5)
-    return rows.filter(unit <= share[F.col("lang")])
+    # One row per language, as many as the network has outputs.
+    share = F.broadcast(counts.select("c_lang", F.least(F.lit(1.0), F.lit(2.0 * per_language) / F.col("n")).alias("share")))
+    return rows.join(share, F.col("lang") == F.col("c_lang")).filter(unit <= F.col("share")).select("lang", "digest", "text")
 
 
 def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

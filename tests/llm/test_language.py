@@ -48,6 +48,44 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in out)
 
 
+def plain_score(net, raw):
+    """The network one window, filter and position at a time."""
+    data = [int(L._CLASS[b]) for b in raw] or [0]
+    data += [0] * (-len(data) % L.WINDOW)
+    p = net.params
+    total, weight = np.zeros(len(net.languages)), 0
+    for at in range(0, len(data), L.WINDOW):
+        window, pooled = data[at:at + L.WINDOW], []
+        for w in L.WIDTHS:
+            for f in range(L.FILTERS):
+                best = max(sum(float(p["embed"][window[i + k]] @ p[f"filter{w}"][k][:, f]) for k in range(w)) for i in range(L.WINDOW - w + 1))
+                pooled.append(np.tanh(best + p[f"bias{w}"][f]))
+        z = np.array(pooled) @ p["out"] + p["out_bias"]
+        z -= np.log(np.exp(z - z.max()).sum()) + z.max()
+        letters = sum(c >= 2 for c in window)
+        total += letters * z
+        weight += letters
+    q = np.exp(total / max(weight, 1))
+    return int(q.argmax()), float(q.max() / q.sum())
+
+
+def test_against_a_plain_network(spark, small_docs, monkeypatch):
+    """lang_pred and score of whole texts, whatever the stretches they are read in."""
+    net = L.fit(small_docs)
+    rows = [r for r in L.predict(small_docs, net).collect() if len(r["text"]) < 900][:25]
+    assert len(rows) == 25
+    monkeypatch.setattr(L, "STRETCH", 2 * L.WINDOW)
+    for r in rows:
+        best, p = plain_score(net, r["text"].encode())
+        assert net.languages[best] == r["lang_pred"] and abs(p - r["score"]) < 1e-4
+        assert abs(net.score_text(r["text"].encode())[1] - r["score"]) < 1e-9
+
+
+def test_every_language_is_learned(spark):
+    rows = [(i, f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} " * 30, f"l{i % 60:02d}", "a") for i in range(600)]
+    assert L.fit(docs_frame(spark, rows), per_language=3).languages == [f"l{i:02d}" for i in range(60)]
+
+
 def test_odd_rows(spark, odd_docs):
     net = L.ByteConvNet(["de", "en"])
     df = docs_frame(spark, odd_docs, extra=("score",))
