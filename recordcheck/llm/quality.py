@@ -414,14 +414,15 @@ def _narrow(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 def quality_filter(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass the base rules and are no outliers.  The
-    statistics are made once and stored with their rows; texts are never
-    shuffled unless the table of estimates is too large to broadcast."""
+    text is read twice (statistics, then the filter) rather than stored with its
+    statistics, and never shuffled unless the table of estimates is too large to
+    broadcast."""
     inner, carried, _ = aside(docs, "lang", "source", "text")
     # The operator's own three columns travel once, under their own names.
     own = {c: n for n, c in zip(docs.columns, carried) if n in ("lang", "source", "text")}
     inner = inner.drop(*own)
-    stats = scratch_table(docs.sparkSession, with_stats(inner), "quality-stats")
-    kept = judged(stats, estimate(stats)).filter("kept")
+    stats = scratch_table(docs.sparkSession, _narrow(inner, []), "quality-stats")
+    kept = judged(with_stats(inner), estimate(stats)).filter("kept")
     return kept.select(*[F.col(own.get(c, c)).alias(n) for n, c in zip(docs.columns, carried)])
 
 
