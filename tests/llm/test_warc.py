@@ -77,11 +77,11 @@ def test_query_really_chooses(spark):
     records = A.archive_records(spark, SMALL).withColumn("url", A.canonical_url(F.col("target_uri")))
     earlier = (records.filter("warc_type = 'revisit'").alias("v").join(records.filter("warc_type = 'response'").alias("r"),
                F.expr("v.url = r.url AND r.warc_date < v.warc_date")).groupBy("v.record_id").count())
-    assert earlier.filter("count > 1").count() > 50
+    n = spark.read.parquet(f"{SMALL}/pages.parquet").count()
+    assert earlier.filter("count > 1").count() > n / 3
     assert records.groupBy("url").count().agg(F.max("count")).first()[0] > records.count() / 10
     got = {r["status"]: r["count"] for r in A.op4_warc_revisits(spark, SMALL).groupBy("status").count().collect()}
-    assert set(got) == {"resolved", "no_earlier", "mismatch", "not_304"} and min(got.values()) > 2
-    n = spark.read.parquet(f"{SMALL}/pages.parquet").count()
+    assert set(got) == {"resolved", "no_earlier", "mismatch", "not_304"}
     assert sum(got.values()) == n and records.count() == 4 * n
 
 
