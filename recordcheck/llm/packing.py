@@ -10,10 +10,14 @@ lengths, which has at most ``capacity`` entries however large the corpus is:
 * it is solved by multiplicative weights: every length carries a weight (its
   dual price), an unbounded knapsack by dynamic programming prices the best
   configurations around the lengths still open until every length is covered,
-  and after each pass the weights are multiplied towards what the lengths came
-  to cost;
-* configurations are used whole times, so nothing has to be rounded; the last
-  uses are packed best fit instead, longest first, where that is shorter.
+  and after each round the weights are multiplied towards what the lengths came
+  to cost.  The average of the covers of the later half of the rounds (the first
+  prices are far off) is the fractional solution;
+* it is rounded: every configuration is used the whole part of its times, and
+  what these leave open is covered by configurations at the last prices.  The
+  last uses of a rounding are packed best fit instead, longest first, where that
+  is shorter.  After every round the solution so far is rounded, and the
+  shortest plan is taken.
 
 The plan (configurations, how often each is used, lengths) is a small table.
 Pieces of one length are then numbered 0, 1, 2, ... in a distributed way
@@ -21,8 +25,11 @@ Pieces of one length are then numbered 0, 1, 2, ... in a distributed way
 the i-th slot of that length; no sequence is ever assembled in one task.
 
 Defined cases: a null or empty text is the end id alone; null ids and repeated
-rows are packed like any other row; an empty table gives an empty result; extra
-columns are not carried by ``pack`` unless named in ``keep``.
+rows are packed like any other row (equal pieces take their numbers in any
+order, which changes no output row); a very long text is one text held in a task
+while it is cut; an empty table gives an empty result; extra columns are not
+carried by ``pack`` unless named in ``keep``, and a ``keep`` column named like an
+output is an error.
 """
 
 from __future__ import annotations
@@ -47,9 +54,13 @@ GAP = 0.0005                  # distance from the volume bound at which prices a
 START = 1.2                   # starting price of a length: its share of a sequence to this power
 TAILS = (0.01, 0.02, 0.05, 0.1)    # last shares of the tokens that are also tried best fit
 RATE = 0.1                    # strength of a price update
+SLOT_ROWS = 500_000           # rows of 48 bytes of a plan that are broadcast
 BUCKET_ROWS = 200             # pieces of one length aimed at in one numbering bucket
 
 
+OUTPUT = ("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 # Tokens --------------------------------------------------------------------------
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -162,8 +173,9 @@ def _choices(lengths: list[int], prices: dict[int, float], capacity: int) -> lis
 def _cover(counts: dict[int, int], prices: dict[int, float], capacity: int) -> list[tuple[dict[int, int], int]]:
     """Whole uses of configurations that cover all counts at given prices.  One
     knapsack over the open lengths prices a best configuration around each of
-    them; it is used until one of its lengths is covered.  Configurations that need more of a length than is left wait for the
-    next knapsack; the first of each is always used, so all lengths get covered."""
+    them; it is used until one of its lengths is covered.  Configurations that
+    need more of a length than is left wait for the next knapsack; the first of
+    each is always used, so all lengths get covered."""
     rest = dict(counts)
     uses = []
     while rest:
@@ -195,7 +207,10 @@ def _cover(counts: dict[int, int], prices: dict[int, float], capacity: int) -> l
     return uses
 
 
-def _with_tail(uses: list[tuple[dict[int, int], int]], capacity: int) -> tuple[list[tuple[dict[int, int], int]], float]:
+_Plan = list[tuple[dict[int, int], int]]
+
+
+def _with_tail(uses: _Plan, capacity: int) -> tuple[_Plan, float]:
     """The uses, their last ones packed best fit where that is shorter (the last
     lengths open match badly), and the share of the tokens in priced uses."""
     tokens = [times * sum(n * k for n, k in config.items()) for config, times in uses]
@@ -213,28 +228,45 @@ def _with_tail(uses: list[tuple[dict[int, int], int]], capacity: int) -> tuple[l
     return best, share
 
 
-def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = EPOCHS
-          ) -> tuple[list[tuple[dict[int, int], int]], float]:
+def _rounded(covers: list[_Plan], counts: dict[int, int], prices: dict[int, float], capacity: int) -> _Plan:
+    """Whole uses that cover all counts: of the fractional solution (the average
+    of the covers) the whole parts, then configurations at ``prices`` for what is
+    left open."""
+    total: dict[tuple, int] = {}                        # configuration -> times, over the covers
+    for config, times in (use for cover in covers for use in cover):
+        key = tuple(sorted(config.items()))
+        total[key] = total.get(key, 0) + times
+    whole = [(dict(config), times // len(covers)) for config, times in total.items() if times >= len(covers)]
+    rest = dict(counts)
+    for config, times in whole:
+        for n, k in config.items():
+            rest[n] -= k * times            # never under 0: every cover holds each length as often as it occurs
+    return whole + _cover({n: c for n, c in rest.items() if c}, prices, capacity)
+
+
+def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = EPOCHS) -> tuple[_Plan, float]:
     """[(configuration, times)] that holds every length of the histogram as
     often as it occurs, and the share of the tokens (full pieces apart) in uses
     of priced configurations.  Prices start a little steeper than the length; after each
-    epoch a length's price is multiplied towards the share of a sequence it came
+    round a length's price is multiplied towards the share of a sequence it came
     to cost, so lengths that end up in poorly filled sequences are placed
-    earlier.  Prices are updated at least once; the shortest plan is kept."""
-    full: list[tuple[dict[int, int], int]] = []
+    earlier.  Prices are updated at least once, then until a rounding is within
+    ``GAP`` of the volume bound, ``rounds`` times at most."""
+    full: _Plan = []
     left = {int(n): int(c) for n, c in histogram.items() if c > 0}
     if left.get(capacity):
         full.append(({capacity: 1}, left.pop(capacity)))
     if not left:
         return full, 0.0
     bound = -(-sum(n * c for n, c in left.items()) // capacity)
-    best, share = best_fit(left, capacity), 0.0         # no use of any priced configuration
+    best, share = None, 0.0
     prices = {n: (n / capacity) ** START for n in left}
+    covers: list[_Plan] = []
     for epoch in range(max(2, min(rounds, EPOCHS))):
         uses = _cover(left, prices, capacity)
-        plan, of_plan = _with_tail(uses, capacity)
-        was = sum(n for _, n in best)
-        if (sum(n for _, n in plan), -of_plan) <= (was, -share):
+        covers.append(uses)
+        plan, of_plan = _with_tail(_rounded(covers[(epoch + 1) // 2:], left, prices, capacity), capacity)
+        if best is None or (sum(n for _, n in plan), -of_plan) < (sum(n for _, n in best), -share):
             best, share = plan, of_plan
         if epoch and sum(n for _, n in best) <= bound * (1 + GAP):
             break
@@ -247,8 +279,7 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = EPO
     return full + best, share
 
 
-def configurations(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = EPOCHS
-                   ) -> list[tuple[dict[int, int], int]]:
+def configurations(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = EPOCHS) -> _Plan:
     """The plan of ``solve``; ``rounds`` bounds the price updates."""
     return solve(histogram, capacity, rounds)[0]
 
@@ -308,13 +339,18 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END
          keep: tuple[str, ...] = ()) -> DataFrame:
     """Every piece with its sequence_id and offset."""
     spark = docs.sparkSession
+    if taken := set(keep) & set(OUTPUT):
+        raise ValueError(f"keep: columns named like an output: {sorted(taken)}")
     cut_up = pieces(docs, path, capacity, end_id, keep)
     stored = scratch_table(spark, cut_up.withColumn("spread", F.xxhash64("doc_id", "piece", "ids_crc32")), "pack-pieces")
     histogram = {r["length"]: r["n"] for r in                       # at most ``capacity`` rows
                  stored.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = configurations(histogram, capacity)
-    slots = spark.createDataFrame(slot_table(plan), "slot_length long, first long, per long, numbers long, "
-                                                    "first_sequence long, slot_offset long")
+    table = slot_table(plan)
+    slots = spark.createDataFrame(table, "slot_length long, first long, per long, numbers long, "
+                                         "first_sequence long, slot_offset long")
+    if len(table) <= SLOT_ROWS:                 # else by shuffle
+        slots = F.broadcast(slots)
     # Number the pieces of one length: bucket counts, bucket offsets, then
     # numbers within a bucket.  A length gets buckets by its own count, so a
     # length that a third of all pieces share is spread like any other.
