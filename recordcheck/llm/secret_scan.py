@@ -11,8 +11,10 @@ the lengths of the stretches between them (the text split at the pattern), as
 running sums over exploded match rows.  Parts are then joined by interval: both
 sides are laid into bins of ``SCOPE`` code points, one side is aggregated per
 (document, bin, role) first, so no pairs are enumerated and a document with
-very many parts costs its length.  Only DataFrame functions are used; whole
-texts are read once and never shuffled, only match lengths are.
+very many parts costs its length.  Only DataFrame functions are used.  ``spans``
+shuffles match lengths, never texts (unless they are among the columns asked
+for); ``redact`` stores and shuffles the texts that can hold a finding, that is a
+strong one or an identifier and a blob, and passes the others through.
 
 Defined cases: null text has no spans; null and repeated doc_ids are kept row by
 row; an empty table gives an empty result; ``redact`` keeps extra columns, whatever
@@ -71,6 +73,14 @@ def _matches(kind: str) -> Column:
     return F.when(F.col("text").rlike(pattern), entry)
 
 
+def may_hold() -> Column:
+    """Whether a text can have a reported span: all strong kinds are, and weak
+    parts only where an identifier and a secret meet."""
+    has = {k: F.col("text").rlike(PATTERNS[k][0]) for k in (*BASE, "ident", "blob")}
+    strong = has["assign"] | has["access"] | has["hex"]
+    return F.coalesce(strong | (has["ident"] & has["blob"]), F.lit(False))
+
+
 def _found(docs: DataFrame, columns: list[str]) -> DataFrame:
     """Stored table: row id, ``columns`` and the matches of every kind."""
     found = docs.select(*columns, *[_matches(k).alias(f"_m_{k}") for k in PATTERNS])
@@ -132,9 +142,10 @@ def _joined(found: Column) -> Column:
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every reported span of ``text`` replaced by ``mark`` (spans
-    that overlap become one) and n_chars, if there, counted again."""
+    that overlap become one) and n_chars, if there, counted again.  ``docs`` is
+    read twice, so it should be a stored table."""
     inner, carried, restore = aside(docs, "text")
-    marked = spans(inner, [*carried, "text"])
+    marked = spans(inner.filter(may_hold()), [*carried, "text"])
     merged = F.expr("""aggregate(found, cast(array() as array<struct<a:bigint,b:bigint>>), (acc, x) ->
         CASE WHEN size(acc) > 0 AND x.start <= element_at(acc, -1).b
              THEN concat(slice(acc, 1, size(acc) - 1), array(named_struct('a', element_at(acc, -1).a,
@@ -149,7 +160,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     if "n_chars" in place:
         counted = F.when(F.size("found") > 0, F.length("_clean")).otherwise(F.col(place["n_chars"]))
         out = out.withColumn(place["n_chars"], counted.cast(docs.schema["n_chars"].dataType))
-    return restore(out)
+    return restore(out.select(*carried).unionByName(inner.filter(~may_hold()).select(*carried)))
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

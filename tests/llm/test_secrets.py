@@ -58,6 +58,26 @@ def test_redaction(spark):
     assert S.redact(df.limit(0)).count() == 0
 
 
+def test_only_texts_that_may_hold_a_finding_travel(spark, odd_docs):
+    """No text that ``may_hold`` leaves out has a reported span; the others' redaction is theirs alone."""
+    texts = [BLOB, "login=abcdefg", f"login=abcdefg {BLOB}", f"login=abcdefg {'x ' * 300}{BLOB}", "http://a.b", f"http://a.b {BLOB}",
+             f"http://a.b user: someone1 {BLOB}", "token=abc", "token=abcdef", KEY, HEX, HEX[:23], None, ""]
+    df = docs_frame(spark, odd_docs + [(200 + i, t, "en", "s") for i, t in enumerate(texts)])
+    holds = {(r["doc_id"], r["text"]): r["may"] for r in df.withColumn("may", S.may_hold()).collect()}
+    for (_, text), may in holds.items():
+        assert may or not brute(text)
+    assert not holds[200, BLOB] and holds[202, f"login=abcdefg {BLOB}"] and not holds[212, None]
+    out = S.redact(df).collect()
+    assert len(out) == df.count()
+    before = {}
+    for r in df.collect():
+        before.setdefault(str(r["doc_id"]), []).append(r["text"])
+    for r in out:
+        if r["text"] not in before[str(r["doc_id"])]:
+            assert "[SECRET]" in r["text"]
+    assert sorted(str(r["doc_id"]) for r in out) == sorted(str(r["doc_id"]) for r in df.collect())
+
+
 def test_native(spark, small_docs):
     plan = S.spans(small_docs, ["doc_id"])._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
