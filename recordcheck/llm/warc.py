@@ -137,7 +137,9 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
                               seconds(F.col("warc_date")).alias("at"), F.lit(True).alias("full"))
     events = (places.unionByName(revisits.select("row", "record_id", "url", "at", F.lit(False).alias("full")))
               .filter(F.col("url").isNotNull() & F.col("at").isNotNull()))
-    found = _latest_earlier(events).filter(F.col("refers_to").isNotNull())
+    # Two narrow tables: records are parsed once, the choice is made once.
+    events = scratch_table(spark, events, "warc-events")
+    found = scratch_table(spark, _latest_earlier(events).filter(F.col("refers_to").isNotNull()), "warc-found")
     wanted = found.select("refers_to").distinct()
     stored = (responses.join(wanted, F.col("record_id") == F.col("refers_to"), "left_semi").dropDuplicates(["record_id"])
               .select(F.col("record_id").alias("s_id"), F.col("warc_date").alias("s_date"), F.col("http").alias("s_http"), "payload"))
