@@ -10,7 +10,10 @@ The as-of join is two aggregations deep.  Time is cut into buckets; the last
 response of every (URL, bucket) is aggregated, carried forward over the buckets
 of a URL (one row per bucket), and only inside one bucket rows are sorted.  A
 URL with a third of all records is spread over its buckets, and bodies move only
-in the final join to the response that was found.
+in the final join to the response that was found.  Places (URL, second, id) and
+choices are stored as narrow tables, so records are parsed once; a broadcast
+bitmap of the chosen ids keeps most bodies that no revisit refers to out of the
+shuffle of that join.
 
 Records: record_id, warc_type, target_uri, warc_date (ISO 8601), http (status
 line and headers), payload.  Status of a revisit: ``resolved``; ``no_earlier``
@@ -36,6 +39,8 @@ from recordcheck.sources.storage import scratch_table
 from recordcheck.sources.tables import read_table
 
 BUCKET = 3600                 # seconds
+BITS_PER_ID = 16              # of the bitmap of chosen ids
+MAX_BITS = 1 << 28            # its largest size (32 MB)
 
 # Headers that a 304 must not change in the stored response
 # (hop-by-hop fields and those that describe the stored body).
@@ -122,6 +127,29 @@ def _latest_earlier(events: DataFrame) -> DataFrame:
     return found.select(F.col("row"), F.coalesce("within", "carried")["record_id"].alias("refers_to"))
 
 
+def _less_unwanted(responses: DataFrame, found: DataFrame) -> DataFrame:
+    """``responses`` (record_id, ...) less most of those that ``found`` (refers_to)
+    does not name.  The bitmap has one bit per hash of an id, in rows of 32,768
+    bits; beyond MAX_BITS ids it would hold back next to nothing and all pass."""
+    named = found.count()
+    if named > MAX_BITS:
+        return responses
+    bits = 1 << 15
+    while bits < min(BITS_PER_ID * named, MAX_BITS):
+        bits *= 2
+
+    def place(of: str) -> Column:
+        return F.pmod(F.xxhash64(of), F.lit(bits))
+
+    bitmaps = (found.select(place("refers_to").alias("b")).groupBy(F.shiftright("b", 15).alias("b_row"))
+               .agg(F.bitmap_construct_agg(F.col("b").bitwiseAND(F.lit(32767))).alias("b_map")))
+    byte = F.conv(F.hex(F.expr("substring(b_map, cast(shiftright(b_at, 3) AS INT) + 1, 1)")), 16, 10).cast("int")
+    return (responses.withColumn("b_row", F.shiftright(place("record_id"), 15))
+            .withColumn("b_at", place("record_id").bitwiseAND(F.lit(32767)))
+            .join(F.broadcast(bitmaps), "b_row").filter(F.getbit(byte, F.col("b_at").bitwiseAND(F.lit(7)).cast("int")) == 1)
+            .drop("b_row", "b_at", "b_map"))
+
+
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """One row per revisit record: record_id, canonical_url, warc_date, status,
     refers_to, refers_to_date, http (rebuilt), payload."""
@@ -137,10 +165,10 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
                               seconds(F.col("warc_date")).alias("at"), F.lit(True).alias("full"))
     events = (places.unionByName(revisits.select("row", "record_id", "url", "at", F.lit(False).alias("full")))
               .filter(F.col("url").isNotNull() & F.col("at").isNotNull()))
-    found = _latest_earlier(events).filter(F.col("refers_to").isNotNull())
-    wanted = found.select("refers_to").distinct()
-    stored = (responses.join(wanted, F.col("record_id") == F.col("refers_to"), "left_semi").dropDuplicates(["record_id"])
-              .select(F.col("record_id").alias("s_id"), F.col("warc_date").alias("s_date"), F.col("http").alias("s_http"), "payload"))
+    events = scratch_table(spark, events, "warc-events")
+    found = scratch_table(spark, _latest_earlier(events).filter(F.col("refers_to").isNotNull()), "warc-found")
+    bodies = responses.select("record_id", F.col("warc_date").alias("s_date"), F.col("http").alias("s_http"), "payload")
+    stored = _less_unwanted(bodies, found).dropDuplicates(["record_id"]).withColumnRenamed("record_id", "s_id")
     rows = (revisits.join(found.withColumnRenamed("row", "f_row"), F.col("row") == F.col("f_row"), "left")
             .join(stored, F.col("refers_to") == F.col("s_id"), "left"))
     new, old = headers(F.col("http")), headers(F.col("s_http"))

@@ -70,6 +70,19 @@ def test_as_of_against_a_loop(spark, monkeypatch):
         assert got[v]["refers_to"] == (max(earlier)[1] if earlier else None)
 
 
+def test_bitmap_loses_no_chosen_response(spark, monkeypatch):
+    """Every chosen id passes, most others do not; with more ids than bits all pass."""
+    every = spark.range(20000).select(F.concat(F.lit("r"), F.col("id")).alias("record_id"), "id")
+    found = every.filter("id % 10 = 3").select(F.col("record_id").alias("refers_to"))
+    got = {r["id"] for r in A._less_unwanted(every, found).collect()}
+    assert {i for i in range(20000) if i % 10 == 3} <= got and len(got) < 20000 * 0.25
+    monkeypatch.setattr(A, "MAX_BITS", 1 << 11)
+    assert A._less_unwanted(every, found.limit(2000)).count() < 20000       # fuller, still exact
+    assert A._less_unwanted(every, found.union(found)).count() == 20000
+    monkeypatch.undo()
+    assert A._less_unwanted(every, found.limit(0)).count() == 0
+
+
 def test_query_really_chooses(spark):
     """Revisits with several earlier responses, one URL with a large share, every outcome."""
     from tests.conftest import SMALL
