@@ -8,12 +8,12 @@ the permitted headers of the 304, with the stored body.
 
 The as-of join is two aggregations deep.  Time is cut into buckets; the last
 response of every (URL, bucket) is aggregated, carried forward over the buckets
-of a URL (one row per bucket), and only inside one bucket rows are sorted.  A
-URL with a third of all records is spread over its buckets, and bodies move only
-in the final join to the response that was found.  Places (URL, second, id) and
-choices are stored as narrow tables, so records are parsed once; a broadcast
-bitmap of the chosen ids keeps most bodies that no revisit refers to out of the
-shuffle of that join.
+of a period and over the periods of a URL (one row each), and only inside one
+bucket rows are sorted.  A URL with a third of all records is spread over its
+buckets, and bodies move only in the final join to the response that was found.
+Places (URL, second, id) and choices are stored as narrow tables, so records are
+parsed once; a broadcast bitmap of the chosen ids keeps most bodies that no
+revisit refers to out of the shuffle of that join.
 
 Records: record_id, warc_type, target_uri, warc_date (ISO 8601), http (status
 line and headers), payload.  Status of a revisit: ``resolved``; ``no_earlier``
@@ -39,6 +39,7 @@ from recordcheck.sources.storage import scratch_table
 from recordcheck.sources.tables import read_table
 
 BUCKET = 3600                 # seconds
+PERIOD = 24                   # buckets
 BITS_PER_ID = 16              # of the bitmap of chosen ids
 MAX_BITS = 1 << 28            # its largest size (32 MB)
 
@@ -116,10 +117,15 @@ def _latest_earlier(events: DataFrame) -> DataFrame:
     response of the url before it."""
     events = events.withColumn("bucket", F.floor(F.col("at") / BUCKET))
     response = F.when(F.col("full"), F.struct("at", "record_id"))
-    # The last response before every bucket of a URL: one row per bucket.
-    buckets = events.groupBy("url", "bucket").agg(F.max(response).alias("last"))
-    earlier = W.partitionBy("url").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    carried = buckets.select("url", "bucket", F.last("last", ignorenulls=True).over(earlier).alias("carried"))
+    # The last response before every bucket: earlier buckets of its period, else
+    # the last of earlier periods; no window holds more than a URL's periods.
+    buckets = (events.groupBy("url", "bucket").agg(F.max(response).alias("last"))
+               .withColumn("period", F.floor(F.col("bucket") / PERIOD)))
+    before = (lambda *key: W.partitionBy(*key[:-1]).orderBy(key[-1]).rowsBetween(W.unboundedPreceding, -1))
+    periods = buckets.groupBy("url", "period").agg(F.max("last").alias("last")).select(
+        "url", "period", F.last("last", ignorenulls=True).over(before("url", "period")).alias("older"))
+    carried = (buckets.withColumn("recent", F.last("last", ignorenulls=True).over(before("url", "period", "bucket")))
+               .join(periods, ["url", "period"]).select("url", "bucket", F.coalesce("recent", "older").alias("carried")))
     # Inside a bucket: the last response at an earlier second.
     inside = W.partitionBy("url", "bucket").orderBy("at").rangeBetween(W.unboundedPreceding, -1)
     found = (events.withColumn("within", F.max(response).over(inside)).filter(~F.col("full"))

@@ -51,6 +51,7 @@ def test_validators_and_headers(spark):
 
 def test_as_of_against_a_loop(spark, monkeypatch):
     monkeypatch.setattr(A, "BUCKET", 50)
+    monkeypatch.setattr(A, "PERIOD", 4)
     rng = random.Random(3)
     rows, fulls, asks = [], {}, []
     for i in range(400):
