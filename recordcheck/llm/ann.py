@@ -86,11 +86,11 @@ def _classes(table: DataFrame, id_col: str, vec_col: str, k: int) -> DataFrame:
         v.isNotNull() & F.col("id").isNotNull() & (F.size(v) > 0)
         & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
         & F.exists(v, lambda x: x != 0))
-    # Two steps: a vector that a third of all rows share is first cut to its
-    # smallest ids within many small groups.
-    few = usable.groupBy("v", (F.xxhash64("id") % 64).alias("salt")).agg(
-        F.slice(F.array_sort(F.collect_list("id")), 1, k + 1).alias("ids"))
-    return (few.groupBy("v").agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, k + 1).alias("ids"))
+    # The filter on the rank also acts before the shuffle, so of a vector that a
+    # third of all rows share a task sends k + 1 ids at most.
+    rank = F.row_number().over(W.partitionBy("v").orderBy("id"))
+    return (usable.withColumn("n", rank).filter(F.col("n") <= k + 1)
+            .groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids"))
             .select(F.col("ids")[0].alias("rep"), "ids", "v"))
 
 

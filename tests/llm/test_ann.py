@@ -36,6 +36,33 @@ def test_recall_on_the_table(spark):
     assert hit / (20 * len(got)) >= 0.9
 
 
+def test_recall_on_clusters(spark, monkeypatch):
+    """2,000 vectors in 40 tight clusters, several chunks; every query reaches 0.75, all together 0.9."""
+    monkeypatch.setattr(N, "CHUNK", 300)
+    rng = np.random.default_rng(9)
+    centers = rng.normal(size=(40, 32))
+    x = (centers[rng.integers(0, 40, 2000)] + 0.2 * rng.normal(size=(2000, 32))).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = frame(spark, [(i, v.tolist(), 0) for i, v in enumerate(x)])
+    got = {}
+    for r in N.search(df, df.filter("vec_id % 20 = 0"), k=20).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    scores = x.astype(float) @ x.astype(float).T
+    np.fill_diagonal(scores, -np.inf)
+    shares = [len(got[q] & set(np.argsort(-scores[q], kind="stable")[:20].tolist())) / 20 for q in range(0, 2000, 20)]
+    assert np.mean(shares) >= 0.9 and min(shares) >= 0.75
+
+
+def test_a_shared_vector_sends_few_ids(spark):
+    """The rank limit acts before the shuffle: a task sends at most k + 1 ids of one vector."""
+    df = frame(spark, [(i, [1.0, 2.0], 0) for i in range(3000)] + [(5000, [2.0, 1.0], 0)])
+    classes = N._classes(df, "vec_id", "embedding", 20)
+    assert {r["rep"]: r["ids"] for r in classes.collect()} == {0: list(range(21)), 5000: [5000]}
+    plan = classes.limit(9)._jdf.queryExecution().executedPlan().toString()
+    limits = [line for line in plan.splitlines() if "WindowGroupLimit" in line]
+    assert len(limits) == 2 and "Final" in limits[0] and "Partial" in limits[1]
+
+
 def test_many_chunks_ties_and_lengths(spark, monkeypatch):
     monkeypatch.setattr(N, "CHUNK", 60)
     monkeypatch.setattr(N, "FIRST", 25)
