@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordcheck.llm import words as WD
+from recordcheck.llm.skew import join_counted
 from recordcheck.sources.storage import scratch_table
 from recordcheck.sources.tables import read_table
 
@@ -136,9 +137,11 @@ def _removed(level: int):
 
 
 def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, least): keys that occur with several doc_ids, the smallest one."""
-    return (rows.groupBy(*keys).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-            .filter("least < most").select(*keys, "least"))
+    """(keys, least, n), stored: keys that occur with several doc_ids, the smallest
+    one, how many rows have the key."""
+    found = rows.groupBy(*keys).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"),
+                                    F.count(F.lit(1)).alias("n")).filter("least < most").drop("most")
+    return scratch_table(rows.sparkSession, found, "substring-repeated")
 
 
 def _longest(spark: SparkSession, tall: DataFrame, level: int) -> DataFrame:
@@ -148,8 +151,8 @@ def _longest(spark: SparkSession, tall: DataFrame, level: int) -> DataFrame:
     step, size = 0, level
     while alive.limit(1).count():
         here = alive.withColumn("hash", F.col("tall")[step])
-        again = _repeated(here, ["hash"]).select("hash")
-        alive = scratch_table(spark, here.join(again, "hash").select("row", "doc_id", "tall"), "substring-level")
+        again = _repeated(here, ["hash"]).select("hash", "n")
+        alive = scratch_table(spark, join_counted(here, again, ["hash"], "n").select("row", "doc_id", "tall"), "substring-level")
         reached = alive.select("row", F.lit(size).alias("longest")).distinct()
         found = reached if found is None else found.unionByName(reached)
         step, size = step + 1, size * 2
@@ -175,7 +178,7 @@ def remove_repeats(docs: DataFrame, level: int = LEVEL) -> DataFrame:
     # Documents that are compared: the first of every set of equal ones.
     compared = long.join(heads, (long["sha"] == heads["sha"]) & (F.col("doc_id") == F.col("head"))).select("doc_id", "anchors")
     anchors = compared.select("doc_id", F.explode("anchors").alias("anchor"))
-    marks = (anchors.join(_repeated(anchors, ["anchor"]), "anchor").groupBy(F.col("doc_id").alias("m_doc"))
+    marks = (join_counted(anchors, _repeated(anchors, ["anchor"]), ["anchor"], "n").groupBy(F.col("doc_id").alias("m_doc"))
              .agg(F.collect_set("anchor").alias("repeated")))
     cand = scratch_table(spark, docs.join(marks, F.col("doc_id") == F.col("m_doc")).select("doc_id", "text", "repeated")
                          .mapInArrow(_candidates(level), f"doc_id {kind}, text string, sha string, place array<int>, "
@@ -183,7 +186,8 @@ def remove_repeats(docs: DataFrame, level: int = LEVEL) -> DataFrame:
                          .withColumn("row", F.monotonically_increasing_id()), "substring-candidates")
     windows = cand.select("doc_id", "row", F.explode(F.arrays_zip("place", "h1", "h2")).alias("w")).select(
         "doc_id", "row", "w.place", "w.h1", "w.h2")
-    later = windows.join(_repeated(windows, ["h1", "h2"]), ["h1", "h2"]).filter(F.col("doc_id") > F.col("least"))
+    # A window that a large share of all documents has stays out of the shuffle.
+    later = join_counted(windows, _repeated(windows, ["h1", "h2"]), ["h1", "h2"], "n").filter(F.col("doc_id") > F.col("least"))
     places = later.groupBy(F.col("row").alias("p_row")).agg(F.collect_list("place").alias("places"))
     cut = (cand.select("row", "doc_id", "sha", "text").join(places, F.col("row") == F.col("p_row"))
            .select("doc_id", "sha", "text", "places")

@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from recordcheck.llm import skew
 from recordcheck.llm import substring_dedup as S
 from tests.llm.conftest import docs_frame
 
@@ -28,7 +29,11 @@ def brute(rows, level=S.LEVEL):
     return out
 
 
-def test_against_brute_force(spark, odd_docs):
+@pytest.mark.parametrize("hot", [None, 4])
+def test_against_brute_force(spark, odd_docs, monkeypatch, hot):
+    """With shuffled keys only, and with keys of 4 or more rows broadcast."""
+    if hot:
+        monkeypatch.setattr(skew, "HOT_ROWS", hot)
     rng = random.Random(4)
     words = [f"w{i}" for i in range(60)] + ["é ü", "日本"]
     passages = [[rng.choice(words) for _ in range(n)] for n in (49, 50, 51, 75, 120, 260)]
