@@ -1,11 +1,15 @@
 """Weak supervision: label model, classifier, held-out quality."""
 
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
 
 from recordcheck.llm import toxicity as X
+from tests.conftest import SMALL
 from tests.llm.conftest import docs_frame
 
 
@@ -52,6 +56,43 @@ def test_label_model_discounts_voters_that_repeat_each_other():
     assert ((posterior >= 0.5) == y).mean() > 0.9
 
 
+def test_scores_against_a_plain_loop(spark):
+    """Every row of the small table: words and beginnings counted one by one."""
+    classifier = X.LinearClassifier()
+    classifier.weights = np.random.default_rng(8).normal(size=1 << X.BITS) / 8
+    classifier.bias = -0.4
+    letter = [bool(X._IN_WORD[X._LOWER[b]]) for b in range(256)]
+
+    def number(piece, more):
+        at = np.array([0]), np.array([len(piece)])
+        return (int(X._HASHER.ranges_of(np.frombuffer(piece, dtype=np.uint8))(*at)[0]) + more) % 2 ** 64
+
+    def plain(text):
+        raw = bytes(int(X._LOWER[b]) for b in (text or "").encode())
+        words, now = [], b""
+        for b in raw + b" ":
+            if letter[b]:
+                now += bytes([b])
+            elif now:
+                words.append(now)
+                now = b""
+        times = Counter()
+        for w in words:
+            times[number(w, 0)] += 1
+            for n in range(4, 9):
+                if len(w) > n:
+                    times[number(w[:n], n)] += 1
+        marked = {(h + m) % 2 ** 64 for h, c in times.items() for m, least in ((0, 1), (101, 2), (102, 4)) if c >= least}
+        places = {int(X.WD.mix(np.array([h], dtype=np.uint64))[0]) >> (64 - X.BITS) for h in marked}
+        return 1 / (1 + math.exp(-(sum(classifier.weights[i] for i in places) + classifier.bias)))
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    rows = X.score(docs, classifier).collect()
+    assert len(rows) == docs.count()
+    assert all(r["score"] == pytest.approx(plain(r["text"]), abs=1e-9) for r in rows)
+    assert len({round(r["score"], 6) for r in rows}) > len(rows) / 2
+
+
 def test_odd_rows(spark, odd_docs):
     df = docs_frame(spark, odd_docs, extra=("toxic",))
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
