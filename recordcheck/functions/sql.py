@@ -32,6 +32,16 @@ def lit(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def unfused(e: str, kind: str) -> str:
+    """An empty ``array<kind>`` made by a lambda function over ``e`` (a column), to be
+    put beside the parts of a long expression.  Spark generates no code for lambdas, so
+    it leaves the projection they are in out of the fused method of the stage and cuts it
+    into many small ones.  Projections of hundreds of branches need that: fused they are one
+    method of 8 to 64 KB, which the JVM never compiles but interprets row by row.  (Only the
+    lambda itself is interpreted: never put the long expression into it.)"""
+    return f"filter(array(CAST({e} AS {kind})), _v -> false)"
+
+
 def any_of(parts) -> str:
     parts = list(parts)
     return "(" + " OR ".join(parts) + ")" if parts else "false"

@@ -98,8 +98,9 @@ def describe(rule: Rule) -> str:
 
 
 def _fired(masked: DataFrame, layout: Layout, carry: Sequence[str]) -> DataFrame:
-    """One row per rule that fired on a record; ``_n`` is its number."""
-    rows = masked.select(*carry, F.explode_outer(F.expr(layout.fired())).alias("_n"))
+    """One row per rule that fired on a record; ``_n`` is its number.  The numbers are
+    a column first: the generator itself would interpret their expression."""
+    rows = masked.select(*carry, F.expr(layout.fired()).alias("_ns")).select(*carry, F.explode_outer("_ns").alias("_n"))
     return rows.filter(F.col("_n").isNotNull())
 
 
@@ -109,34 +110,36 @@ def _of_rule(layout: Layout, values: Sequence, kind: str = "STRING") -> Column:
     return F.expr(f"element_at(array({listed}), _n + 1)") if layout.rules else F.lit(None).cast(kind)
 
 
+def _numbered(masked: DataFrame, layout: Layout, fields: Sequence[str], ids: Sequence[str], order: str, code: str) -> DataFrame:
+    """Record ids, ``_n`` and IDX_CAMPO of every observation, in order.  Its texts
+    follow from ``_n`` after the sort: neither sampled nor shuffled."""
+    index = {f: i for i, f in enumerate(fields)}
+    rows = _fired(masked, layout, _carry(masked, list(ids)))
+    return _ordered(rows.withColumn("IDX_CAMPO", _of_rule(layout, [index[r.field] for r in layout.rules], "INT")), order, code)
+
+
 def mask_detail(masked: DataFrame, layout: Layout, fields: Sequence[str], keys: Sequence[str] = (), order: str = "global",
                 record_id: Sequence[str] = ("CODIGO", "RAZON_SOCIAL", "NIT")) -> DataFrame:
     """OUT2 from masks: everything an observation says is a constant of its rule."""
-    index = {f: i for i, f in enumerate(fields)}
-    rules, carry = layout.rules, _carry(masked, [*keys, *record_id])
-    out = _fired(masked, layout, carry).select(
-        *carry,
-        _of_rule(layout, [index[r.field] for r in rules], "INT").alias("IDX_CAMPO"),
+    rules, ids = layout.rules, [*keys, *record_id]
+    return _numbered(masked, layout, fields, ids, order, record_id[0]).select(
+        *ids, "IDX_CAMPO",
         _of_rule(layout, [r.field for r in rules]).alias("CAMPO"),
         _of_rule(layout, [r.tipo for r in rules]).alias("TIPO_VERIFICACION"),
         _of_rule(layout, [r.severidad for r in rules]).alias("SEVERIDAD"),
         _of_rule(layout, [r.motivo for r in rules]).alias("DESCRIPCION"))
-    return _ordered(out, order, record_id[0])
 
 
 def mask_report(masked: DataFrame, layout: Layout, fields: Sequence[str], keys: Sequence[str] = (), order: str = "global",
                 code: str = "CODIGO") -> DataFrame:
     """OUT3 from masks."""
-    index, categories = {f: i for i, f in enumerate(fields)}, dict(K.REGLA_BY_TIPO)
-    rules, carry = layout.rules, _carry(masked, [*keys, code])
-    out = _fired(masked, layout, carry).select(
-        *carry,
-        _of_rule(layout, [index[r.field] for r in rules], "INT").alias("IDX_CAMPO"),
+    categories, rules, ids = dict(K.REGLA_BY_TIPO), layout.rules, [*keys, code]
+    return _numbered(masked, layout, fields, ids, order, code).select(
+        *ids, "IDX_CAMPO",
         _of_rule(layout, [r.field for r in rules]).alias("CAMPO"),
         _of_rule(layout, [r.tipo for r in rules]).alias("TIPO_VERIFICACION"),
         _of_rule(layout, [categories.get(r.tipo, K.REGLA_OTHER) for r in rules]).alias("REGLA"),
         _of_rule(layout, [describe(r) for r in rules]).alias("DESCRIPCION"))
-    return _ordered(out, order, code)
 
 
 def _exploded(evaluated: DataFrame, carry: Sequence[str], obs_col: str) -> DataFrame:

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordcheck.functions.sql import ident, lit
+from recordcheck.functions.sql import ident, lit, unfused
 from recordcheck.operators.masks import Layout, with_masks
 from recordcheck.operators.rules import Rule
 from recordcheck.schema import OBS_COL
@@ -46,7 +46,8 @@ def observations_sql(layout: Layout, field_index: dict[str, int], block_size: in
     # Most rules are silent on most records: a block without a bit set is skipped.
     blocks = [f"CASE WHEN {layout.any_of(rules[i:i + block_size])} THEN flatten(array({', '.join(elements[i:i + block_size])})) "
               f"ELSE {EMPTY_OBS} END" for i in rules[::block_size]]
-    return f"flatten(array({', '.join(blocks)}))"
+    none = f"transform({unfused(f'{layout.bit(0).word} = 0L', 'STRING')}, _v -> named_struct('idx', 0, 'campo', _v, 'motivo', _v, 'tipo', _v, 'severidad', _v))"
+    return f"flatten(array({', '.join(blocks)}, {none}))"
 
 
 def layout_of(df: DataFrame, rules: Sequence[Rule], fields: Sequence[str]) -> Layout:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordcheck.functions import predicates as P
-from recordcheck.functions.sql import ident, lit
+from recordcheck.functions.sql import ident, lit, unfused
 from recordcheck.operators.rules import FieldRefs, Rule
 
 BITS = 63                     # bits of a word; the sign stays free
@@ -46,6 +46,11 @@ def _tree(parts: Sequence[str], op: str) -> str:
     return f"({_tree(parts[:half], op)} {op} {_tree(parts[half:], op)})"
 
 
+def _word(parts: Sequence[str], field: str) -> str:
+    """The bits of one word, in a projection of small methods."""
+    return f"({_tree(parts, '|')} | CAST(size({unfused(f"{ident(field)} = ''", 'INT')}) AS BIGINT))"
+
+
 @dataclass(frozen=True)
 class Bit:
     """One bit of one word."""
@@ -152,12 +157,12 @@ class Layout:
         for w in range(0, len(self.fields), BITS):
             some = list(enumerate(self.fields))[w:w + BITS]
             text = {i: f"{TRIMMED}{i}" if i in trimmed else f"trim({ident(f)})" for i, f in some}
-            second[f"{NULLS}{w // BITS}"] = _tree([f"if({P.is_null(f)}, {1 << (i - w)}L, 0L)" for i, f in some], "|")
-            second[f"{BLANKS}{w // BITS}"] = _tree([f"if({text[i]} = '', {1 << (i - w)}L, 0L)" for i, _ in some], "|")
+            second[f"{NULLS}{w // BITS}"] = _word([f"if({P.is_null(f)}, {1 << (i - w)}L, 0L)" for i, f in some], self.fields[w])
+            second[f"{BLANKS}{w // BITS}"] = _word([f"if({text[i]} = '', {1 << (i - w)}L, 0L)" for i, _ in some], self.fields[w])
         words: dict[str, list[str]] = {}
         for bit, text in conditions.items():
             words.setdefault(bit.word, []).append(f"if({text}, {bit.mask}L, 0L)")
-        return [first, second, {word: _tree(parts, "|") for word, parts in words.items()}]
+        return [first, second, {word: _word(parts, self.fields[0]) for word, parts in words.items()}]
 
     def count(self, chosen: Sequence[int]) -> str:
         """How many of the chosen rules (numbers) fired."""
@@ -188,12 +193,12 @@ class Layout:
     def fired(self) -> str:
         """``array<int>``: the numbers of the rules that fired, in rule order."""
         parts = self._looked_up(range(len(self.rules)), lambda ns: f"array({', '.join(map(str, ns))})" if ns else "CAST(array() AS ARRAY<INT>)")
-        return f"flatten(array({', '.join(parts)}))" if parts else "CAST(array() AS ARRAY<INT>)"
+        return f"flatten(array({', '.join(parts)}, {unfused(f'{self._bits[0].word} = 0L', 'INT')}))" if parts else "CAST(array() AS ARRAY<INT>)"
 
     def joined(self, texts: dict[int, str], sep: str = ", ") -> str:
         """The texts of the rules that fired, in rule order."""
         parts = self._looked_up(sorted(texts), lambda ns: lit(sep.join(texts[n] for n in ns)) if ns else "CAST(NULL AS STRING)")
-        return f"concat_ws({lit(sep)}, {', '.join(parts)})" if parts else "''"
+        return f"concat_ws({lit(sep)}, {', '.join(parts)}, {unfused(f'{self._bits[min(texts)].word} = 0L', 'STRING')})" if parts else "''"
 
 
 def with_masks(df: DataFrame, layout: Layout) -> DataFrame:

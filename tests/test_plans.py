@@ -7,6 +7,8 @@ from recordcheck.operators.detail import detail
 from recordcheck.operators.evaluate import evaluate
 from recordcheck.plans.audit import Audit
 from recordcheck.plans.catalog_party import party_catalog
+from recordcheck.sources.fixtures import party
+from tests.conftest import SMALL
 
 
 def optimized(df) -> str:
@@ -120,3 +122,28 @@ def test_sorted_detail_spreads_a_hot_code(spark, party_small):
     assert max(sizes) < 0.5 * sum(sizes)      # the hot third is not in one partition
     codes = [r["CODIGO"] for r in det.select("CODIGO").collect()]
     assert codes == sorted(codes, key=lambda c: (c is not None, c))   # still globally ordered (NULLs first)
+
+
+def test_long_projections_stay_out_of_fused_methods(spark):
+    """Fused, a projection of dozens of branches is one method too long for the
+    JVM to compile (a default session fuses)."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.codegen.wholeStage", "true")
+    src = party(session, SMALL)
+    audit = Audit(src, keys=("k",), materialize=False)
+    cat = party_catalog()
+    for df in (src, audit.masked, audit.summary(), audit.detail(order="none"), evaluate(src, cat.rules, cat.fields)):
+        long = [line for line in physical(df).splitlines()
+                if sum(line.count(x) for x in ("if (", "CASE WHEN", "element_at(")) > 30]
+        assert long
+        assert not [line[:60] for line in long if line.lstrip(" :+-").startswith("*(")]
+
+
+def test_texts_of_observations_follow_the_sort(party_small):
+    """Neither the sample of the range sort nor its shuffle carries constants of a rule."""
+    audit = Audit(party_small, keys=("k",), materialize=False)
+    for df in (audit.detail(), audit.report(), audit.detail(order="range"), audit.report(order="range")):
+        lines = optimized(df).splitlines()
+        sort = next(i for i, line in enumerate(lines) if "Sort [" in line)
+        assert any("AS CAMPO#" in line for line in lines[:sort])
+        assert not any("AS DESCRIPCION#" in line for line in lines[sort:])
