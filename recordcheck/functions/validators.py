@@ -70,7 +70,7 @@ def address_invalid(c: str, min_len: int = 5, pattern: str = PLACEHOLDER_RE) ->
     """V5: trimmed text shorter than ``min_len``, digits only, or a placeholder."""
     s = f"trim({x(c)})"
     return (f"({is_filled(c)} AND (length({s}) < {min_len} "
-            f"OR length({regexp_replace(s, '[0-9]', '')}) = 0 OR {rlike(x(c), pattern)}))")
+            f"OR NOT {rlike(s, '[^0-9]')} OR {rlike(x(c), pattern)}))")
 
 
 def keyboard_run(c: str, runs=K.KEYBOARD_RUNS) -> str:
@@ -84,14 +84,14 @@ def text_invalid(c: str, min_len: int = 3, runs=K.KEYBOARD_RUNS, pattern: str =
     a 1..3 char unit repeated 3+ times as the whole value, a keyboard run,
     3+ letters without a vowel, or a placeholder word."""
     v, s = x(c), upper_trim(c)
-    letters = regexp_replace(s, f"[^{K.LETTERS_CLASS}]", "")
+    letters = regexp_replace(s, f"[^{K.LETTERS_CLASS}]", "")       # made only for a text without a vowel
     parts = [
         f"length(trim({v})) < {min_len}",
-        f"length({regexp_replace(v, '[0-9]', '')}) = 0",
+        f"NOT {rlike(v, '[^0-9]')}",
         rlike(s, K.TEXT_REPEAT),
         rlike(s, K.UNIT_REPEAT),
         keyboard_run(c, runs),
-        f"(length({letters}) >= 3 AND NOT {rlike(letters, f'[{K.VOWELS_CLASS}]')})",
+        f"(NOT {rlike(s, f'[{K.VOWELS_CLASS}]')} AND length({letters}) >= 3)",
         rlike(v, pattern),
     ]
     return f"({is_filled(c)} AND (" + " OR ".join(parts) + "))"
