@@ -34,8 +34,11 @@ LOOKUP_CODE = "C7"          # EX2 / EX3 example record code
 ONE_FIELD = "TELEFONO_REP_LEGAL"  # PF9 single-field lookup
 
 
+TASKS_PER_CORE = 4          # records cost unequal time
+
+
 def _party(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return party(spark, sf_dir, "orders")
+    return party(spark, sf_dir, "orders", tasks=TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
 
 
 def _audit(spark: SparkSession, sf_dir: str, materialize: bool = False) -> Audit:

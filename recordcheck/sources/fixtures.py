@@ -150,8 +150,12 @@ def party_from_keys(keys: DataFrame, key_col: str, keep_key: str | None = "k") -
     return out
 
 
-def party(spark, sf_dir: str, source: str = "orders", keep_key: str | None = "k") -> DataFrame:
-    """``party`` built from ``{sf_dir}/{source}.parquet`` (reads only the key column)."""
+def party(spark, sf_dir: str, source: str = "orders", keep_key: str | None = "k", tasks: int | None = None) -> DataFrame:
+    """``party`` built from ``{sf_dir}/{source}.parquet`` (reads only the key column).
+
+    A scan task takes whole row groups, and one of a few MB may hold a million keys;
+    ``tasks`` deals the keys round-robin to so many tasks before any cell is made."""
     from recordcheck.sources.tables import read_table
 
-    return party_from_keys(read_table(spark, sf_dir, source), KEY_OF[source], keep_key)
+    keys = read_table(spark, sf_dir, source).select(KEY_OF[source])
+    return party_from_keys(keys.repartition(tasks) if tasks else keys, KEY_OF[source], keep_key)

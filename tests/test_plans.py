@@ -7,6 +7,7 @@ from recordcheck.operators.detail import detail
 from recordcheck.operators.evaluate import evaluate
 from recordcheck.plans.audit import Audit
 from recordcheck.plans.catalog_party import party_catalog
+from recordcheck.plans.queries import _audit, _party
 from recordcheck.sources.fixtures import party
 from tests.conftest import SMALL
 
@@ -147,3 +148,16 @@ def test_texts_of_observations_follow_the_sort(party_small):
         sort = next(i for i, line in enumerate(lines) if "Sort [" in line)
         assert any("AS CAMPO#" in line for line in lines[:sort])
         assert not any("AS DESCRIPCION#" in line for line in lines[sort:])
+
+
+def test_keys_of_one_row_group_are_dealt_to_many_tasks(spark, tmp_path):
+    """A scan gives a row group to one task, which then ran every rule on it alone."""
+    keys = [None, *range(2000), 7, 7]
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey long").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    whole, dealt = party(spark, str(tmp_path)), _party(spark, str(tmp_path))
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 0.5 * len(keys)
+    assert dealt.columns == whole.columns and dealt.count() == len(keys)
+    assert dealt.exceptAll(whole).count() == 0
+    with _audit(spark, str(tmp_path), materialize=True) as audit:
+        assert audit.masked.groupBy(F.input_file_name()).count().count() > 1
