@@ -39,7 +39,7 @@ def unfused(e: str, kind: str) -> str:
     into many small ones.  Projections of hundreds of branches need that: fused they are one
     method of 8 to 64 KB, which the JVM never compiles but interprets row by row.  (Only the
     lambda itself is interpreted: never put the long expression into it.)"""
-    return f"filter(array(CAST({e} AS {kind})), _v -> false)"
+    return f"slice(transform(array(CAST({e} AS {kind})), _v -> _v), 1, 0)"
 
 
 def any_of(parts) -> str:

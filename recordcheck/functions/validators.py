@@ -12,7 +12,7 @@ import re
 from recordcheck import constants as K
 from recordcheck.functions.predicates import (is_empty, is_filled, only_digits, regexp_replace,
                                               rlike, upper_trim)
-from recordcheck.functions.sql import lit, x
+from recordcheck.functions.sql import any_of, lit, x
 
 # A "word character" for placeholder boundaries: letters, decimal digits,
 # underscore and combining marks.  Written out instead of \b so the result does
@@ -66,11 +66,16 @@ def nit_invalid(c: str) -> str:
             f"OR NOT ({same_len})))")
 
 
+def no_text_but_digits(e: str) -> str:
+    """A filled text of ASCII digits only; one without a digit in front is not searched."""
+    return f"(left({e}, 1) BETWEEN '0' AND '9' AND NOT {rlike(e, '[^0-9]')})"
+
+
 def address_invalid(c: str, min_len: int = 5, pattern: str = PLACEHOLDER_RE) -> str:
     """V5: trimmed text shorter than ``min_len``, digits only, or a placeholder."""
     s = f"trim({x(c)})"
     return (f"({is_filled(c)} AND (length({s}) < {min_len} "
-            f"OR NOT {rlike(s, '[^0-9]')} OR {rlike(x(c), pattern)}))")
+            f"OR {no_text_but_digits(s)} OR {rlike(x(c), pattern)}))")
 
 
 def keyboard_run(c: str, runs=K.KEYBOARD_RUNS) -> str:
@@ -87,11 +92,10 @@ def text_invalid(c: str, min_len: int = 3, runs=K.KEYBOARD_RUNS, pattern: str =
     letters = regexp_replace(s, f"[^{K.LETTERS_CLASS}]", "")       # made only for a text without a vowel
     parts = [
         f"length(trim({v})) < {min_len}",
-        f"NOT {rlike(v, '[^0-9]')}",
-        rlike(s, K.TEXT_REPEAT),
-        rlike(s, K.UNIT_REPEAT),
+        no_text_but_digits(v),
+        rlike(s, K.REPEAT),
         keyboard_run(c, runs),
-        f"(NOT {rlike(s, f'[{K.VOWELS_CLASS}]')} AND length({letters}) >= 3)",
+        f"(NOT {any_of(f'contains({s}, {lit(vowel)})' for vowel in K.VOWELS_CLASS)} AND length({letters}) >= 3)",
         rlike(v, pattern),
     ]
     return f"({is_filled(c)} AND (" + " OR ".join(parts) + "))"

@@ -34,7 +34,7 @@ from recordcheck.operators.rules import FieldRefs, Rule
 
 BITS = 63                     # bits of a word; the sign stays free
 NULLS, BLANKS, FIRED = "_rc_n", "_rc_b", "_rc_f"
-TRIMMED, UPPER = "_rc_t", "_rc_u"
+TRIMMED, UPPER, DIGITS, WHOLE = "_rc_t", "_rc_u", "_rc_d", "_rc_i"
 
 
 def _tree(parts: Sequence[str], op: str) -> str:
@@ -127,8 +127,8 @@ class Layout:
 
     def _conditions(self) -> dict[Bit, str]:
         """Conditions of the rules with a bit of their own.  A test for content
-        of a field they use becomes a test of its bits, its trimmed and
-        upper-cased text a reference to the ones made once."""
+        of a field they use becomes a test of its bits; its trimmed and upper-cased
+        text, its digits and its integer value references to the ones made once."""
         refs, out = MaskRefs(self), {}
         for r, bit in zip(self.rules, self._bits):
             if not bit.word.startswith(FIRED):
@@ -137,6 +137,7 @@ class Layout:
             for f in dict.fromkeys((r.field, *r.uses)):
                 i = self._at[f]
                 for old, new in ((P.is_filled(f), refs.filled(f)), (P.is_empty(f), refs.empty(f)),
+                                 (P.legacy_int(f), f"{WHOLE}{i}"), (P.only_digits(f), f"{DIGITS}{i}"),
                                  (P.upper_trim(f), f"{UPPER}{i}"), (f"trim({ident(f)})", f"{TRIMMED}{i}")):
                     text = text.replace(old, new)
             out[bit] = text
@@ -147,12 +148,14 @@ class Layout:
         return sorted(found)
 
     def steps(self) -> list[dict[str, str]]:
-        """Columns to add, projection by projection: trimmed texts that rules
-        read, field bits (one trim per field), rule bits."""
+        """Columns to add, projection by projection: trimmed texts, digits and integers
+        that rules read, field bits (one trim per field), rule bits."""
         conditions = self._conditions()
         upper = self._made(conditions, UPPER)
         trimmed = sorted({*upper, *self._made(conditions, TRIMMED)})
         first = {f"{TRIMMED}{i}": f"trim({ident(self.fields[i])})" for i in trimmed}
+        for prefix, made in ((DIGITS, P.only_digits), (WHOLE, P.legacy_int)):
+            first |= {f"{prefix}{i}": made(self.fields[i]) for i in self._made(conditions, prefix)}
         second = {f"{UPPER}{i}": f"upper({TRIMMED}{i})" for i in upper}
         for w in range(0, len(self.fields), BITS):
             some = list(enumerate(self.fields))[w:w + BITS]
@@ -203,7 +206,7 @@ class Layout:
 
 def with_masks(df: DataFrame, layout: Layout) -> DataFrame:
     """``df`` plus the mask columns: narrow projections, no shuffle."""
-    clash = sorted(c for c in df.columns if re.fullmatch(r"_rc_[nbftu]\d+", c))
+    clash = sorted(c for c in df.columns if re.fullmatch(r"_rc_[nbftudi]\d+", c))
     if clash:
         raise ValueError(f"columns of the input have names of the masks: {clash}")
     kept = [F.col(ident(c)) for c in df.columns]

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from recordcheck import constants as K
 from recordcheck.functions import predicates as P
 from recordcheck.functions import validators as V
 
@@ -146,3 +147,22 @@ def test_pb8_signs_and_marks(spark):
              (".", 0.0), ("..", 0.0), (",", 0.0), ("-", 0.0), ("--", 0.0), ("-.", None), (".-", 0.0), ("5.", 5.0), (".5", 0.5),
              ("-.5", -0.5)]
     check(spark, P.to_double_locale, cases)
+
+
+def test_pb9_signs_marks_and_edges(spark):
+    check(spark, P.legacy_int, [
+        (".", 0), ("+.", 0), ("-.5", 0), ("+", None), ("\x00-7.\n", -7), ("5 .", None), ("5\u2028", None), ("5 \u2028", None),
+        ("\n \t", None), ("\u0663", None), ("--3", None), ("+0", 0), ("-2147483648", -2147483648), ("-2147483649.9", None),
+    ])
+
+
+def test_v6_repeats_and_vowels_like_the_separate_searches(spark):
+    texts = ["AAAA", "xaaaay", "aaa", "1111", "a\n\n\n\nb", "\n\n\n\n", "ABABAB", "ABAB", "ABCABCABC\n", "ABCABCABC", "AbcaBcabC", "12121", "121212",
+             "ÁÁÁÁ", "bcd", "bcü", "b1c", "ñññ", "12\u0663", "007", " 12 ", "1 2", "-12", "\U0001f600\U0001f600\U0001f600\U0001f600", "ZZZ", "Ú23", "xyz\u2028"]
+    s, letters = P.upper_trim("v"), P.regexp_replace(P.upper_trim("v"), f"[^{K.LETTERS_CLASS}]", "")
+    parts = ["length(trim(v)) < 3", f"NOT {P.rlike('v', '[^0-9]')}", P.rlike(s, K.TEXT_REPEAT), P.rlike(s, K.UNIT_REPEAT), V.keyboard_run("v"),
+             f"(NOT {P.rlike(s, f'[{K.VOWELS_CLASS}]')} AND length({letters}) >= 3)", P.rlike("v", V.PLACEHOLDER_RE)]
+    df = spark.createDataFrame([(t,) for t in [*texts, None, "", "  "]], "v string")
+    rows = df.select("v", F.expr(V.text_invalid("v")).alias("now"), F.expr(f"({P.is_filled('v')} AND ({' OR '.join(parts)}))").alias("was")).collect()
+    assert [(r["v"], r["now"]) for r in rows] == [(r["v"], r["was"]) for r in rows]
+    assert {r["now"] for r in rows} == {True, False}
