@@ -129,12 +129,11 @@ def party_cell_sql(i: int, good: str, bad: str) -> str:
     # The lambda keeps the 54 cells out of one fused method (see ``functions.sql.unfused``).
     at = f"element_at(transform(array((k div 28) % {len(bads)}), _v -> _v), 1)"
     turn = f"element_at(array({', '.join(map(lit, bads))}), CAST({at} + 1 AS INT))"
-    missing = f"(k % 10 BETWEEN 1 AND 7) OR ({dirty} AND {state} = 0)" if name == MOSTLY_NULL else f"{dirty} AND {state} = 0"
-    missing += " OR k % 40 = 13" if name in NULL_TOGETHER else ""
-    return (f"CASE WHEN {missing} THEN CAST(NULL AS STRING) "
-            f"WHEN {dirty} AND {state} = 1 THEN {lit(BLANK)} "
-            f"WHEN {dirty} AND {state} = 2 THEN {lit(PLACEHOLDER)} "
-            f"WHEN {dirty} THEN {turn} ELSE {good} END")
+    missing = (["k % 10 BETWEEN 1 AND 7"] if name == MOSTLY_NULL else []) + (["k % 40 = 13"] if name in NULL_TOGETHER else [])
+    always = f"WHEN {' OR '.join(missing)} THEN CAST(NULL AS STRING) " if missing else ""
+    # Most cells are good: the state is looked at in dirty ones only.
+    return (f"CASE {always}WHEN {dirty} THEN CASE {state} WHEN 0 THEN CAST(NULL AS STRING) "
+            f"WHEN 1 THEN {lit(BLANK)} WHEN 2 THEN {lit(PLACEHOLDER)} ELSE {turn} END ELSE {good} END")
 
 
 def party_from_keys(keys: DataFrame, key_col: str, keep_key: str | None = "k") -> DataFrame:

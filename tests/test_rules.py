@@ -147,3 +147,26 @@ def test_unicode_case_option_for_placeholders(spark, clean_row):
         got.append({o["motivo"] for o in obs})
     assert "PAF_ALTA_PALABRA_INVALIDA" not in got[0]
     assert "PAF_ALTA_PALABRA_INVALIDA" in got[1]
+
+
+def test_a_cell_looks_at_its_state_once(spark):
+    """The state of a cell was worked out up to three times, also for good cells."""
+    from recordcheck.sources.fixtures import MOSTLY_NULL, NULL_TOGETHER, PARTY_VALUES, party_cell_sql
+
+    ks = [None, *range(3000), 2 ** 40 + 7]
+    keys = spark.createDataFrame([(k,) for k in ks], "k long")
+    by_key = {r["k"]: r for r in party_from_keys(keys, "k").collect()}
+    assert set(by_key) == set(ks)
+
+    for i, (name, good, bad) in enumerate(PARTY_VALUES):
+        assert party_cell_sql(i, good, bad).count("k div 7") == 1, name
+        for k in ks[1:]:
+            cell, dirty = by_key[k][name], k % 10 != 0 and (k + i) % (3, 7, 11)[i % 3] == 0
+            state = (k // 7 + i) % 4
+            if (name == MOSTLY_NULL and 1 <= k % 10 <= 7) or (name in NULL_TOGETHER and k % 40 == 13) or (dirty and state == 0):
+                assert cell is None, (name, k)
+            elif dirty and state in (1, 2):
+                assert cell == {1: "   ", 2: "NO APLICA"}[state], (name, k)
+            elif name == "CANTIDAD_ACTUALIZACIONES" and not dirty:
+                assert cell == "3", k
+    assert by_key[None]["CANTIDAD_ACTUALIZACIONES"] == "3" and by_key[None]["RAZON_SOCIAL"] == "EMPRESA ANDINA SRL"
