@@ -33,7 +33,7 @@ from recordcheck.plans.catalog_party import Catalog, party_catalog
 from recordcheck.schema import OBS_COL
 from recordcheck.sources.delimited import write_delimited
 from recordcheck.sources.storage import (delete_path, lookup_options, publish, run_path, scratch_path,
-                                         scratch_table, staging_path, write_parquet)
+                                         scratch_table, side_by_side, staging_path, write_parquet)
 
 STATES = "perfil_estados"       # output that holds the mergeable state of the profile
 
@@ -181,8 +181,9 @@ class Audit:
         Everything is staged first: a run that fails leaves the former outputs as
         they were.  Detail and report files hold disjoint, sorted ranges of
         (code, field), and row groups carry a Bloom filter of their codes, so a
-        reader of one code skips the others; the CSV copies are made from the
-        parquet files."""
+        reader of one code skips the others; the views and the CSV copies are
+        made from the parquet files.  Outputs that do not need each other are
+        written at the same time."""
         out = run_path(root, run_id)
         staged = staging_path(out)
         try:
@@ -195,23 +196,33 @@ class Audit:
 
     def _write_staged(self, staged: str, csv: bool, csv_single_file: bool, extra: dict[str, DataFrame],
                       row_group_bytes: int | None) -> None:
-        write_parquet(self.profile_states(), f"{staged}/{STATES}")
-        states = self.spark.read.schema(PF.STATE_SCHEMA).parquet(f"{staged}/{STATES}")
-        outputs = {
-            "resumen_ejecutivo": self.summary(),
-            "detalle_observaciones": self.detail(order="range"),
-            "reporte_auditoria": self.report(order="range"),
-            "resumen_por_campo": PF.profile_of_states(states, self._profiled()),
-            "registros_criticos": self.critical(),
-            "registros_con_dependencias": self.dependencies(),
-        }
         by_code = lookup_options(self.record_id[0], row_group_bytes)
-        for name, df in {**outputs, **extra}.items():
+        schemas = {}
+
+        def put(name: str, df: DataFrame) -> None:
+            schemas[name] = df.schema
             write_parquet(df, f"{staged}/{name}", **(by_code if self.record_id[0] in df.columns else {}))
+
+        def written(name: str) -> DataFrame:
+            return self.spark.read.schema(schemas[name]).parquet(f"{staged}/{name}")
+
+        self.masked                                     # evaluated once, before the outputs share it
+        side_by_side(self.spark,
+                     lambda: write_parquet(self.profile_states(), f"{staged}/{STATES}"),
+                     lambda: put("resumen_ejecutivo", self.summary()),
+                     lambda: put("detalle_observaciones", self.detail(order="range")),
+                     lambda: put("reporte_auditoria", self.report(order="range")))
+        states = self.spark.read.schema(PF.STATE_SCHEMA).parquet(f"{staged}/{STATES}")
+        summary = written("resumen_ejecutivo")
+        side_by_side(self.spark,
+                     lambda: put("resumen_por_campo", PF.profile_of_states(states, self._profiled())),
+                     lambda: put("registros_criticos", VW.critical_records(summary)),
+                     lambda: put("registros_con_dependencias", VW.dependency_records(summary)))
+        for name, df in extra.items():
+            put(name, df)
         if csv:
             for name in ("reporte_auditoria", "resumen_por_campo", "resumen_ejecutivo"):
-                written = self.spark.read.schema(outputs[name].schema).parquet(f"{staged}/{name}")
-                write_delimited(written, f"{staged}/{name}_csv", single_file=csv_single_file)
+                write_delimited(written(name), f"{staged}/{name}_csv", single_file=csv_single_file)
 
 
 def merged_profile(spark: SparkSession, runs: Sequence[str], fields: Sequence[str] = K.FIELDS,

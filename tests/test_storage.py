@@ -149,3 +149,56 @@ def test_command_line_quarantine(spark, party_small):
     assert spark.read.parquet(f"{out}/resumen_ejecutivo").count() == 27
     bad = spark.read.parquet(f"{out}/lineas_rechazadas").collect()
     assert len(bad) == 3 and {r["MOTIVO"] for r in bad} == {D.LINE_SHORT} and {r["CAMPOS"] for r in bad} == {20}
+
+
+# Writing the outputs -------------------------------------------------------------------
+
+def test_views_are_made_from_the_written_summary(spark, party_small, monkeypatch):
+    """The lists of the summary are built once, not once more for every view."""
+    from recordcheck.operators import views as VW
+
+    read = {}
+    for name in ("critical_records", "dependency_records"):
+        def view(summary, name=name, made=getattr(VW, name)):
+            read[name] = summary.inputFiles()
+            return made(summary)
+        monkeypatch.setattr(VW, name, view)
+    with Audit(party_small, keys=("k",)) as audit:
+        out = audit.write(tempfile.mkdtemp(prefix="rc-views-"))
+        monkeypatch.undo()
+        want = {"registros_criticos": audit.critical(), "registros_con_dependencias": audit.dependencies()}
+        for name, df in want.items():
+            got = spark.read.parquet(f"{out}/{name}")
+            assert got.columns == df.columns and got.count() > 0
+            assert got.exceptAll(df).count() == df.exceptAll(got).count() == 0
+    assert len(read) == 2
+    assert all(files and all("/resumen_ejecutivo/" in f for f in files) for files in read.values())
+
+
+def test_outputs_are_written_side_by_side(party_small, monkeypatch):
+    """Detail and report begin without waiting for each other; a third write that
+    fails leaves no outputs and no staged files."""
+    import threading
+
+    met, put = threading.Barrier(2, timeout=60), A.write_parquet
+
+    def meet(df, path, **options):
+        if path.endswith(("/detalle_observaciones", "/reporte_auditoria")):
+            met.wait()
+        put(df, path, **options)
+
+    monkeypatch.setattr(A, "write_parquet", meet)
+    root = tempfile.mkdtemp(prefix="rc-side-")
+    with Audit(party_small, keys=("k",)) as audit:
+        audit.write(root)
+
+        def fail(df, path, **options):
+            if path.endswith("/reporte_auditoria"):
+                raise RuntimeError("disk full")
+            put(df, path, **options)
+
+        monkeypatch.setattr(A, "write_parquet", fail)
+        other = tempfile.mkdtemp(prefix="rc-side-")
+        with pytest.raises(RuntimeError, match="disk full"):
+            audit.write(other)
+    assert os.listdir(root) and not os.listdir(other)
