@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordcheck.functions import predicates as P
@@ -33,22 +33,30 @@ from recordcheck.functions.sql import ident, lit, unfused
 from recordcheck.operators.rules import FieldRefs, Rule
 
 BITS = 63                     # bits of a word; the sign stays free
+OR = " /* next bit */ | "     # between the bits of a word
 NULLS, BLANKS, FIRED = "_rc_n", "_rc_b", "_rc_f"
 TRIMMED, UPPER, DIGITS, WHOLE = "_rc_t", "_rc_u", "_rc_d", "_rc_i"
 
 
-def _tree(parts: Sequence[str], op: str) -> str:
-    """The parts joined by ``op`` as a balanced tree: generated code is cut at
-    every node that grows too long for one method."""
+def _tree(parts: Sequence[Column]) -> Column:
+    """The parts OR-ed as a balanced tree: generated code is cut at every node that
+    grows too long for one method.  A tree of Columns, since the parser looks through all
+    of a pair of parentheses before it knows what they are, again for every pair inside."""
     if len(parts) == 1:
         return parts[0]
     half = len(parts) // 2
-    return f"({_tree(parts[:half], op)} {op} {_tree(parts[half:], op)})"
+    return _tree(parts[:half]).bitwiseOR(_tree(parts[half:]))
 
 
 def _word(parts: Sequence[str], field: str) -> str:
     """The bits of one word, in a projection of small methods."""
-    return f"({_tree(parts, '|')} | CAST(size({unfused(f"{ident(field)} = ''", 'INT')}) AS BIGINT))"
+    return OR.join((*parts, f"CAST(size({unfused(f"{ident(field)} = ''", 'INT')}) AS BIGINT)"))
+
+
+def _column(text: str) -> Column:
+    """A column of a step."""
+    *bits, last = map(F.expr, text.split(OR))
+    return _tree(bits).bitwiseOR(last) if bits else last
 
 
 @dataclass(frozen=True)
@@ -213,7 +221,7 @@ def with_masks(df: DataFrame, layout: Layout) -> DataFrame:
     out = df
     for step in layout.steps():
         if step:
-            out = out.select("*", *[F.expr(e).alias(c) for c, e in step.items()])
+            out = out.select("*", *[_column(e).alias(c) for c, e in step.items()])
     return out.select(*kept, *layout.columns)
 
 

@@ -122,3 +122,14 @@ def test_texts_that_several_rules_read_are_made_once():
     assert text.count("RLIKE") + text.count("regexp_") < 90
     for made in ("regexp_replace(`TELEFONO`, '[^0-9]'", "regexp_replace(`NIT`, '[^0-9]'", "try_cast(regexp_extract(`IDENTIFICACION_CANT_INT_ALTA_GERENCIA`"):
         assert text.count(made) == 1
+
+
+def test_bits_of_a_word_are_parsed_one_by_one():
+    """Parentheses around parentheses took the parser seconds: it reads through a pair to
+    its end before it knows what it is."""
+    from recordcheck.operators.masks import OR
+
+    cat = party_catalog()
+    words = [e.split(OR) for step in Layout(cat.rules, cat.fields).steps() for c, e in step.items() if c[:5] in ("_rc_n", "_rc_b", "_rc_f")]
+    assert [len(parts) - 1 for parts in words] == [54, 54, 63]
+    assert all(p.startswith("if(") for parts in words for p in parts[:-1])
