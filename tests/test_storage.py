@@ -202,3 +202,22 @@ def test_outputs_are_written_side_by_side(party_small, monkeypatch):
         with pytest.raises(RuntimeError, match="disk full"):
             audit.write(other)
     assert os.listdir(root) and not os.listdir(other)
+
+
+def test_views_and_profile_do_not_wait_for_detail_and_report(party_small, monkeypatch):
+    import threading
+
+    put, early = A.write_parquet, {n: threading.Event() for n in ("resumen_por_campo", "registros_criticos", "registros_con_dependencias")}
+
+    def late(df, path, **options):
+        name = path.rpartition("/")[2]
+        if name in ("detalle_observaciones", "reporte_auditoria"):
+            assert all(done.wait(60) for done in early.values())
+        put(df, path, **options)
+        if name in early:
+            early[name].set()
+
+    monkeypatch.setattr(A, "write_parquet", late)
+    with Audit(party_small, keys=("k",)) as audit:
+        out = audit.write(tempfile.mkdtemp(prefix="rc-late-"))
+    assert {"detalle_observaciones", "reporte_auditoria", *early} <= set(os.listdir(out))
