@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from recordcheck import constants as K
 from recordcheck.functions import predicates as P
-from recordcheck.functions.sql import ident
+from recordcheck.functions.sql import ident, lit
 from recordcheck.operators.aggregates import pct_half_up
 from recordcheck.operators.masks import Layout, bit_counts
 from recordcheck.schema import category_of
@@ -125,8 +125,9 @@ def profile_states(masked: DataFrame, layout: Layout, fields: Sequence[str], cod
                .withColumn("fold", F.pmod(F.spark_partition_id(), F.lit(FOLDS))))
     # The states of every FOLDS-th task, then one per fold.
     folded = partial.groupBy("state", "fold").agg(F.sum("n").alias("n"), _first(examples).alias("codigos"))
-    known = masked.sparkSession.createDataFrame(names, "state int, campo string, estado string")
-    return merge_states(folded.join(F.broadcast(known), "state"), examples)
+    # Constants of the state's number (a table of them would be made by Python workers).
+    campo, estado = (F.expr(f"element_at(array({', '.join(lit(name[i]) for name in names)}), state + 1)") for i in (1, 2))
+    return merge_states(folded.select("n", "codigos", campo.alias("campo"), estado.alias("estado")), examples)
 
 
 def _first(k: int) -> Column:

@@ -57,3 +57,9 @@ def test_empty_runs(spark, party_small):
     got = {r["campo"]: r for r in Audit(party_small.limit(0), keys=("k",)).profile().collect()}
     assert len(got) == 54 and got["NIT"]["CANT_NULL"] == 0 and got["NIT"]["PCT_NULL"] is None
     assert got["NIT"]["CODIGOS_NULL_EJEMPLO"] == [] and got["NIT"]["CALIDAD_CAMPO"] is None
+
+
+def test_names_of_states_are_constants(party_small):
+    """A table of them, made from a Python list, took Python workers and a join."""
+    plan = Audit(party_small, keys=("k",)).profile_states()._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "ExistingRDD" not in plan and "LocalTableScan" not in plan
