@@ -182,8 +182,9 @@ class Audit:
         they were.  Detail and report files hold disjoint, sorted ranges of
         (code, field), and row groups carry a Bloom filter of their codes, so a
         reader of one code skips the others; the views and the CSV copies are
-        made from the parquet files.  Outputs that do not need each other are
-        written at the same time; what needs one of them waits for that one only."""
+        made from the parquet files.  Outputs are written side by side in three
+        rounds: profile states and summary; the views of the summary; field profile,
+        detail and report.  No round begins after a write has failed."""
         out = run_path(root, run_id)
         staged = staging_path(out)
         try:
@@ -206,20 +207,17 @@ class Audit:
         def written(name: str) -> DataFrame:
             return self.spark.read.schema(schemas[name]).parquet(f"{staged}/{name}")
 
-        def profiled() -> None:
-            write_parquet(self.profile_states(), f"{staged}/{STATES}")
-            states = self.spark.read.schema(PF.STATE_SCHEMA).parquet(f"{staged}/{STATES}")
-            put("resumen_por_campo", PF.profile_of_states(states, self._profiled()))
-
-        def summarized() -> None:
-            put("resumen_ejecutivo", self.summary())
-            summary = written("resumen_ejecutivo")
-            side_by_side(self.spark,
-                         lambda: put("registros_criticos", VW.critical_records(summary)),
-                         lambda: put("registros_con_dependencias", VW.dependency_records(summary)))
-
         self.masked                                     # evaluated once, before the outputs share it
-        side_by_side(self.spark, profiled, summarized,
+        side_by_side(self.spark,
+                     lambda: write_parquet(self.profile_states(), f"{staged}/{STATES}"),
+                     lambda: put("resumen_ejecutivo", self.summary()))
+        states = self.spark.read.schema(PF.STATE_SCHEMA).parquet(f"{staged}/{STATES}")
+        summary = written("resumen_ejecutivo")
+        side_by_side(self.spark,
+                     lambda: put("registros_criticos", VW.critical_records(summary)),
+                     lambda: put("registros_con_dependencias", VW.dependency_records(summary)))
+        side_by_side(self.spark,
+                     lambda: put("resumen_por_campo", PF.profile_of_states(states, self._profiled())),
                      lambda: put("detalle_observaciones", self.detail(order="range")),
                      lambda: put("reporte_auditoria", self.report(order="range")))
         for name, df in extra.items():
